@@ -87,3 +87,47 @@ GROUP BY r.title""",
     "table_scan": f"{V}\nSELECT * FROM ratings_v",
     "top_n": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
 }
+
+
+def _sql_str(s: str) -> str:
+    """A SQL string literal; newlines spelled as chr(10)."""
+    parts = [("'" + p.replace("'", "''") + "'") for p in s.split("\n")]
+    return " || chr(10) || ".join(parts)
+
+
+def _na_tokens_sql() -> str:
+    from folio.plans.queries import NEAR_MISSES
+    probes = list(C.NA_TOKENS) + list(NEAR_MISSES)
+    width = len(probes) + 3
+    cases = " ".join(f"WHEN {i} THEN {_sql_str(p)}" for i, p in enumerate(probes))
+    tokens = ", ".join(_sql_str(t) for t in C.NA_TOKENS)
+    return f"""SELECT p_partkey, raw_value,
+       CASE WHEN raw_value IN ({tokens}) THEN NULL ELSE raw_value END AS value
+FROM (SELECT p_partkey, CASE p_partkey % {width} {cases} ELSE p_name END AS raw_value FROM part)"""
+
+
+def _review_ingest_sql() -> str:
+    from folio.sources.adapters import TRICKY_SUFFIX
+    return f"""{V}
+SELECT CAST(id AS VARCHAR) AS id, title, price, user_id, review_score, review_time, review_summary,
+       ' ' || review_text || {_sql_str(TRICKY_SUFFIX)} AS review_text
+FROM ratings_v"""
+
+
+ORACLE_SQL.update({
+    "rename_columns": f"{V}\nSELECT * FROM books_v",
+    "project_existing": f"""{V}
+SELECT id, title, price, user_id, review_score, review_time, review_summary, review_text FROM ratings_v""",
+    "na_tokens": _na_tokens_sql(),
+    "typed_cast": """SELECT lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS id, l_linenumber AS line_no,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS price,
+       l_discount AS review_score,
+       CASE WHEN l_linenumber = 5 THEN NULL ELSE CAST(epoch(l_shipdate) AS BIGINT) END AS review_time
+FROM lineitem""",
+    "csv_roundtrip": _review_ingest_sql(),
+    "ingest_reviews": _review_ingest_sql(),
+    "stream_ingest": _review_ingest_sql(),
+    "table_overwrite": f"{V}\nSELECT * FROM books_v",
+    "table_append": f"{V}\nSELECT * FROM ratings_v UNION ALL SELECT * FROM ratings_v",
+    "etl_csv": _curated("r.title IS NOT DISTINCT FROM b.title"),
+})

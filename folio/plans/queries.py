@@ -10,13 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio import config as C
 from folio.operators import quality as QA
 from folio.operators.curate import curate, fill_defaults, with_review_date
 from folio.operators.dedupe import dedupe_first
 from folio.operators.joins import lookup_join, orphan_keys
-from folio.session import configure
+from folio.operators.shaping import normalize_na, project_existing, rename_columns, typed_cast
+from folio.plans.jobs import etl_job, ingest_job
+from folio.session import configure, scratch_path
+from folio.sinks.writers import write_csv, write_table
+from folio.sources.csv import read_csv_table
+from folio.streaming.ingest import stream_csv_to_table
 from folio.sources import adapters as A
 from folio.sources.tables import top_n as _top_n
 
@@ -147,3 +153,129 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_scan": table_scan,
     "top_n": top_n,
 }
+
+
+# -- load shaping -------------------------------------------------------------
+
+def rename_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    books, _ = _views(spark, sf_dir)
+    raw = books.select(*[F.col(c).alias(h) for c, h in A.RAW_CATALOG_HEADERS.items()])
+    return rename_columns(raw)
+
+
+def project_existing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, ratings = _views(spark, sf_dir)
+    return project_existing(ratings, C.REVIEW_COLUMNS)
+
+
+# Near-misses that must stay text (case and whitespace differ from a token).
+NEAR_MISSES = ("none", "Null", " NA")
+
+
+def na_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every NA token and near-miss, spread over the catalog rows by key."""
+    configure(spark)
+    part = A.load(spark, sf_dir, "part")
+    probes = [F.lit(t) for t in C.NA_TOKENS + NEAR_MISSES]
+    width = len(probes) + 3
+    probes += [F.col("p_name")] * 3
+    raw = part.select(F.col("p_partkey"),
+                      F.element_at(F.array(*probes), (F.col("p_partkey") % width + 1).cast("int"))
+                      .alias("raw_value"))
+    return raw.withColumn("value", F.col("raw_value")).transform(
+        lambda df: normalize_na(df, C.NA_TOKENS, columns=["value"]))
+
+
+def _typed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    li = A.load(spark, sf_dir, "lineitem")
+    epoch = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"),
+                             F.col("l_shipdate")).cast("string")
+    return li.select(
+        F.lpad(F.col("l_orderkey").cast("string"), 8, "0").alias("id"),
+        F.col("l_linenumber").cast("string").alias("line_no"),
+        F.when(F.col("l_linenumber") == 7, F.lit("notnum"))
+         .otherwise(F.col("l_extendedprice").cast("string")).alias("price"),
+        F.col("l_discount").cast("string").alias("review_score"),
+        F.when(F.col("l_linenumber") == 3, F.concat(epoch, F.lit(".0")))
+         .when(F.col("l_linenumber") == 5, F.concat(epoch, F.lit(".5")))
+         .otherwise(epoch).alias("review_time"),
+    )
+
+
+def typed_cast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty text -> table types: zero-padded ids stay text, junk -> NULL."""
+    schema = T.StructType(C.REVIEW_SCHEMA.fields + [T.StructField("line_no", T.IntegerType())])
+    return typed_cast(_typed_text(spark, sf_dir), schema)
+
+
+# -- sources and sinks (write to the shared checkpoint folder, read back) ------
+
+def _export_reviews_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+    _, ratings = _views(spark, sf_dir)
+    path = scratch_path(spark, name)
+    write_csv(A.raw_review_export(ratings), path)
+    return path
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export reviews as raw CSV, then ingest them back into the raw schema."""
+    path = _export_reviews_csv(spark, sf_dir, "csv_roundtrip")
+    return read_csv_table(spark, path, C.REVIEW_SCHEMA).frame
+
+
+def ingest_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw-ingest job (CSV -> typed Parquet table), read back."""
+    path = _export_reviews_csv(spark, sf_dir, "ingest_src")
+    out = scratch_path(spark, "ingest_out")
+    ingest_job(spark, {"books_rating": (path, C.REVIEW_SCHEMA)}, out)
+    return spark.read.parquet(f"{out}/books_rating")
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental ingest of the exported CSV files, one file per micro-batch."""
+    path = _export_reviews_csv(spark, sf_dir, "stream_src")
+    out, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+    stream_csv_to_table(spark, path, out, ckpt, C.REVIEW_SCHEMA,
+                        header=list(A.RAW_REVIEW_HEADERS.values()))
+    return spark.read.parquet(out)
+
+
+def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the catalog twice in overwrite mode: the second load replaces the first."""
+    books, _ = _views(spark, sf_dir)
+    path = scratch_path(spark, "overwrite")
+    write_table(books, path=path, mode="overwrite")
+    write_table(books, path=path, mode="overwrite")
+    return spark.read.parquet(path)
+
+
+def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the reviews, then append them again: the table holds both loads."""
+    _, ratings = _views(spark, sf_dir)
+    path = scratch_path(spark, "append")
+    write_table(ratings, path=path, mode="overwrite")
+    write_table(ratings, path=path, mode="append")
+    return spark.read.parquet(path)
+
+
+def etl_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ETL job end to end; its curated CSV read back in the curated schema."""
+    books, ratings = _views(spark, sf_dir)
+    table, csv = scratch_path(spark, "curated_tbl"), scratch_path(spark, "curated_csv")
+    etl_job(spark, books, ratings, table_path=table, csv_path=csv, catalog_order=CATALOG_ORDER)
+    return read_csv_table(spark, csv, C.CURATED_SCHEMA).frame
+
+
+QUERIES.update({
+    "rename_columns": rename_columns_q,
+    "project_existing": project_existing_q,
+    "na_tokens": na_tokens_q,
+    "typed_cast": typed_cast_q,
+    "csv_roundtrip": csv_roundtrip,
+    "ingest_reviews": ingest_reviews,
+    "stream_ingest": stream_ingest,
+    "table_overwrite": table_overwrite,
+    "table_append": table_append,
+    "etl_csv": etl_csv,
+})

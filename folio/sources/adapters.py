@@ -108,3 +108,31 @@ ratings_k AS (
   SELECT {review_cols},
          l_partkey AS part_key
   FROM lineitem)"""
+
+
+# Reference-style CSV headers for the review export (one spelling per column).
+RAW_REVIEW_HEADERS = {
+    "id": "Id", "title": "Title", "price": "Price", "user_id": "User_id",
+    "review_score": "review/score", "review_time": "review/time",
+    "review_summary": "review/summary", "review_text": "review/text",
+}
+# Reference-style headers for the catalog, with an unmapped extra column.
+RAW_CATALOG_HEADERS = {
+    "seq": "seq", "title": "Title", "description": "description", "authors": "Authors",
+    "categories": "Categories", "publisher": "publisher", "ratings_count": "ratingsCount",
+}
+# Suffix that exercises CSV quoting: comma, doubled quote, newline, backslash.
+TRICKY_SUFFIX = ' "q", y\n\\'
+
+
+def tricky_text(col: F.Column) -> F.Column:
+    """A leading space, the value, then ``TRICKY_SUFFIX``."""
+    return F.concat(F.lit(" "), col, F.lit(TRICKY_SUFFIX))
+
+
+def raw_review_export(ratings: DataFrame) -> DataFrame:
+    """Reviews as a raw CSV would carry them: source headers, awkward text."""
+    return ratings.select(*[
+        (tricky_text(F.col(c)) if c == "review_text" else F.col(c)).alias(h)
+        for c, h in RAW_REVIEW_HEADERS.items()
+    ])
