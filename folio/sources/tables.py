@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -31,15 +31,52 @@ def read_table(spark: SparkSession, *, path: str | None = None, table: str | Non
         raise
 
 
-def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
-    """The first ``n`` rows by a total order (``TakeOrderedAndProject``).
+# Up to this n, a single ``TakeOrderedAndProject`` is used as is.
+DIRECT_TOP_N = 10_000
 
-    Each task keeps its own top ``n`` before a single merge, so the final
-    step sees at most ``n`` rows per input partition.  A plain ``limit``
-    without order returns an arbitrary subset and is not offered.
+
+def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column], *, fan_in: int = 64) -> DataFrame:
+    """The first ``n`` rows by a total order.
+
+    Small ``n``: ``TakeOrderedAndProject`` (each task keeps a bounded heap of
+    ``n`` rows, one task merges them).  That merge sees ``n`` rows per input
+    partition, too many for a large ``n`` over thousands of partitions, so a
+    larger ``n`` is reduced as a tree: input partitions are spread over
+    ``fan_in`` groups, a partial ``WindowGroupLimit`` keeps each task's top
+    ``n`` per group before the shuffle, each group keeps its top ``n``, and
+    the final merge sees at most ``fan_in * n`` rows.  The result is exact
+    either way.  A plain unordered ``limit`` returns an arbitrary subset and
+    is not offered.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    return df.orderBy(*order).limit(n)
+    if n <= DIRECT_TOP_N or not _allow_partial_rank_limit(df.sparkSession, n):
+        return df.orderBy(*order).limit(n)
+    group, rank = "__topn_group", "__topn_rank"
+    w = Window.partitionBy(group).orderBy(*order)
+    staged = (df.withColumn(group, F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+              .withColumn(rank, F.row_number().over(w))
+              .filter(F.col(rank) <= n)
+              .drop(group, rank))
+    return staged.orderBy(*order).limit(n)
+
+
+_WGL_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _allow_partial_rank_limit(spark: SparkSession, n: int) -> bool:
+    """Let the optimizer push a rank limit of ``n`` below the shuffle.
+
+    Spark inserts the partial ``WindowGroupLimit`` only for limits up to
+    ``windowGroupLimitThreshold`` (1000 by default), so raise it to ``n``;
+    it is read when the plan is optimised, i.e. at the action.  A session
+    that disabled the rule (-1) keeps it disabled.
+    """
+    current = int(spark.conf.get(_WGL_THRESHOLD, "1000"))
+    if current < 0:
+        return False
+    if current < n:
+        spark.conf.set(_WGL_THRESHOLD, str(n))
+    return True
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], buckets: int, bucket: int = 0) -> DataFrame:

@@ -95,3 +95,15 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, tmp_out):
     stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA, header=HEADER)
     ids = sorted(r.id for r in spark.read.parquet(out).collect())
     assert ids == ["1", "2", "3", "4"]
+
+
+def test_large_top_n_tree_reduction_is_exact(spark):
+    from folio.plans.inspect import plan_text
+    from folio.sources.tables import DIRECT_TOP_N
+    n = DIRECT_TOP_N + 2000
+    df = spark.range(40000).selectExpr("id", "(id * 7919) % 1000 AS k").repartition(9)
+    got = top_n(df, n, ["k", "id"], fan_in=4)
+    tree = plan_text(got).split("\n\n", 1)[0]
+    assert tree.count("WindowGroupLimit") == 2
+    expected = sorted(((r.k, r.id) for r in df.collect()))[:n]
+    assert [(r.k, r.id) for r in got.collect()] == expected
