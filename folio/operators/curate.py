@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folio.config import CURATED_COLUMNS, DEFAULT_FILLS
 from folio.functions.exprs import epoch_to_timestamp
 from folio.operators.dedupe import dedupe_first
-from folio.operators.joins import lookup_join
+from folio.operators.joins import find_hot_keys, lookup_join
 from folio.operators.shaping import project_existing
 
 
@@ -41,13 +41,21 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
            null_keys: str = "match",
            fills: Mapping[str, object] = DEFAULT_FILLS,
            columns: Sequence[str] = CURATED_COLUMNS,
-           hot_keys: Sequence[object] | None = None) -> DataFrame:
+           hot_keys: Sequence[object] | str | None = None,
+           hot_share: float = 0.01) -> DataFrame:
     """Curated reviews: one row per review whose ``key`` has a catalog row.
 
     The catalog is deduplicated first (first row per key by
     ``catalog_order``), so the join is many-to-one and never multiplies
     reviews.  Only the catalog columns the output needs reach the join.
+
+    ``hot_keys`` salts known heavy keys in the join; ``"auto"`` finds the
+    keys holding at least ``hot_share`` of the reviews first (one grouped
+    count, bounded result).  Without it, AQE's skew-join handling splits hot
+    partitions at run time.
     """
+    if hot_keys == "auto":
+        hot_keys = find_hot_keys(reviews, key, min_share=hot_share)
     books = dedupe_first(catalog, [key], catalog_order)
     wanted = [c for c in columns if c in books.columns and c not in reviews.columns]
     books = books.select(key, *wanted)

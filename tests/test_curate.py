@@ -124,3 +124,10 @@ def test_curated_rows_equal_matched_reviews(catalog, reviews):
 def test_join_never_multiplies_reviews(spark, catalog, reviews):
     many = catalog.unionByName(catalog.withColumn("seq", F.col("seq") + 10))
     assert curate(many, reviews, catalog_order=["seq"]).count() == 5
+
+
+def test_curate_auto_hot_keys(catalog, reviews):
+    plain = curate(catalog, reviews, catalog_order=["seq"])
+    auto = curate(catalog, reviews, catalog_order=["seq"], hot_keys="auto", hot_share=0.3)
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(auto.collect(), key=key) == sorted(plain.collect(), key=key)
