@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio import config as C
 from folio.config import SCORE_MAX, SCORE_MIN, VOLUME_THRESHOLDS
-from folio.functions.exprs import epoch_to_date, exact_mean, ratio_percent
+from folio.functions.exprs import epoch_to_date, exact_mean, ratio_percent, round_half_up
 from folio.operators.joins import threshold_lookup
+from folio.session import checkpoint_root
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -107,3 +109,98 @@ def audit_report(sections: Sequence[tuple[str, DataFrame]]) -> DataFrame:
         tagged = df.withColumn("seccion", F.lit(label))
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     return out
+
+
+def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
+                   catalog_label: str = C.CATALOG_LABEL, reviews_label: str = C.REVIEWS_LABEL,
+                   null_metrics: Sequence[tuple[str, str, str]] = C.NULL_METRICS,
+                   score: str = "review_score", time_col: str = "review_time",
+                   low: float = SCORE_MIN, high: float = SCORE_MAX,
+                   materialize: bool = True) -> dict[str, DataFrame]:
+    """All audit sections from one pass over each table.
+
+    Reviews are aggregated once per distinct score (count, per-column NULL
+    counts, time bounds) and the catalog once globally; every section is
+    derived from those two small frames.  With ``materialize`` they are
+    checkpointed (a reliable checkpoint in the session's shared checkpoint
+    folder, which also cuts the lineage), so every later action -- gate,
+    report, date range -- reads the aggregates, never the tables again:
+    one scan per table in total.  Without it, each section re-plans its own
+    pruned aggregate.  Keys: ``counts``, ``distribution``, ``nulls``,
+    ``score_range``, ``date_range``.
+    """
+    s, n = F.col(score), F.col("_n")
+    rv_nulls = [(label, c) for label, t, c in null_metrics if t == "reviews"]
+    cat_nulls = [(label, c) for label, t, c in null_metrics if t == "catalog"]
+    by_score = reviews.groupBy(score).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_rn{i}") for i, (_, c) in enumerate(rv_nulls)],
+        F.min(time_col).alias("_tmin"), F.max(time_col).alias("_tmax"),
+        F.count(time_col).alias("_tn"))
+    cat = catalog.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_cn{i}") for i, (_, c) in enumerate(cat_nulls)])
+    if materialize:
+        checkpoint_root(reviews.sparkSession)
+        by_score = by_score.checkpoint(eager=True)
+        cat = cat.checkpoint(eager=True)
+
+    def total(col: str) -> F.Column:
+        return F.coalesce(F.sum(col), F.lit(0)).cast("long")
+
+    counts = (cat.select(F.lit(catalog_label).alias("tabla"), n.alias("registros"))
+              .unionByName(by_score.agg(total("_n").alias("registros"))
+                           .select(F.lit(reviews_label).alias("tabla"), "registros"))
+              .orderBy(F.desc("registros")))
+
+    scored = by_score.filter(s.isNotNull())
+    distribution = (scored.select(score, n.alias("cantidad"))
+                    .select(score, "cantidad",
+                            ratio_percent(F.col("cantidad"),
+                                          F.sum("cantidad").over(Window.partitionBy()))
+                            .alias("porcentaje"))
+                    .orderBy(score))
+
+    parts = []
+    if rv_nulls:
+        cells = [F.struct(F.lit(label).alias("metrica"), total(f"_rn{i}").alias("valor"))
+                 for i, (label, _) in enumerate(rv_nulls)]
+        parts.append(by_score.agg(F.array(*cells).alias("m")).select(F.inline("m")))
+    if cat_nulls:
+        cells = [F.struct(F.lit(label).alias("metrica"), F.col(f"_cn{i}").alias("valor"))
+                 for i, (label, _) in enumerate(cat_nulls)]
+        parts.append(cat.select(F.array(*cells).alias("m")).select(F.inline("m")))
+    nulls = parts[0]
+    for p in parts[1:]:
+        nulls = nulls.unionByName(p)
+
+    weighted = (s.cast(T.DecimalType(18, 4)) * n.cast(T.DecimalType(20, 0))).cast(T.DecimalType(28, 4))
+    mean = F.try_divide(F.sum(weighted).cast(T.DecimalType(28, 4)), F.sum(n).cast(T.DecimalType(20, 0)))
+    score_rng = scored.agg(
+        F.min(s).cast("double").alias("score_minimo"),
+        F.max(s).cast("double").alias("score_maximo"),
+        round_half_up(mean).alias("score_promedio"),
+        total_when(~s.between(low, high), n).alias("fuera_de_rango"))
+
+    dates = by_score.agg(F.min("_tmin").alias("_lo"), F.max("_tmax").alias("_hi"),
+                         total("_tn").alias("total_resenas")).select(
+        epoch_to_date("_lo").alias("primera_resena"),
+        epoch_to_date("_hi").alias("ultima_resena"), "total_resenas")
+    return {"counts": counts, "distribution": distribution, "nulls": nulls,
+            "score_range": score_rng, "date_range": dates}
+
+
+def total_when(cond: F.Column, value: F.Column) -> F.Column:
+    """Aggregate: sum of ``value`` where ``cond`` holds, 0 when none."""
+    return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+
+
+def fused_audit_report(catalog: DataFrame, reviews: DataFrame, **kwargs) -> DataFrame:
+    """The four-section report from ``audit_sections`` (one scan per table)."""
+    sec = audit_sections(catalog, reviews, **kwargs)
+    return audit_report([
+        (C.SECTION_COUNTS, sec["counts"]),
+        (C.SECTION_DISTRIBUTION, sec["distribution"]),
+        (C.SECTION_NULLS, sec["nulls"]),
+        (C.SECTION_SCORE_RANGE, sec["score_range"]),
+    ])

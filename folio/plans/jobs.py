@@ -80,26 +80,25 @@ def audit_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     Only the volume gate decides ``passed``; out-of-range scores are
     reported but do not fail.  The report stacks the first four sections
     (the date range is returned separately) and is written as one small CSV
-    when ``report_path`` is given.  Only aggregate rows reach the driver.
+    when ``report_path`` is given.  Each table is scanned once for all of it
+    (``audit_sections``); only aggregate rows reach the driver.
     """
-    tables = {C.CATALOG_LABEL: catalog, C.REVIEWS_LABEL: reviews}
-    counts = QA.table_counts(tables)
-    gate_df = QA.volume_gate(counts, QA.thresholds_frame(spark, thresholds))
+    sec = QA.audit_sections(catalog, reviews)
+    gate_df = QA.volume_gate(sec["counts"], QA.thresholds_frame(spark, thresholds))
     gate = [(r["tabla"], r["registros"], r["minimo"], r["ok"]) for r in gate_df.collect()]
-    scores = QA.score_range(reviews)
     report = QA.audit_report([
-        (C.SECTION_COUNTS, counts),
-        (C.SECTION_DISTRIBUTION, QA.score_distribution(reviews)),
-        (C.SECTION_NULLS, QA.null_profile({"catalog": catalog, "reviews": reviews}, C.NULL_METRICS)),
-        (C.SECTION_SCORE_RANGE, scores),
+        (C.SECTION_COUNTS, sec["counts"]),
+        (C.SECTION_DISTRIBUTION, sec["distribution"]),
+        (C.SECTION_NULLS, sec["nulls"]),
+        (C.SECTION_SCORE_RANGE, sec["score_range"]),
     ])
-    out_of_range = scores.select("fuera_de_rango").first()[0]
+    out_of_range = sec["score_range"].select("fuera_de_rango").first()[0]
     if report_path is not None:
         write_csv(report, report_path, single_file=True)
     passed = all(ok for *_, ok in gate)
     if raise_on_fail and not passed:
         raise VolumeGateError(f"volume gate failed: {gate}")
-    return AuditResult(passed, gate, int(out_of_range or 0), report, QA.date_range(reviews))
+    return AuditResult(passed, gate, int(out_of_range or 0), report, sec["date_range"])
 
 
 def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,

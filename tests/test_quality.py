@@ -105,3 +105,38 @@ def test_audit_report_columns(spark, catalog, reviews):
     assert sections == {C.SECTION_COUNTS: 2, C.SECTION_DISTRIBUTION: 4, C.SECTION_NULLS: 6,
                         C.SECTION_SCORE_RANGE: 1}
     assert report.filter(F.col("seccion") == C.SECTION_COUNTS).first().tabla is not None
+
+
+def test_audit_job_one_scan_per_table_and_same_sections(spark, catalog, reviews, tmp_out):
+    from folio.plans.inspect import plan_text
+    from folio.plans.jobs import audit_job
+    res = audit_job(spark, catalog, reviews, thresholds={C.CATALOG_LABEL: 5, C.REVIEWS_LABEL: 7},
+                    report_path=f"{tmp_out}/report")
+    assert res.gate == [(C.CATALOG_LABEL, 5, 5, True), (C.REVIEWS_LABEL, 6, 7, False)] or \
+        sorted(res.gate) == sorted([(C.CATALOG_LABEL, 5, 5, True), (C.REVIEWS_LABEL, 6, 7, False)])
+    assert res.passed is False and res.out_of_range == 0
+    # sections equal the stand-alone audits
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    separate = QA.audit_report([
+        (C.SECTION_COUNTS, QA.table_counts({C.CATALOG_LABEL: catalog, C.REVIEWS_LABEL: reviews})),
+        (C.SECTION_DISTRIBUTION, QA.score_distribution(reviews)),
+        (C.SECTION_NULLS, QA.null_profile({"catalog": catalog, "reviews": reviews}, C.NULL_METRICS)),
+        (C.SECTION_SCORE_RANGE, QA.score_range(reviews)),
+    ])
+    assert res.report.columns == separate.columns
+    assert sorted(res.report.collect(), key=key) == sorted(separate.collect(), key=key)
+    assert sorted(res.date_range.collect()) == sorted(QA.date_range(reviews).collect())
+    # the report reads the checkpointed aggregates, not the inputs
+    assert "LocalTableScan" not in plan_text(res.report, "simple")
+    back = spark.read.option("header", True).csv(f"{tmp_out}/report")
+    assert back.count() == 2 + 4 + 6 + 1
+
+
+def test_audit_sections_on_empty_reviews(spark, catalog):
+    empty = spark.createDataFrame([], "title string, review_score double, review_time long, user_id string")
+    sec = QA.audit_sections(catalog, empty)
+    assert {r.tabla: r.registros for r in sec["counts"].collect()} == {C.CATALOG_LABEL: 5, C.REVIEWS_LABEL: 0}
+    row = sec["score_range"].first()
+    assert row.score_minimo is None and row.score_promedio is None and row.fuera_de_rango == 0
+    assert sec["distribution"].count() == 0
+    assert sec["date_range"].first().total_resenas == 0
