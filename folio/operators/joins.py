@@ -88,12 +88,14 @@ def find_hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list[obje
 def orphan_keys(facts: DataFrame, dim: DataFrame, key: str, count_col: str = "n_reviews") -> DataFrame:
     """Fact keys missing from ``dim`` with their row counts; NULL keys are exempt.
 
-    The fact side is aggregated first (partial aggregation before the
-    shuffle), so the anti join sees one row per distinct key.
+    Both sides are reduced to distinct keys first (partial aggregation
+    before the shuffle), so a key repeated millions of times on either side
+    reaches the anti join as one row.
     """
     per_key = (facts.filter(F.col(key).isNotNull())
                .groupBy(key).agg(F.count(F.lit(1)).alias(count_col)))
-    return per_key.join(dim.select(key), on=key, how="left_anti")
+    dim_keys = dim.select(key).filter(F.col(key).isNotNull()).distinct()
+    return per_key.join(dim_keys, on=key, how="left_anti")
 
 
 def threshold_lookup(counts: DataFrame, thresholds: DataFrame, key: str, value: str,
