@@ -1,0 +1,82 @@
+"""Invariants on generated data (hypothesis), checked against plain Python."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from folio.operators.curate import curate
+from folio.operators.dedupe import dedupe_first
+from folio.operators.quality import score_distribution
+from folio.sinks.writers import write_csv
+from folio.sources.csv import read_csv_table
+from folio.config import REVIEW_SCHEMA
+
+TITLES = st.sampled_from(["A", "B", "C", "D", None])
+SETTINGS = settings(max_examples=8, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+catalog_rows = st.lists(st.tuples(TITLES, st.sampled_from(["x", "y", None])), max_size=12)
+review_rows = st.lists(st.tuples(TITLES, st.sampled_from([1.0, 2.0, 3.5, 5.0, None])), max_size=30)
+
+
+def _catalog(spark, rows):
+    data = [(i, t, c) for i, (t, c) in enumerate(rows)]
+    return spark.createDataFrame(data, "seq long, title string, categories string")
+
+
+def _reviews(spark, rows):
+    data = [(str(i), t, s, i * 86400) for i, (t, s) in enumerate(rows)]
+    return spark.createDataFrame(data, "id string, title string, review_score double, review_time long")
+
+
+@SETTINGS
+@given(rows=catalog_rows)
+def test_dedupe_one_row_per_key_first_by_order(spark, rows):
+    out = dedupe_first(_catalog(spark, rows), ["title"], ["seq"]).collect()
+    titles = [r.title for r in out]
+    assert len(titles) == len(set(titles)) == len({t for t, _ in rows})
+    first = {}
+    for i, (t, _) in enumerate(rows):
+        first.setdefault(t, i)
+    assert sorted(r.seq for r in out) == sorted(first.values())
+
+
+@SETTINGS
+@given(cat=catalog_rows, rev=review_rows)
+def test_curated_counts(spark, cat, rev):
+    catalog, reviews = _catalog(spark, cat), _reviews(spark, rev)
+    titles = {t for t, _ in cat}
+    match = curate(catalog, reviews, catalog_order=["seq"]).count()
+    drop = curate(catalog, reviews, catalog_order=["seq"], null_keys="drop").count()
+    # rows = reviews whose title has a catalog row (NULL matches NULL)
+    assert match == sum(1 for t, _ in rev if t in titles)
+    # match minus drop = NULL-title reviews, when the catalog has a NULL title
+    assert match - drop == (sum(1 for t, _ in rev if t is None) if None in titles else 0)
+
+
+@SETTINGS
+@given(rev=review_rows)
+def test_distribution_shares(spark, rev):
+    out = score_distribution(_reviews(spark, rev)).collect()
+    counts = Counter(s for _, s in rev if s is not None)
+    assert {r.review_score: r.cantidad for r in out} == dict(counts)
+    if out:
+        # each share is within half a unit in the last place, so the sum is
+        # within 0.005 per group of 100
+        assert abs(sum(r.porcentaje for r in out) - 100) <= 0.005 * len(out) + 1e-9
+
+
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet='ab ,"\n\\', min_size=1, max_size=8), min_size=1, max_size=6))
+def test_csv_write_then_read_is_identity(spark, tmp_path_factory, texts):
+    rows = [(str(i), t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "Id string, `review/text` string")
+    path = str(tmp_path_factory.mktemp("csv"))
+    write_csv(df, path + "/out")
+    back = read_csv_table(spark, path + "/out", REVIEW_SCHEMA, na_tokens=()).frame
+    got = {r.id: r.review_text for r in back.collect()}
+    assert got == {i: t for i, t in rows}
