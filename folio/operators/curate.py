@@ -42,7 +42,7 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
            fills: Mapping[str, object] = DEFAULT_FILLS,
            columns: Sequence[str] = CURATED_COLUMNS,
            hot_keys: Sequence[object] | str | None = None,
-           hot_share: float = 0.01) -> DataFrame:
+           hot_share: float = 0.01, split_nulls: bool = False) -> DataFrame:
     """Curated reviews: one row per review whose ``key`` has a catalog row.
 
     The catalog is deduplicated first (first row per key by
@@ -52,7 +52,9 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
     ``hot_keys`` salts known heavy keys in the join; ``"auto"`` finds the
     keys holding at least ``hot_share`` of the reviews first (one grouped
     count, bounded result).  Without it, AQE's skew-join handling splits hot
-    partitions at run time.
+    partitions at run time.  ``split_nulls`` joins NULL titles separately
+    (see ``lookup_join``), so the title-partitioned dedupe output is joined
+    without a second shuffle of the catalog.
     """
     if hot_keys == "auto":
         hot_keys = find_hot_keys(reviews, key, min_share=hot_share)
@@ -60,5 +62,5 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
     wanted = [c for c in columns if c in books.columns and c not in reviews.columns]
     books = books.select(key, *wanted)
     joined = lookup_join(with_review_date(reviews), books, key, null_keys=null_keys,
-                         hot_keys=hot_keys)
+                         hot_keys=hot_keys, split_nulls=split_nulls)
     return project_existing(fill_defaults(joined, fills), columns)

@@ -36,7 +36,7 @@ def _is_hot(col: Column, hot_keys: Sequence[object]) -> Column:
 
 def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str = "match",
                 how: str = "inner", hot_keys: Sequence[object] | None = None,
-                salt_buckets: int = 64) -> DataFrame:
+                salt_buckets: int = 64, split_nulls: bool = False) -> DataFrame:
     """Join ``facts`` to ``dim`` (at most one row per ``key``) on ``key``.
 
     ``null_keys="match"`` pairs a NULL key with the dim's NULL-key row (the
@@ -49,10 +49,25 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str =
     content hash and their dim rows replicated that many times; the
     replication is bounded by ``len(hot_keys) * salt_buckets`` rows because
     the dim holds one row per key.
+
+    ``split_nulls`` (with ``null_keys="match"``) joins non-NULL keys by plain
+    equality -- which can reuse a ``key`` partitioning or bucketing of either
+    side -- and the NULL-key facts to the dim's NULL-key row by broadcast.
+    That row is unique by contract, so the broadcast has a proven size
+    bound, and the NULL group (often the hottest key) never enters a
+    shuffle.  It reads ``facts`` twice (each read filtered by the NULL test).
     """
     extra = [c for c in dim.columns if c != key and c not in facts.columns]
     d = dim.select(F.col(key).alias(_DIM_KEY), *extra)
     cond = _key_match(F.col(key), F.col(_DIM_KEY), null_keys)
+    if split_nulls and null_keys == "match":
+        if hot_keys:
+            raise ValueError("split_nulls and hot_keys are alternatives; give one")
+        keyed = facts.filter(F.col(key).isNotNull()).join(
+            d.filter(F.col(_DIM_KEY).isNotNull()), F.col(key) == F.col(_DIM_KEY), how)
+        unkeyed = facts.filter(F.col(key).isNull()).join(
+            F.broadcast(d.filter(F.col(_DIM_KEY).isNull())), cond, how)
+        return keyed.unionByName(unkeyed).drop(_DIM_KEY)
     if hot_keys:
         hot_f = _is_hot(F.col(key), hot_keys)
         f = facts.withColumn(

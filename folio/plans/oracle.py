@@ -51,6 +51,7 @@ ORACLE_SQL: dict[str, str] = {
     "curated_reviews": _curated("r.title IS NOT DISTINCT FROM b.title"),
     "curated_drop_null_keys": _curated("r.title = b.title"),
     "curated_salted": _curated("r.title IS NOT DISTINCT FROM b.title"),
+    "curated_split_nulls": _curated("r.title IS NOT DISTINCT FROM b.title"),
     "dedupe_catalog": f"{V}\nSELECT * FROM books_v QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq) = 1",
     "review_date": f"{V}\nSELECT *, {_TS.format(c='review_time')} AS review_date FROM ratings_v",
     "fill_defaults": f"""{V}, {_DEDUPED}

@@ -52,6 +52,12 @@ def curated_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(books, ratings, catalog_order=CATALOG_ORDER, hot_keys=[None])
 
 
+def curated_split_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated reviews joining NULL titles by a bounded broadcast, the rest by equality."""
+    books, ratings = _views(spark, sf_dir)
+    return curate(books, ratings, catalog_order=CATALOG_ORDER, split_nulls=True)
+
+
 def dedupe_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     books, _ = _views(spark, sf_dir)
     return dedupe_first(books, ["title"], CATALOG_ORDER)
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curated_reviews": curated_reviews,
     "curated_drop_null_keys": curated_drop_null_keys,
     "curated_salted": curated_salted,
+    "curated_split_nulls": curated_split_nulls,
     "dedupe_catalog": dedupe_catalog,
     "review_date": review_date,
     "fill_defaults": fill_defaults_q,

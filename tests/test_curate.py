@@ -131,3 +131,13 @@ def test_curate_auto_hot_keys(catalog, reviews):
     auto = curate(catalog, reviews, catalog_order=["seq"], hot_keys="auto", hot_share=0.3)
     key = lambda r: tuple((v is None, str(v)) for v in r)
     assert sorted(auto.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_split_nulls_equals_null_safe_join(catalog, reviews):
+    plain = curate(catalog, reviews, catalog_order=["seq"])
+    split = curate(catalog, reviews, catalog_order=["seq"], split_nulls=True)
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert split.columns == plain.columns
+    assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
+    with pytest.raises(ValueError):
+        lookup_join(reviews, catalog, "title", split_nulls=True, hot_keys=[None])

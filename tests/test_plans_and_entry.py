@@ -118,3 +118,19 @@ def test_hot_null_key_is_split_by_aqe_skew_join(spark):
         for k in conf:
             spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_split_nulls_reuses_title_partitioning(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Q.curated_split_nulls(spark, SF)
+        tree = plan_text(df).split("\n\n", 1)[0]
+        # keyed branch: sort-merge join fed by the dedupe's title partitioning;
+        # NULL branch: broadcast of the single NULL-title catalog row
+        assert "SortMergeJoin" in tree and "BroadcastHashJoin" in tree
+        assert tree.count("Exchange") == 4   # reviews, catalog, NULL-title catalog, broadcast
+        assert df.count() == 5855
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
