@@ -134,3 +134,25 @@ def test_split_nulls_reuses_title_partitioning(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from folio.operators.curate import curate
+    from folio.sinks.writers import write_table
+    from folio.sources import adapters as A
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS folio_bk LOCATION '{tmp_path}'")
+        write_table(A.catalog(spark, SF), table="folio_bk.books", bucket_by=(8, ["title"]))
+        write_table(A.reviews(spark, SF), table="folio_bk.ratings", bucket_by=(8, ["title"]))
+        b, r = spark.table("folio_bk.books"), spark.table("folio_bk.ratings")
+        df = curate(b, r, catalog_order=["seq"], split_nulls=True)
+        tree = plan_text(df).split("\n\n", 1)[0]
+        keyed = tree.split("BroadcastHashJoin", 1)[0]
+        assert "SortMergeJoin" in keyed and "Exchange" not in keyed
+        assert df.count() == 5855
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE IF EXISTS folio_bk CASCADE")
