@@ -91,6 +91,10 @@ SECTION_DISTRIBUTION = "2_review_distribution"
 SECTION_NULLS = "3_nulos"
 SECTION_SCORE_RANGE = "4_score_range"
 
+# Audit report file name: prefix + run timestamp (yyyyMMdd_HHmmss).
+REPORT_PREFIX = "verificacion_carga_"
+REPORT_TS_FORMAT = "%Y%m%d_%H%M%S"
+
 # Development row cap of the source extract (off by default here).
 DEV_REVIEW_CAP = 100_000
 

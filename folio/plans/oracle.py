@@ -107,11 +107,14 @@ def _na_tokens_sql() -> str:
 FROM (SELECT p_partkey, CASE p_partkey % {width} {cases} ELSE p_name END AS raw_value FROM part)"""
 
 
-def _review_ingest_sql() -> str:
+def _review_ingest_sql(full_table: bool = False) -> str:
+    """The exported reviews read back; ``full_table`` adds the absent raw columns as NULL."""
     from folio.sources.adapters import TRICKY_SUFFIX
+    absent = ("CAST(NULL AS VARCHAR) AS profile_name, CAST(NULL AS VARCHAR) AS helpfulness, "
+              if full_table else "")
     return f"""{V}
-SELECT CAST(id AS VARCHAR) AS id, title, price, user_id, review_score, review_time, review_summary,
-       ' ' || review_text || {_sql_str(TRICKY_SUFFIX)} AS review_text
+SELECT CAST(id AS VARCHAR) AS id, title, price, user_id, {absent}review_score, review_time,
+       review_summary, ' ' || review_text || {_sql_str(TRICKY_SUFFIX)} AS review_text
 FROM ratings_v"""
 
 
@@ -126,8 +129,8 @@ SELECT id, title, price, user_id, review_score, review_time, review_summary, rev
        CASE WHEN l_linenumber = 5 THEN NULL ELSE CAST(epoch(l_shipdate) AS BIGINT) END AS review_time
 FROM lineitem""",
     "csv_roundtrip": _review_ingest_sql(),
-    "ingest_reviews": _review_ingest_sql(),
-    "stream_ingest": _review_ingest_sql(),
+    "ingest_reviews": _review_ingest_sql(full_table=True),
+    "stream_ingest": _review_ingest_sql(full_table=True),
     "table_overwrite": f"{V}\nSELECT * FROM books_v",
     "table_append": f"{V}\nSELECT * FROM ratings_v UNION ALL SELECT * FROM ratings_v",
     "etl_csv": _curated("r.title IS NOT DISTINCT FROM b.title"),

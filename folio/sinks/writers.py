@@ -29,6 +29,12 @@ CSV_WRITE_OPTIONS: dict[str, str] = {
 }
 
 
+def ensure_database(spark, name: str, location: str | None = None) -> None:
+    """Create the catalog database (schema) if it does not exist."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
+
+
 class EmptyOutputError(ValueError):
     """Refused to replace a table with a frame that has no columns."""
 

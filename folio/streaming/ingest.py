@@ -2,7 +2,8 @@
 
 The bounded chunk-by-chunk loader, made restartable: a file stream over a
 landing folder applies the same rename / project / NA-token / cast steps
-and appends to a Parquet table through the file sink.  The checkpoint (in
+and appends to a Parquet table (always the full target schema) through
+the file sink.  The checkpoint (in
 the shared checkpoint folder) records which files were committed, so a
 lost executor or a restarted driver neither skips nor duplicates a file,
 and a rerun picks up only new files.
@@ -16,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from folio.config import HEADER_MAP, NA_TOKENS
-from folio.operators.shaping import conform
+from folio.operators.shaping import align_to_schema, conform
 from folio.sources.csv import CSV_READ_OPTIONS
 
 
@@ -36,7 +37,8 @@ def stream_csv_to_table(spark: SparkSession, landing: str, table_path: str, chec
     opts["enforceSchema"] = "false"
     raw = (spark.readStream.options(**opts).option("maxFilesPerTrigger", files_per_trigger)
            .schema(text_schema).csv(landing))
-    typed = conform(raw, schema, header_map=header_map, na_tokens=na_tokens).frame
+    typed = align_to_schema(conform(raw, schema, header_map=header_map, na_tokens=na_tokens).frame,
+                            schema)
     query = (typed.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)

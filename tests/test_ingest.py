@@ -120,3 +120,39 @@ def test_ingest_job_skips_missing_file(spark, tmp_out):
     res = ingest_job(spark, {"books_data": (f"{tmp_out}/none.csv", C.CATALOG_SCHEMA)},
                      f"{tmp_out}/out2", on_missing="skip")
     assert res.counts == {"books_data": 0}
+
+
+RAW_BOOKS = (
+    'Title,description,authors,image,previewLink,publisher,publishedDate,infoLink,categories,ratingsCount\n'
+    'T1,d,"A, B",i,p,P,2001,l,Fiction,3\n'
+    'T2,d,NULL,i,p,P,2001,l,,\n'
+)
+
+
+def test_ingest_and_audit_fail_fast(spark, tmp_out):
+    from folio.plans.jobs import VolumeGateError, ingest_and_audit
+    books = _write(f"{tmp_out}/raw/books_data.csv", RAW_BOOKS)
+    revs = _write(f"{tmp_out}/raw/Books_rating.csv", RAW_REVIEWS)
+    with pytest.raises(VolumeGateError):
+        ingest_and_audit(spark, books, revs, f"{tmp_out}/db")
+    loaded, audited = ingest_and_audit(spark, books, revs, f"{tmp_out}/db",
+                                       report_dir=f"{tmp_out}/reports", raise_on_fail=False,
+                                       thresholds={C.CATALOG_LABEL: 2, C.REVIEWS_LABEL: 4})
+    assert loaded.counts == {"books_data": 2, "books_rating": 4}
+    assert audited.passed is True
+    (folder,) = os.listdir(f"{tmp_out}/reports")
+    assert folder.startswith(C.REPORT_PREFIX) and len(folder) == len(C.REPORT_PREFIX) + 15
+    back = spark.read.parquet(f"{tmp_out}/db/books_data").collect()
+    assert {r.title: (r.authors, r.categories, r.ratings_count) for r in back} == {
+        "T1": ("A, B", "Fiction", 3.0), "T2": (None, None, None)}
+
+
+def test_ensure_database(spark, tmp_out):
+    from folio.sinks.writers import ensure_database, write_table
+    ensure_database(spark, "folio_db_test", f"{tmp_out}/wh")
+    ensure_database(spark, "folio_db_test", f"{tmp_out}/wh")   # idempotent
+    try:
+        assert write_table(spark.range(5), table="folio_db_test.t") == 5
+        assert spark.table("folio_db_test.t").count() == 5
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS folio_db_test CASCADE")
