@@ -156,3 +156,14 @@ def test_ensure_database(spark, tmp_out):
         assert spark.table("folio_db_test.t").count() == 5
     finally:
         spark.sql("DROP DATABASE IF EXISTS folio_db_test CASCADE")
+
+
+def test_ingest_job_out_partitions(spark, tmp_out):
+    path = _write(f"{tmp_out}/in3/reviews.csv", RAW_REVIEWS)
+    res = ingest_job(spark, {"books_rating": (path, C.REVIEW_SCHEMA)}, f"{tmp_out}/out3",
+                     out_partitions=3)
+    assert res.counts == {"books_rating": 4}
+    files = [f for f in os.listdir(f"{tmp_out}/out3/books_rating") if f.endswith(".parquet")]
+    assert 1 <= len(files) <= 3
+    back = spark.read.parquet(f"{tmp_out}/out3/books_rating")
+    assert back.columns == list(C.REVIEW_COLUMNS) and back.count() == 4
