@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -12,18 +13,32 @@ from folio.config import NA_TOKENS
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
+# Unix seconds of the first and last second a Spark timestamp can hold
+# (0001-01-01 00:00:00 and 9999-12-31 23:59:59).
+_EPOCH0 = _dt.datetime(1970, 1, 1)
+MIN_EPOCH_SECONDS = int((_dt.datetime(1, 1, 1) - _EPOCH0).total_seconds())
+MAX_EPOCH_SECONDS = int((_dt.datetime(9999, 12, 31, 23, 59, 59) - _EPOCH0).total_seconds())
+
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def epoch_in_range(col: str | Column) -> Column:
+    """True where Unix seconds fall inside the representable timestamp range."""
+    return _c(col).cast("long").between(MIN_EPOCH_SECONDS, MAX_EPOCH_SECONDS)
+
+
 def epoch_to_timestamp(col: str | Column) -> Column:
     """Unix seconds -> naive (zone-free) timestamp; NULL stays NULL.
 
     Adds seconds to the NTZ epoch, so the result does not depend on the
-    session time zone; negative values land before 1970.
+    session time zone; negative values land before 1970.  Values outside
+    years 1-9999 become NULL instead of failing the job.
     """
-    return F.timestamp_add("SECOND", _c(col).cast("long"), F.expr(_EPOCH_NTZ))
+    seconds = _c(col).cast("long")
+    return F.when(epoch_in_range(seconds),
+                  F.timestamp_add("SECOND", seconds, F.expr(_EPOCH_NTZ)))
 
 
 def epoch_to_date(col: str | Column) -> Column:

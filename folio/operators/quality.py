@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from folio import config as C
 from folio.config import SCORE_MAX, SCORE_MIN, VOLUME_THRESHOLDS
-from folio.functions.exprs import epoch_to_date, exact_mean, ratio_percent, round_half_up
+from folio.functions.exprs import (epoch_in_range, epoch_to_date, exact_mean, ratio_percent,
+                                  round_half_up)
 from folio.operators.joins import threshold_lookup
 from folio.session import checkpoint_root
 
@@ -75,10 +76,16 @@ def score_range(reviews: DataFrame, score: str = "review_score",
 
 
 def date_range(reviews: DataFrame, time_col: str = "review_time") -> DataFrame:
-    """First and last review date (UTC) and the number of timed reviews."""
+    """First and last review date (UTC) and the number of timed reviews.
+
+    The bounds skip times outside the representable range (years 1-9999);
+    the count includes every non-NULL time.
+    """
     t = F.col(time_col)
+    valid = F.when(epoch_in_range(t), t)
     return (reviews.filter(t.isNotNull())
-            .agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"), F.count(F.lit(1)).alias("total_resenas"))
+            .agg(F.min(valid).alias("_lo"), F.max(valid).alias("_hi"),
+                 F.count(F.lit(1)).alias("total_resenas"))
             .select(epoch_to_date("_lo").alias("primera_resena"),
                     epoch_to_date("_hi").alias("ultima_resena"),
                     "total_resenas"))
@@ -135,7 +142,8 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
     by_score = reviews.groupBy(score).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col(c).isNull()).alias(f"_rn{i}") for i, (_, c) in enumerate(rv_nulls)],
-        F.min(time_col).alias("_tmin"), F.max(time_col).alias("_tmax"),
+        F.min(F.when(epoch_in_range(time_col), F.col(time_col))).alias("_tmin"),
+        F.max(F.when(epoch_in_range(time_col), F.col(time_col))).alias("_tmax"),
         F.count(time_col).alias("_tn"))
     cat = catalog.agg(
         F.count(F.lit(1)).alias("_n"),

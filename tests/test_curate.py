@@ -141,3 +141,16 @@ def test_split_nulls_equals_null_safe_join(catalog, reviews):
     assert sorted(split.collect(), key=key) == sorted(plain.collect(), key=key)
     with pytest.raises(ValueError):
         lookup_join(reviews, catalog, "title", split_nulls=True, hot_keys=[None])
+
+
+def test_out_of_range_epoch_is_null_not_an_error(spark):
+    from folio.functions.exprs import MAX_EPOCH_SECONDS, MIN_EPOCH_SECONDS
+    from folio.operators.quality import date_range
+    vals = [MIN_EPOCH_SECONDS, MAX_EPOCH_SECONDS, MAX_EPOCH_SECONDS + 1, 10**15, -2**63, 0]
+    df = spark.createDataFrame([(v,) for v in vals], "review_time long")
+    got = [r.review_date for r in with_review_date(df).collect()]
+    assert got[0] == dt.datetime(1, 1, 1) and got[1] == dt.datetime(9999, 12, 31, 23, 59, 59)
+    assert got[2:5] == [None, None, None] and got[5] == dt.datetime(1970, 1, 1)
+    row = date_range(df).first()
+    assert row.primera_resena == dt.date(1, 1, 1) and row.ultima_resena == dt.date(9999, 12, 31)
+    assert row.total_resenas == 6
