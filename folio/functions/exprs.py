@@ -71,12 +71,28 @@ def exact_mean(col: str | Column, scale: int = 2, input_scale: int = 4) -> Colum
     """Aggregate: mean rounded half-up to ``scale`` decimals, NULL when empty.
 
     The sum runs in ``decimal(18, input_scale)`` and the quotient keeps 14
-    decimals, so rounding to 2 places is not a double rounding.
+    decimals, so rounding to 2 places is not a double rounding.  If some
+    value does not fit that decimal (huge, infinite or NaN), the double
+    average is used instead of failing the job.
     """
     c = _c(col)
-    total = F.sum(c.cast(T.DecimalType(18, input_scale)))
-    n = F.count(c)
-    return round_half_up(F.try_divide(total, n.cast("decimal(20,0)")), scale)
+    d = c.try_cast(T.DecimalType(18, input_scale))
+    exact = round_half_up(F.try_divide(F.sum(d), F.count(d).cast("decimal(20,0)")), scale)
+    return F.when(F.count(d) == F.count(c), exact).otherwise(F.round(F.avg(c), scale))
+
+
+def weighted_exact_mean(col: str | Column, weight: str | Column, scale: int = 2,
+                        input_scale: int = 4) -> Column:
+    """``exact_mean`` over pre-aggregated rows: ``col`` repeated ``weight`` times."""
+    c, w = _c(col), _c(weight)
+    d = c.try_cast(T.DecimalType(18, input_scale))
+    fits = F.sum(F.when(d.isNotNull(), w))
+    total_w = F.sum(F.when(c.isNotNull(), w))
+    weighted = (d * w.cast(T.DecimalType(20, 0))).try_cast(T.DecimalType(28, input_scale))
+    exact = round_half_up(F.try_divide(F.sum(weighted).try_cast(T.DecimalType(28, input_scale)),
+                                       fits.cast(T.DecimalType(20, 0))), scale)
+    fallback = F.round(F.try_divide(F.sum(c * w), total_w), scale)
+    return F.when(F.coalesce(fits, F.lit(0)) == F.coalesce(total_w, F.lit(0)), exact).otherwise(fallback)
 
 
 def safe_cast(col: str | Column, dtype: T.DataType) -> Column:

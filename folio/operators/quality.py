@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from folio import config as C
 from folio.config import SCORE_MAX, SCORE_MIN, VOLUME_THRESHOLDS
 from folio.functions.exprs import (epoch_in_range, epoch_to_date, exact_mean, ratio_percent,
-                                  round_half_up)
+                                  weighted_exact_mean)
 from folio.operators.joins import threshold_lookup
 from folio.session import checkpoint_root
 
@@ -182,12 +182,10 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
     for p in parts[1:]:
         nulls = nulls.unionByName(p)
 
-    weighted = (s.cast(T.DecimalType(18, 4)) * n.cast(T.DecimalType(20, 0))).cast(T.DecimalType(28, 4))
-    mean = F.try_divide(F.sum(weighted).cast(T.DecimalType(28, 4)), F.sum(n).cast(T.DecimalType(20, 0)))
     score_rng = scored.agg(
         F.min(s).cast("double").alias("score_minimo"),
         F.max(s).cast("double").alias("score_maximo"),
-        round_half_up(mean).alias("score_promedio"),
+        weighted_exact_mean(s, n).alias("score_promedio"),
         total_when(~s.between(low, high), n).alias("fuera_de_rango"))
 
     dates = by_score.agg(F.min("_tmin").alias("_lo"), F.max("_tmax").alias("_hi"),

@@ -140,3 +140,26 @@ def test_audit_sections_on_empty_reviews(spark, catalog):
     assert row.score_minimo is None and row.score_promedio is None and row.fuera_de_rango == 0
     assert sec["distribution"].count() == 0
     assert sec["date_range"].first().total_resenas == 0
+
+
+def test_mean_survives_values_outside_decimal_range(spark):
+    huge = _scores(spark, [1.0, 1e300, None])
+    row = QA.score_range(huge).first()
+    assert row.score_promedio == 5e299 and row.fuera_de_rango == 1
+    inf = _scores(spark, [1.0, float("inf")])
+    assert QA.score_range(inf).first().score_promedio == float("inf")
+    sec = QA.audit_sections(spark.createDataFrame([], "title string, authors string"),
+                            huge.selectExpr("review_score", "CAST(NULL AS STRING) AS user_id",
+                                            "'t' AS title", "CAST(NULL AS BIGINT) AS review_time"),
+                            materialize=False)
+    assert sec["score_range"].first().score_promedio == 5e299
+
+
+def test_weighted_mean_matches_plain_mean(spark):
+    vals = [1.0, 1.25, 1.0, 1.25, 5.0, 3.5]
+    plain = QA.score_range(_scores(spark, vals)).first().score_promedio
+    sec = QA.audit_sections(spark.createDataFrame([], "title string, authors string"),
+                            _scores(spark, vals).selectExpr(
+                                "review_score", "CAST(NULL AS STRING) AS user_id", "'t' AS title",
+                                "CAST(NULL AS BIGINT) AS review_time"), materialize=False)
+    assert sec["score_range"].first().score_promedio == plain == 2.17
