@@ -154,3 +154,13 @@ def test_out_of_range_epoch_is_null_not_an_error(spark):
     row = date_range(df).first()
     assert row.primera_resena == dt.date(1, 1, 1) and row.ultima_resena == dt.date(9999, 12, 31)
     assert row.total_resenas == 6
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_empty_title_is_not_null_title(spark, split):
+    cat = spark.createDataFrame([(0, "", "empty"), (1, None, "null")],
+                                "seq long, title string, categories string")
+    rev = spark.createDataFrame([("a", ""), ("b", None)], "id string, title string")
+    got = {r.id: r.categories for r in
+           lookup_join(rev, dedupe_first(cat, ["title"], ["seq"]), "title", split_nulls=split).collect()}
+    assert got == {"a": "empty", "b": "null"}
