@@ -9,9 +9,10 @@ Known hot keys can additionally be salted with ``hot_keys``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 _DIM_KEY = "__dim_key"
@@ -83,21 +84,23 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str =
 
 
 def find_hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list[object]:
-    """Keys holding at least ``min_share`` of the rows (exact counts).
+    """Keys holding at least ``min_share`` of the rows (exact, one pass).
 
-    Grouped counts use partial aggregation, so a hot key costs one row per
-    map task.  At most ``1 / min_share`` keys can qualify, which bounds what
-    reaches the driver.
+    At most ``1 / min_share`` keys can qualify, so they are all among the
+    ``ceil(1 / min_share)`` most frequent keys: one job computes grouped
+    counts (partial aggregation, so a hot key costs one row per map task),
+    keeps that bounded top list, and counts all rows through an
+    ``Observation``; the share test runs on the few returned rows.
     """
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    if total == 0:
-        return []
-    threshold = min_share * total
-    rows = counts.filter(F.col("n") >= F.lit(threshold)).limit(int(1 / min_share) + 1).collect()
-    return [r[key] for r in rows]
+    obs = Observation("rows_for_hot_keys")
+    k = math.ceil(1 / min_share)
+    top = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+           .groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n")).limit(k).collect())
+    total = obs.get["rows"]
+    return [r[key] for r in top if total and r["n"] >= min_share * total]
 
 
 def orphan_keys(facts: DataFrame, dim: DataFrame, key: str, count_col: str = "n_reviews") -> DataFrame:

@@ -164,3 +164,11 @@ def test_empty_title_is_not_null_title(spark, split):
     got = {r.id: r.categories for r in
            lookup_join(rev, dedupe_first(cat, ["title"], ["seq"]), "title", split_nulls=split).collect()}
     assert got == {"a": "empty", "b": "null"}
+
+
+def test_find_hot_keys_matches_brute_force(spark):
+    rows = [("h",)] * 40 + [(None,)] * 25 + [(f"k{i}",) for i in range(35)]
+    df = spark.createDataFrame(rows, "title string")
+    assert set(find_hot_keys(df, "title", min_share=0.25)) == {"h", None}
+    assert set(find_hot_keys(df, "title", min_share=0.3)) == {"h"}
+    assert len(find_hot_keys(df, "title", min_share=0.01)) == 37
