@@ -99,8 +99,10 @@ def find_hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list[obje
     top = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
            .groupBy(key).agg(F.count(F.lit(1)).alias("n"))
            .orderBy(F.desc("n")).limit(k).collect())
+    if not top:   # no rows (an empty plan may be optimised away unobserved)
+        return []
     total = obs.get["rows"]
-    return [r[key] for r in top if total and r["n"] >= min_share * total]
+    return [r[key] for r in top if r["n"] >= min_share * total]
 
 
 def orphan_keys(facts: DataFrame, dim: DataFrame, key: str, count_col: str = "n_reviews") -> DataFrame:
