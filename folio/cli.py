@@ -1,4 +1,4 @@
-"""Command line: ``python -m folio <command>`` (or ``spark-submit -m``-style).
+"""Command line: ``python -m folio <command>``, or ``spark-submit folio/__main__.py <command>``.
 
     load   --books CSV --ratings CSV --tables DIR [--report-dir DIR] [--append]
            [--skip-missing] [--no-fail]         ingest both CSVs, then audit (fail-fast)
