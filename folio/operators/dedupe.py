@@ -14,8 +14,9 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Co
     """One row per ``keys`` value: the first by ``order_by``; NULL is one key.
 
     ``order_by`` should be a total order, otherwise ties pick an arbitrary
-    row.  Without it, the remaining columns in schema order are the order,
-    so the pick depends on content only.
+    row.  Without it the pick depends on row content only: a 64-bit hash of
+    the other columns orders the rows (cheap to compare even when rows carry
+    long text), and the columns themselves break hash ties.
 
     Plan: ``row_number() ... = 1`` lets Spark insert a partial
     ``WindowGroupLimit`` before the shuffle, so every map task ships at most
@@ -23,7 +24,8 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Co
     """
     keys = list(keys)
     if order_by is None:
-        order_by = [c for c in df.columns if c not in keys]
+        rest = [c for c in df.columns if c not in keys]
+        order_by = [F.xxhash64(*[F.col(c) for c in rest]), *rest] if rest else []
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
