@@ -25,7 +25,9 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Co
     keys = list(keys)
     if order_by is None:
         rest = [c for c in df.columns if c not in keys]
-        order_by = [F.xxhash64(*[F.col(c) for c in rest]), *rest] if rest else []
+        if not rest:   # rows sharing a key are identical
+            return df.dropDuplicates(keys)
+        order_by = [F.xxhash64(*[F.col(c) for c in rest]), *rest]
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

@@ -175,3 +175,9 @@ def test_find_hot_keys_matches_brute_force(spark):
     assert set(find_hot_keys(df, "title", min_share=0.25)) == {"h", None}
     assert set(find_hot_keys(df, "title", min_share=0.3)) == {"h"}
     assert len(find_hot_keys(df, "title", min_share=0.01)) == 37
+
+
+def test_dedupe_key_only_frame(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "title string")
+    assert sorted(dedupe_first(df, ["title"]).collect(), key=lambda r: (r.title is None, r.title)) \
+        == [("a",), ("b",), (None,)]
