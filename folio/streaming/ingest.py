@@ -22,16 +22,20 @@ from folio.sources.csv import CSV_READ_OPTIONS
 
 
 def stream_csv_to_table(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                        schema: T.StructType, *, header: Iterable[str],
+                        schema: T.StructType, *, header: Iterable[str] | None = None,
                         header_map: Mapping[str, str] = HEADER_MAP,
                         na_tokens: Iterable[str] = NA_TOKENS,
                         files_per_trigger: int = 1) -> int:
     """Ingest every file now in ``landing`` (``availableNow``) and stop.
 
-    ``header`` names the landing files' columns; Spark checks each file's
-    header line against it (``enforceSchema=false``) rather than trusting
-    position.  Returns the number of micro-batches run.
+    ``header`` names the landing files' columns (by default, the header line
+    of the files already there); Spark checks each file's header line
+    against it (``enforceSchema=false``) rather than trusting position.
+    Returns the number of micro-batches run.
     """
+    if header is None:
+        # reads only a header line: no schema inference over the data
+        header = spark.read.options(**CSV_READ_OPTIONS).csv(landing).columns
     text_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
     opts = dict(CSV_READ_OPTIONS)
     opts["enforceSchema"] = "false"
