@@ -31,26 +31,32 @@ def read_table(spark: SparkSession, *, path: str | None = None, table: str | Non
         raise
 
 
-# Up to this n, a single ``TakeOrderedAndProject`` is used as is.
-DIRECT_TOP_N = 10_000
-
-
-def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column], *, fan_in: int = 64) -> DataFrame:
-    """The first ``n`` rows by a total order.
-
-    Small ``n``: ``TakeOrderedAndProject`` (each task keeps a bounded heap of
-    ``n`` rows, one task merges them).  That merge sees ``n`` rows per input
-    partition, too many for a large ``n`` over thousands of partitions, so a
-    larger ``n`` is reduced as a tree: input partitions are spread over
-    ``fan_in`` groups, a partial ``WindowGroupLimit`` keeps each task's top
-    ``n`` per group before the shuffle, each group keeps its top ``n``, and
-    the final merge sees at most ``fan_in * n`` rows.  The result is exact
-    either way.  A plain unordered ``limit`` returns an arbitrary subset and
-    is not offered.
+# Rows the single final merge of a direct top-n may receive (n per input
+# partition); above this the merge is reduced as a tree.
+FUNNEL_BUDGET = 5_000_000
+
+
+def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column], *, fan_in: int = 64,
+          strategy: str = "auto") -> DataFrame:
+    """The first ``n`` rows by a total order (exact either way).
+
+    ``"direct"``: ``TakeOrderedAndProject`` -- each task keeps a bounded heap
+    of ``n`` rows and one task merges them, i.e. ``n`` rows per input
+    partition.  ``"tree"``: input partitions are spread over ``fan_in``
+    groups, a partial ``WindowGroupLimit`` keeps each task's top ``n``
+    before the shuffle, each group keeps its top ``n``, and the final merge
+    sees at most ``fan_in * n`` rows; it costs a sort of every partition.
+    ``"auto"`` takes the direct form while ``n`` times the number of input
+    files (a lower bound on scan partitions) fits ``FUNNEL_BUDGET``.  A plain
+    unordered ``limit`` returns an arbitrary subset and is not offered.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if n <= DIRECT_TOP_N or not _allow_partial_rank_limit(df.sparkSession, n):
+    if strategy == "auto":
+        strategy = "direct" if n * max(1, len(df.inputFiles())) <= FUNNEL_BUDGET else "tree"
+    if strategy == "direct" or not _allow_partial_rank_limit(df.sparkSession, n):
         return df.orderBy(*order).limit(n)
+    if strategy != "tree":
+        raise ValueError(f"strategy must be 'auto', 'direct' or 'tree', got {strategy!r}")
     group, rank = "__topn_group", "__topn_rank"
     w = Window.partitionBy(group).orderBy(*order)
     staged = (df.withColumn(group, F.pmod(F.spark_partition_id(), F.lit(fan_in)))
