@@ -61,8 +61,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only when the session names none (local tests) do we create our own.
+    A Spark Connect client has no SparkContext; it must name the folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect session
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return root.rstrip("/")
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
