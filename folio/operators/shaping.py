@@ -21,13 +21,22 @@ class DuplicateHeaderError(ValueError):
     """Two input headers resolve to the same column name."""
 
 
-def _spark_deduped_base(name: str, position: int, header_map: Mapping[str, str]) -> str | None:
-    # Spark's CSV reader renames headers that collide case-insensitively to
-    # <header><position>, e.g. ``Title`` and ``title`` -> ``Title0``, ``title1``.
-    suffix = str(position)
-    if name.endswith(suffix) and name[: -len(suffix)] in header_map:
-        return name[: -len(suffix)]
-    return None
+def _case_duplicates(columns: list[str], header_map: Mapping[str, str]) -> list[str]:
+    """Mapped headers that Spark's CSV reader renamed because they collided.
+
+    Headers equal up to case come back as ``<header><position>`` (``Title``
+    and ``title`` -> ``Title0``, ``title1``).  A column counts only when at
+    least one other column was renamed the same way, so a genuine header
+    such as ``Title2`` is not mistaken for one.
+    """
+    bases: dict[str, list[str]] = {}
+    for pos, name in enumerate(columns):
+        suffix = str(pos)
+        if name.endswith(suffix) and len(name) > len(suffix):
+            base = name[: -len(suffix)]
+            bases.setdefault(base.lower(), []).append(base)
+    return sorted({b for group in bases.values() if len(group) > 1
+                   for b in group if b in header_map})
 
 
 def rename_columns(df: DataFrame, header_map: Mapping[str, str] = HEADER_MAP) -> DataFrame:
@@ -36,12 +45,12 @@ def rename_columns(df: DataFrame, header_map: Mapping[str, str] = HEADER_MAP) ->
     Raises ``DuplicateHeaderError`` when two inputs land on one name,
     including headers that differ only by case.
     """
+    dups = _case_duplicates(df.columns, header_map)
+    if dups:
+        raise DuplicateHeaderError(f"headers {dups} appear more than once (case-insensitively)")
     targets: dict[str, str] = {}
     exprs: list[Column] = []
-    for pos, name in enumerate(df.columns):
-        base = _spark_deduped_base(name, pos, header_map)
-        if base is not None:
-            raise DuplicateHeaderError(f"header {base!r} appears more than once (case-insensitively)")
+    for name in df.columns:
         new = header_map.get(name, name)
         if new in targets:
             raise DuplicateHeaderError(f"headers {targets[new]!r} and {name!r} both map to {new!r}")

@@ -167,3 +167,12 @@ def test_ingest_job_out_partitions(spark, tmp_out):
     assert 1 <= len(files) <= 3
     back = spark.read.parquet(f"{tmp_out}/out3/books_rating")
     assert back.columns == list(C.REVIEW_COLUMNS) and back.count() == 4
+
+
+def test_header_ending_in_its_position_is_not_a_duplicate(spark, tmp_out):
+    path = _write(f"{tmp_out}/t2.csv", "id,x,Title2\n1,a,b\n")
+    proj = read_csv_table(spark, path, C.REVIEW_SCHEMA)
+    assert proj.dropped == ["x", "Title2"]
+    path = _write(f"{tmp_out}/t3.csv", "id,Title,TITLE\n1,a,b\n")
+    with pytest.raises(DuplicateHeaderError):
+        read_csv_table(spark, path, C.REVIEW_SCHEMA)
