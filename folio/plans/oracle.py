@@ -18,9 +18,9 @@ _DEDUPED = "b AS (SELECT * FROM books_v QUALIFY row_number() OVER (PARTITION BY
 _TS = "make_timestamp({c} * 1000000)"
 
 
-def _curated(join_cond: str) -> str:
+def _curated(join_cond: str, score: str = "COALESCE(r.review_score, 0.0)") -> str:
     return f"""{V}, {_DEDUPED}
-SELECT r.title, r.user_id, COALESCE(r.review_score, 0.0) AS review_score,
+SELECT r.title, r.user_id, {score} AS review_score,
        r.review_summary, r.review_text, {_TS.format(c='r.review_time')} AS review_date,
        b.authors, COALESCE(b.categories, 'Unknown') AS categories, b.publisher
 FROM ratings_v r JOIN b ON {join_cond}"""
@@ -52,6 +52,8 @@ ORACLE_SQL: dict[str, str] = {
     "curated_drop_null_keys": _curated("r.title = b.title"),
     "curated_salted": _curated("r.title IS NOT DISTINCT FROM b.title"),
     "curated_split_nulls": _curated("r.title IS NOT DISTINCT FROM b.title"),
+    "curated_keep_null_scores": _curated("r.title IS NOT DISTINCT FROM b.title", "r.review_score"),
+    "curated_auto_hot_keys": _curated("r.title IS NOT DISTINCT FROM b.title"),
     "dedupe_catalog": f"{V}\nSELECT * FROM books_v QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq) = 1",
     "review_date": f"{V}\nSELECT *, {_TS.format(c='review_time')} AS review_date FROM ratings_v",
     "fill_defaults": f"""{V}, {_DEDUPED}
@@ -87,6 +89,7 @@ WHERE r.title IS NOT NULL AND NOT EXISTS (SELECT 1 FROM books_v b WHERE b.title
 GROUP BY r.title""",
     "table_scan": f"{V}\nSELECT * FROM ratings_v",
     "top_n": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
+    "top_n_tree": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
 }
 
 

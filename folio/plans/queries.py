@@ -58,6 +58,19 @@ def curated_split_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(books, ratings, catalog_order=CATALOG_ORDER, split_nulls=True)
 
 
+def curated_keep_null_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated reviews with the score fill switched off (NULL scores stay NULL)."""
+    books, ratings = _views(spark, sf_dir)
+    return curate(books, ratings, catalog_order=CATALOG_ORDER,
+                  fills={**C.DEFAULT_FILLS, "review_score": None})
+
+
+def curated_auto_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated reviews salting every title that holds at least 1% of the reviews."""
+    books, ratings = _views(spark, sf_dir)
+    return curate(books, ratings, catalog_order=CATALOG_ORDER, hot_keys="auto", hot_share=0.01)
+
+
 def dedupe_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     books, _ = _views(spark, sf_dir)
     return dedupe_first(books, ["title"], CATALOG_ORDER)
@@ -137,6 +150,13 @@ def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER)
 
 
+def top_n_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cap through the tree merge (partial rank limits, fan-in groups)."""
+    configure(spark)
+    ratings = A.reviews(spark, sf_dir, with_part_key=True)
+    return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER, fan_in=4, strategy="tree")
+
+
 
 # -- load shaping -------------------------------------------------------------
 
@@ -255,6 +275,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curated_drop_null_keys": curated_drop_null_keys,
     "curated_salted": curated_salted,
     "curated_split_nulls": curated_split_nulls,
+    "curated_keep_null_scores": curated_keep_null_scores,
+    "curated_auto_hot_keys": curated_auto_hot_keys,
     "dedupe_catalog": dedupe_catalog,
     "review_date": review_date,
     "fill_defaults": fill_defaults_q,
@@ -269,6 +291,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_reviews": orphan_reviews,
     "table_scan": table_scan,
     "top_n": top_n,
+    "top_n_tree": top_n_tree,
     "rename_columns": rename_columns_q,
     "project_existing": project_existing_q,
     "na_tokens": na_tokens_q,
