@@ -48,7 +48,8 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
                 mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
                 bucket_by: tuple[int, Sequence[str]] | None = None,
-                count_rows: bool = True) -> int | None:
+                count_rows: bool = True,
+                max_records_per_file: int | None = None) -> int | None:
     """Write ``df`` to a path or catalog table; return the rows written.
 
     * ``mode="overwrite"`` recreates the table (truncate-then-load);
@@ -60,6 +61,8 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
       so later joins or aggregations on ``cols`` need no shuffle.
     * Row counts come from an ``Observation`` on the write itself, not a
       second scan.
+    * ``max_records_per_file`` splits large partitions into several files,
+      so later reads stay parallel.
     """
     _guard(df)
     if (path is None) == (table is None):
@@ -71,6 +74,8 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
     writer = df.write.mode(mode).format(fmt)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:
@@ -86,7 +91,7 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite",
-              single_file: bool = False) -> None:
+              single_file: bool = False, max_records_per_file: int | None = None) -> None:
     """CSV export with a header and no index column.
 
     Output is one file per partition; ``single_file=True`` funnels every row
@@ -95,4 +100,7 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite",
     _guard(df)
     if single_file:
         df = df.coalesce(1)
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+    writer = df.write.mode(mode).options(**CSV_WRITE_OPTIONS)
+    if max_records_per_file and not single_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.csv(path)

@@ -107,3 +107,11 @@ def test_large_top_n_tree_reduction_is_exact(spark):
     assert tree.count("WindowGroupLimit") == 2
     expected = sorted(((r.k, r.id) for r in df.collect()))[:n]
     assert [(r.k, r.id) for r in got.collect()] == expected
+
+
+def test_max_records_per_file(spark, tmp_out):
+    df = spark.range(100).coalesce(1).withColumnRenamed("id", "title")
+    assert write_table(df, path=f"{tmp_out}/m", max_records_per_file=30) == 100
+    assert len([f for f in os.listdir(f"{tmp_out}/m") if f.endswith(".parquet")]) == 4
+    write_csv(df, f"{tmp_out}/mc", max_records_per_file=50)
+    assert len([f for f in os.listdir(f"{tmp_out}/mc") if f.endswith(".csv")]) == 2
