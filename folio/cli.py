@@ -1,13 +1,15 @@
 """Command line: ``python -m folio <command>``, or ``spark-submit folio/__main__.py <command>``.
 
     load   --books CSV --ratings CSV --tables DIR [--report-dir DIR] [--append]
-           [--skip-missing] [--no-fail]         ingest both CSVs, then audit (fail-fast)
-    ingest --books CSV --ratings CSV --tables DIR [--append] [--skip-missing]
+           [--skip-missing] [--row-order] [--no-fail]   ingest both CSVs, then audit
+    ingest --books CSV --ratings CSV --tables DIR [--append] [--skip-missing] [--row-order]
     audit  --tables DIR [--report-dir DIR] [--fail]
     etl    --tables DIR --out DIR [--csv DIR] [--max-reviews N --review-order COL,...]
            [--null-keys match|drop] [--keep-null-scores]
 
 Tables live as Parquet folders ``DIR/books_data`` and ``DIR/books_rating``.
+With ``--row-order`` they carry a ``_row_order`` column, and ``etl
+--catalog-order _row_order`` keeps the first catalog row as loaded.
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
 settings given to ``spark-submit`` apply.  Exit status 1 when the volume
 gate fails (where asked) or a step raises.
@@ -27,6 +29,9 @@ from folio.plans.jobs import (VolumeGateError, audit_job, etl_job, ingest_and_au
 from folio.session import configure
 
 
+ROW_ORDER = "_row_order"
+
+
 def _tables(spark: SparkSession, root: str):
     root = root.rstrip("/")
     return spark.read.parquet(f"{root}/books_data"), spark.read.parquet(f"{root}/books_rating")
@@ -42,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
         q.add_argument("--tables", required=True, help="output folder for the Parquet tables")
         q.add_argument("--append", action="store_true", help="append instead of replacing")
         q.add_argument("--skip-missing", action="store_true", help="skip absent inputs")
+        q.add_argument("--row-order", action="store_true",
+                       help=f"keep each row's load order in a {ROW_ORDER!r} column")
 
     load = sub.add_parser("load", help="ingest, then audit with the volume gate")
     ingest_args(load)
@@ -70,18 +77,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = _parser().parse_args(argv)
     spark = configure(spark or SparkSession.builder.appName(f"folio-{args.command}").getOrCreate())
     on_missing = "skip" if getattr(args, "skip_missing", False) else "fail"
+    row_order = ROW_ORDER if getattr(args, "row_order", False) else None
     try:
         if args.command == "ingest":
             res = ingest_job(spark, {"books_data": (args.books, C.CATALOG_SCHEMA),
                                      "books_rating": (args.ratings, C.REVIEW_SCHEMA)},
-                             args.tables, truncate_first=not args.append, on_missing=on_missing)
+                             args.tables, truncate_first=not args.append, on_missing=on_missing,
+                             row_order_col=row_order)
             print(json.dumps({"counts": res.counts, "total": res.total,
                               "dropped_headers": res.dropped_headers,
                               "rejected_values": res.rejected_values}))
         elif args.command == "load":
             res, aud = ingest_and_audit(spark, args.books, args.ratings, args.tables,
                                         report_dir=args.report_dir, truncate_first=not args.append,
-                                        on_missing=on_missing, raise_on_fail=not args.no_fail)
+                                        on_missing=on_missing, raise_on_fail=not args.no_fail,
+                                        row_order_col=row_order)
             print(json.dumps({"counts": res.counts, "gate": aud.gate, "passed": aud.passed}))
         elif args.command == "audit":
             books, ratings = _tables(spark, args.tables)

@@ -125,18 +125,18 @@ def typed_cast(df: DataFrame, schema: T.StructType,
     return staged.observe(observation, *metrics).drop(*raw.values())
 
 
-def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+def align_to_schema(df: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> DataFrame:
     """Exactly ``schema``'s columns, in order; absent ones as typed NULLs.
 
     The landing table keeps its full shape even when a file lacks a column,
-    as a table created from DDL does.
+    as a table created from DDL does.  Columns named in ``keep`` follow.
     """
     present = set(df.columns)
     return df.select(*[
         F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in present
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.fields
-    ])
+    ], *[F.col(f"`{c}`") for c in keep])
 
 
 def conform(df: DataFrame, schema: T.StructType, *, header_map: Mapping[str, str] = HEADER_MAP,

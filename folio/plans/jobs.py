@@ -33,7 +33,8 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]], o
                truncate_first: bool = True, on_missing: str = "fail",
                header_map: Mapping[str, str] = C.HEADER_MAP,
                na_tokens: Sequence[str] = C.NA_TOKENS,
-               out_partitions: int | None = None) -> IngestResult:
+               out_partitions: int | None = None,
+               row_order_col: str | None = None) -> IngestResult:
     """Load each ``name -> (csv_path, schema)`` into ``out_root/name`` (Parquet).
 
     One Spark job per table replaces the chunked append loop: the table is
@@ -45,16 +46,18 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]], o
     A quoted-newline CSV is parsed by one task per file; ``out_partitions``
     spreads the casting and Parquet encoding after the parse over that many
     tasks (a round-robin shuffle) when the input is a few large files.
+    ``row_order_col`` keeps each row's load order as an extra column (see
+    ``read_csv_table``), for a dedupe that keeps the first row as loaded.
     """
     result = IngestResult()
     for name, (path, schema) in sources.items():
         obs = Observation(f"rejects_{name}")
         proj = read_csv_table(spark, path, schema, header_map=header_map, na_tokens=na_tokens,
-                              on_missing=on_missing, observation=obs)
+                              on_missing=on_missing, observation=obs, row_order_col=row_order_col)
         result.missing_columns[name] = proj.missing
         result.dropped_headers[name] = proj.dropped
         target = f"{out_root.rstrip('/')}/{name}"
-        frame = align_to_schema(proj.frame, schema)
+        frame = align_to_schema(proj.frame, schema, keep=[row_order_col] if row_order_col else [])
         if out_partitions:
             frame = frame.repartition(out_partitions)
         written = write_table(frame, path=target,
@@ -122,7 +125,8 @@ def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str, ou
                      report_dir: str | None = None, truncate_first: bool = True,
                      on_missing: str = "fail",
                      thresholds: Mapping[str, int] = C.VOLUME_THRESHOLDS,
-                     raise_on_fail: bool = True) -> tuple[IngestResult, AuditResult]:
+                     raise_on_fail: bool = True,
+                     row_order_col: str | None = None) -> tuple[IngestResult, AuditResult]:
     """Load both raw tables, then audit them; fail fast on the volume gate.
 
     Tables land under ``out_root/books_data`` and ``out_root/books_rating``;
@@ -131,7 +135,8 @@ def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str, ou
     """
     loaded = ingest_job(spark, {"books_data": (catalog_csv, C.CATALOG_SCHEMA),
                                 "books_rating": (reviews_csv, C.REVIEW_SCHEMA)},
-                        out_root, truncate_first=truncate_first, on_missing=on_missing)
+                        out_root, truncate_first=truncate_first, on_missing=on_missing,
+                        row_order_col=row_order_col)
     root = out_root.rstrip("/")
     tables = {}
     for name, schema in (("books_data", C.CATALOG_SCHEMA), ("books_rating", C.REVIEW_SCHEMA)):

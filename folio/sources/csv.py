@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -52,15 +53,27 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, *,
                    na_tokens: Iterable[str] = NA_TOKENS,
                    on_missing: str = "fail",
                    observation: Observation | None = None,
-                   options: Mapping[str, str] | None = None) -> Projection:
+                   options: Mapping[str, str] | None = None,
+                   row_order_col: str | None = None) -> Projection:
     """Read a CSV file or folder into ``schema``: rename, project, NA tokens, cast.
 
     Returns the typed frame with the names of missing target columns and of
     dropped input headers.  ``on_missing="skip"`` gives an empty frame with
     the target schema when the input does not exist.
+
+    ``row_order_col`` adds a long column numbering rows in load order
+    (``monotonically_increasing_id`` right after the scan): exactly file
+    order for one file, and stable for the same file layout otherwise, so
+    "the first row per key" can mean first as loaded.
     """
     raw = read_csv_text(spark, path, options=options, on_missing=on_missing)
     if raw is None:
-        return Projection(frame=spark.createDataFrame([], schema), missing=schema.fieldNames())
-    return conform(raw, schema, header_map=header_map, na_tokens=na_tokens,
+        empty = spark.createDataFrame([], schema)
+        if row_order_col:
+            empty = empty.withColumn(row_order_col, F.lit(None).cast("long"))
+        return Projection(frame=empty, missing=schema.fieldNames())
+    proj = conform(raw, schema, header_map=header_map, na_tokens=na_tokens,
                    observation=observation)
+    if row_order_col:
+        proj.frame = proj.frame.withColumn(row_order_col, F.monotonically_increasing_id())
+    return proj

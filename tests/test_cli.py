@@ -41,3 +41,16 @@ def test_cli_load_audit_etl(spark, tmp_out, capsys):
     assert main(["etl", "--tables", tables, "--out", f"{tmp_out}/cur2", "--max-reviews", "1",
                  "--review-order", "id", "--keep-null-scores"], spark) == 0
     assert spark.read.parquet(f"{tmp_out}/cur2").count() == 1
+
+
+def test_cli_row_order_first_as_loaded(spark, tmp_out, capsys):
+    books = _write(f"{tmp_out}/raw2/books_data.csv", BOOKS)
+    ratings = _write(f"{tmp_out}/raw2/Books_rating.csv", RATINGS)
+    tables = f"{tmp_out}/tables2"
+    assert main(["ingest", "--books", books, "--ratings", ratings, "--tables", tables,
+                 "--row-order"], spark) == 0
+    assert main(["etl", "--tables", tables, "--out", f"{tmp_out}/cur3",
+                 "--catalog-order", "_row_order"], spark) == 0
+    cur = {r.title: r.authors for r in spark.read.parquet(f"{tmp_out}/cur3").collect()}
+    assert cur == {"T1": "A", "T2": "C"}     # T1's first row in the file has author A
+

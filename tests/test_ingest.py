@@ -176,3 +176,20 @@ def test_header_ending_in_its_position_is_not_a_duplicate(spark, tmp_out):
     path = _write(f"{tmp_out}/t3.csv", "id,Title,TITLE\n1,a,b\n")
     with pytest.raises(DuplicateHeaderError):
         read_csv_table(spark, path, C.REVIEW_SCHEMA)
+
+
+def test_row_order_keeps_first_row_as_loaded(spark, tmp_out):
+    from folio.operators.curate import curate
+    books = _write(f"{tmp_out}/ro/books.csv",
+                   "Title,authors,categories\nB,z1,c\nA,first,c\nA,second,c\nB,z2,c\n")
+    revs = _write(f"{tmp_out}/ro/revs.csv", "Id,Title,review/score\n1,A,5\n2,B,4\n")
+    res = ingest_job(spark, {"books_data": (books, C.CATALOG_SCHEMA),
+                             "books_rating": (revs, C.REVIEW_SCHEMA)},
+                     f"{tmp_out}/ro_out", row_order_col="_row_order")
+    assert res.counts == {"books_data": 4, "books_rating": 2}
+    cat = spark.read.parquet(f"{tmp_out}/ro_out/books_data")
+    assert cat.columns == list(C.CATALOG_COLUMNS) + ["_row_order"]
+    assert [r.authors for r in cat.orderBy("_row_order").collect()] == ["z1", "first", "second", "z2"]
+    out = curate(cat, spark.read.parquet(f"{tmp_out}/ro_out/books_rating"),
+                 catalog_order=["_row_order"])
+    assert {r.title: r.authors for r in out.collect()} == {"A": "first", "B": "z1"}
