@@ -162,11 +162,15 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
               .orderBy(F.desc("registros")))
 
     scored = by_score.filter(s.isNotNull())
+    if materialize:
+        # the aggregate is already written: read its total as one scalar, so
+        # the shares need no single-partition window
+        scored_total = F.lit(scored.agg(F.sum(n)).first()[0]).cast("long")
+    else:
+        scored_total = F.sum("cantidad").over(Window.partitionBy())
     distribution = (scored.select(score, n.alias("cantidad"))
                     .select(score, "cantidad",
-                            ratio_percent(F.col("cantidad"),
-                                          F.sum("cantidad").over(Window.partitionBy()))
-                            .alias("porcentaje"))
+                            ratio_percent(F.col("cantidad"), scored_total).alias("porcentaje"))
                     .orderBy(score))
 
     parts = []
