@@ -50,10 +50,15 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]], o
     ``read_csv_table``), for a dedupe that keeps the first row as loaded.
     """
     result = IngestResult()
+    # Preflight: resolve every input (existence, headers) before any table is
+    # written, so a missing or malformed second file leaves nothing half-loaded.
+    planned = {}
     for name, (path, schema) in sources.items():
         obs = Observation(f"rejects_{name}")
         proj = read_csv_table(spark, path, schema, header_map=header_map, na_tokens=na_tokens,
                               on_missing=on_missing, observation=obs, row_order_col=row_order_col)
+        planned[name] = (schema, obs, proj)
+    for name, (schema, obs, proj) in planned.items():
         result.missing_columns[name] = proj.missing
         result.dropped_headers[name] = proj.dropped
         target = f"{out_root.rstrip('/')}/{name}"

@@ -193,3 +193,12 @@ def test_row_order_keeps_first_row_as_loaded(spark, tmp_out):
     out = curate(cat, spark.read.parquet(f"{tmp_out}/ro_out/books_rating"),
                  catalog_order=["_row_order"])
     assert {r.title: r.authors for r in out.collect()} == {"A": "first", "B": "z1"}
+
+
+def test_ingest_preflight_writes_nothing_when_an_input_is_missing(spark, tmp_out):
+    books = _write(f"{tmp_out}/pf/books.csv", RAW_BOOKS)
+    with pytest.raises(Exception):
+        ingest_job(spark, {"books_data": (books, C.CATALOG_SCHEMA),
+                           "books_rating": (f"{tmp_out}/pf/absent.csv", C.REVIEW_SCHEMA)},
+                   f"{tmp_out}/pf_out")
+    assert not os.path.exists(f"{tmp_out}/pf_out/books_data")
