@@ -9,7 +9,7 @@ quotients differently on ties (201 of 20,000 is 1.01, not 1.0).
 from __future__ import annotations
 
 from folio import config as C
-from folio.sources.adapters import sql_views
+from folio.sources.adapters import NEAR_MISSES, TRICKY_SUFFIX, sql_views
 
 V = "WITH " + sql_views()
 
@@ -100,7 +100,6 @@ def _sql_str(s: str) -> str:
 
 
 def _na_tokens_sql() -> str:
-    from folio.plans.queries import NEAR_MISSES
     probes = list(C.NA_TOKENS) + list(NEAR_MISSES)
     width = len(probes) + 3
     cases = " ".join(f"WHEN {i} THEN {_sql_str(p)}" for i, p in enumerate(probes))
@@ -112,7 +111,6 @@ FROM (SELECT p_partkey, CASE p_partkey % {width} {cases} ELSE p_name END AS raw_
 
 def _review_ingest_sql(full_table: bool = False) -> str:
     """The exported reviews read back; ``full_table`` adds the absent raw columns as NULL."""
-    from folio.sources.adapters import TRICKY_SUFFIX
     absent = ("CAST(NULL AS VARCHAR) AS profile_name, CAST(NULL AS VARCHAR) AS helpfulness, "
               if full_table else "")
     return f"""{V}

@@ -171,15 +171,11 @@ def project_existing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_existing(ratings, C.REVIEW_COLUMNS)
 
 
-# Near-misses that must stay text (case and whitespace differ from a token).
-NEAR_MISSES = ("none", "Null", " NA")
-
-
 def na_tokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every NA token and near-miss, spread over the catalog rows by key."""
     configure(spark)
     part = A.load(spark, sf_dir, "part")
-    probes = [F.lit(t) for t in C.NA_TOKENS + NEAR_MISSES]
+    probes = [F.lit(t) for t in C.NA_TOKENS + A.NEAR_MISSES]
     width = len(probes) + 3
     probes += [F.col("p_name")] * 3
     raw = part.select(F.col("p_partkey"),

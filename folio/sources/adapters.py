@@ -123,6 +123,8 @@ RAW_CATALOG_HEADERS = {
 }
 # Suffix that exercises CSV quoting: comma, doubled quote, newline, backslash.
 TRICKY_SUFFIX = ' "q", y\n\\'
+# Near-misses of NA tokens that must stay text (case and whitespace differ).
+NEAR_MISSES = ("none", "Null", " NA")
 
 
 def tricky_text(col: F.Column) -> F.Column:

@@ -10,7 +10,6 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from folio import config as C  # noqa: E402
 from folio.session import configure  # noqa: E402
 
 
@@ -49,6 +48,3 @@ def reviews(spark):
 @pytest.fixture
 def tmp_out(tmp_path):
     return str(tmp_path)
-
-
-__all__ = ["C"]
