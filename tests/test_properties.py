@@ -6,6 +6,7 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from folio.operators.curate import curate
 from folio.operators.dedupe import dedupe_first
@@ -80,3 +81,40 @@ def test_csv_write_then_read_is_identity(spark, tmp_path_factory, texts):
     back = read_csv_table(spark, path + "/out", REVIEW_SCHEMA, na_tokens=()).frame
     got = {r.id: r.review_text for r in back.collect()}
     assert got == {i: t for i, t in rows}
+
+
+@SETTINGS
+@given(keys=st.lists(st.tuples(st.integers(0, 5), st.integers(0, 1000)), min_size=1, max_size=60,
+                     unique=True),
+       n=st.integers(1, 70), parts=st.integers(1, 5))
+def test_top_n_equals_sorted_prefix(spark, keys, n, parts):
+    from folio.sources.tables import top_n
+    df = spark.createDataFrame(keys, "a int, b int").repartition(parts)
+    want = sorted(keys)[:n]
+    for strategy in ("direct", "tree"):
+        got = [(r.a, r.b) for r in top_n(df, n, ["a", "b"], fan_in=2, strategy=strategy).collect()]
+        assert got == want
+
+
+@SETTINGS
+@given(rev=st.lists(st.tuples(TITLES, st.sampled_from([0.0, 1.0, 2.5, 5.0, 6.0, None]),
+                              st.one_of(st.none(), st.integers(-10**6, 10**9))), max_size=30),
+       cat=catalog_rows)
+def test_fused_audit_equals_standalone_audits(spark, rev, cat):
+    from folio import config as C
+    from folio.operators import quality as QA
+    reviews = spark.createDataFrame(
+        [(str(i), t, s, tm, None) for i, (t, s, tm) in enumerate(rev)],
+        "id string, title string, review_score double, review_time long, user_id string")
+    catalog = _catalog(spark, cat).withColumn("authors", F.col("categories"))
+    sec = QA.audit_sections(catalog, reviews, materialize=False)
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    pairs = [
+        (sec["counts"], QA.table_counts({C.CATALOG_LABEL: catalog, C.REVIEWS_LABEL: reviews})),
+        (sec["distribution"], QA.score_distribution(reviews)),
+        (sec["nulls"], QA.null_profile({"catalog": catalog, "reviews": reviews}, C.NULL_METRICS)),
+        (sec["score_range"], QA.score_range(reviews)),
+        (sec["date_range"], QA.date_range(reviews)),
+    ]
+    for fused, alone in pairs:
+        assert sorted(fused.collect(), key=key) == sorted(alone.collect(), key=key)
