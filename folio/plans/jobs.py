@@ -162,14 +162,18 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
             null_keys: str = "match",
             fills: Mapping[str, object] = C.DEFAULT_FILLS,
             max_reviews: int | None = None,
-            review_order: Sequence[str | Column] | None = None) -> int:
+            review_order: Sequence[str | Column] | None = None,
+            cluster_by: Sequence[str] = (),
+            max_records_per_file: int | None = None,
+            compression: str | None = None) -> int:
     """Extract -> curate -> load: write the curated table, then its CSV copy.
 
     The CSV is derived from the written table, so the join runs once and
     the two outputs cannot disagree; the written table also cuts the
     lineage.  ``max_reviews`` keeps the first n reviews by ``review_order``
-    (a deterministic cap instead of an unordered limit).  Returns the row
-    count of the curated table.
+    (a deterministic cap instead of an unordered limit).  ``cluster_by``,
+    ``max_records_per_file`` and ``compression`` shape the table files (see
+    ``write_table``).  Returns the row count of the curated table.
     """
     if max_reviews is not None:
         if not review_order:
@@ -177,7 +181,8 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
         reviews = top_n(reviews, max_reviews, review_order)
     curated = curate(catalog, reviews, catalog_order=catalog_order, null_keys=null_keys,
                      fills=fills)
-    rows = write_table(curated, path=table_path, mode="overwrite")
+    rows = write_table(curated, path=table_path, mode="overwrite", cluster_by=cluster_by,
+                       max_records_per_file=max_records_per_file, compression=compression)
     if csv_path is not None:
         write_csv(spark.read.parquet(table_path), csv_path)
     return int(rows or 0)

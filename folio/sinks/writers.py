@@ -49,7 +49,8 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
                 partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
                 bucket_by: tuple[int, Sequence[str]] | None = None,
                 count_rows: bool = True,
-                max_records_per_file: int | None = None) -> int | None:
+                max_records_per_file: int | None = None,
+                compression: str | None = None) -> int | None:
     """Write ``df`` to a path or catalog table; return the rows written.
 
     * ``mode="overwrite"`` recreates the table (truncate-then-load);
@@ -62,7 +63,8 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
     * Row counts come from an ``Observation`` on the write itself, not a
       second scan.
     * ``max_records_per_file`` splits large partitions into several files,
-      so later reads stay parallel.
+      so later reads stay parallel; ``compression`` picks the file codec
+      (e.g. ``"zstd"``; the session default otherwise).
     """
     _guard(df)
     if (path is None) == (table is None):
@@ -76,6 +78,8 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
     writer = df.write.mode(mode).format(fmt)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:

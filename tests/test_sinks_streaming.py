@@ -115,3 +115,12 @@ def test_max_records_per_file(spark, tmp_out):
     assert len([f for f in os.listdir(f"{tmp_out}/m") if f.endswith(".parquet")]) == 4
     write_csv(df, f"{tmp_out}/mc", max_records_per_file=50)
     assert len([f for f in os.listdir(f"{tmp_out}/mc") if f.endswith(".csv")]) == 2
+
+
+def test_etl_job_file_options(spark, catalog, reviews, tmp_out):
+    from folio.plans.jobs import etl_job
+    rows = etl_job(spark, catalog, reviews, table_path=f"{tmp_out}/e", catalog_order=["seq"],
+                   cluster_by=["title"], compression="zstd", max_records_per_file=2)
+    files = [f for f in os.listdir(f"{tmp_out}/e") if f.endswith(".parquet")]
+    assert rows == 5 and len(files) >= 3 and all(".zstd." in f for f in files)
+    assert spark.read.parquet(f"{tmp_out}/e").count() == 5
