@@ -5,7 +5,8 @@
     ingest --books CSV --ratings CSV --tables DIR [--append] [--skip-missing] [--row-order]
     audit  --tables DIR [--report-dir DIR] [--fail]
     etl    --tables DIR --out DIR [--csv DIR] [--max-reviews N --review-order COL,...]
-           [--null-keys match|drop] [--keep-null-scores]
+           [--null-keys match|drop] [--keep-null-scores] [--catalog-order COL,...]
+           [--cluster-by COL,...] [--compression CODEC] [--max-records-per-file N]
 
 Tables live as Parquet folders ``DIR/books_data`` and ``DIR/books_rating``.
 With ``--row-order`` they carry a ``_row_order`` column, and ``etl
@@ -70,6 +71,9 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--catalog-order", help="comma-separated order picking the first catalog row")
     etl.add_argument("--null-keys", choices=("match", "drop"), default="match")
     etl.add_argument("--keep-null-scores", action="store_true", help="do not fill NULL scores")
+    etl.add_argument("--cluster-by", help="comma-separated columns to sort rows by within files")
+    etl.add_argument("--compression", help="Parquet codec, e.g. zstd")
+    etl.add_argument("--max-records-per-file", type=int)
     return p
 
 
@@ -107,7 +111,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             rows = etl_job(spark, books, ratings, table_path=args.out, csv_path=args.csv,
                            catalog_order=args.catalog_order.split(",") if args.catalog_order else None,
                            null_keys=args.null_keys, fills=fills, max_reviews=args.max_reviews,
-                           review_order=args.review_order.split(",") if args.review_order else None)
+                           review_order=args.review_order.split(",") if args.review_order else None,
+                           cluster_by=args.cluster_by.split(",") if args.cluster_by else (),
+                           compression=args.compression,
+                           max_records_per_file=args.max_records_per_file)
             print(json.dumps({"curated_rows": rows, "table": args.out, "csv": args.csv}))
     except VolumeGateError as exc:
         print(json.dumps({"error": str(exc)}), file=sys.stderr)

@@ -50,7 +50,8 @@ def test_cli_row_order_first_as_loaded(spark, tmp_out, capsys):
     assert main(["ingest", "--books", books, "--ratings", ratings, "--tables", tables,
                  "--row-order"], spark) == 0
     assert main(["etl", "--tables", tables, "--out", f"{tmp_out}/cur3",
-                 "--catalog-order", "_row_order"], spark) == 0
+                 "--catalog-order", "_row_order", "--cluster-by", "title",
+                 "--compression", "zstd"], spark) == 0
     cur = {r.title: r.authors for r in spark.read.parquet(f"{tmp_out}/cur3").collect()}
     assert cur == {"T1": "A", "T2": "C"}     # T1's first row in the file has author A
 
