@@ -24,6 +24,11 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it holds (dots, spaces, backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def epoch_in_range(col: str | Column) -> Column:
     """True where Unix seconds fall inside the representable timestamp range."""
     return _c(col).cast("long").between(MIN_EPOCH_SECONDS, MAX_EPOCH_SECONDS)

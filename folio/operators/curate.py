@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.config import CURATED_COLUMNS, DEFAULT_FILLS
-from folio.functions.exprs import epoch_to_timestamp
+from folio.functions.exprs import column, epoch_to_timestamp
 from folio.operators.dedupe import dedupe_first
 from folio.operators.joins import find_hot_keys, lookup_join
 from folio.operators.shaping import project_existing
@@ -30,8 +30,8 @@ def fill_defaults(df: DataFrame, fills: Mapping[str, object] = DEFAULT_FILLS) ->
     """
     types = dict(df.dtypes)
     return df.select(*[
-        F.coalesce(F.col(f"`{c}`"), F.lit(fills[c]).cast(types[c])).alias(c)
-        if c in fills and fills[c] is not None else F.col(f"`{c}`")
+        F.coalesce(column(c), F.lit(fills[c]).cast(types[c])).alias(c)
+        if c in fills and fills[c] is not None else column(c)
         for c in df.columns
     ])
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.config import HEADER_MAP, NA_TOKENS
-from folio.functions.exprs import null_tokens, rejected, safe_cast
+from folio.functions.exprs import column, null_tokens, rejected, safe_cast
 
 
 class DuplicateHeaderError(ValueError):
@@ -55,7 +55,7 @@ def rename_columns(df: DataFrame, header_map: Mapping[str, str] = HEADER_MAP) ->
         if new in targets:
             raise DuplicateHeaderError(f"headers {targets[new]!r} and {name!r} both map to {new!r}")
         targets[new] = name
-        exprs.append(F.col(f"`{name}`").alias(new))
+        exprs.append(column(name).alias(new))
     return df.select(*exprs)
 
 
@@ -72,7 +72,7 @@ def project_existing_report(df: DataFrame, columns: Iterable[str]) -> Projection
     present = set(df.columns)
     keep = [c for c in wanted if c in present]
     return Projection(
-        frame=df.select(*[F.col(f"`{c}`") for c in keep]),
+        frame=df.select(*[column(c) for c in keep]),
         missing=[c for c in wanted if c not in present],
         dropped=[c for c in df.columns if c not in set(wanted)],
     )
@@ -91,7 +91,7 @@ def normalize_na(df: DataFrame, tokens: Iterable[str] = NA_TOKENS,
     strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     targets = strings if columns is None else set(columns) & strings
     return df.select(*[
-        null_tokens(F.col(f"`{c}`"), tokens).alias(c) if c in targets else F.col(f"`{c}`")
+        null_tokens(column(c), tokens).alias(c) if c in targets else column(c)
         for c in df.columns
     ])
 
@@ -108,19 +108,19 @@ def typed_cast(df: DataFrame, schema: T.StructType,
     cast_cols = [c for c in df.columns if c in typed and not isinstance(typed[c], T.StringType)]
     if observation is None or not cast_cols:
         return df.select(*[
-            safe_cast(F.col(f"`{c}`"), typed[c]).alias(c) if c in cast_cols else F.col(f"`{c}`")
+            safe_cast(column(c), typed[c]).alias(c) if c in cast_cols else column(c)
             for c in df.columns
         ])
     raw = {c: f"__raw_{i}" for i, c in enumerate(cast_cols)}
     staged = df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        *[F.col(f"`{c}`").alias(raw[c]) for c in cast_cols],
+        *[column(c) for c in df.columns],
+        *[column(c).alias(raw[c]) for c in cast_cols],
     ).select(
-        *[safe_cast(F.col(f"`{c}`"), typed[c]).alias(c) if c in cast_cols else F.col(f"`{c}`")
+        *[safe_cast(column(c), typed[c]).alias(c) if c in cast_cols else column(c)
           for c in df.columns],
         *[F.col(raw[c]) for c in cast_cols],
     )
-    metrics = [F.count_if(rejected(F.col(raw[c]), F.col(f"`{c}`"))).alias(f"rejected_{c}")
+    metrics = [F.count_if(rejected(F.col(raw[c]), column(c))).alias(f"rejected_{c}")
                for c in cast_cols]
     return staged.observe(observation, *metrics).drop(*raw.values())
 
@@ -133,10 +133,10 @@ def align_to_schema(df: DataFrame, schema: T.StructType, keep: Iterable[str] = (
     """
     present = set(df.columns)
     return df.select(*[
-        F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in present
+        column(f.name).cast(f.dataType).alias(f.name) if f.name in present
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.fields
-    ], *[F.col(f"`{c}`") for c in keep])
+    ], *[column(c) for c in keep])
 
 
 def conform(df: DataFrame, schema: T.StructType, *, header_map: Mapping[str, str] = HEADER_MAP,

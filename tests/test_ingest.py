@@ -202,3 +202,10 @@ def test_ingest_preflight_writes_nothing_when_an_input_is_missing(spark, tmp_out
                            "books_rating": (f"{tmp_out}/pf/absent.csv", C.REVIEW_SCHEMA)},
                    f"{tmp_out}/pf_out")
     assert not os.path.exists(f"{tmp_out}/pf_out/books_data")
+
+
+def test_odd_header_characters(spark, tmp_out):
+    path = _write(f"{tmp_out}/odd.csv", 'Id,"we`ird",a.b,Title\n1,x,y,T\n')
+    proj = read_csv_table(spark, path, C.REVIEW_SCHEMA)
+    assert proj.dropped == ["we`ird", "a.b"]
+    assert [(r.id, r.title) for r in proj.frame.collect()] == [("1", "T")]
