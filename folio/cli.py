@@ -6,6 +6,7 @@
     audit  --tables DIR [--report-dir DIR] [--fail]
     etl    --tables DIR --out DIR [--csv DIR] [--max-reviews N --review-order COL,...]
            [--null-keys match|drop] [--keep-null-scores] [--catalog-order COL,...]
+           [--sample-buckets N [--sample-keys COL,...]]
            [--cluster-by COL,...] [--compression CODEC] [--max-records-per-file N]
 
 Tables live as Parquet folders ``DIR/books_data`` and ``DIR/books_rating``.
@@ -68,6 +69,9 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--csv")
     etl.add_argument("--max-reviews", type=int)
     etl.add_argument("--review-order", help="comma-separated total order for --max-reviews")
+    etl.add_argument("--sample-buckets", type=int,
+                     help="keep 1/N of the reviews by key hash (see --sample-keys)")
+    etl.add_argument("--sample-keys", default="id", help="comma-separated hash keys for sampling")
     etl.add_argument("--catalog-order", help="comma-separated order picking the first catalog row")
     etl.add_argument("--null-keys", choices=("match", "drop"), default="match")
     etl.add_argument("--keep-null-scores", action="store_true", help="do not fill NULL scores")
@@ -112,6 +116,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                            catalog_order=args.catalog_order.split(",") if args.catalog_order else None,
                            null_keys=args.null_keys, fills=fills, max_reviews=args.max_reviews,
                            review_order=args.review_order.split(",") if args.review_order else None,
+                           review_sample=(args.sample_keys.split(","), args.sample_buckets)
+                           if args.sample_buckets else None,
                            cluster_by=args.cluster_by.split(",") if args.cluster_by else (),
                            compression=args.compression,
                            max_records_per_file=args.max_records_per_file)

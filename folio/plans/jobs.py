@@ -14,7 +14,7 @@ from folio.operators.curate import curate
 from folio.operators.shaping import align_to_schema
 from folio.sinks.writers import write_csv, write_table
 from folio.sources.csv import read_csv_table
-from folio.sources.tables import top_n
+from folio.sources.tables import hash_sample, top_n
 
 
 @dataclass
@@ -163,6 +163,7 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
             fills: Mapping[str, object] = C.DEFAULT_FILLS,
             max_reviews: int | None = None,
             review_order: Sequence[str | Column] | None = None,
+            review_sample: tuple[Sequence[str], int] | None = None,
             cluster_by: Sequence[str] = (),
             max_records_per_file: int | None = None,
             compression: str | None = None) -> int:
@@ -171,7 +172,10 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     The CSV is derived from the written table, so the join runs once and
     the two outputs cannot disagree; the written table also cuts the
     lineage.  ``max_reviews`` keeps the first n reviews by ``review_order``
-    (a deterministic cap instead of an unordered limit).  ``cluster_by``,
+    (a deterministic cap instead of an unordered limit); ``review_sample=
+    (keys, k)`` keeps the reviews whose key hash falls in one of ``k``
+    buckets instead -- a repeatable subset filtered in every task, with no
+    single-task merge, for development runs on very large tables.  ``cluster_by``,
     ``max_records_per_file`` and ``compression`` shape the table files (see
     ``write_table``).  Returns the row count of the curated table.
     """
@@ -179,6 +183,9 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
         if not review_order:
             raise ValueError("max_reviews needs review_order for a deterministic cap")
         reviews = top_n(reviews, max_reviews, review_order)
+    if review_sample is not None:
+        keys, buckets = review_sample
+        reviews = hash_sample(reviews, list(keys), buckets)
     curated = curate(catalog, reviews, catalog_order=catalog_order, null_keys=null_keys,
                      fills=fills)
     rows = write_table(curated, path=table_path, mode="overwrite", cluster_by=cluster_by,

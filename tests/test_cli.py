@@ -55,3 +55,16 @@ def test_cli_row_order_first_as_loaded(spark, tmp_out, capsys):
     cur = {r.title: r.authors for r in spark.read.parquet(f"{tmp_out}/cur3").collect()}
     assert cur == {"T1": "A", "T2": "C"}     # T1's first row in the file has author A
 
+
+def test_cli_etl_hash_sample(spark, tmp_out, capsys):
+    books = _write(f"{tmp_out}/raw3/books_data.csv", BOOKS)
+    ratings = _write(f"{tmp_out}/raw3/Books_rating.csv", RATINGS)
+    tables = f"{tmp_out}/tables3"
+    assert main(["ingest", "--books", books, "--ratings", ratings, "--tables", tables], spark) == 0
+    sizes = []
+    for b in (1, 2):
+        out = f"{tmp_out}/s{b}"
+        assert main(["etl", "--tables", tables, "--out", out, "--sample-buckets", str(b)], spark) == 0
+        sizes.append(spark.read.parquet(out).count())
+    assert sizes[0] == 2 and sizes[1] <= 2
+
