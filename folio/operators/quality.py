@@ -10,7 +10,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folio import config as C
 from folio.config import SCORE_MAX, SCORE_MIN, VOLUME_THRESHOLDS
@@ -99,9 +98,10 @@ def key_violations(df: DataFrame, key: str, count_col: str = "n_rows") -> DataFr
 
 def thresholds_frame(spark: SparkSession,
                      thresholds: Mapping[str, int] = VOLUME_THRESHOLDS) -> DataFrame:
-    schema = T.StructType([T.StructField("tabla", T.StringType(), False),
-                           T.StructField("minimo", T.LongType(), False)])
-    return spark.createDataFrame([(k, int(v)) for k, v in thresholds.items()], schema)
+    """``tabla, minimo``: one row per configured threshold, as literals in the plan."""
+    rows = [F.struct(F.lit(k).alias("tabla"), F.lit(int(v)).cast("long").alias("minimo"))
+            for k, v in thresholds.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def volume_gate(counts: DataFrame, thresholds: DataFrame) -> DataFrame:
