@@ -56,8 +56,7 @@ def main() -> None:
            "over the initial adaptive plan. *Partial limits* are `WindowGroupLimit (Partial)`",
            "nodes that cut rows per key before a shuffle.", "",
            "*Materialised reads* scan data built before the plan: the audit's checkpointed",
-           "aggregates (`audit_report` scanned each table once while building them) and the",
-           "gate's in-memory thresholds list.", "",
+           "aggregates (`audit_report` scanned each table once while building them).", "",
            "| Query | Table scans | Materialised reads | Shuffles | Broadcasts | Joins | Partial limits "
            "| TakeOrdered | Python nodes |",
            "|---|---|---|---|---|---|---|---|---|", *rows, "", "## Plan trees", "", *trees]
