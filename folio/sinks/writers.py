@@ -7,7 +7,7 @@ job (no chunk-by-chunk appends).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -108,3 +108,28 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite",
     if max_records_per_file and not single_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(path)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, *, properties: Mapping[str, str],
+               mode: str = "append", max_connections: int = 8, batch_size: int = 10_000,
+               truncate: bool = True) -> None:
+    """Write to a relational database table through Spark's JDBC sink.
+
+    ``max_connections`` caps the concurrent writers (Spark's ``numPartitions``
+    coalesces to it), so a large cluster does not open thousands of database
+    sessions; rows go in batches of ``batch_size``.  ``mode="overwrite"`` with
+    ``truncate`` empties the table and keeps its definition, like truncate-then-
+    load.  Each partition commits on its own, so a failed job can leave part of
+    the rows; load a staging table and swap it in where that matters.  Needs the
+    database's JDBC driver on the classpath (not exercised in the tests).
+    """
+    _guard(df)
+    writer = (df.write.format("jdbc").mode(mode)
+              .option("url", url).option("dbtable", table)
+              .option("numPartitions", str(max_connections))
+              .option("batchsize", str(batch_size))
+              .option("truncate", "true" if truncate else "false"))
+    for k, v in properties.items():
+        writer = writer.option(k, v)
+    writer.save()
+

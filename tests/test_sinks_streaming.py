@@ -124,3 +124,9 @@ def test_etl_job_file_options(spark, catalog, reviews, tmp_out):
     files = [f for f in os.listdir(f"{tmp_out}/e") if f.endswith(".parquet")]
     assert rows == 5 and len(files) >= 3 and all(".zstd." in f for f in files)
     assert spark.read.parquet(f"{tmp_out}/e").count() == 5
+
+
+def test_write_jdbc_refuses_empty_frame(spark):
+    from folio.sinks.writers import write_jdbc
+    with pytest.raises(EmptyOutputError):
+        write_jdbc(spark.range(1).select(), "jdbc:none", "t", properties={})
