@@ -4,7 +4,8 @@
            [--skip-missing] [--row-order] [--no-fail]   ingest both CSVs, then audit
     ingest --books CSV --ratings CSV --tables DIR [--append] [--skip-missing] [--row-order]
     audit  --tables DIR [--report-dir DIR] [--fail]
-    etl    --tables DIR --out DIR [--csv DIR] [--max-reviews N --review-order COL,...]
+    etl    --tables DIR --out DIR [--csv DIR [--csv-single-file]]
+           [--max-reviews N --review-order COL,...]
            [--null-keys match|drop] [--keep-null-scores] [--catalog-order COL,...]
            [--sample-buckets N [--sample-keys COL,...]]
            [--cluster-by COL,...] [--compression CODEC] [--max-records-per-file N]
@@ -67,6 +68,8 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--tables", required=True)
     etl.add_argument("--out", required=True)
     etl.add_argument("--csv")
+    etl.add_argument("--csv-single-file", action="store_true",
+                     help="write the CSV copy as one file (small outputs)")
     etl.add_argument("--max-reviews", type=int)
     etl.add_argument("--review-order", help="comma-separated total order for --max-reviews")
     etl.add_argument("--sample-buckets", type=int,
@@ -120,6 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                            if args.sample_buckets else None,
                            cluster_by=args.cluster_by.split(",") if args.cluster_by else (),
                            compression=args.compression,
+                           csv_single_file=args.csv_single_file,
                            max_records_per_file=args.max_records_per_file)
             print(json.dumps({"curated_rows": rows, "table": args.out, "csv": args.csv}))
     except VolumeGateError as exc:

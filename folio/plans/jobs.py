@@ -166,7 +166,8 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
             review_sample: tuple[Sequence[str], int] | None = None,
             cluster_by: Sequence[str] = (),
             max_records_per_file: int | None = None,
-            compression: str | None = None) -> int:
+            compression: str | None = None,
+            csv_single_file: bool = False) -> int:
     """Extract -> curate -> load: write the curated table, then its CSV copy.
 
     The CSV is derived from the written table, so the join runs once and
@@ -177,7 +178,9 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     buckets instead -- a repeatable subset filtered in every task, with no
     single-task merge, for development runs on very large tables.  ``cluster_by``,
     ``max_records_per_file`` and ``compression`` shape the table files (see
-    ``write_table``).  Returns the row count of the curated table.
+    ``write_table``).  ``csv_single_file`` writes the CSV copy as one file
+    (one task; for outputs small enough to handle that way).  Returns the
+    row count of the curated table.
     """
     if max_reviews is not None:
         if not review_order:
@@ -191,5 +194,5 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     rows = write_table(curated, path=table_path, mode="overwrite", cluster_by=cluster_by,
                        max_records_per_file=max_records_per_file, compression=compression)
     if csv_path is not None:
-        write_csv(spark.read.parquet(table_path), csv_path)
+        write_csv(spark.read.parquet(table_path), csv_path, single_file=csv_single_file)
     return int(rows or 0)

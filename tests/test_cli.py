@@ -32,7 +32,8 @@ def test_cli_load_audit_etl(spark, tmp_out, capsys):
     assert main(["audit", "--tables", tables, "--fail"], spark) == 1
     capsys.readouterr()
     assert main(["etl", "--tables", tables, "--out", f"{tmp_out}/cur", "--csv", f"{tmp_out}/csv",
-                 "--catalog-order", "authors"], spark) == 0
+                 "--csv-single-file", "--catalog-order", "authors"], spark) == 0
+    assert len([f for f in os.listdir(f"{tmp_out}/csv") if f.endswith(".csv")]) == 1
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["curated_rows"] == 2          # T1 and T2 match; T9 orphan; NULL has no catalog row
     cur = {r.title: r for r in spark.read.parquet(f"{tmp_out}/cur").collect()}
