@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
 from folio.config import HEADER_MAP, NA_TOKENS
@@ -25,13 +26,17 @@ def stream_csv_to_table(spark: SparkSession, landing: str, table_path: str, chec
                         schema: T.StructType, *, header: Iterable[str] | None = None,
                         header_map: Mapping[str, str] = HEADER_MAP,
                         na_tokens: Iterable[str] = NA_TOKENS,
-                        files_per_trigger: int = 1) -> int:
+                        files_per_trigger: int = 1,
+                        trigger_interval: str | None = None) -> int | StreamingQuery:
     """Ingest every file now in ``landing`` (``availableNow``) and stop.
 
     ``header`` names the landing files' columns (by default, the header line
     of the files already there); Spark checks each file's header line
     against it (``enforceSchema=false``) rather than trusting position.
-    Returns the number of micro-batches run.
+    Returns the number of micro-batches run (as kept in the query's recent
+    progress).  With ``trigger_interval`` (e.g. ``"1 minute"``) the query
+    keeps running, picking up new files on that schedule, and is returned
+    running instead.
     """
     if header is None:
         # reads only a header line: no schema inference over the data
@@ -43,10 +48,11 @@ def stream_csv_to_table(spark: SparkSession, landing: str, table_path: str, chec
            .schema(text_schema).csv(landing))
     typed = align_to_schema(conform(raw, schema, header_map=header_map, na_tokens=na_tokens).frame,
                             schema)
-    query = (typed.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start(table_path))
+    writer = (typed.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint))
+    if trigger_interval:
+        return writer.trigger(processingTime=trigger_interval).start(table_path)
+    query = writer.trigger(availableNow=True).start(table_path)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

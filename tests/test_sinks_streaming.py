@@ -130,3 +130,17 @@ def test_write_jdbc_refuses_empty_frame(spark):
     from folio.sinks.writers import write_jdbc
     with pytest.raises(EmptyOutputError):
         write_jdbc(spark.range(1).select(), "jdbc:none", "t", properties={})
+
+
+def test_stream_ingest_long_running(spark, tmp_out):
+    landing, out, ckpt = f"{tmp_out}/land2", f"{tmp_out}/tab2", f"{tmp_out}/ck2"
+    _landing_file(landing, "a.csv", [("1", "T1", "5", "0")])
+    q = stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA, header=HEADER,
+                            trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        _landing_file(landing, "b.csv", [("2", "T2", "4", "1")])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2"]
