@@ -90,6 +90,7 @@ GROUP BY r.title""",
     "table_scan": f"{V}\nSELECT * FROM ratings_v",
     "top_n": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
     "top_n_tree": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
+    "top_n_cutoff": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
 }
 
 

@@ -150,6 +150,13 @@ def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER)
 
 
+def top_n_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cap through histogram cutoffs on the leading key (merge of ~n rows)."""
+    configure(spark)
+    ratings = A.reviews(spark, sf_dir, with_part_key=True)
+    return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER, strategy="cutoff")
+
+
 def top_n_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same cap through the tree merge (partial rank limits, fan-in groups)."""
     configure(spark)
@@ -288,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_scan": table_scan,
     "top_n": top_n,
     "top_n_tree": top_n_tree,
+    "top_n_cutoff": top_n_cutoff,
     "rename_columns": rename_columns_q,
     "project_existing": project_existing_q,
     "na_tokens": na_tokens_q,

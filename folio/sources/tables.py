@@ -46,17 +46,31 @@ def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column], *, fan_in: in
     groups, a partial ``WindowGroupLimit`` keeps each task's top ``n``
     before the shuffle, each group keeps its top ``n``, and the final merge
     sees at most ``fan_in * n`` rows; it costs a sort of every partition.
+    ``"cutoff"`` (an integral or decimal column leading the order): histogram passes
+    over that column find where the n-th row falls, and only rows up to that
+    point reach the merge -- about ``n`` rows whatever the partition count.
     ``"auto"`` takes the direct form while ``n`` times the number of input
-    files (a lower bound on scan partitions) fits ``FUNNEL_BUDGET``.  A plain
-    unordered ``limit`` returns an arbitrary subset and is not offered.
+    files (a lower bound on scan partitions) fits ``FUNNEL_BUDGET``, else the
+    cutoff form when it applies, else the tree.  A plain unordered ``limit``
+    returns an arbitrary subset and is not offered.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if strategy not in ("auto", "direct", "tree", "cutoff"):
+        raise ValueError(f"strategy must be auto, direct, tree or cutoff, got {strategy!r}")
     if strategy == "auto":
-        strategy = "direct" if n * max(1, len(df.inputFiles())) <= FUNNEL_BUDGET else "tree"
+        if n * max(1, len(df.inputFiles())) <= FUNNEL_BUDGET:
+            strategy = "direct"
+        else:
+            strategy = "cutoff" if _numeric_lead(df, order_by) else "tree"
+    if strategy == "cutoff":
+        if not _numeric_lead(df, order_by):
+            raise ValueError("the cutoff strategy needs an integral or decimal column first")
+        candidates, small = _cutoff_candidates(df, n, order_by[0])
+        if small:
+            return candidates.orderBy(*order).limit(n)
+        df, strategy = candidates, "tree"   # a large tie at the cut: reduce it as a tree
     if strategy == "direct" or not _allow_partial_rank_limit(df.sparkSession, n):
         return df.orderBy(*order).limit(n)
-    if strategy != "tree":
-        raise ValueError(f"strategy must be 'auto', 'direct' or 'tree', got {strategy!r}")
     group, rank = "__topn_group", "__topn_rank"
     w = Window.partitionBy(group).orderBy(*order)
     staged = (df.withColumn(group, F.pmod(F.spark_partition_id(), F.lit(fan_in)))
@@ -66,6 +80,72 @@ def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column], *, fan_in: in
     return staged.orderBy(*order).limit(n)
 
 
+# Lead types the cutoff strategy accepts (no floating point: NaN sorts last
+# and would need its own bucket).
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+CUTOFF_BUCKETS = 4096
+CUTOFF_ROUNDS = 4
+CUTOFF_BUDGET = 100_000     # rows the final bucket may hold for a direct merge
+
+
+def _numeric_lead(df: DataFrame, order_by: Sequence[str | Column]) -> bool:
+    first = order_by[0] if order_by else None
+    if not isinstance(first, str):
+        return False
+    dtype = dict(df.dtypes).get(first, "")
+    return dtype in _INTEGRAL or dtype.startswith("decimal")
+
+
+def _cutoff_candidates(df: DataFrame, n: int, lead: str) -> tuple[DataFrame, bool]:
+    """Rows that can be among the first ``n`` by an ascending order led by ``lead``.
+
+    Histogram passes over ``lead`` (one column read, partial aggregation, at
+    most ``CUTOFF_BUCKETS`` rows back) find the bucket where the n-th row
+    falls, narrowing into that bucket up to ``CUTOFF_ROUNDS`` times.  The
+    candidates are the NULL leads (they sort first), every row of an earlier
+    bucket and the rows of the final bucket.  Returns them with ``True`` when
+    they are about ``n`` plus one small bucket -- independent of the
+    partition count -- and ``False`` when the cut falls inside a large group
+    no histogram can split (many rows sharing one lead value, or NULL leads).
+    """
+    col = F.col(lead)
+    key = col.cast("double")       # monotonic, so buckets keep the order
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count(col).alias("keyed"),
+                   F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    budget = max(n, CUTOFF_BUDGET)
+    if stats["rows"] <= n:
+        return df, True
+    nulls = stats["rows"] - stats["keyed"]
+    need = n - nulls
+    if need <= 0:
+        return df.filter(col.isNull()), nulls <= budget
+    lo, hi, scope_rows = stats["lo"], stats["hi"], stats["keyed"]
+    keep = col.isNull()            # rows surely among the first n
+    scope = F.lit(True)            # the bucket being narrowed
+    for _ in range(CUTOFF_ROUNDS):
+        if scope_rows <= budget or hi <= lo:
+            break
+        width = (hi - lo) / CUTOFF_BUCKETS
+        bucket = F.least(F.floor((key - F.lit(lo)) / F.lit(width)),
+                         F.lit(CUTOFF_BUCKETS - 1)).cast("int")
+        hist = (df.filter(scope & col.isNotNull())
+                .groupBy(bucket.alias("b"))
+                .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"),
+                     F.max(key).alias("hi"))
+                .collect())
+        cum, cut = 0, None
+        for row in sorted(hist, key=lambda r: r["b"]):
+            if cum + row["rows"] >= need:
+                cut = row
+                break
+            cum += row["rows"]
+        keep = keep | (scope & (bucket < cut["b"]))
+        scope = scope & (bucket == cut["b"])
+        need -= cum
+        lo, hi, scope_rows = cut["lo"], cut["hi"], cut["rows"]
+    return df.filter(keep | (scope & col.isNotNull())), scope_rows <= budget
+
+
 _WGL_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 

@@ -118,3 +118,18 @@ def test_fused_audit_equals_standalone_audits(spark, rev, cat):
     ]
     for fused, alone in pairs:
         assert sorted(fused.collect(), key=key) == sorted(alone.collect(), key=key)
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-50, 50), st.just(10**12)), min_size=1,
+                     max_size=400),
+       n=st.integers(1, 450))
+def test_cutoff_top_n_equals_sorted_prefix(spark, monkeypatch, vals, n):
+    import folio.sources.tables as TB
+    monkeypatch.setattr(TB, "CUTOFF_BUDGET", 5)     # force histogram rounds and fallbacks
+    monkeypatch.setattr(TB, "CUTOFF_BUCKETS", 4)
+    rows = [(v, i) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint").repartition(3)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:n]
+    got = [(r.a, r.b) for r in TB.top_n(df, n, ["a", "b"], strategy="cutoff", fan_in=2).collect()]
+    assert got == want
