@@ -1,4 +1,4 @@
-"""Plan inspection helpers (used by tests and the bench to check plan shape)."""
+"""Plan inspection helpers (used by the tests and scripts/plan_report.py)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Sinks: table overwrite/append, CSV export, and post-write row counts.
+"""Sinks: table overwrite/append, CSV export, JDBC, and post-write row counts.
 
 Writes go through Spark's file committer, so a failed or retried task
 never leaves partial output, and an overwrite replaces the table in one
