@@ -144,3 +144,20 @@ def test_stream_ingest_long_running(spark, tmp_out):
     finally:
         q.stop()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2"]
+
+
+def test_partitioned_write_and_table_read(spark, tmp_out, reviews):
+    from folio.sinks.writers import ensure_database
+    n = write_table(reviews, path=f"{tmp_out}/p", partition_by=["review_summary"])
+    assert n == 6
+    assert {d.split("=")[0] for d in os.listdir(f"{tmp_out}/p") if "=" in d} == {"review_summary"}
+    back = spark.read.parquet(f"{tmp_out}/p")
+    assert back.filter("review_summary = 'a'").count() == 1       # partition pruning path
+    ensure_database(spark, "folio_rt", f"{tmp_out}/wh")
+    try:
+        write_table(reviews, table="folio_rt.reviews")
+        assert read_table(spark, table="folio_rt.reviews").count() == 6
+        with pytest.raises(ValueError):
+            read_table(spark, table="folio_rt.reviews", path=f"{tmp_out}/p")
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS folio_rt CASCADE")
