@@ -46,8 +46,9 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
     """Curated reviews: one row per review whose ``key`` has a catalog row.
 
     The catalog is deduplicated first (first row per key by
-    ``catalog_order``), so the join is many-to-one and never multiplies
-    reviews.  Only the catalog columns the output needs reach the join.
+    ``catalog_order``, or by the content of the output columns when none is
+    given), so the join is many-to-one and never multiplies reviews.  Only
+    the catalog columns the output needs reach the join.
 
     ``hot_keys`` salts known heavy keys in the join; ``"auto"`` finds the
     keys holding at least ``hot_share`` of the reviews first (one grouped
@@ -58,9 +59,14 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
     """
     if hot_keys == "auto":
         hot_keys = find_hot_keys(reviews, key, min_share=hot_share)
-    books = dedupe_first(catalog, [key], catalog_order)
-    wanted = [c for c in columns if c in books.columns and c not in reviews.columns]
-    books = books.select(key, *wanted)
+    wanted = [c for c in columns if c in catalog.columns and c not in reviews.columns]
+    if catalog_order is None:
+        # Without an order the pick is content-based; only the output columns
+        # can tell duplicates apart, so order by those and let the scan skip
+        # the rest (long descriptions, links).
+        books = dedupe_first(catalog.select(key, *wanted), [key])
+    else:
+        books = dedupe_first(catalog, [key], catalog_order).select(key, *wanted)
     joined = lookup_join(with_review_date(reviews), books, key, null_keys=null_keys,
                          hot_keys=hot_keys, split_nulls=split_nulls)
     return project_existing(fill_defaults(joined, fills), columns)

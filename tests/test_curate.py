@@ -181,3 +181,13 @@ def test_dedupe_key_only_frame(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "title string")
     assert sorted(dedupe_first(df, ["title"]).collect(), key=lambda r: (r.title is None, r.title)) \
         == [("a",), ("b",), (None,)]
+
+
+def test_default_order_reads_only_output_columns(spark, tmp_out, catalog, reviews):
+    from folio.plans.inspect import plan_text
+    catalog.withColumn("description", F.lit("long text")).write.parquet(f"{tmp_out}/cat")
+    cat = spark.read.parquet(f"{tmp_out}/cat")
+    out = curate(cat, reviews)
+    schema_line = [ln for ln in plan_text(out).splitlines() if "ReadSchema" in ln][0]
+    assert "description" not in schema_line and "seq" not in schema_line
+    assert out.count() == 5
