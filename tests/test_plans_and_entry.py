@@ -62,6 +62,10 @@ def test_null_profile_one_scan_per_table(spark):
     assert count_nodes(Q.null_profile(spark, SF), "Scan parquet") == 2
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     return (v is None, repr(v) if isinstance(v, float) else str(v))
 
@@ -77,13 +81,16 @@ def test_all_queries_match_oracle_at_smallest_scale(spark):
         cols = sorted(df.columns)
         idx = [df.columns.index(c) for c in cols]
         got = sorted(tuple(_norm(r[i]) for i in idx) for r in df.collect())
-        res = con.execute(sql[name])
-        ocols = [d[0] for d in res.description]
+        rel = con.sql(sql[name])
+        ocols, otypes = rel.columns, [str(t) for t in rel.types]
         oidx = [ocols.index(c) for c in cols] if sorted(ocols) == cols else None
         if oidx is None:
             bad.append((name, "columns", cols, sorted(ocols)))
             continue
-        want = sorted(tuple(_norm(r[i]) for i in oidx) for r in res.fetchall())
+        stypes = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString()) for f in df.schema}
+        if any(stypes[c] != t for c, t in zip(ocols, otypes)):
+            bad.append((name, "types", stypes, dict(zip(ocols, otypes))))
+        want = sorted(tuple(_norm(r[i]) for i in oidx) for r in rel.fetchall())
         if got != want:
             bad.append((name, len(got), len(want)))
     assert bad == []
