@@ -209,3 +209,11 @@ def test_odd_header_characters(spark, tmp_out):
     proj = read_csv_table(spark, path, C.REVIEW_SCHEMA)
     assert proj.dropped == ["we`ird", "a.b"]
     assert [(r.id, r.title) for r in proj.frame.collect()] == [("1", "T")]
+
+
+def test_utf8_bom_header(spark, tmp_out):
+    path = f"{tmp_out}/bom.csv"
+    with open(path, "w", encoding="utf-8-sig") as fh:
+        fh.write("Title,authors\nT1,A\n")
+    proj = read_csv_table(spark, path, C.CATALOG_SCHEMA)
+    assert proj.dropped == [] and [(r.title, r.authors) for r in proj.frame.collect()] == [("T1", "A")]
