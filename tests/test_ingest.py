@@ -217,3 +217,13 @@ def test_utf8_bom_header(spark, tmp_out):
         fh.write("Title,authors\nT1,A\n")
     proj = read_csv_table(spark, path, C.CATALOG_SCHEMA)
     assert proj.dropped == [] and [(r.title, r.authors) for r in proj.frame.collect()] == [("T1", "A")]
+
+
+def test_crlf_line_endings(spark, tmp_out):
+    path = f"{tmp_out}/crlf.csv"
+    with open(path, "w", encoding="utf-8", newline="") as fh:
+        fh.write('Title,authors\r\nT1,A\r\n"T\r\n2",B\r\n')
+    rows = {r.authors: r.title for r in read_csv_table(spark, path, C.CATALOG_SCHEMA).frame.collect()}
+    # no stray carriage return at line ends; Spark's parser reads a CRLF inside
+    # a quoted field as LF (documented limitation)
+    assert rows == {"A": "T1", "B": "T\n2"}
