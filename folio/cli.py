@@ -1,8 +1,9 @@
 """Command line: ``python -m folio <command>``, or ``spark-submit folio/__main__.py <command>``.
 
     load   --books CSV --ratings CSV --tables DIR [--report-dir DIR] [--append]
-           [--skip-missing] [--row-order] [--no-fail]   ingest both CSVs, then audit
+           [--skip-missing] [--row-order] [--strict] [--no-fail]   ingest, then audit
     ingest --books CSV --ratings CSV --tables DIR [--append] [--skip-missing] [--row-order]
+           [--strict]
     audit  --tables DIR [--report-dir DIR] [--fail]
     etl    --tables DIR --out DIR [--csv DIR [--csv-single-file]]
            [--max-reviews N --review-order COL,...]
@@ -50,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
         q.add_argument("--tables", required=True, help="output folder for the Parquet tables")
         q.add_argument("--append", action="store_true", help="append instead of replacing")
         q.add_argument("--skip-missing", action="store_true", help="skip absent inputs")
+        q.add_argument("--strict", action="store_true",
+                       help="fail on rows whose field count does not match the header")
         q.add_argument("--row-order", action="store_true",
                        help=f"keep each row's load order in a {ROW_ORDER!r} column")
 
@@ -89,12 +92,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = configure(spark or SparkSession.builder.appName(f"folio-{args.command}").getOrCreate())
     on_missing = "skip" if getattr(args, "skip_missing", False) else "fail"
     row_order = ROW_ORDER if getattr(args, "row_order", False) else None
+    malformed = "fail" if getattr(args, "strict", False) else "permissive"
     try:
         if args.command == "ingest":
             res = ingest_job(spark, {"books_data": (args.books, C.CATALOG_SCHEMA),
                                      "books_rating": (args.ratings, C.REVIEW_SCHEMA)},
                              args.tables, truncate_first=not args.append, on_missing=on_missing,
-                             row_order_col=row_order)
+                             row_order_col=row_order, malformed=malformed)
             print(json.dumps({"counts": res.counts, "total": res.total,
                               "dropped_headers": res.dropped_headers,
                               "rejected_values": res.rejected_values}))
@@ -102,7 +106,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             res, aud = ingest_and_audit(spark, args.books, args.ratings, args.tables,
                                         report_dir=args.report_dir, truncate_first=not args.append,
                                         on_missing=on_missing, raise_on_fail=not args.no_fail,
-                                        row_order_col=row_order)
+                                        row_order_col=row_order, malformed=malformed)
             print(json.dumps({"counts": res.counts, "gate": aud.gate, "passed": aud.passed}))
         elif args.command == "audit":
             books, ratings = _tables(spark, args.tables)

@@ -34,7 +34,8 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]], o
                header_map: Mapping[str, str] = C.HEADER_MAP,
                na_tokens: Sequence[str] = C.NA_TOKENS,
                out_partitions: int | None = None,
-               row_order_col: str | None = None) -> IngestResult:
+               row_order_col: str | None = None,
+               malformed: str = "permissive") -> IngestResult:
     """Load each ``name -> (csv_path, schema)`` into ``out_root/name`` (Parquet).
 
     One Spark job per table replaces the chunked append loop: the table is
@@ -56,7 +57,8 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]], o
     for name, (path, schema) in sources.items():
         obs = Observation(f"rejects_{name}")
         proj = read_csv_table(spark, path, schema, header_map=header_map, na_tokens=na_tokens,
-                              on_missing=on_missing, observation=obs, row_order_col=row_order_col)
+                              on_missing=on_missing, observation=obs, row_order_col=row_order_col,
+                              malformed=malformed)
         planned[name] = (schema, obs, proj)
     for name, (schema, obs, proj) in planned.items():
         result.missing_columns[name] = proj.missing
@@ -131,7 +133,8 @@ def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str, ou
                      on_missing: str = "fail",
                      thresholds: Mapping[str, int] = C.VOLUME_THRESHOLDS,
                      raise_on_fail: bool = True,
-                     row_order_col: str | None = None) -> tuple[IngestResult, AuditResult]:
+                     row_order_col: str | None = None,
+                     malformed: str = "permissive") -> tuple[IngestResult, AuditResult]:
     """Load both raw tables, then audit them; fail fast on the volume gate.
 
     Tables land under ``out_root/books_data`` and ``out_root/books_rating``;
@@ -141,7 +144,7 @@ def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str, ou
     loaded = ingest_job(spark, {"books_data": (catalog_csv, C.CATALOG_SCHEMA),
                                 "books_rating": (reviews_csv, C.REVIEW_SCHEMA)},
                         out_root, truncate_first=truncate_first, on_missing=on_missing,
-                        row_order_col=row_order_col)
+                        row_order_col=row_order_col, malformed=malformed)
     root = out_root.rstrip("/")
     tables = {}
     for name, schema in (("books_data", C.CATALOG_SCHEMA), ("books_rating", C.REVIEW_SCHEMA)):

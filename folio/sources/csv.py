@@ -54,19 +54,29 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, *,
                    on_missing: str = "fail",
                    observation: Observation | None = None,
                    options: Mapping[str, str] | None = None,
-                   row_order_col: str | None = None) -> Projection:
+                   row_order_col: str | None = None,
+                   malformed: str = "permissive") -> Projection:
     """Read a CSV file or folder into ``schema``: rename, project, NA tokens, cast.
 
     Returns the typed frame with the names of missing target columns and of
     dropped input headers.  ``on_missing="skip"`` gives an empty frame with
     the target schema when the input does not exist.
 
+    ``malformed="fail"`` makes a row whose field count does not match the
+    header fail the read (Spark's ``FAILFAST``) instead of being padded or
+    cut.
+
     ``row_order_col`` adds a long column numbering rows in load order
     (``monotonically_increasing_id`` right after the scan): exactly file
     order for one file, and stable for the same file layout otherwise, so
     "the first row per key" can mean first as loaded.
     """
-    raw = read_csv_text(spark, path, options=options, on_missing=on_missing)
+    if malformed not in ("permissive", "fail"):
+        raise ValueError("malformed must be 'permissive' or 'fail'")
+    opts = dict(options or {})
+    if malformed == "fail":
+        opts["mode"] = "FAILFAST"
+    raw = read_csv_text(spark, path, options=opts, on_missing=on_missing)
     if raw is None:
         empty = spark.createDataFrame([], schema)
         if row_order_col:

@@ -227,3 +227,15 @@ def test_crlf_line_endings(spark, tmp_out):
     # no stray carriage return at line ends; Spark's parser reads a CRLF inside
     # a quoted field as LF (documented limitation)
     assert rows == {"A": "T1", "B": "T\n2"}
+
+
+def test_malformed_rows_fail_when_strict(spark, tmp_out):
+    path = _write(f"{tmp_out}/bad.csv", "Title,authors\nT1,A\nT2,B,extra\n")
+    loose = read_csv_table(spark, path, C.CATALOG_SCHEMA).frame
+    assert sorted(r.title for r in loose.collect()) == ["T1", "T2"]
+    strict = read_csv_table(spark, path, C.CATALOG_SCHEMA, malformed="fail").frame
+    with pytest.raises(Exception):
+        strict.collect()
+    with pytest.raises(Exception):
+        ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, f"{tmp_out}/bad_out",
+                   malformed="fail")
