@@ -52,12 +52,17 @@ def epoch_to_date(col: str | Column) -> Column:
 
 
 def null_tokens(col: str | Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
-    """NULL where the text equals one of ``tokens`` exactly, else unchanged."""
+    """NULL where the text equals one of ``tokens`` exactly, else unchanged.
+
+    Text longer (in UTF-8 bytes) than every token is kept without hashing
+    it for the set lookup, so long review texts cost a length check only.
+    """
     tokens = list(tokens)
     c = _c(col)
     if not tokens:
         return c
-    return F.when(~c.isin(tokens), c)
+    longest = max(len(t.encode("utf-8")) for t in tokens)
+    return F.when((F.octet_length(c) > longest) | ~c.isin(tokens), c)
 
 
 def round_half_up(value: Column, scale: int = 2) -> Column:
