@@ -46,10 +46,12 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str =
     from the dim side.
 
     ``hot_keys`` lists keys known to be heavy on the fact side (``None`` is
-    the NULL key).  Their fact rows are spread over ``salt_buckets`` by a
-    content hash and their dim rows replicated that many times; the
-    replication is bounded by ``len(hot_keys) * salt_buckets`` rows because
-    the dim holds one row per key.
+    the NULL key).  Their fact rows are dealt round-robin over
+    ``salt_buckets`` by row position (constant cost, even for long texts)
+    and their dim rows replicated that many times; the replication is
+    bounded by ``len(hot_keys) * salt_buckets`` rows because the dim holds
+    one row per key.  Every replica is identical, so whichever salt a row
+    gets -- also after a task retry -- it joins to the same values.
 
     ``split_nulls`` (with ``null_keys="match"``) joins non-NULL keys by plain
     equality -- which can reuse a ``key`` partitioning or bucketing of either
@@ -72,7 +74,8 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str =
     if hot_keys:
         hot_f = _is_hot(F.col(key), hot_keys)
         f = facts.withColumn(
-            _SALT, F.when(hot_f, F.pmod(F.xxhash64(*facts.columns), F.lit(salt_buckets))).otherwise(0))
+            _SALT, F.when(hot_f, F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
+            .otherwise(0))
         hot_d = _is_hot(F.col(_DIM_KEY), hot_keys)
         d = d.withColumn(
             _SALT, F.explode(F.when(hot_d, F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
