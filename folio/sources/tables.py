@@ -32,7 +32,7 @@ def read_table(spark: SparkSession, *, path: str | None = None, table: str | Non
 
 
 # Rows the single final merge of a direct top-n may receive (n per input
-# partition); above this the merge is reduced as a tree.
+# partition); above this ``auto`` cuts the input first (or reduces it as a tree).
 FUNNEL_BUDGET = 5_000_000
 
 
