@@ -133,3 +133,19 @@ def test_cutoff_top_n_equals_sorted_prefix(spark, monkeypatch, vals, n):
     want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:n]
     got = [(r.a, r.b) for r in TB.top_n(df, n, ["a", "b"], strategy="cutoff", fan_in=2).collect()]
     assert got == want
+
+
+@SETTINGS
+@given(cat=catalog_rows, rev=review_rows)
+def test_key_checks_match_python(spark, cat, rev):
+    from folio.operators.joins import orphan_keys
+    from folio.operators.quality import key_violations
+    catalog, reviews = _catalog(spark, cat), _reviews(spark, rev)
+    counts = Counter(t for t, _ in cat)
+    want_viol = {t: c for t, c in counts.items() if t is None or c > 1}
+    got_viol = {r.title: r.n_rows for r in key_violations(catalog, "title").collect()}
+    assert got_viol == want_viol
+    titles = {t for t, _ in cat if t is not None}
+    want_orph = Counter(t for t, _ in rev if t is not None and t not in titles)
+    got_orph = {r.title: r.n_reviews for r in orphan_keys(reviews, catalog, "title").collect()}
+    assert got_orph == dict(want_orph)
