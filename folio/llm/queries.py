@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import quality_rules
+from folio.llm import line_dedup, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_rule").alias("rule"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.cut_repeats(docs).select(
+        "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
+        F.sha2("_kept_text", 256).alias("kept_sha256"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_line_dedup": op6_line_dedup,
 }
