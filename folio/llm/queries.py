@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import jaccard_join, line_dedup, lm_score, quality_rules, substring_dedup
+from folio.llm import (jaccard_join, line_dedup, lm_score, quality_rules, substring_dedup, token_counts,
+                       token_output)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a sequence; the shards themselves lie in the shared folder."""
+    return token_output.materialise(table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after masking, the latter from the edited trees."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = token_counts.mask_edits(token_counts.build_trees(docs))
+    return token_counts.update_trees(trees).select(
+        "doc_id", F.col("_tree")[1].cast("long").alias("n_tokens"),
+        F.size("_edits").cast("long").alias("n_edits"),
+        F.col("_new_tree")[1].cast("long").alias("n_tokens_edited"),
+        F.size("_new_chars").cast("long").alias("n_segments"), F.col("_encoded").alias("n_encoded_again"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
@@ -46,6 +63,8 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_output": op1_token_output,
+    "op2_token_counts": op2_token_counts,
     "op3_quality_rules": op3_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
