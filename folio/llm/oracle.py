@@ -1,3 +1,45 @@
 """DuckDB SQL for the ``opN_`` queries that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+OP9 = r"""
+WITH docs AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('71:' || coalesce(doc_id::VARCHAR, '')) AS place
+  FROM documents),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS no
+  FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, [1.0::DOUBLE, 2.0::DOUBLE, 3.0::DOUBLE][no % 3 + 1] AS weight, 3.0::DOUBLE * source_size AS cap FROM per),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER earlier, 0.0)::DOUBLE)
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0.0)::DOUBLE) AS level
+  FROM weighed
+  WINDOW earlier AS (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT *, CASE WHEN cap <= level * weight THEN cap
+                 ELSE weight * (SELECT arg_min(level, [cap / weight, no]) FROM levels WHERE cap > level * weight)
+            END AS target
+  FROM levels),
+placed AS (
+  SELECT doc_id, size, source_size, target, no,
+         coalesce(sum(size) OVER (PARTITION BY no ORDER BY place, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         coalesce(floor(target / nullif(source_size, 0)), 0) AS epochs
+  FROM docs JOIN goals ON docs.source IS NOT DISTINCT FROM goals.source),
+read AS (
+  SELECT *, CASE WHEN size = 0 THEN 0
+                 ELSE epochs + CASE WHEN before + size / 2.0::DOUBLE <= target - epochs * source_size THEN 1 ELSE 0 END
+            END AS readings,
+         least(1.0, (before + size / 2.0::DOUBLE) / nullif(target, 0)) AS share,
+         [-0.6::DOUBLE, 0.0::DOUBLE, 0.6::DOUBLE][no % 3 + 1] AS slope
+  FROM placed)
+SELECT doc_id, size, source_size, target, (size * readings)::BIGINT AS taken,
+       CASE WHEN readings = 0 THEN NULL WHEN slope = 0 THEN share
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope)
+       END AS first_position
+FROM read
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9}

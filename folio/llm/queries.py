@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import (jaccard_join, line_dedup, lm_score, quality_rules, substring_dedup, token_counts,
+from folio.llm import (jaccard_join, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts,
                        token_output)
 
 
@@ -58,6 +58,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.plan(docs).select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"), (F.col("_size") * F.col("_readings")).alias("taken"),
+        F.when(F.col("_readings") > 0, mixing.position(F.lit(0))).alias("first_position"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -69,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_mixing": op9_mixing,
     "op10_lm_scoring": op10_lm_scoring,
 }
