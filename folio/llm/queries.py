@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import (jaccard_join, line_dedup, lm_score, mixing, quality_rules, substring_dedup, token_counts,
-                       token_output)
+from folio.llm import (decontaminate, jaccard_join, line_dedup, lm_score, mixing, quality_rules, substring_dedup,
+                       token_counts, token_output)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,12 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it copies."""
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.plan(docs).select(
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_lm_scoring": op10_lm_scoring,
 }
