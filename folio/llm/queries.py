@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import (decontaminate, jaccard_join, line_dedup, lm_score, mixing, quality_rules, substring_dedup,
-                       token_counts, token_output)
+from folio.llm import (decontaminate, html_extract, jaccard_join, line_dedup, lm_score, mixing,
+                       quality_rules, substring_dedup, token_counts, token_output)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_rule").alias("rule"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_extract.extract(table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_shared")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.cut_repeats(docs).select(
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_token_counts": op2_token_counts,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_extraction": op4_html_extraction,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
