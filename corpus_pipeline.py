@@ -2,7 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``.  All but the
-last return the columns of ``documents``.
+last return the columns of ``documents``, whatever columns these are besides
+doc_id, text and source.
+
+The last stage returns a row for each training sequence (slot, shard, offset,
+doc_id, seq, n_tokens) and leaves the shards in the shared folder.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.llm import quality_rules
+from folio.llm import decontaminate, jaccard_join, mixing, quality_rules, token_output
 from folio.llm.queries import table
 from folio.session import scratch_path
 
@@ -21,8 +25,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents, keep the one with the smallest doc_id."""
+    return jaccard_join.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a copy of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat and order the documents along the curriculum."""
+    return mixing.mix(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenise, permute and write the training shards."""
+    return token_output.materialise(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_stage),
+    ("jaccard_join", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("token_output", token_stage),
 ]
 
 #: SQL can't express the stages; tests compare them with brute force.

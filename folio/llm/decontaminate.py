@@ -23,7 +23,8 @@ they are ``BROADCAST_WINDOWS`` at most, and merge-joined otherwise.
 Defined results: null and empty texts, of documents or items, match nothing;
 rows that repeat a doc_id with the same text are one document, with another
 text they are judged apart; a null id is an id like others; items that repeat
-an item_id are one item if their texts are equal, and judged apart if not.
+an item_id are one item if their texts are equal, and judged apart if not.  The
+documents' other columns may have any names.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.llm.columns import shielded
 from folio.session import scratch_path
 
 WINDOW = 8
@@ -181,4 +183,6 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no copy of a benchmark item."""
     found = matches(docs, benchmark).select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_key")), "left_anti")
+    plain, restored = shielded(docs, "doc_id", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_key"))
+    return restored(plain.join(found, same, "left_anti"))

@@ -39,10 +39,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import bitfilter
+from folio.llm.columns import shielded
 from folio.llm.components import connected_components
 from folio.llm.words import (as_bytes, blocks, mix, signed, split_words, whole_windows, window_hashes,
                              word_hashes)
@@ -372,3 +373,21 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return named.select(
         F.nullif("doc_id", null_id).alias("doc_id"), F.col("n").alias("n_shingles"),
         F.nullif(F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")), null_id).alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, with all its columns.
+
+    Of rows that repeat a doc_id and its text, one stays.  A row without an id
+    goes by its text: copies of a document that has an id give way to it.
+    Documents without words stay.
+    """
+    plain, restored = shielded(docs, "doc_id", "text")
+    # ids of its own, above all others, for a row that has none
+    own = (1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
+    plain = plain.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
+    similar = similar_documents(plain.select(F.col("__id").alias("doc_id"), "text"))
+    losers = similar.where("component_id <> doc_id").select(F.col("doc_id").alias("__loser")).distinct()
+    kept = plain.join(losers, F.col("__id") == F.col("__loser"), "left_anti")
+    again = F.row_number().over(Window.partitionBy("__id", F.xxhash64("text")).orderBy(F.lit(0)))
+    return restored(kept.withColumn("__again", again).where("__again = 1"))

@@ -19,7 +19,8 @@ compared by 128-bit hashes.
 Defined results: a null or empty text is one empty line; a line repeated
 inside its owner stays; null ids count as the smallest id; rows that repeat a
 doc_id are one document for ownership, and each row is rebuilt on its own.
-Other columns of the input pass through untouched.
+Other columns of the input pass through untouched, but for those that have the
+name of an added one, which are left out.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio.llm.columns import without
 from folio.llm.words import as_bytes
 from folio.session import scratch_path
 
@@ -148,10 +150,11 @@ def dropped_lines(docs: DataFrame, runs: LineRuns, batches: int = BATCHES) -> Da
 def dedup_lines(docs: DataFrame, runs: LineRuns | None = None, batches: int = BATCHES) -> DataFrame:
     """``docs`` with text rebuilt, and ``_n_lines`` (before) and ``_n_dropped``."""
     spark = docs.sparkSession
+    docs = without(docs, "_n_lines", "_n_dropped")
     runs = runs or LineRuns(spark, scratch_path(spark, "line-runs"))
-    drop = dropped_lines(docs, runs, batches).select(F.col("doc_id").alias("__id"), F.col("lines").alias("__drop"))
+    drop = dropped_lines(docs, runs, batches).select(F.col("doc_id").alias("__line_id"), F.col("lines").alias("__drop"))
     smallest = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    joined = docs.join(drop, smallest == F.col("__id"), "left").drop("__id")
+    joined = docs.join(drop, smallest == F.col("__line_id"), "left").drop("__line_id")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("_n_lines", T.LongType()),
                            T.StructField("_n_dropped", T.LongType())])

@@ -23,7 +23,8 @@ single group.  Texts are not shuffled for the sums.
 Defined results: a null text has size 0, is never read, and takes 0; a source
 without words has target 0; without rows there is no result.  Rows that
 repeat a doc_id and its text share their place in the order but are read one
-by one.  Other columns pass through the mix untouched.
+by one.  Other columns pass through untouched, but for those that have the name
+of an added one, which plan() leaves out and mix() keeps.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.llm.columns import shielded, without
 from folio.session import scratch_path
 
 MAX_EPOCHS = 3
@@ -43,6 +45,8 @@ KEY = 71
 ROWS_PER_BUCKET = 20_000
 BROADCAST_SOURCES = 50_000
 
+ADDED = ("_size", "_source_size", "_target", "_readings", "_before", "_source_no")
+
 
 def n_words(text: str = "text") -> Column:
     """Words of a text; null: 0."""
@@ -86,39 +90,38 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def plan(docs: DataFrame, key: int = KEY) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target``, ``_readings`` and ``_before``
-    (words of its source that come before it in one reading of the source)."""
+    """``docs`` with ``_size``, ``_source_size``, ``_target``, ``_readings``, ``_before`` (words of its
+    source that come before it in one reading of the source) and ``_source_no``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "mixing")
-    names = docs.columns
+    docs = without(docs, *ADDED)
     bits = max(0, min(24, math.ceil(math.log2(max(1, docs.count()) / ROWS_PER_BUCKET))))
     sized = (docs.select("*", n_words().alias("_size"), _order("doc_id", key).alias("__order"))
              .withColumn("__bucket", _bucket(F.col("__order"), bits)))
-    (sized.groupBy("source", "__bucket").agg(F.sum("_size").alias("size")).write.parquet(f"{path}/buckets"))
+    sized.groupBy("source", "__bucket").agg(F.sum("_size").alias("size")).write.parquet(f"{path}/buckets")
     buckets = spark.read.parquet(f"{path}/buckets")
     targets(buckets).write.parquet(f"{path}/targets")
-    goal = spark.read.parquet(f"{path}/targets").withColumnRenamed("source", "__source")
+    goal = spark.read.parquet(f"{path}/targets").select(
+        F.col("source").alias("__source"), F.col("source_no").alias("_source_no"),
+        F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
     same = F.col("source").eqNullSafe(F.col("__source"))
-    small = goal.count() <= BROADCAST_SOURCES
-    goal = F.broadcast(goal) if small else goal
-    earlier = Window.partitionBy("source_no").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    goal = F.broadcast(goal) if goal.count() <= BROADCAST_SOURCES else goal.hint("merge")
+    earlier = Window.partitionBy("_source_no").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (buckets.join(goal, same)
-               .select(F.col("source_no").alias("__no"), F.col("__bucket").alias("__b"),
+               .select(F.col("_source_no").alias("__no"), F.col("__bucket").alias("__b"),
                        F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("__offset")))
-    inside = (Window.partitionBy("source_no", "__bucket").orderBy("__order", "_size")
+    inside = (Window.partitionBy("_source_no", "__bucket").orderBy("__order", "_size")
               .rowsBetween(Window.unboundedPreceding, -1))
     rows = (sized.join(goal, same)
             .withColumn("__inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-            .join(offsets, (F.col("source_no") == F.col("__no")) & (F.col("__bucket") == F.col("__b")))
+            .join(offsets, (F.col("_source_no") == F.col("__no")) & (F.col("__bucket") == F.col("__b")))
             .withColumn("_before", F.col("__offset") + F.col("__inside")))
-    epochs = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
-    rest = F.col("target") - epochs * F.col("source_size")
+    epochs = F.coalesce(F.floor(F.col("_target") / F.nullif(F.col("_source_size"), F.lit(0))), F.lit(0))
+    rest = F.col("_target") - epochs * F.col("_source_size")
     # once more, if at least half of the document is within the rest
     more = F.when(F.col("_before") + F.col("_size") / 2 <= rest, 1).otherwise(0)
-    readings = F.when(F.col("_size") > 0, epochs + more).otherwise(0)
-    return rows.select(*[F.col(f"`{c}`") for c in names], "_size", F.col("source_size").alias("_source_size"),
-                       F.col("target").alias("_target"), readings.cast("int").alias("_readings"), "_before",
-                       F.col("source_no").alias("_source_no"))
+    readings = F.when(F.col("_size") > 0, epochs + more).otherwise(0).cast("int")
+    return rows.withColumn("_readings", readings).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
 
 
 def position(reading: Column) -> Column:
@@ -130,11 +133,15 @@ def position(reading: Column) -> Column:
     return F.when(slope == 0, share).otherwise((root - (1 - slope)) / (2 * slope))
 
 
+def readings(docs: DataFrame, key: int = KEY) -> DataFrame:
+    """A row for every reading of every document: plan()'s columns, ``_reading`` and ``_position``."""
+    return (plan(without(docs, "_reading", "_position"), key).where("_readings > 0")
+            .withColumn("_reading", F.explode(F.expr("sequence(0, _readings - 1)")))
+            .withColumn("_position", position(F.col("_reading"))))
+
+
 def mix(docs: DataFrame, key: int = KEY) -> DataFrame:
-    """Every reading of every document, range-sorted: the columns of ``docs`` and ``_reading`` and ``_position``."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    readings = (plan(docs, key).where("_readings > 0")
-                .withColumn("_reading", F.explode(F.expr("sequence(0, _readings - 1)")))
-                .withColumn("_position", position(F.col("_reading"))))
+    """The documents in training order: a row a reading, range-sorted by position, with the columns of ``docs``."""
+    plain, restored = shielded(docs, "doc_id", "source", "text")
     order = ["_position", "_source_no", "doc_id", "_reading"]
-    return readings.repartitionByRange(*order).sortWithinPartitions(*order).select(*names, "_reading", "_position")
+    return restored(readings(plain, key).repartitionByRange(*order).sortWithinPartitions(*order))

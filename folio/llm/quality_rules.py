@@ -14,8 +14,7 @@ Defined results: a null or empty text has no words, fails the base rule and
 is rejected; documents without a label are judged like any other; labels
 that contradict each other count as bad; without usable labels (no rows, or
 one class only) the list is empty and only the base rule rejects.  Repeated
-rows are judged one by one.  Columns of the input other than the id and the
-text do not matter, whatever their names.
+rows are judged one by one.  The input's other columns may have any names.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio.llm.columns import shielded, without
 from folio.llm.words import (as_bytes, blocks, mix, per_text, split_words, whole_windows,
                              window_hashes, word_hashes)
 
@@ -104,8 +104,9 @@ def with_stats(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     """The columns ``keep`` (default: all) and the statistics of each whole text.
 
     The statistics' columns are named as in ``STATS``, with a leading
-    underscore, so that input columns of those names stay as they are.
+    underscore; input columns of those names are left out.
     """
+    docs = without(docs, *(f"_{s}" for s in STATS))
     keep = docs.columns if keep is None else keep
     frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in keep]).schema.fields,
@@ -240,5 +241,6 @@ def judge(docs: DataFrame, rules: list[Rule], keep: list[str] | None = None) ->
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that neither the base rule nor the learned list rejects."""
-    columns = docs.columns
-    return judge(docs, fit(docs, labels, sample_rows)).where("_kept").select(*[F.col(f"`{c}`") for c in columns])
+    rules = fit(docs, labels, sample_rows)
+    plain, restored = shielded(docs, "doc_id", "text")
+    return restored(judge(plain, rules).where("_kept"))

@@ -28,7 +28,8 @@ among those with equal seeds' hashes.
 Defined results: a text with fewer than ``WINDOW`` words, an empty or a null
 text loses nothing; null ids count as the smallest id; rows that repeat a
 doc_id are one document, which never loses words to itself, and each row is
-cut on its own.  Other columns pass through untouched.
+cut on its own.  Other columns pass through untouched, but for those that have
+the name of an added one, which are left out.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.llm import bitfilter
+from folio.llm.columns import without
 from folio.llm.words import (as_bytes, blocks, signed, split_words, whole_windows, window_hashes,
                              word_hashes)
 from folio.session import scratch_path
@@ -234,10 +236,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
 def cut_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """``docs`` with ``_kept_text`` (kept words joined by one space), ``_n_words``, ``_n_removed``
     and ``_spans``, the removed maximal spans as [first word, end) pairs."""
+    docs = without(docs, "_kept_text", "_n_words", "_n_removed", "_spans")
     runs = (repeats(docs, window, seed).groupBy("doc_id", "row_key")
             .agg(F.collect_list(F.struct("start", "n")).alias("__runs"))  # bounded by the text's words
-            .select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), "__runs"))
-    joined = docs.join(runs, (F.expr(_ID) == F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left")
+            .select(F.col("doc_id").alias("__cut_id"), F.col("row_key").alias("__cut_key"), "__runs"))
+    joined = docs.join(runs, (F.expr(_ID) == F.col("__cut_id")) & (F.xxhash64("text") == F.col("__cut_key")), "left")
     names = docs.columns
     joined = joined.select(*[F.col(f"`{c}`") for c in names], F.col("__runs.start").alias("__starts"),
                            F.col("__runs.n").alias("__ns"))

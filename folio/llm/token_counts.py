@@ -16,7 +16,8 @@ again, and the sums above them updated.
 Defined results: a null or empty text has one empty segment and no tokens;
 edits are positions in code points of the old text, sorted and disjoint, and
 null edits change nothing.  Rows are handled one by one, whatever their ids;
-other columns pass through untouched (those added start with an underscore).
+other columns pass through untouched, but for those that have the name of an
+added one (these start with an underscore), which are left out.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from folio.llm import tokens
+from folio.llm.columns import without
 from folio.llm.words import as_bytes
 
 SEGMENT_CHARS = 512
@@ -142,6 +144,7 @@ def find_masks(text: str) -> list[Edit]:
 def _map_rows(frame: DataFrame, add: list[T.StructField], arrow: list[pa.DataType],
               row: Callable[[], Callable[..., tuple]], inputs: list[str], replace_text: bool = False) -> DataFrame:
     """Append columns computed row by row from ``inputs`` (the first being the text)."""
+    frame = without(frame, *(f.name for f in add))
     names = frame.columns
     at = [names.index(c) for c in inputs]
     schema = T.StructType([*frame.schema.fields, *add])
