@@ -106,16 +106,15 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of frequent shingles (``FREQUENT_MAX`` at most).
 
     They only order the shingles, so an inexact list is as right as an exact
-    one.  Each batch reports shingles that several of its documents hold.
+    one.  Each block of texts reports shingles that several of its documents hold.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column(0))
-            for low, high in blocks(texts, 8 << 20):
-                found = shingle_sets(texts[low:high])
-                values, counts = np.unique(np.concatenate(found), return_counts=True)
-                often = counts >= 4
+            for low, high in blocks(texts):
+                values, counts = np.unique(np.concatenate(shingle_sets(texts[low:high])), return_counts=True)
+                often = counts >= 3
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(values[often])), pa.array(counts[often], pa.int64())], names=["token", "docs"])
 
@@ -155,34 +154,24 @@ def document_points(docs: DataFrame, frequent: Broadcast) -> DataFrame:
         run, "doc_id long, n long, f1 long, f2 long, point binary, prefix binary")
 
 
-def _branches(reps: DataFrame) -> DataFrame:
-    """(token, rep, n) for each branch a representative belongs to."""
+def _branches(reps: DataFrame, held: Broadcast | None = None) -> DataFrame:
+    """(token, rep, n) for each branch a representative belongs to; only of tokens in the filter, if there is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             prefixes = b.column(2).to_pylist()
-            sizes = np.array([len(p) // 8 for p in prefixes])
+            sizes = np.array([len(p) // 8 for p in prefixes], dtype=np.int64)
+            tokens, row = np.frombuffer(b"".join(prefixes), dtype=np.int64), np.repeat(np.arange(b.num_rows), sizes)
+            if held is not None:
+                go = bitfilter.holds(held.value, tokens)
+                tokens, row = tokens[go], row[go]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(b"".join(prefixes), dtype=np.int64)),
-                 pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), sizes), pa.int64()),
-                 pa.array(np.repeat(b.column(1).to_numpy(zero_copy_only=False), sizes), pa.int64())],
+                [pa.array(tokens), *(pa.array(b.column(k).to_numpy(zero_copy_only=False)[row], pa.int64()) for k in (0, 1))],
                 names=["token", "rep", "n"])
 
     return reps.select("rep", "n", "prefix").mapInArrow(run, "token long, rep long, n long")
 
 
-def _only_held(rows: DataFrame, held: Broadcast, column: str) -> DataFrame:
-    """The rows whose key may be in a bit filter."""
-    at = rows.columns.index(column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = b.column(at).to_numpy(zero_copy_only=False)
-            yield b.filter(pa.array(bitfilter.holds(held.value, np.ascontiguousarray(keys))))
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def _bounded(pairs: DataFrame) -> DataFrame:
     """The pairs (a, b, n_a, n_b, p_a, p_b) whose points allow the overlap they need."""
 
@@ -325,7 +314,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     all_branches = _branches(reps)
     shared = all_branches.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     held = bitfilter.build(shared, "token")
-    branches = saved(_only_held(_branches(reps), held, "token"), "branches")
+    branches = saved(_branches(reps, held), "branches")
     first = F.min(F.struct("rep", "n"))
     heads = (branches.groupBy("token")
              .agg(F.count("*").alias("c"), first.alias("head"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s1"),
