@@ -201,16 +201,16 @@ def word_counts(model: DataFrame) -> DataFrame:
 class FilterPart:
     """Consecutive hash ranges of the filter: what one broadcast holds."""
 
-    def __init__(self, segments: list[tuple[int, bytes]], range_bits: int) -> None:
+    def __init__(self, sizes: dict[int, int], segments: Iterator[tuple[int, bytes]], range_bits: int) -> None:
+        """``sizes``: 64-bit words of each range; the segments come in any order and are not kept."""
         self.range_bits = range_bits
         n = 1 << range_bits
         self.size = np.zeros(n, dtype=np.int64)
-        self.start = np.zeros(n, dtype=np.int64)
-        at = 0
+        self.size[list(sizes)] = list(sizes.values())
+        self.start = np.cumsum(self.size) - self.size
+        self.bits = np.zeros(int(self.size.sum()), dtype=np.uint64)
         for part, data in segments:
-            self.start[part], self.size[part] = at, len(data) // 8
-            at += len(data) // 8
-        self.bits = np.frombuffer(b"".join(d for _, d in segments), dtype=np.uint64)
+            self.bits[self.start[part]:self.start[part] + self.size[part]] = np.frombuffer(data, dtype=np.uint64)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Each key's level by repeated probes; 0 if it is absent or of another part."""
@@ -233,18 +233,15 @@ class FilterPart:
 def filter_parts(model: DataFrame, range_bits: int, max_mb: int = MAX_FILTER_MB) -> Iterator[FilterPart]:
     """The filter in parts of at most ``max_mb`` (one hash range at least)."""
     sizes = model.select("part", F.octet_length("segment").alias("size")).orderBy("part").collect()
-    groups: list[list[int]] = [[]]
-    size = 0
+    groups: list[dict[int, int]] = [{}]
     for row in sizes:
-        if groups[-1] and size + row["size"] > max_mb << 20:
-            groups.append([])
-            size = 0
-        groups[-1].append(row["part"])
-        size += row["size"]
-    for ids in groups:
-        rows = (model.where(F.col("part").between(ids[0], ids[-1])).select("part", "segment").collect()
-                if ids else [])
-        yield FilterPart(sorted((r["part"], bytes(r["segment"])) for r in rows), range_bits)
+        if groups[-1] and 8 * sum(groups[-1].values()) + row["size"] > max_mb << 20:
+            groups.append({})
+        groups[-1][row["part"]] = row["size"] // 8
+    for own in groups:
+        rows = model.where(F.col("part").between(min(own, default=0), max(own, default=-1))).select("part", "segment")
+        # a few segments at a time
+        yield FilterPart(own, ((r["part"], r["segment"]) for r in rows.toLocalIterator()), range_bits)
 
 
 #: Mean count of a level's bin [2**(l - 1), 2**l).
@@ -342,6 +339,7 @@ def score_documents(docs: DataFrame, max_filter_mb: int = MAX_FILTER_MB, top_wor
             waiting.unpersist()
             state = spark.read.parquet(f"{path}/pass{turn}")
         waiting = spark.sparkContext.broadcast(part)
+        del part
     _probe(state, waiting, (top, n, v, begins)).write.parquet(f"{path}/scored")
     scored = spark.read.parquet(f"{path}/scored")
 
