@@ -5,8 +5,8 @@ written as Parquet and read again as the next stage's ``docs``.  All but the
 last return the columns of ``documents``, whatever columns these are besides
 doc_id, text and source.
 
-The last stage returns a row for each training sequence (slot, shard, offset,
-doc_id, seq, n_tokens) and leaves the shards in the shared folder.
+The last stage returns a row for each training sequence, with its slot and its
+record (``token_output.write_shards`` makes plain files of them).
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenise, permute and write the training shards."""
+    """Tokenise, permute and lay out the training sequences."""
     return token_output.materialise(docs)
 
 

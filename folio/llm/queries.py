@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row a sequence; the shards themselves lie in the shared folder."""
+    """One row a sequence, with its slot and its record."""
     return token_output.materialise(table(spark, sf_dir, "documents"))
 
 

@@ -9,12 +9,13 @@
 3. A keyed Feistel network over the next even power of two permutes the
    numbers; values of M or more are fed in again until they fall below it
    (cycle walking), so every sequence has a slot of its own in 0..M-1.
-4. Slots are range-partitioned at shard borders, and each task writes its
-   shards: files of records of equal length in slot order.  Record r of a
-   shard starts at byte r * stride, so a reader seeks to any slot and reads
-   on.  A file appears under its name only when whole (written aside, then
-   moved); shards that are already there in full length are left alone when a
-   run is repeated with the same path.
+4. Slots are range-partitioned at shard borders, and every sequence becomes a
+   record of fixed length, in slot order.  ``materialise`` returns the records
+   as rows, for any writer of Spark's; ``write_shards`` makes plain files of
+   them, one a shard.  Record r of a shard starts at byte r * stride, so a
+   reader seeks to any slot and reads on.  A file appears under its name only
+   when whole (written aside, then moved); shards that are already there in
+   full length are left alone when a run is repeated with the same path.
 
 A record is a little-endian uint32 with the number of tokens, then
 ``seq_len`` ids (uint16, or uint32 for vocabularies that need it), padded
@@ -44,6 +45,7 @@ SEQ_LEN = 256
 RECORDS_PER_SHARD = 1 << 15
 KEY = 20240229
 ROUNDS = 6
+BROADCAST_PARTS = 1_000_000
 
 
 def permute(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
@@ -123,68 +125,85 @@ def sequences(tokenised: DataFrame, end: int, seq_len: int = SEQ_LEN, key: int =
                  pa.array(pieces, pa.binary())],
                 names=["slot", "shard", "doc_id", "seq", "n_tokens", "ids"])
 
+    # a row a task of the tokenising stage
+    starts = F.broadcast(starts) if starts.count() <= BROADCAST_PARTS else starts.hint("merge")
     numbered = tokenised.join(starts, "part").select(
         (F.col("start") + F.col("first")).alias("first"), "doc_id", "n_tokens", "ids")
     return numbered.mapInArrow(run, "slot long, shard long, doc_id long, seq int, n_tokens int, ids binary")
 
 
-def write_shards(rows: DataFrame, path: str, end: int, total: int, seq_len: int = SEQ_LEN,
-                 records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
-    """Write ``shard-NNNNNN.bin`` files under ``path``, a folder that all executors reach.
-
-    Gives one row a sequence: slot, shard, offset (of its record in the
-    file), doc_id, seq, n_tokens.  The files are written when these rows are
-    computed; a task that runs again writes the same bytes.
-    """
+def records(rows: DataFrame, end: int, seq_len: int = SEQ_LEN,
+            records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
+    """The sequences as records in slot order, range-partitioned at shard borders:
+    slot, shard, offset (in the shard's bytes), doc_id, seq, n_tokens, record."""
     kind = _id_type(end)
     width = np.dtype(kind).itemsize * seq_len
-    stride = 4 + width
-    pad = np.array([end], dtype=kind).tobytes()
+    pad = np.array([end], dtype=kind).tobytes() * seq_len
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slot = b.column(0).to_numpy(zero_copy_only=False)
+            made = [int(n).to_bytes(4, "little") + ids + pad[len(ids):]
+                    for n, ids in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(slot % records_per_shard * (4 + width)), *b.columns[2:5],
+                 pa.array(made, pa.binary())],
+                names=["slot", "shard", "offset", "doc_id", "seq", "n_tokens", "record"])
+
+    return (rows.repartitionByRange("shard").sortWithinPartitions("slot")
+            .mapInArrow(run, "slot long, shard long, offset long, doc_id long, seq int, n_tokens int, record binary"))
+
+
+def materialise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: int = SEQ_LEN, key: int = KEY,
+                records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
+    """Tokenise ``docs`` and put them in training order; see records() for the rows."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "token-output")
+    tokenise(docs, vocabulary, seq_len).write.option("compression", "zstd").parquet(path)
+    end = tokens.end_of_text(tokens.share(spark, vocabulary).value)
+    return records(sequences(spark.read.parquet(path), end, seq_len, key, records_per_shard), end, seq_len,
+                   records_per_shard)
+
+
+def write_shards(made: DataFrame, path: str, records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
+    """Write records as ``shard-NNNNNN.bin`` files under ``path``, a folder that all executors reach.
+
+    Gives one row a shard: shard, records, bytes, written (False: it was there
+    already).  The files are written when these rows are computed; a task that
+    runs again writes the same bytes.
+    """
+    total = made.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(path)
         fs.create_dir(root, recursive=True)
-        open_shard, out, aside = None, None, ""
+        shard, out, aside, size = None, None, "", 0
 
-        def close() -> None:
-            if out is not None:
-                out.close()
-                fs.move(aside, f"{root}/shard-{open_shard:06d}.bin")
+        def close() -> Iterator[pa.RecordBatch]:
+            if shard is not None:
+                if out is not None:
+                    out.close()
+                    fs.move(aside, f"{root}/shard-{shard:06d}.bin")
+                held = min(records_per_shard, total - shard * records_per_shard)
+                yield pa.RecordBatch.from_pylist(
+                    [{"shard": shard, "records": held, "bytes": held * size, "written": out is not None}])
 
         for b in batches:
-            for shard, n, ids in zip(b.column(1).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist()):
-                if shard != open_shard:
-                    close()
-                    open_shard, out = shard, None
-                    length = stride * min(records_per_shard, total - shard * records_per_shard)
+            for number, record in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if number != shard:
+                    yield from close()
+                    shard, out, size = number, None, len(record)
+                    length = size * min(records_per_shard, total - shard * records_per_shard)
                     info = fs.get_file_info(f"{root}/shard-{shard:06d}.bin")
                     if info.type != pafs.FileType.File or info.size != length:
                         aside = f"{root}/.shard-{shard:06d}.{TaskContext.get().taskAttemptId()}"
                         out = fs.open_output_stream(aside)
                 if out is not None:
-                    out.write(int(n).to_bytes(4, "little") + ids + pad * ((width - len(ids)) // len(pad)))
-            slot = b.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(slot % records_per_shard * stride), *b.columns[2:5]],
-                names=["slot", "shard", "offset", "doc_id", "seq", "n_tokens"])
-        close()
-
-    return (rows.repartitionByRange("shard").sortWithinPartitions("slot")
-            .mapInArrow(run, "slot long, shard long, offset long, doc_id long, seq int, n_tokens int"))
+                    out.write(record)
+        yield from close()
 
-
-def materialise(docs: DataFrame, path: str | None = None, vocabulary: str = tokens.VOCABULARY,
-                seq_len: int = SEQ_LEN, key: int = KEY, records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
-    """Tokenise ``docs`` and write them in training order; see write_shards() for the rows."""
-    spark = docs.sparkSession
-    scratch = scratch_path(spark, "token-output")
-    path = path or f"{scratch}/shards"
-    tokenise(docs, vocabulary, seq_len).write.option("compression", "zstd").parquet(f"{scratch}/ids")
-    table = spark.read.parquet(f"{scratch}/ids")
-    end = tokens.end_of_text(tokens.share(spark, vocabulary).value)
-    total = table.agg(F.coalesce(F.sum(F.ceil(F.col("n_tokens") / seq_len)), F.lit(0)).cast("long")).first()[0]
-    rows = sequences(table, end, seq_len, key, records_per_shard)
-    return write_shards(rows, path, end, total, seq_len, records_per_shard)
+    return (made.select("slot", "shard", "record").repartitionByRange("shard").sortWithinPartitions("slot")
+            .mapInArrow(run, "shard long, records long, bytes long, written boolean"))
 
 
 def read_slots(path: str, first: int, n: int, end: int, seq_len: int = SEQ_LEN,
