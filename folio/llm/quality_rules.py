@@ -3,7 +3,7 @@
 Sequential covering: rules that reject are grown one at a time from the
 labelled documents that no earlier rule covers (a conjunction of thresholds,
 each chosen by information gain), pruned on held-back rows, and kept while
-they are precise there.  The list is small and readable; ``verdict`` turns it
+they are precise there and on the whole.  The list is small and readable; ``verdict`` turns it
 into an ordered ``CASE WHEN`` that Spark evaluates on every document.
 
 The statistics come from one pass over the whole texts with no shuffle.  The
@@ -19,7 +19,7 @@ rows are judged one by one.  The input's other columns may have any names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,7 @@ from folio.llm.words import (as_bytes, blocks, mix, per_text, split_words, whole
 
 SAMPLE_ROWS = 20_000
 MIN_PRECISION = 0.97
+MIN_HELD_BACK_PRECISION = 0.9
 MAX_RULES = 16
 MAX_CONDITIONS = 4
 BASE_MIN_WORDS = 50
@@ -139,8 +140,8 @@ def _covered(rule: Rule, x: dict[str, np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def _candidates(x: dict[str, np.ndarray], rows: np.ndarray) -> Iterator[Condition]:
-    for name in FEATURES:
+def _candidates(x: dict[str, np.ndarray], rows: np.ndarray, features: Iterable[str]) -> Iterator[Condition]:
+    for name in features:
         values = np.unique(x[name][rows])
         if len(values) > 65:
             values = np.unique(np.quantile(values, np.linspace(0, 1, 65)))
@@ -149,13 +150,14 @@ def _candidates(x: dict[str, np.ndarray], rows: np.ndarray) -> Iterator[Conditio
             yield Condition(name, False, float(t))
 
 
-def _grow(x: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> Rule:
+def _grow(x: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray, first: str) -> Rule:
+    """A conjunction whose first condition is on the feature ``first``, the others on any."""
     rule: Rule = ()
     inside = rows.copy()
     while len(rule) < MAX_CONDITIONS and (bad & inside).any() and (~bad & inside).any():
         p0, n0 = (bad & inside).sum(), (~bad & inside).sum()
         base, best, chosen = np.log2(p0 / (p0 + n0)), 1e-9, None
-        for c in _candidates(x, inside):
+        for c in _candidates(x, inside, FEATURES if rule else (first,)):
             held = _holds(c, x) & inside
             p, n = (bad & held).sum(), (~bad & held).sum()
             gain = p * (np.log2(p / (p + n)) - base) if p else 0.0
@@ -168,16 +170,15 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> Rule:
     return rule
 
 
-def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> tuple[Rule, float]:
-    """The best prefix of the rule on held-back rows, and its precision there."""
-    best: tuple[float, Rule, float] = (-2.0, (), 0.0)
-    for k in range(1, len(rule) + 1):
-        inside = _covered(rule[:k], x, len(bad)) & rows
-        p, n = int((bad & inside).sum()), int((~bad & inside).sum())
-        worth = (p - n) / (p + n) if p + n else -1.0
-        if worth > best[0]:
-            best = (worth, rule[:k], p / (p + n) if p + n else 0.0)
-    return best[1], best[2]
+def _precision(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> float:
+    inside = _covered(rule, x, len(bad)) & rows
+    return float(bad[inside].mean()) if inside.any() else 0.0
+
+
+def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> Rule:
+    """The shortest of the rule's prefixes that are most precise on held-back rows."""
+    return max((rule[:k] for k in range(1, len(rule) + 1)), default=(),
+               key=lambda r: (_precision(r, x, bad, rows), -len(r)))
 
 
 def learn_list(stats: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
@@ -189,11 +190,14 @@ def learn_list(stats: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
     left, rules = np.ones(len(bad), dtype=bool), []
     held_back = np.arange(len(bad)) % 3 == 2
     while len(rules) < MAX_RULES and (bad & left & ~held_back).any():
-        rule, precision = _prune(_grow(x, bad, left & ~held_back), x, bad, left & held_back)
-        if not rule or precision < MIN_PRECISION:
+        # one rule from each feature; the precise one that covers most goes on the list
+        grown = (_prune(_grow(x, bad, left & ~held_back, name), x, bad, left & held_back) for name in FEATURES)
+        precise = [r for r in grown if r and _precision(r, x, bad, left) >= MIN_PRECISION
+                   and _precision(r, x, bad, left & held_back) >= MIN_HELD_BACK_PRECISION]
+        if not precise:
             break
-        rules.append(rule)
-        left &= ~_covered(rule, x, len(bad))
+        rules.append(max(precise, key=lambda r: (bad & left & _covered(r, x, len(bad))).sum()))
+        left &= ~_covered(rules[-1], x, len(bad))
     return rules
 
 
