@@ -95,6 +95,9 @@ SECTION_SCORE_RANGE = "4_score_range"
 REPORT_PREFIX = "verificacion_carga_"
 REPORT_TS_FORMAT = "%Y%m%d_%H%M%S"
 
+# Columns that a load adds: its number, and the row's place in it.
+LOAD_SEQ, ROW_ORDER = "_load_seq", "_row_order"
+
 # Development row cap of the source extract (off by default here).
 DEV_REVIEW_CAP = 100_000
 
@@ -118,7 +121,3 @@ CURATED_SCHEMA = T.StructType([
     for c in CURATED_COLUMNS
 ])
 
-
-def all_strings(schema: T.StructType) -> T.StructType:
-    """The same field names typed as nullable strings (the CSV landing shape)."""
-    return T.StructType([T.StructField(f.name, _S, True) for f in schema.fields])

@@ -77,30 +77,43 @@ def ratio_percent(part: Column, total: Column, scale: int = 2) -> Column:
     return round_half_up(quotient, scale)
 
 
-def exact_mean(col: str | Column, scale: int = 2, input_scale: int = 4) -> Column:
+# What exact means are computed in: values below 10**10 with 14 decimals.
+EXACT = T.DecimalType(24, 14)
+
+
+def exact_value(col: str | Column) -> Column:
+    """The value as a decimal, NULL where it has no such form (huge, infinite or NaN)."""
+    return _c(col).try_cast(EXACT)
+
+
+def inexact_values(col: str | Column, weight: str | Column | None = None) -> Column:
+    """Aggregate: how many non-NULL values ``exact_value`` cannot hold.
+
+    Where this is not 0, the means below are double averages."""
+    unfit = _c(col).isNotNull() & exact_value(col).isNull()
+    rows = F.lit(1) if weight is None else _c(weight)
+    return F.coalesce(F.sum(F.when(unfit, rows)), F.lit(0)).cast("long")
+
+
+def exact_mean(col: str | Column, scale: int = 2) -> Column:
     """Aggregate: mean rounded half-up to ``scale`` decimals, NULL when empty.
 
-    The sum runs in ``decimal(18, input_scale)`` and the quotient keeps 14
-    decimals, so rounding to 2 places is not a double rounding.  If some
-    value does not fit that decimal (huge, infinite or NaN), the double
-    average is used instead of failing the job.
+    Sum and quotient keep 14 decimals, so neither the values nor the mean
+    are rounded before the last step.  If some value does not fit
+    (``inexact_values`` counts them), it is the double average.
     """
-    c = _c(col)
-    d = c.try_cast(T.DecimalType(18, input_scale))
-    exact = round_half_up(F.try_divide(F.sum(d), F.count(d).cast("decimal(20,0)")), scale)
+    c, d = _c(col), exact_value(col)
+    exact = round_half_up(F.try_divide(F.sum(d), F.count(d).cast("decimal(12,0)")), scale)
     return F.when(F.count(d) == F.count(c), exact).otherwise(F.round(F.avg(c), scale))
 
 
-def weighted_exact_mean(col: str | Column, weight: str | Column, scale: int = 2,
-                        input_scale: int = 4) -> Column:
+def weighted_exact_mean(col: str | Column, weight: str | Column, scale: int = 2) -> Column:
     """``exact_mean`` over pre-aggregated rows: ``col`` repeated ``weight`` times."""
-    c, w = _c(col), _c(weight)
-    d = c.try_cast(T.DecimalType(18, input_scale))
+    c, w, d = _c(col), _c(weight), exact_value(col)
     fits = F.sum(F.when(d.isNotNull(), w))
     total_w = F.sum(F.when(c.isNotNull(), w))
-    weighted = (d * w.cast(T.DecimalType(20, 0))).try_cast(T.DecimalType(28, input_scale))
-    exact = round_half_up(F.try_divide(F.sum(weighted).try_cast(T.DecimalType(28, input_scale)),
-                                       fits.cast(T.DecimalType(20, 0))), scale)
+    weighted = d * w.cast(T.DecimalType(12, 0))
+    exact = round_half_up(F.try_divide(F.sum(weighted), fits.cast(T.DecimalType(12, 0))), scale)
     fallback = F.round(F.try_divide(F.sum(c * w), total_w), scale)
     return F.when(F.coalesce(fits, F.lit(0)) == F.coalesce(total_w, F.lit(0)), exact).otherwise(fallback)
 
@@ -110,15 +123,21 @@ def safe_cast(col: str | Column, dtype: T.DataType) -> Column:
 
     Integral targets also accept integral decimal text (``"1234567890.0"``);
     text with a fractional part is rejected instead of silently truncated.
+    Floating targets take plain decimal text only, with an exponent or as
+    inf or nan, but no suffixes (``1d``) and no hexadecimal form.
     """
     c = _c(col)
     if isinstance(dtype, T.StringType):
         return c.cast("string")
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         name = dtype.simpleString()
-        as_dec = F.trim(c).try_cast(T.DecimalType(38, 18))
+        as_dec = F.when(c.rlike("[.eE]"), F.trim(c)).try_cast(T.DecimalType(38, 18))
         integral = F.when(as_dec == F.floor(as_dec), as_dec.try_cast(name))
         return F.coalesce(c.try_cast(name), integral)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        # a suffix or a hexadecimal form has one of these letters
+        odd = F.lower(F.trim(c)).rlike(r"^[^in]*[dfxp]")
+        return F.when(~odd, c).try_cast(dtype)
     return c.try_cast(dtype)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.config import CURATED_COLUMNS, DEFAULT_FILLS
+from folio.config import CURATED_COLUMNS, DEFAULT_FILLS, LOAD_SEQ, ROW_ORDER
 from folio.functions.exprs import column, epoch_to_timestamp
 from folio.operators.dedupe import dedupe_first
 from folio.operators.joins import find_hot_keys, lookup_join
@@ -46,8 +46,8 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
     """Curated reviews: one row per review whose ``key`` has a catalog row.
 
     The catalog is deduplicated first (first row per key by
-    ``catalog_order``, or by the content of the output columns when none is
-    given), so the join is many-to-one and never multiplies reviews.  Only
+    ``catalog_order``; without one as loaded, if the catalog has its load
+    order, else by the content of the output columns), so the join is many-to-one and never multiplies reviews.  Only
     the catalog columns the output needs reach the join.
 
     ``hot_keys`` salts known heavy keys in the join; ``"auto"`` finds the
@@ -59,6 +59,8 @@ def curate(catalog: DataFrame, reviews: DataFrame, *, key: str = "title",
     """
     if hot_keys == "auto":
         hot_keys = find_hot_keys(reviews, key, min_share=hot_share)
+    if catalog_order is None and {LOAD_SEQ, ROW_ORDER} <= set(catalog.columns):
+        catalog_order = [LOAD_SEQ, ROW_ORDER]
     wanted = [c for c in columns if c in catalog.columns and c not in reviews.columns]
     if catalog_order is None:
         # Without an order the pick is content-based; only the output columns

@@ -1,6 +1,7 @@
 """Key joins: many-to-one lookup, referential (orphan) check, threshold lookup.
 
-No join here is given a broadcast hint.  With AQE on, Spark turns a
+No join here is given a broadcast hint, but for the NULL-key rows of
+``split_nulls``, whose number is checked first.  With AQE on, Spark turns a
 sort-merge join into a broadcast join only after the smaller side has been
 materialised and measured under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 (a checked size bound), and otherwise splits skewed partitions at run time.
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 
 _DIM_KEY = "__dim_key"
 _SALT = "__salt"
+#: Least share that find_hot_keys() takes: it bounds the keys that reach the driver.
+MIN_SHARE = 0.0001
+#: NULL-key dim rows that are broadcast at most.
+MAX_NULL_ROWS = 100
 
 
 def _key_match(left: Column, right: Column, null_keys: str) -> Column:
@@ -55,10 +60,11 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str =
 
     ``split_nulls`` (with ``null_keys="match"``) joins non-NULL keys by plain
     equality -- which can reuse a ``key`` partitioning or bucketing of either
-    side -- and the NULL-key facts to the dim's NULL-key row by broadcast.
-    That row is unique by contract, so the broadcast has a proven size
-    bound, and the NULL group (often the hottest key) never enters a
-    shuffle.  It reads ``facts`` twice (each read filtered by the NULL test).
+    side, so two tables bucketed by ``key`` join without any exchange -- and
+    the NULL-key facts to the dim's NULL-key rows by broadcast, if a count
+    finds ``MAX_NULL_ROWS`` of them at most (one, in a deduped dim).  It reads
+    ``facts`` twice (each read filtered by the NULL test), so it pays for
+    bucketed tables only.
     """
     extra = [c for c in dim.columns if c != key and c not in facts.columns]
     d = dim.select(F.col(key).alias(_DIM_KEY), *extra)
@@ -68,8 +74,10 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, *, null_keys: str =
             raise ValueError("split_nulls and hot_keys are alternatives; give one")
         keyed = facts.filter(F.col(key).isNotNull()).join(
             d.filter(F.col(_DIM_KEY).isNotNull()), F.col(key) == F.col(_DIM_KEY), how)
-        unkeyed = facts.filter(F.col(key).isNull()).join(
-            F.broadcast(d.filter(F.col(_DIM_KEY).isNull())), cond, how)
+        null_dim = d.filter(F.col(_DIM_KEY).isNull())
+        if null_dim.limit(MAX_NULL_ROWS + 1).count() <= MAX_NULL_ROWS:
+            null_dim = F.broadcast(null_dim)
+        unkeyed = facts.filter(F.col(key).isNull()).join(null_dim, cond, how)
         return keyed.unionByName(unkeyed).drop(_DIM_KEY)
     if hot_keys:
         hot_f = _is_hot(F.col(key), hot_keys)
@@ -95,8 +103,8 @@ def find_hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list[obje
     keeps that bounded top list, and counts all rows through an
     ``Observation``; the share test runs on the few returned rows.
     """
-    if not 0 < min_share <= 1:
-        raise ValueError("min_share must be in (0, 1]")
+    if not MIN_SHARE <= min_share <= 1:
+        raise ValueError(f"min_share must be in [{MIN_SHARE}, 1]")
     obs = Observation("rows_for_hot_keys")
     k = math.ceil(1 / min_share)
     top = (df.observe(obs, F.count(F.lit(1)).alias("rows"))

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio import config as C
 from folio.config import SCORE_MAX, SCORE_MIN, VOLUME_THRESHOLDS
-from folio.functions.exprs import (epoch_in_range, epoch_to_date, exact_mean, ratio_percent,
-                                  weighted_exact_mean)
+from folio.functions.exprs import (epoch_in_range, epoch_to_date, exact_mean, inexact_values,
+                                  ratio_percent, weighted_exact_mean)
 from folio.operators.joins import threshold_lookup
 from folio.session import checkpoint_root
 
@@ -33,13 +33,11 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def score_distribution(reviews: DataFrame, score: str = "review_score") -> DataFrame:
     """``score, cantidad, porcentaje`` over non-NULL scores, by score.
 
-    The share uses an unpartitioned window, but it runs after the grouped
-    count, so the single-partition exchange carries one row per distinct
-    score, not the table.
+    The total is a scalar subquery, so no task sees all distinct scores.
     """
-    counted = (reviews.filter(F.col(score).isNotNull())
-               .groupBy(score).agg(F.count(F.lit(1)).alias("cantidad")))
-    total = F.sum("cantidad").over(Window.partitionBy())
+    scored = reviews.filter(F.col(score).isNotNull())
+    counted = scored.groupBy(score).agg(F.count(F.lit(1)).alias("cantidad"))
+    total = scored.agg(F.count(F.lit(1))).scalar()
     return (counted.select(score, "cantidad",
                            ratio_percent(F.col("cantidad"), total).alias("porcentaje"))
             .orderBy(score))
@@ -134,7 +132,8 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
     report, date range -- reads the aggregates, never the tables again:
     one scan per table in total.  Without it, each section re-plans its own
     pruned aggregate.  Keys: ``counts``, ``distribution``, ``nulls``,
-    ``score_range``, ``date_range``.
+    ``score_range``, ``date_range`` and ``left_out`` (times no timestamp can
+    hold; scores that are not in the exact mean).
     """
     s, n = F.col(score), F.col("_n")
     rv_nulls = [(label, c) for label, t, c in null_metrics if t == "reviews"]
@@ -144,7 +143,8 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
         *[F.count_if(F.col(c).isNull()).alias(f"_rn{i}") for i, (_, c) in enumerate(rv_nulls)],
         F.min(F.when(epoch_in_range(time_col), F.col(time_col))).alias("_tmin"),
         F.max(F.when(epoch_in_range(time_col), F.col(time_col))).alias("_tmax"),
-        F.count(time_col).alias("_tn"))
+        F.count(time_col).alias("_tn"),
+        F.count_if(F.col(time_col).isNotNull() & ~epoch_in_range(time_col)).alias("_tbad"))
     cat = catalog.agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(F.col(c).isNull()).alias(f"_cn{i}") for i, (_, c) in enumerate(cat_nulls)])
@@ -167,7 +167,7 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
         # the shares need no single-partition window
         scored_total = F.lit(scored.agg(F.sum(n)).first()[0]).cast("long")
     else:
-        scored_total = F.sum("cantidad").over(Window.partitionBy())
+        scored_total = scored.agg(F.sum(n)).scalar()
     distribution = (scored.select(score, n.alias("cantidad"))
                     .select(score, "cantidad",
                             ratio_percent(F.col("cantidad"), scored_total).alias("porcentaje"))
@@ -196,8 +196,11 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
                          total("_tn").alias("total_resenas")).select(
         epoch_to_date("_lo").alias("primera_resena"),
         epoch_to_date("_hi").alias("ultima_resena"), "total_resenas")
+    # what the figures above had to leave out or compute in floating point
+    left_out = by_score.agg(total("_tbad").alias("times_out_of_range"),
+                            inexact_values(s, n).alias("scores_not_exact"))
     return {"counts": counts, "distribution": distribution, "nulls": nulls,
-            "score_range": score_rng, "date_range": dates}
+            "score_range": score_rng, "date_range": dates, "left_out": left_out}
 
 
 def total_when(cond: F.Column, value: F.Column) -> F.Column:

@@ -64,6 +64,7 @@ class Projection:
     frame: DataFrame
     missing: list[str] = field(default_factory=list)
     dropped: list[str] = field(default_factory=list)
+    found: bool = True
 
 
 def project_existing_report(df: DataFrame, columns: Iterable[str]) -> Projection:

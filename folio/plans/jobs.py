@@ -7,14 +7,17 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio import config as C
 from folio.operators import quality as QA
 from folio.operators.curate import curate
 from folio.operators.shaping import align_to_schema
-from folio.sinks.writers import write_csv, write_table
+from folio.sinks.staging import StagedLoad
+from folio.sinks.writers import ensure_database, write_csv
 from folio.sources.csv import read_csv_table
-from folio.sources.tables import hash_sample, top_n
+from folio.sources.tables import hash_sample, read_table, table_exists, top_n
 
 
 @dataclass
@@ -23,60 +26,98 @@ class IngestResult:
     missing_columns: dict[str, list[str]] = field(default_factory=dict)
     dropped_headers: dict[str, list[str]] = field(default_factory=dict)
     rejected_values: dict[str, dict[str, int]] = field(default_factory=dict)
+    wide_rows: dict[str, int] = field(default_factory=dict)
+    short_rows: dict[str, int] = field(default_factory=dict)
 
     @property
     def total(self) -> int:
         return sum(self.counts.values())
 
 
-def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]], out_root: str, *,
+def _target(name: str, out_root: str | None, database: str | None) -> dict[str, str]:
+    if (out_root is None) == (database is None):
+        raise ValueError("give exactly one of out_root= or database=")
+    return {"table": f"{database}.{name}"} if database else {"path": f"{out_root.rstrip('/')}/{name}"}
+
+
+def _next_load(spark: SparkSession, target: Mapping[str, str], columns: Sequence[str]) -> int:
+    """The number of the next load into an existing table; its columns must be those of the load."""
+    old = read_table(spark, **target)
+    if sorted(old.columns) != sorted(columns):
+        raise ValueError(f"cannot append to {target}: it has the columns {old.columns}, the load has {list(columns)}")
+    if C.LOAD_SEQ not in old.columns:
+        return 0
+    return int(old.agg(F.coalesce(F.max(C.LOAD_SEQ), F.lit(-1))).first()[0]) + 1
+
+
+def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]],
+               out_root: str | None = None, *, database: str | None = None,
                truncate_first: bool = True, on_missing: str = "fail",
                header_map: Mapping[str, str] = C.HEADER_MAP,
                na_tokens: Sequence[str] = C.NA_TOKENS,
                out_partitions: int | None = None,
-               row_order_col: str | None = None,
-               malformed: str = "permissive") -> IngestResult:
-    """Load each ``name -> (csv_path, schema)`` into ``out_root/name`` (Parquet).
-
-    One Spark job per table replaces the chunked append loop: the table is
-    overwritten (``truncate_first``) or appended to atomically, always with
-    the full ``schema`` (columns the file lacks are NULL).  Reports the
-    table's row count after the load, the target columns absent from the
-    file, the input headers dropped, and per-column cast rejections.
+               load_order: bool = True,
+               malformed: str = "fail",
+               multi_line: bool = True) -> IngestResult:
+    """Load each ``name -> (csv_path, schema)`` into ``out_root/name`` or ``database.name`` (Parquet).
+
+    One Spark job per table replaces the chunked append loop.  All tables are
+    staged and take effect together (``StagedLoad``): replaced, or with
+    ``truncate_first=False`` appended to; when anything fails, every table
+    keeps its old rows.  A skipped input (``on_missing="skip"``) leaves its
+    table alone and counts 0.
+
+    Tables have the full ``schema`` (columns the file lacks are NULL) and,
+    with ``load_order``, the number of the load and the row's place in it
+    (``_load_seq``, ``_row_order``), by which ``curate`` keeps the first row
+    as loaded.  Reports the table's row count after the load, target columns
+    absent from the file, headers dropped, per-column cast rejections, and
+    rows with too many or too few fields (``read_csv_table``).
 
     A quoted-newline CSV is parsed by one task per file; ``out_partitions``
     spreads the casting and Parquet encoding after the parse over that many
-    tasks (a round-robin shuffle) when the input is a few large files.
-    ``row_order_col`` keeps each row's load order as an extra column (see
-    ``read_csv_table``), for a dedupe that keeps the first row as loaded.
+    tasks (a round-robin shuffle) when the input is a few large files, and
+    ``multi_line=False`` lets the reader split files that have no line breaks
+    in fields.
     """
     result = IngestResult()
-    # Preflight: resolve every input (existence, headers) before any table is
-    # written, so a missing or malformed second file leaves nothing half-loaded.
+    if database is not None:
+        ensure_database(spark, database)
+    # Preflight: resolve every input (existence, headers) before any is loaded
     planned = {}
     for name, (path, schema) in sources.items():
-        obs = Observation(f"rejects_{name}")
+        rejects, widths = Observation(f"rejects_{name}"), Observation(f"widths_{name}")
         proj = read_csv_table(spark, path, schema, header_map=header_map, na_tokens=na_tokens,
-                              on_missing=on_missing, observation=obs, row_order_col=row_order_col,
-                              malformed=malformed)
-        planned[name] = (schema, obs, proj)
-    for name, (schema, obs, proj) in planned.items():
-        result.missing_columns[name] = proj.missing
-        result.dropped_headers[name] = proj.dropped
-        target = f"{out_root.rstrip('/')}/{name}"
-        frame = align_to_schema(proj.frame, schema, keep=[row_order_col] if row_order_col else [])
-        if out_partitions:
-            frame = frame.repartition(out_partitions)
-        written = write_table(frame, path=target,
-                              mode="overwrite" if truncate_first else "append")
-        if truncate_first:
-            result.counts[name] = int(written or 0)
-        else:
-            result.counts[name] = spark.read.parquet(target).count()
-        try:
-            result.rejected_values[name] = {k: int(v) for k, v in obs.get.items()}
-        except Exception:  # noqa: BLE001 - no typed columns -> nothing observed
+                              on_missing=on_missing, observation=rejects, malformed=malformed,
+                              multi_line=multi_line, widths=widths,
+                              row_order_col=C.ROW_ORDER if load_order else None)
+        planned[name] = (schema, rejects, widths, proj)
+    with StagedLoad(spark) as load:
+        for name, (schema, rejects, widths, proj) in planned.items():
+            result.missing_columns[name], result.dropped_headers[name] = proj.missing, proj.dropped
             result.rejected_values[name] = {}
+            result.counts[name] = result.wide_rows[name] = result.short_rows[name] = 0
+            if not proj.found:
+                continue
+            target = _target(name, out_root, database)
+            keep = [C.ROW_ORDER] if load_order else []
+            frame = align_to_schema(proj.frame, schema, keep=keep)
+            exists = not truncate_first and table_exists(spark, **target)
+            if load_order:
+                seq = _next_load(spark, target, [*frame.columns, C.LOAD_SEQ]) if exists else 0
+                frame = frame.withColumn(C.LOAD_SEQ, F.lit(seq))
+            elif exists:
+                _next_load(spark, target, frame.columns)
+            if out_partitions:
+                frame = frame.repartition(out_partitions)
+            old = read_table(spark, **target).count() if exists else 0
+            result.counts[name] = old + load.stage(frame, **target, mode="append" if exists else "overwrite")
+            typed = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+            if set(typed) - set(proj.missing):
+                result.rejected_values[name] = {k: int(v) for k, v in rejects.get.items()}
+            if malformed != "strict":
+                seen = widths.get
+                result.wide_rows[name], result.short_rows[name] = int(seen["wide_rows"]), int(seen["short_rows"])
     return result
 
 
@@ -87,6 +128,8 @@ class AuditResult:
     out_of_range: int
     report: DataFrame
     date_range: DataFrame
+    times_out_of_range: int = 0
+    scores_not_exact: int = 0
 
 
 class VolumeGateError(RuntimeError):
@@ -105,7 +148,10 @@ def audit_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     """The audit battery: counts, distribution, nulls, score and date ranges, gate.
 
     Only the volume gate decides ``passed``; out-of-range scores are
-    reported but do not fail.  The report stacks the first four sections
+    reported but do not fail.  ``times_out_of_range`` counts review times no
+    timestamp can hold, which the date range skips, and ``scores_not_exact``
+    the scores (infinite, NaN or huge) that make the mean a floating-point
+    one.  The report stacks the first four sections
     (the date range is returned separately) and is written as one small CSV
     when ``report_path`` is given.  Each table is scanned once for all of it
     (``audit_sections``); only aggregate rows reach the driver.
@@ -125,47 +171,42 @@ def audit_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     passed = all(ok for *_, ok in gate)
     if raise_on_fail and not passed:
         raise VolumeGateError(f"volume gate failed: {gate}")
-    return AuditResult(passed, gate, int(out_of_range or 0), report, sec["date_range"])
+    left_out = sec["left_out"].first()
+    return AuditResult(passed, gate, int(out_of_range or 0), report, sec["date_range"],
+                       left_out["times_out_of_range"], left_out["scores_not_exact"])
 
 
-def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str, out_root: str, *,
-                     report_dir: str | None = None, truncate_first: bool = True,
-                     on_missing: str = "fail",
+def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str,
+                     out_root: str | None = None, *, database: str | None = None,
+                     report_dir: str | None = None,
                      thresholds: Mapping[str, int] = C.VOLUME_THRESHOLDS,
                      raise_on_fail: bool = True,
-                     row_order_col: str | None = None,
-                     malformed: str = "permissive") -> tuple[IngestResult, AuditResult]:
+                     **options) -> tuple[IngestResult, AuditResult]:
     """Load both raw tables, then audit them; fail fast on the volume gate.
 
-    Tables land under ``out_root/books_data`` and ``out_root/books_rating``;
-    the audit reads the written tables (not the CSV again), and its report
-    goes to a timestamped folder under ``report_dir``.
+    Tables land as ``books_data`` and ``books_rating`` (``ingest_job`` has the
+    targets and the ``options``); the audit reads the written tables, not the
+    CSV again, and its report goes to a timestamped folder under
+    ``report_dir``.  A table that a skipped input never made counts as empty.
     """
     loaded = ingest_job(spark, {"books_data": (catalog_csv, C.CATALOG_SCHEMA),
                                 "books_rating": (reviews_csv, C.REVIEW_SCHEMA)},
-                        out_root, truncate_first=truncate_first, on_missing=on_missing,
-                        row_order_col=row_order_col, malformed=malformed)
-    root = out_root.rstrip("/")
-    tables = {}
-    for name, schema in (("books_data", C.CATALOG_SCHEMA), ("books_rating", C.REVIEW_SCHEMA)):
-        try:
-            tables[name] = spark.read.parquet(f"{root}/{name}")
-        except Exception:  # noqa: BLE001 - skipped input: audit an empty table
-            tables[name] = spark.createDataFrame([], schema)
-    audited = audit_job(spark, tables["books_data"], tables["books_rating"],
-                        thresholds=thresholds,
+                        out_root, database=database, **options)
+    tables = [read_table(spark, **_target(name, out_root, database), schema=schema, on_missing="skip")
+              for name, schema in (("books_data", C.CATALOG_SCHEMA), ("books_rating", C.REVIEW_SCHEMA))]
+    audited = audit_job(spark, *tables, thresholds=thresholds,
                         report_path=report_path_for(report_dir) if report_dir else None,
                         raise_on_fail=raise_on_fail)
     return loaded, audited
 
 
 def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
-            table_path: str, csv_path: str | None = None,
+            table_path: str | None = None, table: str | None = None, csv_path: str | None = None,
             catalog_order: Sequence[str | Column] | None = None,
             null_keys: str = "match",
             fills: Mapping[str, object] = C.DEFAULT_FILLS,
             max_reviews: int | None = None,
-            review_order: Sequence[str | Column] | None = None,
+            review_order: Sequence[str] | None = None,
             review_sample: tuple[Sequence[str], int] | None = None,
             cluster_by: Sequence[str] = (),
             max_records_per_file: int | None = None,
@@ -173,9 +214,10 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
             csv_single_file: bool = False) -> int:
     """Extract -> curate -> load: write the curated table, then its CSV copy.
 
-    The CSV is derived from the written table, so the join runs once and
-    the two outputs cannot disagree; the written table also cuts the
-    lineage.  ``max_reviews`` keeps the first n reviews by ``review_order``
+    The target is a path or a catalog table.  The CSV is derived from the
+    written table, so the join runs once and the two outputs cannot disagree;
+    both are staged and replace the old ones together, so a failure leaves
+    those as they were.  ``max_reviews`` keeps the first n reviews by ``review_order``
     (a deterministic cap instead of an unordered limit); ``review_sample=
     (keys, k)`` keeps the reviews whose key hash falls in one of ``k``
     buckets instead -- a repeatable subset filtered in every task, with no
@@ -194,8 +236,10 @@ def etl_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
         reviews = hash_sample(reviews, list(keys), buckets)
     curated = curate(catalog, reviews, catalog_order=catalog_order, null_keys=null_keys,
                      fills=fills)
-    rows = write_table(curated, path=table_path, mode="overwrite", cluster_by=cluster_by,
-                       max_records_per_file=max_records_per_file, compression=compression)
-    if csv_path is not None:
-        write_csv(spark.read.parquet(table_path), csv_path, single_file=csv_single_file)
-    return int(rows or 0)
+    with StagedLoad(spark) as load:
+        rows = load.stage(curated, path=table_path, table=table, cluster_by=cluster_by,
+                          max_records_per_file=max_records_per_file, compression=compression)
+        if csv_path is not None:
+            load.stage_csv(load.read(table or table_path), csv_path, single_file=csv_single_file,
+                           max_records_per_file=max_records_per_file)
+    return rows

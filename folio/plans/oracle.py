@@ -26,6 +26,11 @@ SELECT r.title, r.user_id, {score} AS review_score,
 FROM ratings_v r JOIN b ON {join_cond}"""
 
 
+def _top_tenth(order: str) -> str:
+    return f"""{V}
+SELECT * FROM ratings_k ORDER BY {order} LIMIT (SELECT greatest(1, COUNT(*) // 10) FROM lineitem)"""
+
+
 _COUNTS = f"""SELECT '{C.CATALOG_LABEL}' AS tabla, COUNT(*) AS registros FROM books_v
 UNION ALL SELECT '{C.REVIEWS_LABEL}', COUNT(*) FROM ratings_v"""
 
@@ -88,9 +93,9 @@ SELECT r.title, COUNT(*) AS n_reviews FROM ratings_v r
 WHERE r.title IS NOT NULL AND NOT EXISTS (SELECT 1 FROM books_v b WHERE b.title = r.title)
 GROUP BY r.title""",
     "table_scan": f"{V}\nSELECT * FROM ratings_v",
-    "top_n": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
-    "top_n_tree": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
-    "top_n_cutoff": f"{V}\nSELECT * FROM ratings_k ORDER BY id, line_no, part_key, user_id, price LIMIT {C.DEV_REVIEW_CAP}",
+    "top_n": _top_tenth("id, line_no, part_key, user_id, price"),
+    "top_n_cutoff": _top_tenth("line_no, price, id, part_key, user_id"),
+    "top_n_tree": _top_tenth("title NULLS FIRST, review_score NULLS FIRST, id, line_no, part_key, user_id, price"),
 }
 
 
@@ -136,4 +141,32 @@ FROM lineitem""",
     "table_overwrite": f"{V}\nSELECT * FROM books_v",
     "table_append": f"{V}\nSELECT * FROM ratings_v UNION ALL SELECT * FROM ratings_v",
     "etl_csv": _curated("r.title IS NOT DISTINCT FROM b.title"),
+    "malformed_rows": f"""{V}
+SELECT COUNT(*) AS rows, COUNT(title) AS titles,
+       COUNT(*) FILTER (WHERE seq % 11 = 0 OR seq % 7 <> 0) AS authors,
+       COUNT(*) FILTER (WHERE seq % 11 = 0 OR seq % 7 <> 0) AS publishers,
+       COUNT(*) FILTER (WHERE seq % 11 = 0) AS wide_rows,
+       COUNT(*) FILTER (WHERE seq % 11 <> 0 AND seq % 7 = 0) AS short_rows
+FROM books_v""",
+    "first_as_loaded": f"""{V}
+SELECT title, description, authors, categories, publisher FROM books_v
+QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq % 2 DESC, seq DESC) = 1""",
+    "catalog_tables": f"""{V}, b AS (
+  SELECT * FROM books_v
+  QUALIFY row_number() OVER (PARTITION BY title ORDER BY description, authors, categories NULLS FIRST, publisher) = 1)
+SELECT r.title, r.user_id, COALESCE(r.review_score, 0.0) AS review_score, r.review_summary, 't' AS review_text,
+       {_TS.format(c='r.review_time')} AS review_date, b.authors, COALESCE(b.categories, 'Unknown') AS categories, b.publisher
+FROM ratings_v r JOIN b ON r.title IS NOT DISTINCT FROM b.title""",
+    "bucketed_curation": _curated("r.title IS NOT DISTINCT FROM b.title"),
+    "audit_job_report": f"""{V}, report AS (
+SELECT *, '{C.SECTION_COUNTS}' AS seccion FROM ({_COUNTS})
+UNION ALL BY NAME SELECT *, '{C.SECTION_DISTRIBUTION}' AS seccion FROM ({_DISTRIBUTION})
+UNION ALL BY NAME SELECT *, '{C.SECTION_NULLS}' AS seccion FROM ({_NULLS})
+UNION ALL BY NAME SELECT *, '{C.SECTION_SCORE_RANGE}' AS seccion FROM ({_SCORE_RANGE}))
+SELECT * FROM report""",
+    "price_range": f"""WITH p AS (SELECT CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM lineitem)
+SELECT CAST(MIN(c)::VARCHAR || 'e-4' AS DOUBLE) AS score_minimo, CAST(MAX(c)::VARCHAR || 'e-4' AS DOUBLE) AS score_maximo,
+       CAST((CAST(SUM(c) * 100 AS HUGEINT) + 5000 * COUNT(*)) // (10000 * COUNT(*)) AS DOUBLE) / 100.0 AS score_promedio,
+       COUNT(*) FILTER (WHERE c / 10000.0 NOT BETWEEN {C.SCORE_MIN} AND {C.SCORE_MAX}) AS fuera_de_rango
+FROM p""",
 })

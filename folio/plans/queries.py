@@ -18,11 +18,11 @@ from folio.operators.curate import curate, fill_defaults, with_review_date
 from folio.operators.dedupe import dedupe_first
 from folio.operators.joins import lookup_join, orphan_keys
 from folio.operators.shaping import normalize_na, project_existing, rename_columns, typed_cast
-from folio.plans.jobs import etl_job, ingest_job
+from folio.plans.jobs import audit_job, etl_job, ingest_job, report_path_for
 from folio.session import configure, scratch_path
-from folio.sinks.writers import write_csv, write_table
+from folio.sinks.writers import ensure_database, write_csv, write_table
 from folio.sources import adapters as A
-from folio.sources.csv import read_csv_table
+from folio.sources.csv import CSV_READ_OPTIONS, read_csv_table
 from folio.sources.tables import top_n as _top_n
 from folio.streaming.ingest import stream_csv_to_table
 
@@ -143,26 +143,25 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings
 
 
-def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The extract's review cap as a deterministic, totally ordered top-n."""
+def _top_tenth(spark: SparkSession, sf_dir: str, order: tuple[str, ...]) -> DataFrame:
+    """The extract's review cap as a deterministic top-n: a tenth of the reviews."""
     configure(spark)
     ratings = A.reviews(spark, sf_dir, with_part_key=True)
-    return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER)
+    return _top_n(ratings, max(1, ratings.count() // 10), order)
+
+
+def top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _top_tenth(spark, sf_dir, A.REVIEW_ORDER)
 
 
 def top_n_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same cap through histogram cutoffs on the leading key (merge of ~n rows)."""
-    configure(spark)
-    ratings = A.reviews(spark, sf_dir, with_part_key=True)
-    return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER, strategy="cutoff")
+    """With the cut inside a large group of ties: few lines, then prices."""
+    return _top_tenth(spark, sf_dir, ("line_no", "price", "id", "part_key", "user_id"))
 
 
 def top_n_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same cap through the tree merge (partial rank limits, fan-in groups)."""
-    configure(spark)
-    ratings = A.reviews(spark, sf_dir, with_part_key=True)
-    return _top_n(ratings, C.DEV_REVIEW_CAP, A.REVIEW_ORDER, fan_in=4, strategy="tree")
-
+    """With text (and NULLs) leading the order."""
+    return _top_tenth(spark, sf_dir, ("title", "review_score", "id", "line_no", "part_key", "user_id", "price"))
 
 
 # -- load shaping -------------------------------------------------------------
@@ -217,13 +216,15 @@ def typed_cast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- sources and sinks (write to the shared checkpoint folder, read back) ------
 
+#: Rows in a landed CSV file (a quoted-newline file is parsed by one task).
+LANDED_ROWS = 100_000
+
+
 def _export_reviews_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Land the reviews as raw CSV in several files, as a landing zone holds them
-    (a quoted-newline CSV file is parsed by one task, so one file per core)."""
+    """Land the reviews as raw CSV in files of bounded size, as a landing zone holds them."""
     _, ratings = _views(spark, sf_dir)
     path = scratch_path(spark, name)
-    files = max(1, spark.sparkContext.defaultParallelism)
-    write_csv(A.raw_review_export(ratings).repartition(files), path)
+    write_csv(A.raw_review_export(ratings), path, max_records_per_file=LANDED_ROWS)
     return path
 
 
@@ -237,19 +238,105 @@ def ingest_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw-ingest job (CSV -> typed Parquet table), read back."""
     path = _export_reviews_csv(spark, sf_dir, "ingest_src")
     out = scratch_path(spark, "ingest_out")
-    ingest_job(spark, {"books_rating": (path, C.REVIEW_SCHEMA)}, out)
+    ingest_job(spark, {"books_rating": (path, C.REVIEW_SCHEMA)}, out, load_order=False)
     return spark.read.parquet(f"{out}/books_rating")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incremental ingest of the exported CSV files, four files per micro-batch."""
+    """Incremental ingest of the exported CSV files."""
     path = _export_reviews_csv(spark, sf_dir, "stream_src")
     out, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
     stream_csv_to_table(spark, path, out, ckpt, C.REVIEW_SCHEMA,
-                        header=list(A.RAW_REVIEW_HEADERS.values()), files_per_trigger=4)
+                        header=list(A.RAW_REVIEW_HEADERS.values()))
     return spark.read.parquet(out)
 
 
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with too many and too few fields, as a permissive ingest counts them."""
+    books, _ = _views(spark, sf_dir)
+    fields = F.when(F.col("seq") % 11 == 0, F.array("title", "authors", "publisher", F.lit('x,"y')))
+    fields = fields.when(F.col("seq") % 7 == 0, F.array("title")).otherwise(F.array("title", "authors", "publisher"))
+    quoted = F.transform(fields, lambda x: F.concat(
+        F.lit('"'), F.replace(F.coalesce(x, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')))
+    path, out = scratch_path(spark, "malformed_src"), scratch_path(spark, "malformed_out")
+    # whole lines under the header, as one column that needs no quoting of its own
+    (books.select(F.array_join(quoted, ",").alias("title,authors,publisher"))
+     .write.options(header="true", sep="\u0001", quote="\u0002").csv(path))
+    found = ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, out, malformed="permissive")
+    table = spark.read.parquet(f"{out}/books_data")
+    return table.agg(F.count("*").alias("rows"), F.count("title").alias("titles"), F.count("authors").alias("authors"),
+                     F.count("publisher").alias("publishers")).select(
+        "*", F.lit(found.wide_rows["books_data"]).cast("long").alias("wide_rows"),
+        F.lit(found.short_rows["books_data"]).cast("long").alias("short_rows"))
+
+
+def first_as_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a catalog with repeated titles, then the first row of each title as loaded."""
+    books, _ = _views(spark, sf_dir)
+    out = scratch_path(spark, "loads")
+    columns = {v: A.RAW_CATALOG_HEADERS[v] for v in ("title", "description", "authors", "categories", "publisher")}
+    for n, part in enumerate((F.col("seq") % 2 == 1, F.col("seq") % 2 == 0)):
+        path = scratch_path(spark, f"load{n}")
+        rows = books.where(part).orderBy(F.desc("seq")).select(*[F.col(c).alias(h) for c, h in columns.items()])
+        write_csv(rows, path, single_file=True)
+        ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, out, truncate_first=n == 0)
+    loaded = spark.read.parquet(f"{out}/books_data")
+    return dedupe_first(loaded, ["title"], [C.LOAD_SEQ, C.ROW_ORDER]).select(*columns)
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest into catalog tables, curate from them into another, and read that."""
+    _, ratings = _views(spark, sf_dir)
+    where = scratch_path(spark, "database")
+    name = "folio_" + where.rsplit("-", 1)[-1]
+    ensure_database(spark, name, where)
+    books = A.catalog(spark, sf_dir)
+    csv = scratch_path(spark, "catalog_src")
+    write_csv(books.select(*[F.col(c).alias(h) for c, h in A.RAW_CATALOG_HEADERS.items()]), f"{csv}/books")
+    write_csv(A.raw_review_export(ratings).withColumn("review/text", F.lit("t")), f"{csv}/ratings",
+              max_records_per_file=LANDED_ROWS)
+    ingest_job(spark, {"books_data": (f"{csv}/books", C.CATALOG_SCHEMA),
+                       "books_rating": (f"{csv}/ratings", C.REVIEW_SCHEMA)}, database=name)
+    etl_job(spark, spark.table(f"{name}.books_data"), spark.table(f"{name}.books_rating"),
+            table=f"{name}.curated", catalog_order=["title", "description", "authors", "categories", "publisher"])
+    return spark.table(f"{name}.curated")
+
+
+def bucketed_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curation over tables bucketed by title: keyed rows join with no exchange."""
+    books, ratings = _views(spark, sf_dir)
+    where = scratch_path(spark, "buckets")
+    name = "folio_" + where.rsplit("-", 1)[-1]
+    ensure_database(spark, name, where)
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_table(books, table=f"{name}.books", bucket_by=(buckets, ["title"]))
+    write_table(ratings, table=f"{name}.ratings", bucket_by=(buckets, ["title"]), cluster_by=["title"])
+    return curate(spark.table(f"{name}.books"), spark.table(f"{name}.ratings"), catalog_order=CATALOG_ORDER,
+                  split_nulls=True)
+
+
+def audit_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit job with its report written, and the report read back as text."""
+    books, ratings = _views(spark, sf_dir)
+    path = report_path_for(scratch_path(spark, "reports"))
+    audit_job(spark, books, ratings, report_path=path)
+    report = spark.read.options(**{**CSV_READ_OPTIONS, "multiLine": "false"}).csv(path)
+    return report.select(*[F.col(c).cast(kind).alias(c) for c, kind in REPORT_TYPES.items()])
+
+
+REPORT_TYPES = {"seccion": "string", "tabla": "string", "registros": "long", "review_score": "double",
+                "cantidad": "long", "porcentaje": "double", "metrica": "string", "valor": "long",
+                "score_minimo": "double", "score_maximo": "double", "score_promedio": "double", "fuera_de_rango": "long"}
+
+
+def price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score range over fractional values: the mean of price per hundred, rounded half up."""
+    _, ratings = _views(spark, sf_dir)
+    scores = ratings.select((F.col("price").cast("decimal(18,2)") / F.lit(10000).cast("decimal(5,0)"))
+                            .cast("double").alias("review_score"))
+    return QA.score_range(scores)
+
+
 def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the catalog twice in overwrite mode: the second load replaces the first."""
     books, _ = _views(spark, sf_dir)
@@ -309,4 +396,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_overwrite": table_overwrite,
     "table_append": table_append,
     "etl_csv": etl_csv,
+    "price_range": price_range,
+    "audit_job_report": audit_job_report,
+    "bucketed_curation": bucketed_curation,
+    "catalog_tables": catalog_tables,
+    "first_as_loaded": first_as_loaded,
+    "malformed_rows": malformed_rows,
 }

@@ -60,8 +60,10 @@ def local_session(cores: int = 8, app: str = "folio") -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create our own.
-    A Spark Connect client has no SparkContext; it must name the folder.
+    Where the session names none, a local master gets a temporary folder of
+    its own; any other master is refused, because its executors would write
+    to their own disks.  A Spark Connect client has no SparkContext; it must
+    name the folder.
     """
     try:
         sc = spark.sparkContext
@@ -74,12 +76,39 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not is_local(sc.master):
+                raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
             root = tempfile.mkdtemp(prefix="folio-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.add(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete this process's scratch directories; returns how many were there.
+
+    For when no result that reads them is needed any more: DataFrames over
+    scratch tables fail afterwards.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    for path in sorted(_SCRATCH):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        deleted += bool(p.getFileSystem(conf).delete(p, True))
+    _SCRATCH.clear()
+    return deleted

@@ -3,8 +3,9 @@
 Every column is read as text by header name; typing happens afterwards
 with ``typed_cast`` so dirty values become counted NULLs instead of
 failing the job or shifting columns.  ``multiLine`` parsing reads each file
-in one task, so land many files rather than one large one, and land them
-to Parquet once.
+in one task, so land many files rather than one large one, or say that no
+field holds a line break (``multi_line=False``), and land them to Parquet
+once.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from folio.config import HEADER_MAP, NA_TOKENS
+from folio.functions.exprs import column
 from folio.operators.shaping import Projection, conform
 
 # Reader options matching RFC 4180-style files: a doubled quote escapes a
@@ -48,6 +50,36 @@ def read_csv_text(spark: SparkSession, path: str, *, options: Mapping[str, str]
         raise
 
 
+MALFORMED = ("fail", "permissive", "strict")
+RECORD = "__malformed"
+
+
+def check_widths(raw: DataFrame, n_headers: int, malformed: str, sep: str = ",",
+                 observation: Observation | None = None) -> DataFrame:
+    """Handle rows with more fields than the header, and drop the reader's record column.
+
+    The reader keeps the whole text of a row whose number of fields is wrong
+    in that column; its fields are counted outside quotes.  Counts of
+    ``wide_rows`` and ``short_rows`` go to ``observation``.
+    """
+    unquoted = F.regexp_replace(F.col(RECORD), '"(?:[^"]|"")*"', "")
+    # the reader refuses queries on its record column alone, so a field is looked at, too
+    also = F.when(F.coalesce(F.length(column(raw.columns[0])), F.lit(0)) < 0, 1).otherwise(0)
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep))) + 1 + also
+    wide, short = F.coalesce(fields > n_headers, F.lit(False)), F.coalesce(fields < n_headers, F.lit(False))
+    if observation is not None:
+        raw = raw.observe(observation, F.count_if(wide).alias("wide_rows"), F.count_if(short).alias("short_rows"))
+    if malformed == "fail":
+        told = F.raise_error(F.concat(F.lit(f"row with more than {n_headers} fields: "), F.substring(RECORD, 1, 200)))
+        raw = raw.filter(F.when(wide, told.cast("boolean")).otherwise(True))
+    return raw.drop(RECORD)
+
+
+def text_schema(header: Iterable[str], with_record: bool = True) -> T.StructType:
+    """All headers as text, and the column that check_widths() reads."""
+    return T.StructType([T.StructField(h, T.StringType()) for h in [*header, *([RECORD] if with_record else [])]])
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, *,
                    header_map: Mapping[str, str] = HEADER_MAP,
                    na_tokens: Iterable[str] = NA_TOKENS,
@@ -55,33 +87,44 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, *,
                    observation: Observation | None = None,
                    options: Mapping[str, str] | None = None,
                    row_order_col: str | None = None,
-                   malformed: str = "permissive") -> Projection:
+                   malformed: str = "fail",
+                   multi_line: bool = True,
+                   widths: Observation | None = None) -> Projection:
     """Read a CSV file or folder into ``schema``: rename, project, NA tokens, cast.
 
     Returns the typed frame with the names of missing target columns and of
     dropped input headers.  ``on_missing="skip"`` gives an empty frame with
     the target schema when the input does not exist.
 
-    ``malformed="fail"`` makes a row whose field count does not match the
-    header fail the read (Spark's ``FAILFAST``) instead of being padded or
-    cut.
+    A row with fewer fields than the header is padded with NULL.  A row with
+    more fails the read (``malformed="fail"``), or loses the surplus
+    (``"permissive"``); ``"strict"`` fails on fewer fields, too.  ``widths``
+    observes the ``wide_rows`` and ``short_rows`` of the first two.
+
+    ``multi_line=False`` states that no quoted field holds a line break; the
+    reader may then split a file over many tasks.
 
     ``row_order_col`` adds a long column numbering rows in load order
     (``monotonically_increasing_id`` right after the scan): exactly file
     order for one file, and stable for the same file layout otherwise, so
     "the first row per key" can mean first as loaded.
     """
-    if malformed not in ("permissive", "fail"):
-        raise ValueError("malformed must be 'permissive' or 'fail'")
-    opts = dict(options or {})
-    if malformed == "fail":
-        opts["mode"] = "FAILFAST"
+    if malformed not in MALFORMED:
+        raise ValueError(f"malformed must be one of {MALFORMED}")
+    opts = {"multiLine": str(multi_line).lower(), **(options or {})}
     raw = read_csv_text(spark, path, options=opts, on_missing=on_missing)
     if raw is None:
         empty = spark.createDataFrame([], schema)
         if row_order_col:
             empty = empty.withColumn(row_order_col, F.lit(None).cast("long"))
-        return Projection(frame=empty, missing=schema.fieldNames())
+        return Projection(frame=empty, missing=schema.fieldNames(), found=False)
+    header = raw.columns
+    if malformed == "strict":
+        raw = read_csv_text(spark, path, options={**opts, "mode": "FAILFAST"})
+    else:
+        kept = {**CSV_READ_OPTIONS, **opts, "columnNameOfCorruptRecord": RECORD}
+        raw = spark.read.options(**kept).schema(text_schema(header)).csv(path)
+        raw = check_widths(raw, len(header), malformed, opts.get("sep", ","), widths)
     proj = conform(raw, schema, header_map=header_map, na_tokens=na_tokens,
                    observation=observation)
     if row_order_col:

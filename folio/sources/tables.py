@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from folio.functions.exprs import column
+from folio.session import scratch_path
+
+
+#: Error conditions that mean "there is no such input".
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND")
+
 
 def read_table(spark: SparkSession, *, path: str | None = None, table: str | None = None,
                fmt: str = "parquet", schema: T.StructType | None = None,
@@ -25,144 +32,75 @@ def read_table(spark: SparkSession, *, path: str | None = None, table: str | Non
         if table is not None:
             return spark.table(table)
         return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        if on_missing == "skip" and schema is not None:
+    except AnalysisException as exc:
+        # absent only: an unreadable or empty folder is an error
+        if on_missing == "skip" and schema is not None and exc.getCondition() in MISSING:
             return spark.createDataFrame([], schema)
         raise
 
 
-# Rows the single final merge of a direct top-n may receive (n per input
-# partition); above this ``auto`` cuts the input first (or reduces it as a tree).
-FUNNEL_BUDGET = 5_000_000
-
-
-def top_n(df: DataFrame, n: int, order_by: Sequence[str | Column], *, fan_in: int = 64,
-          strategy: str = "auto") -> DataFrame:
-    """The first ``n`` rows by a total order (exact either way).
-
-    ``"direct"``: ``TakeOrderedAndProject`` -- each task keeps a bounded heap
-    of ``n`` rows and one task merges them, i.e. ``n`` rows per input
-    partition.  ``"tree"``: input partitions are spread over ``fan_in``
-    groups, a partial ``WindowGroupLimit`` keeps each task's top ``n``
-    before the shuffle, each group keeps its top ``n``, and the final merge
-    sees at most ``fan_in * n`` rows; it costs a sort of every partition.
-    ``"cutoff"`` (an integral or decimal column leading the order): histogram passes
-    over that column find where the n-th row falls, and only rows up to that
-    point reach the merge -- about ``n`` rows whatever the partition count.
-    ``"auto"`` takes the direct form while ``n`` times the number of input
-    files (a lower bound on scan partitions) fits ``FUNNEL_BUDGET``, else the
-    cutoff form when it applies, else the tree.  A plain unordered ``limit``
-    returns an arbitrary subset and is not offered.
+def table_exists(spark: SparkSession, *, path: str | None = None, table: str | None = None) -> bool:
+    """Whether there is anything at the path, or a table of the name."""
+    if table is not None:
+        return spark.catalog.tableExists(table)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def top_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows by a total order of columns (ascending, NULL first); exact.
+
+    The value of the leading column at which the n-th row falls is found
+    first, reading that column only.  Every row strictly before it passes a
+    plain filter, in parallel and in as many partitions as the scan has;
+    only the rows that tie with it are ranked, by the next column in the same
+    way.  Rows that tie in all columns of the order are interchangeable to it;
+    some of them are taken.  The result's order is not defined: sort it where
+    order matters.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if strategy not in ("auto", "direct", "tree", "cutoff"):
-        raise ValueError(f"strategy must be auto, direct, tree or cutoff, got {strategy!r}")
-    if strategy == "auto":
-        if n * max(1, len(df.inputFiles())) <= FUNNEL_BUDGET:
-            strategy = "direct"
-        else:
-            strategy = "cutoff" if _numeric_lead(df, order_by) else "tree"
-    if strategy == "cutoff":
-        if not _numeric_lead(df, order_by):
-            raise ValueError("the cutoff strategy needs an integral or decimal column first")
-        candidates, small = _cutoff_candidates(df, n, order_by[0])
-        if small:
-            return candidates.orderBy(*order).limit(n)
-        df, strategy = candidates, "tree"   # a large tie at the cut: reduce it as a tree
-    if strategy == "direct" or not _allow_partial_rank_limit(df.sparkSession, n):
-        return df.orderBy(*order).limit(n)
-    group, rank = "__topn_group", "__topn_rank"
-    w = Window.partitionBy(group).orderBy(*order)
-    staged = (df.withColumn(group, F.pmod(F.spark_partition_id(), F.lit(fan_in)))
-              .withColumn(rank, F.row_number().over(w))
-              .filter(F.col(rank) <= n)
-              .drop(group, rank))
-    return staged.orderBy(*order).limit(n)
-
-
-# Lead types the cutoff strategy accepts (no floating point: NaN sorts last
-# and would need its own bucket).
-_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
-CUTOFF_BUCKETS = 4096
-CUTOFF_ROUNDS = 4
-CUTOFF_BUDGET = 100_000     # rows the final bucket may hold for a direct merge
-
-
-def _numeric_lead(df: DataFrame, order_by: Sequence[str | Column]) -> bool:
-    first = order_by[0] if order_by else None
-    if not isinstance(first, str):
-        return False
-    dtype = dict(df.dtypes).get(first, "")
-    return dtype in _INTEGRAL or dtype.startswith("decimal")
-
-
-def _cutoff_candidates(df: DataFrame, n: int, lead: str) -> tuple[DataFrame, bool]:
-    """Rows that can be among the first ``n`` by an ascending order led by ``lead``.
-
-    Histogram passes over ``lead`` (one column read, partial aggregation, at
-    most ``CUTOFF_BUCKETS`` rows back) find the bucket where the n-th row
-    falls, narrowing into that bucket up to ``CUTOFF_ROUNDS`` times.  The
-    candidates are the NULL leads (they sort first), every row of an earlier
-    bucket and the rows of the final bucket.  Returns them with ``True`` when
-    they are about ``n`` plus one small bucket -- independent of the
-    partition count -- and ``False`` when the cut falls inside a large group
-    no histogram can split (many rows sharing one lead value, or NULL leads).
+    if not order_by or not all(isinstance(c, str) for c in order_by):
+        raise ValueError("order_by needs column names")
+    if n <= 0:
+        return df.limit(0)
+    lead = column(order_by[0])
+    found = _cut(df, n, order_by[0])
+    if found is None:
+        return df
+    value, before, ties = found
+    at = F.lit(value).cast(df.schema[order_by[0]].dataType)
+    tied = df.filter(lead.eqNullSafe(at))
+    first = df.filter(lead.isNull() | (lead < at)) if value is not None else None
+    if before + ties > n:
+        rest = list(order_by[1:])
+        tied = top_n(tied, n - before, rest) if rest else tied.limit(n - before)
+    return tied if first is None or before == 0 else first.unionByName(tied)
+
+
+def _cut(df: DataFrame, n: int, lead: str) -> tuple[object, int, int] | None:
+    """(value, rows before it, rows with it) of the n-th row's lead; None if there are n rows or fewer.
+
+    Distinct leads are counted (a hot one costs a row a task) and
+    range-partitioned; one sum a partition tells which of them holds the cut,
+    and only that one is summed up row by row.
     """
-    col = F.col(lead)
-    key = col.cast("double")       # monotonic, so buckets keep the order
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count(col).alias("keyed"),
-                   F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    budget = max(n, CUTOFF_BUDGET)
-    if stats["rows"] <= n:
-        return df, True
-    nulls = stats["rows"] - stats["keyed"]
-    need = n - nulls
-    if need <= 0:
-        return df.filter(col.isNull()), nulls <= budget
-    lo, hi, scope_rows = stats["lo"], stats["hi"], stats["keyed"]
-    keep = col.isNull()            # rows surely among the first n
-    scope = F.lit(True)            # the bucket being narrowed
-    for _ in range(CUTOFF_ROUNDS):
-        if scope_rows <= budget or hi <= lo:
+    spark = df.sparkSession
+    path = scratch_path(spark, "top-n")
+    (df.groupBy(column(lead).alias("lead")).agg(F.count(F.lit(1)).alias("n"))
+     .repartitionByRange("lead").withColumn("part", F.spark_partition_id()).write.parquet(path))
+    counts = spark.read.parquet(path)
+    before = 0
+    for row in counts.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").toLocalIterator():
+        if before + row["n"] >= n:
             break
-        width = (hi - lo) / CUTOFF_BUCKETS
-        bucket = F.least(F.floor((key - F.lit(lo)) / F.lit(width)),
-                         F.lit(CUTOFF_BUCKETS - 1)).cast("int")
-        hist = (df.filter(scope & col.isNotNull())
-                .groupBy(bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"),
-                     F.max(key).alias("hi"))
-                .collect())
-        cum, cut = 0, None
-        for row in sorted(hist, key=lambda r: r["b"]):
-            if cum + row["rows"] >= need:
-                cut = row
-                break
-            cum += row["rows"]
-        keep = keep | (scope & (bucket < cut["b"]))
-        scope = scope & (bucket == cut["b"])
-        need -= cum
-        lo, hi, scope_rows = cut["lo"], cut["hi"], cut["rows"]
-    return df.filter(keep | (scope & col.isNotNull())), scope_rows <= budget
-
-
-_WGL_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def _allow_partial_rank_limit(spark: SparkSession, n: int) -> bool:
-    """Let the optimizer push a rank limit of ``n`` below the shuffle.
-
-    Spark inserts the partial ``WindowGroupLimit`` only for limits up to
-    ``windowGroupLimitThreshold`` (1000 by default), so raise it to ``n``;
-    it is read when the plan is optimised, i.e. at the action.  A session
-    that disabled the rule (-1) keeps it disabled.
-    """
-    current = int(spark.conf.get(_WGL_THRESHOLD, "1000"))
-    if current < 0:
-        return False
-    if current < n:
-        spark.conf.set(_WGL_THRESHOLD, str(n))
-    return True
+        before += row["n"]
+    else:
+        return None
+    if before + row["n"] == n and counts.agg(F.max("part")).first()[0] == row["part"]:
+        return None
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("lead").rowsBetween(Window.unboundedPreceding, 0))
+    cut = (counts.filter(F.col("part") == row["part"]).withColumn("upto", running + before)
+           .filter(F.col("upto") >= n).orderBy("upto").first())
+    return cut["lead"], cut["upto"] - cut["n"], cut["n"]
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], buckets: int, bucket: int = 0) -> DataFrame:

@@ -66,8 +66,8 @@ def main() -> None:
                                           hot_keys=[None]),
         "curate_split_nulls": lambda r: curate(books, r.drop("part_key"), catalog_order=["seq"],
                                                split_nulls=True),
-        "top_n_tree": lambda r: top_n(r, 5000, A.REVIEW_ORDER, fan_in=3, strategy="tree"),
-        "top_n_cutoff": lambda r: top_n(r, 5000, A.REVIEW_ORDER, strategy="cutoff"),
+        "top_n": lambda r: top_n(r, 5000, A.REVIEW_ORDER),
+        "top_n_ties": lambda r: top_n(r, 2000, ("line_no", *A.REVIEW_ORDER)),
         "audit_sections": lambda r: QA.fused_audit_report(books, r.drop("part_key")),
         "orphans": lambda r: QA.key_violations(r, "title"),
     }

@@ -44,14 +44,12 @@ def test_cli_load_audit_etl(spark, tmp_out, capsys):
     assert spark.read.parquet(f"{tmp_out}/cur2").count() == 1
 
 
-def test_cli_row_order_first_as_loaded(spark, tmp_out, capsys):
+def test_cli_keeps_the_first_row_as_loaded(spark, tmp_out, capsys):
     books = _write(f"{tmp_out}/raw2/books_data.csv", BOOKS)
     ratings = _write(f"{tmp_out}/raw2/Books_rating.csv", RATINGS)
     tables = f"{tmp_out}/tables2"
-    assert main(["ingest", "--books", books, "--ratings", ratings, "--tables", tables,
-                 "--row-order"], spark) == 0
-    assert main(["etl", "--tables", tables, "--out", f"{tmp_out}/cur3",
-                 "--catalog-order", "_row_order", "--cluster-by", "title",
+    assert main(["ingest", "--books", books, "--ratings", ratings, "--tables", tables], spark) == 0
+    assert main(["etl", "--tables", tables, "--out", f"{tmp_out}/cur3", "--cluster-by", "title",
                  "--compression", "zstd"], spark) == 0
     cur = {r.title: r.authors for r in spark.read.parquet(f"{tmp_out}/cur3").collect()}
     assert cur == {"T1": "A", "T2": "C"}     # T1's first row in the file has author A
@@ -69,3 +67,17 @@ def test_cli_etl_hash_sample(spark, tmp_out, capsys):
         sizes.append(spark.read.parquet(out).count())
     assert sizes[0] == 2 and sizes[1] <= 2
 
+
+def test_cli_database_and_date_range(spark, tmp_out, capsys):
+    import json
+    books = _write(f"{tmp_out}/raw4/books_data.csv", BOOKS)
+    ratings = _write(f"{tmp_out}/raw4/Books_rating.csv", RATINGS)
+    spark.sql(f"CREATE DATABASE folio_cli LOCATION '{tmp_out}/folio_cli'")
+    try:
+        assert main(["load", "--books", books, "--ratings", ratings, "--database", "folio_cli", "--no-fail"], spark) == 0
+        told = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+        assert told["date_range"]["primera_resena"] <= told["date_range"]["ultima_resena"]
+        assert main(["etl", "--database", "folio_cli", "--out-table", "folio_cli.curated"], spark) == 0
+        assert spark.table("folio_cli.curated").count() == 2
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS folio_cli CASCADE")

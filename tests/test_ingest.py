@@ -166,7 +166,7 @@ def test_ingest_job_out_partitions(spark, tmp_out):
     files = [f for f in os.listdir(f"{tmp_out}/out3/books_rating") if f.endswith(".parquet")]
     assert 1 <= len(files) <= 3
     back = spark.read.parquet(f"{tmp_out}/out3/books_rating")
-    assert back.columns == list(C.REVIEW_COLUMNS) and back.count() == 4
+    assert back.columns == [*C.REVIEW_COLUMNS, C.ROW_ORDER, C.LOAD_SEQ] and back.count() == 4
 
 
 def test_header_ending_in_its_position_is_not_a_duplicate(spark, tmp_out):
@@ -185,13 +185,12 @@ def test_row_order_keeps_first_row_as_loaded(spark, tmp_out):
     revs = _write(f"{tmp_out}/ro/revs.csv", "Id,Title,review/score\n1,A,5\n2,B,4\n")
     res = ingest_job(spark, {"books_data": (books, C.CATALOG_SCHEMA),
                              "books_rating": (revs, C.REVIEW_SCHEMA)},
-                     f"{tmp_out}/ro_out", row_order_col="_row_order")
+                     f"{tmp_out}/ro_out")
     assert res.counts == {"books_data": 4, "books_rating": 2}
     cat = spark.read.parquet(f"{tmp_out}/ro_out/books_data")
-    assert cat.columns == list(C.CATALOG_COLUMNS) + ["_row_order"]
+    assert cat.columns == [*C.CATALOG_COLUMNS, "_row_order", "_load_seq"]
     assert [r.authors for r in cat.orderBy("_row_order").collect()] == ["z1", "first", "second", "z2"]
-    out = curate(cat, spark.read.parquet(f"{tmp_out}/ro_out/books_rating"),
-                 catalog_order=["_row_order"])
+    out = curate(cat, spark.read.parquet(f"{tmp_out}/ro_out/books_rating"))
     assert {r.title: r.authors for r in out.collect()} == {"A": "first", "B": "z1"}
 
 
@@ -229,13 +228,111 @@ def test_crlf_line_endings(spark, tmp_out):
     assert rows == {"A": "T1", "B": "T\n2"}
 
 
-def test_malformed_rows_fail_when_strict(spark, tmp_out):
-    path = _write(f"{tmp_out}/bad.csv", "Title,authors\nT1,A\nT2,B,extra\n")
-    loose = read_csv_table(spark, path, C.CATALOG_SCHEMA).frame
-    assert sorted(r.title for r in loose.collect()) == ["T1", "T2"]
-    strict = read_csv_table(spark, path, C.CATALOG_SCHEMA, malformed="fail").frame
+def test_malformed_rows(spark, tmp_out):
+    wide = _write(f"{tmp_out}/wide.csv", 'Title,authors\nT1,"A, ""x"",\nb"\nT2,B,extra\n')
+    short = _write(f"{tmp_out}/short.csv", "Title,authors\nT1\nT2,B\n")
+    source = {"books_data": (wide, C.CATALOG_SCHEMA)}
+    for mode in ("fail", "strict"):
+        with pytest.raises(Exception):
+            read_csv_table(spark, wide, C.CATALOG_SCHEMA, malformed=mode).frame.collect()
     with pytest.raises(Exception):
-        strict.collect()
+        ingest_job(spark, source, f"{tmp_out}/bad_out")
+    res = ingest_job(spark, source, f"{tmp_out}/cut_out", malformed="permissive")
+    assert (res.counts, res.wide_rows, res.short_rows) == ({"books_data": 2}, {"books_data": 1}, {"books_data": 0})
+    res = ingest_job(spark, {"books_data": (short, C.CATALOG_SCHEMA)}, f"{tmp_out}/short_out")
+    assert (res.wide_rows, res.short_rows) == ({"books_data": 0}, {"books_data": 1})
+    rows = spark.read.parquet(f"{tmp_out}/short_out/books_data").collect()
+    assert {(r.title, r.authors) for r in rows} == {("T1", None), ("T2", "B")}
     with pytest.raises(Exception):
-        ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, f"{tmp_out}/bad_out",
-                   malformed="fail")
+        ingest_job(spark, {"books_data": (short, C.CATALOG_SCHEMA)}, f"{tmp_out}/s2", malformed="strict")
+
+
+def test_skipped_input_leaves_the_table_alone(spark, tmp_out):
+    books = _write(f"{tmp_out}/sk/books.csv", "Title,authors\nT1,A\nT2,B\n")
+    ingest_job(spark, {"books_data": (books, C.CATALOG_SCHEMA)}, f"{tmp_out}/sk_out")
+    res = ingest_job(spark, {"books_data": (f"{tmp_out}/absent.csv", C.CATALOG_SCHEMA)}, f"{tmp_out}/sk_out",
+                     on_missing="skip")
+    assert res.counts == {"books_data": 0}
+    assert spark.read.parquet(f"{tmp_out}/sk_out/books_data").count() == 2
+
+
+def test_failed_load_keeps_every_old_table(spark, tmp_out):
+    good = _write(f"{tmp_out}/fl/books.csv", "Title,authors\nT1,A\nT2,B\n")
+    revs = _write(f"{tmp_out}/fl/revs.csv", "Id,Title\n1,T1\n")
+    out = f"{tmp_out}/fl_out"
+    ingest_job(spark, {"books_data": (good, C.CATALOG_SCHEMA), "books_rating": (revs, C.REVIEW_SCHEMA)}, out)
+    new = _write(f"{tmp_out}/fl/new.csv", "Title,authors\nT9,Z\n")
+    bad = _write(f"{tmp_out}/fl/bad.csv", "Id,Title\n1,T1\n2,T2,extra\n")
+    for append in (True, False):
+        with pytest.raises(Exception):
+            ingest_job(spark, {"books_data": (new, C.CATALOG_SCHEMA), "books_rating": (bad, C.REVIEW_SCHEMA)}, out,
+                       truncate_first=not append)
+        assert sorted(r.title for r in spark.read.parquet(f"{out}/books_data").collect()) == ["T1", "T2"]
+        assert spark.read.parquet(f"{out}/books_rating").count() == 1
+    assert sorted(os.listdir(out)) == ["books_data", "books_rating"]
+
+
+def test_failed_etl_keeps_the_old_outputs(spark, tmp_out, catalog, reviews):
+    from pyspark.sql import functions as F
+
+    from folio.plans.jobs import etl_job
+    table, csv = f"{tmp_out}/etl_t", f"{tmp_out}/etl_c"
+    etl_job(spark, catalog, reviews, table_path=table, csv_path=csv, catalog_order=["seq"])
+    broken = reviews.withColumn("review_text", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        etl_job(spark, catalog, broken, table_path=table, csv_path=csv, catalog_order=["seq"])
+    assert spark.read.parquet(table).count() == 5
+    assert spark.read.option("header", "true").csv(csv).count() == 5
+
+
+def test_appended_loads_keep_their_order(spark, tmp_out):
+    from folio.operators.curate import curate
+    out = f"{tmp_out}/ap_out"
+    for n, text in enumerate(("A,z\nB,first\n", "A,first\nB,later\nC,only\n")):
+        path = _write(f"{tmp_out}/ap/{n}.csv", "Title,authors\n" + text)
+        res = ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, out, truncate_first=n == 0)
+    assert res.counts == {"books_data": 5}
+    cat = spark.read.parquet(f"{out}/books_data")
+    assert cat.select(C.LOAD_SEQ, C.ROW_ORDER).distinct().count() == 5
+    revs = spark.createDataFrame([("1", t) for t in "ABC"], "id string, title string")
+    assert {r.title: r.authors for r in curate(cat, revs).collect()} == {"A": "z", "B": "first", "C": "only"}
+    with pytest.raises(ValueError):
+        ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, out, truncate_first=False, load_order=False)
+
+
+def test_catalog_targets_and_missing_tables(spark, tmp_out):
+    from folio.plans.jobs import ingest_and_audit
+    from folio.sources.tables import read_table
+    books = _write(f"{tmp_out}/ct/books.csv", "Title,authors\nT1,A\n")
+    spark.sql(f"CREATE DATABASE folio_jobs LOCATION '{tmp_out}/folio_jobs'")
+    try:
+        for _ in range(2):
+            loaded, audit = ingest_and_audit(spark, books, f"{tmp_out}/ct/absent.csv", database="folio_jobs",
+                                             on_missing="skip", raise_on_fail=False)
+        assert loaded.counts == {"books_data": 1, "books_rating": 0} and not audit.passed
+        assert [t.name for t in spark.catalog.listTables("folio_jobs")] == ["books_data"]
+        with pytest.raises(ValueError):
+            ingest_job(spark, {"books_data": (books, C.CATALOG_SCHEMA)})
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS folio_jobs CASCADE")
+    os.makedirs(f"{tmp_out}/empty")
+    with pytest.raises(Exception):   # an existing folder without a table is an error, not a missing input
+        read_table(spark, path=f"{tmp_out}/empty", schema=C.CATALOG_SCHEMA, on_missing="skip")
+
+
+def test_files_without_line_breaks_may_be_split(spark, tmp_out):
+    path = _write(f"{tmp_out}/nb.csv", "Id,Title\n" + "".join(f"{i},T{i}\n" for i in range(50)))
+    proj = read_csv_table(spark, path, C.REVIEW_SCHEMA, multi_line=False)
+    assert proj.frame.count() == 50
+
+
+def test_number_text(spark):
+    from pyspark.sql import types as T
+
+    from folio.functions.exprs import safe_cast
+    texts = ["1d", "1f", "0x1p3", "1.5", " 2 ", "1e3", "-inf", "nan", "x", "5.0", "5.5", "1e2"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
+        "i", safe_cast("t", T.DoubleType()).alias("d"), safe_cast("t", T.LongType()).alias("n")).orderBy("i").collect()
+    assert [str(r.d) for r in rows] == ["None", "None", "None", "1.5", "2.0", "1000.0", "-inf", "nan", "None", "5.0",
+                                        "5.5", "100.0"]
+    assert [r.n for r in rows] == [None, None, None, None, 2, 1000, None, None, None, 5, None, 100]

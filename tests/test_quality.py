@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from folio import config as C
@@ -163,3 +165,24 @@ def test_weighted_mean_matches_plain_mean(spark):
                                 "review_score", "CAST(NULL AS STRING) AS user_id", "'t' AS title",
                                 "CAST(NULL AS BIGINT) AS review_time"), materialize=False)
     assert sec["score_range"].first().score_promedio == plain == 2.17
+
+
+def test_exact_mean_is_rounded_once(spark):
+    for values, mean in (([1.00495], 1.0), ([2.344995], 2.34), ([1.005, 1.005], 1.01), ([1e300, 1.0], None)):
+        df = spark.createDataFrame([(v,) for v in values], "review_score double")
+        got = QA.score_range(df).first()["score_promedio"]
+        fused = QA.audit_sections(df.selectExpr("1 AS title", "2 AS authors"), df.selectExpr(
+            "review_score", "'u' AS user_id", "'t' AS title", "CAST(9e17 AS BIGINT) AS review_time"), materialize=False)
+        assert fused["score_range"].first()["score_promedio"] == got
+        left_out = fused["left_out"].first()
+        assert left_out["times_out_of_range"] == len(values)
+        if mean is None:
+            assert left_out["scores_not_exact"] == 1
+        else:
+            assert got == mean and left_out["scores_not_exact"] == 0
+
+
+def test_hot_key_share_is_bounded(spark):
+    from folio.operators.joins import find_hot_keys
+    with pytest.raises(ValueError):
+        find_hot_keys(spark.range(3), "id", min_share=1e-9)

@@ -60,7 +60,7 @@ def test_read_table_missing_skip(spark, tmp_out):
 def test_top_n_is_deterministic(spark):
     df = spark.range(100).selectExpr("id", "id % 7 AS k").repartition(5)
     got = [r.id for r in top_n(df, 5, ["k", "id"]).collect()]
-    assert got == [0, 7, 14, 21, 28]
+    assert sorted(got) == [0, 7, 14, 21, 28]
 
 
 def test_hash_sample_partitions_rows(spark):
@@ -85,28 +85,62 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, tmp_out):
     landing, out, ckpt = f"{tmp_out}/landing", f"{tmp_out}/table", f"{tmp_out}/ckpt"
     _landing_file(landing, "a.csv", [("1", "T1", "5", "0"), ("2", "NA", "x", "86400")])
     _landing_file(landing, "b.csv", [("3", '"multi\nline"', "4", "")])
-    stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA, header=HEADER)
+    done = stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA, header=HEADER, files_per_trigger=1)
+    assert (done.batches, done.rows) == (2, 3)
     first = {r.id: r for r in spark.read.parquet(out).collect()}
     assert set(first) == {"1", "2", "3"}
     assert first["2"].title is None and first["2"].review_score is None
     assert first["3"].title == "multi\nline" and first["3"].review_time is None
     # a rerun over the same folder adds only the new file
     _landing_file(landing, "c.csv", [("4", "T4", "3", "1")])
-    stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA)   # header from the files
+    done = stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA)   # header from the files
+    assert (done.batches, done.rows) == (1, 1)
+    # more batches than the query's recent progress keeps
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(5):
+            _landing_file(landing, f"d{i}.csv", [(str(10 + i), "T", "1", "1")])
+        done = stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA, header=HEADER, files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (done.batches, done.rows) == (5, 5)
+    with pytest.raises(Exception):
+        _landing_file(landing, "wide.csv", [("9", "T", "1", "1", "extra")])
+        stream_csv_to_table(spark, landing, out, ckpt, C.REVIEW_SCHEMA, header=HEADER)
+    os.remove(os.path.join(landing, "wide.csv"))
     ids = sorted(r.id for r in spark.read.parquet(out).collect())
-    assert ids == ["1", "2", "3", "4"]
+    assert ids == sorted(["1", "2", "3", "4", *(str(10 + i) for i in range(5))])
 
 
-def test_large_top_n_tree_reduction_is_exact(spark):
+def test_large_top_n_is_exact_and_stays_parallel(spark):
     from folio.plans.inspect import plan_text
     n = 12000
     df = spark.range(40000).selectExpr("id", "(id * 7919) % 1000 AS k").repartition(9)
-    assert "TakeOrderedAndProject" in plan_text(top_n(df, n, ["k", "id"]))   # auto: small input
-    got = top_n(df, n, ["k", "id"], fan_in=4, strategy="tree")
-    tree = plan_text(got).split("\n\n", 1)[0]
-    assert tree.count("WindowGroupLimit") == 2
+    before = dict(spark.conf.getAll)
+    got = top_n(df, n, ["k", "id"])
+    assert "TakeOrderedAndProject" not in plan_text(got)
+    assert got.rdd.getNumPartitions() > 1
+    assert dict(spark.conf.getAll) == before
     expected = sorted(((r.k, r.id) for r in df.collect()))[:n]
-    assert [(r.k, r.id) for r in got.collect()] == expected
+    assert sorted((r.k, r.id) for r in got.collect()) == expected
+
+
+@pytest.mark.parametrize("n, kind", [(0, "int"), (3, "double"), (4, "string"), (5, "date"), (6, "timestamp_ntz"), (99, "int")])
+def test_top_n_of_other_types_and_sizes(spark, n, kind):
+    values = {"int": ["3", "1", None, "2", "2", "1", "7"], "string": ["b", "", None, "é", "a", "a", "z"],
+              "double": ["1.5", "NaN", None, "-inf", "-0.0", "0.0", "2"],
+              "date": ["2024-01-02", "1969-05-05", None, "2024-01-01", "2024-01-01", "2025-01-01", "2024-01-02"],
+              "timestamp_ntz": ["2024-01-02 03:04:05", "1969-05-05 00:00:01", None, "2024-01-01 00:00:00",
+                                "2024-01-01 00:00:00", "2025-01-01 00:00:00", "2024-01-02 03:04:05.000001"]}[kind]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "t string, i int").selectExpr(
+        f"CAST(t AS {kind}) AS v", "i").repartition(3)
+    want = [r.i for r in df.orderBy("v", "i").limit(n).collect()]
+    assert sorted(r.i for r in top_n(df, n, ["v", "i"]).collect()) == sorted(want)
+
+
+def test_top_n_of_full_ties(spark):
+    df = spark.createDataFrame([(1, "a")] * 6 + [(0, "b")], "k int, t string")
+    assert sorted(r.k for r in top_n(df, 4, ["k"]).collect()) == [0, 1, 1, 1]
 
 
 def test_max_records_per_file(spark, tmp_out):
@@ -161,3 +195,28 @@ def test_partitioned_write_and_table_read(spark, tmp_out, reviews):
             read_table(spark, table="folio_rt.reviews", path=f"{tmp_out}/p")
     finally:
         spark.sql("DROP DATABASE IF EXISTS folio_rt CASCADE")
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode():
+    from types import SimpleNamespace
+
+    from folio.session import checkpoint_root, is_local
+
+    def session(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default=None: default))
+
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
+        assert not is_local(master)
+        with pytest.raises(RuntimeError):
+            checkpoint_root(session(master))
+    assert is_local("local") and is_local("local[8]") and is_local("local[4,4]")
+
+
+def test_scratch_is_cleaned(spark):
+    from folio.session import clean_scratch, scratch_path
+    path = scratch_path(spark, "cleaned")
+    spark.range(3).write.parquet(path)
+    from folio.sources.tables import table_exists
+    assert table_exists(spark, path=path) and clean_scratch(spark) >= 1
+    assert not table_exists(spark, path=path)
