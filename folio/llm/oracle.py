@@ -42,4 +42,65 @@ SELECT doc_id, size, source_size, target, (size * readings)::BIGINT AS taken,
 FROM read
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9}
+OP5 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM docs),
+windows AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS win FROM places),
+owners AS (SELECT win, min(doc_id) AS owner FROM windows GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN owners USING (win) WHERE owner < doc_id),
+word AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+OP6 = r"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM line),
+owners AS (SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= 10 GROUP BY k),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n
+  FROM keyed LEFT JOIN owners USING (k) WHERE coalesce(owner, doc_id) = doc_id GROUP BY doc_id)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+OP7 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM docs WHERE len(words) > 0),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(array_to_string(words[i:i + 4], ' ')) AS shingle FROM places),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, root) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node)
+SELECT docs.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(root) AS component_id
+FROM docs JOIN reach ON node = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id
+GROUP BY docs.doc_id, n
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_substring_dedup": OP5,
+    "op6_line_dedup": OP6,
+    "op7_jaccard_join": OP7,
+    "op9_mixing": OP9,
+}
