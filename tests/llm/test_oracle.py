@@ -1,0 +1,39 @@
+"""The registered queries against their SQL, and the entry's registry."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from folio.llm import oracle, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    names = set(E.queries())
+    assert set(queries.QUERIES) <= names and "pipeline" in names
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert set(oracle.ORACLE_SQL) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    expected = con.execute(oracle.ORACLE_SQL[name])
+    columns = [c[0] for c in expected.description]
+    out = queries.QUERIES[name](spark, SF).select(*columns)
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, expected.fetchall()))
+
+
+@pytest.mark.parametrize("name", ["op1_token_output", "op2_token_counts", "op3_quality_rules", "op4_html_extraction",
+                                  "op8_decontamination", "op10_lm_scoring"])
+def test_query_returns_every_row(spark, name):
+    out = queries.QUERIES[name](spark, SF)
+    rows = out.count()
+    if name == "op1_token_output":
+        assert rows == out.select("slot").distinct().count()
+    elif name == "op4_html_extraction":
+        assert rows == spark.read.parquet(f"{SF}/pages.parquet").count()
+    elif name != "op8_decontamination":
+        assert rows == spark.read.parquet(f"{SF}/documents.parquet").count()
