@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from folio.plans import queries as Q  # noqa: E402
 from folio.session import configure  # noqa: E402
 
 SMJ = "no-broadcast:"
@@ -42,17 +42,17 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
-    names = list(E.queries())
+    names = list(Q.QUERIES)
     for name in names:
         spark.sparkContext.setJobDescription(name)
-        E.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        Q.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     # second pass: no broadcast joins, as for a catalog too large to broadcast
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     joined = [n for n in names if n.startswith("curated") or n in ("fill_defaults", "orphan_reviews")]
     for name in joined:
         spark.sparkContext.setJobDescription(SMJ + name)
-        E.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        Q.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription(None)
     spark.stop()
 
@@ -102,15 +102,13 @@ def main() -> None:
         "per query into the `noop` sink, `local[8]`, broadcast threshold at its default).",
         "*Input rows* count every row read from files, including the re-reads of queries that",
         "write and read back. *Shuffled rows* are rows written to shuffle files. Broadcasts",
-        "are not shuffles and appear in neither column. The shuffles of `csv_roundtrip`,",
-        "`ingest_reviews` and `stream_ingest` are their test setup, which lands the exported",
-        "CSV as one file per core. The ingest itself shuffles nothing.", "",
+        "are not shuffles and appear in neither column.", "",
         *table(names), "",
         "## Joins without broadcast", "",
         "The joining queries again, with both broadcast thresholds off: the sort-merge path a",
         "catalog too large to broadcast takes. The reviews are now shuffled once. With",
         "`split_nulls` only the non-NULL-title reviews are, because the NULL group joins its",
-        "single catalog row by a bounded broadcast.", "",
+        "single catalog row by a broadcast whose rows are counted first.", "",
         *table([SMJ + n for n in joined]), ""])
     with open(out, "w", encoding="utf-8") as fh:
         fh.write(text)
