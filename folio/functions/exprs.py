@@ -135,8 +135,8 @@ def safe_cast(col: str | Column, dtype: T.DataType) -> Column:
         integral = F.when(as_dec == F.floor(as_dec), as_dec.try_cast(name))
         return F.coalesce(c.try_cast(name), integral)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # a suffix or a hexadecimal form has one of these letters
-        odd = F.lower(F.trim(c)).rlike(r"^[^in]*[dfxp]")
+        # a suffix or a hexadecimal form has one of these letters; few values need the second look
+        odd = c.rlike("[dDfFxXpP]") & ~c.rlike(r"(?i)^\s*[+-]?inf")
         return F.when(~odd, c).try_cast(dtype)
     return c.try_cast(dtype)
 
