@@ -51,8 +51,8 @@ UNITS = ("km/h", "m/s", "kwh", "km", "cm", "mm", "kg", "mg", "ml", "mph", "kw",
 _NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
 _UNIT = (r"(?i)(?<=\p{N}\x20?)(?:" + "|".join(u.replace("$", r"\$") for u in sorted(UNITS, key=len, reverse=True))
          + r")(?![\p{L}\p{N}])")
-#: A capitalised word inside a sentence.
-_NAME = r"(?=\p{Lu})(?<=[\p{L}\p{N},;)]\s{1,3})\p{Lu}[\p{L}\p{M}]+"
+#: A capitalised word inside a sentence (not one in capitals throughout).
+_NAME = r"(?=\p{Lu})(?<=[\p{L}\p{N},;)]\s{1,3})\p{Lu}\p{Ll}[\p{L}\p{M}]*"
 _MARKS = "[\u0001\u0002\u0003]"
 
 
