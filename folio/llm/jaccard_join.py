@@ -4,10 +4,11 @@ A document's set is its distinct ``SHINGLE``-word shingles (64-bit hashes);
 two documents link when their Jaccard similarity is ``THRESHOLD_PCT`` percent
 or more.  The result is the connected components of all links.
 
-*Points.*  The shingles are hashed into ``GROUPS`` groups and a document
-becomes the point of its counts by group.  For two points, and likewise for
-the upper corners of two bounding boxes, the sum of the smaller coordinates
-bounds the overlap of the sets from above.
+*Points.*  The shingles are hashed into groups and a document becomes the point
+of its counts by group: in about as many groups as it has shingles, and, added
+up, in ``GROUPS`` groups for the boxes.  For two points, and likewise for the
+upper corners of two bounding boxes, the sum of the smaller coordinates bounds
+the overlap of the sets from above.
 
 *Tree.*  Bounding boxes over random texts overlap in every coordinate, so a
 tree over all points would compare all with all.  The root therefore branches
@@ -51,8 +52,10 @@ from folio.session import scratch_path
 
 SHINGLE = 5
 THRESHOLD_PCT = 80
+#: Groups of the boxes, and at most of a point.
 GROUPS_LOG2 = 7
 GROUPS = 1 << GROUPS_LOG2
+MAX_GROUPS_LOG2 = 16
 LEAF = 16
 TILE = 1024
 #: Frequent shingles come last in the order: those in so many documents, at most so many of them.
@@ -84,19 +87,47 @@ def _prefix_sizes(n: np.ndarray) -> np.ndarray:
     return n - (THRESHOLD_PCT * n + 99) // 100 + 1
 
 
-def _pack(counts: np.ndarray) -> bytes:
-    top = counts.max(initial=0)
-    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+def _pack(tokens: np.ndarray) -> bytes:
+    """A point: counts in a power of two of groups, as many as shingles or more; 4 bits each where that does.
+
+    A group is the shingles with the same leading bits, so that neighbouring
+    groups add up to those of a coarser point.
+    """
+    bits = min(MAX_GROUPS_LOG2, max(GROUPS_LOG2, (len(tokens) - 1).bit_length()))
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    top = counts.max()
+    if top < 16:
+        return bytes([bits, 0]) + (counts[::2] | counts[1::2] << 4).astype("<u1").tobytes()
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4
+    return bytes([bits, width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _counts(point: bytes) -> np.ndarray:
+    data = np.frombuffer(point, dtype=f"<u{point[1] or 1}", offset=2)
+    if point[1]:
+        return data
+    out = np.empty(2 * len(data), dtype=np.uint8)
+    out[::2], out[1::2] = data & 15, data >> 4
+    return out
 
 
-def _unpack(points: list[bytes]) -> np.ndarray:
-    kinds = {GROUPS: "<u1", 2 * GROUPS: "<u2", 4 * GROUPS: "<u4"}
+def _coarse(points: list[bytes]) -> np.ndarray:
+    """The points in ``GROUPS`` groups each."""
     out = np.zeros((len(points), GROUPS), dtype=np.int32)
     for i, p in enumerate(points):
-        out[i] = np.frombuffer(p, dtype=kinds[len(p)])
+        out[i] = _counts(p).reshape(GROUPS, -1).sum(axis=1)
     return out
 
 
+def _most(x: np.ndarray, y: np.ndarray) -> int:
+    """The bound on the overlap of two points' sets, in the coarser's groups."""
+    if len(x) > len(y):
+        x, y = y, x
+    if len(y) > len(x):
+        y = y.reshape(len(x), -1).sum(axis=1)
+    return int(np.minimum(x, y).sum(dtype=np.int64))
+
+
 def _needed(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """The smallest overlap with which sets of these sizes link."""
     return -(-THRESHOLD_PCT * (n_a + n_b) // (100 + THRESHOLD_PCT))
@@ -137,8 +168,7 @@ def document_points(docs: DataFrame, frequent: Broadcast) -> DataFrame:
                     n = len(tokens)
                     sizes.append(n)
                     digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                    points.append(_pack(np.bincount((tokens >> np.uint64(64 - GROUPS_LOG2)).astype(np.int64),
-                                                    minlength=GROUPS)))
+                    points.append(_pack(tokens))
                     if len(often):
                         last = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
                         tokens = np.concatenate([tokens[~last], tokens[last]])
@@ -178,18 +208,20 @@ def _bounded(pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_a, n_b = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            most = np.minimum(_unpack(b.column(4).to_pylist()), _unpack(b.column(5).to_pylist())).sum(axis=1)
-            keep = pa.array(most >= _needed(n_a, n_b))
+            most = [_most(_counts(x), _counts(y)) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+            keep = pa.array(np.array(most, dtype=np.int64) >= _needed(n_a, n_b))
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
     return pairs.select("a", "b", "n_a", "n_b", "p_a", "p_b").mapInArrow(run, "a long, b long")
 
 
-def _leaf_join(rep: np.ndarray, part: np.ndarray, n: np.ndarray, points: np.ndarray, side: np.ndarray,
+def _leaf_join(rep: np.ndarray, part: np.ndarray, n: np.ndarray, packed: list[bytes], side: np.ndarray,
                one_tile: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of unlike components that may link, by boxes of leaves and then by points."""
+    """Pairs of unlike components that may link: by boxes of leaves, by coarse points, then by whole ones."""
     order = np.lexsort((n, part, side))
-    rep, part, n, points, side = rep[order], part[order], n[order], points[order], side[order]
+    rep, part, n, side = rep[order], part[order], n[order], side[order]
+    packed = [packed[k] for k in order]
+    points, whole = _coarse(packed), {}
     new = np.ones(len(rep), dtype=bool)
     new[1:] = (part[1:] != part[:-1]) | (side[1:] != side[:-1])
     run_start = np.maximum.accumulate(np.where(new, np.arange(len(rep)), 0))
@@ -212,12 +244,14 @@ def _leaf_join(rep: np.ndarray, part: np.ndarray, n: np.ndarray, points: np.ndar
             overlap = np.minimum(x[:, None, :], y[None, :, :]).sum(axis=2)
             fits = ((overlap >= _needed(n_x, n_y)) & (100 * n_x >= THRESHOLD_PCT * n_y)
                     & (100 * n_y >= THRESHOLD_PCT * n_x))
-            a, b = np.nonzero(fits)
-            left.append(rep[head[i] + a])
-            right.append(rep[head[j] + b])
-    if not left:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return np.concatenate(left), np.concatenate(right)
+            for a, b in np.argwhere(fits) + (head[i], head[j]):
+                for k in (a, b):
+                    if k not in whole:
+                        whole[k] = _counts(packed[k])
+                if _most(whole[a], whole[b]) >= _needed(n[a], n[b]):
+                    left.append(rep[a])
+                    right.append(rep[b])
+    return np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
 
 
 def _tree_pairs(members: DataFrame) -> DataFrame:
@@ -232,7 +266,7 @@ def _tree_pairs(members: DataFrame) -> DataFrame:
 
         def join(rows: pa.Table) -> pa.RecordBatch:
             c = [rows.column(k).to_numpy() for k in range(7)]
-            a, b = _leaf_join(c[4], c[5], c[6], _unpack(rows.column(7).to_pylist()), c[3], bool(c[1][0] == c[2][0]))
+            a, b = _leaf_join(c[4], c[5], c[6], rows.column(7).to_pylist(), c[3], bool(c[1][0] == c[2][0]))
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         for batch in batches:
@@ -342,6 +376,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     open_ = (placed.groupBy("token").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 < p1")
              .select("token"))
     tiles = F.ceil(F.col("c") / TILE).cast("int")
+    open_ = saved(open_, "open")
     members = (placed.join(open_.hint("merge"), "token")
                .withColumn("tiles", tiles)
                .withColumn("tile", F.expr("CAST(pmod(xxhash64(rep), tiles) AS INT)"))
@@ -349,10 +384,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
                .withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
                .join(points, ["rep", "n"])
                .select("token", "i", "j", "tile", "rep", "part", "n", "point"))
-    pairs = _tree_pairs(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"))
-    late = _verified(saved(pairs.distinct(), "late"), docs, f"{path}/second")
-    final = saved(connected_components(parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
-                                       .union(late)), "final")
+    final = parts
+    if not open_.isEmpty():
+        pairs = _tree_pairs(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"))
+        late = _verified(saved(pairs.distinct(), "late"), docs, f"{path}/second")
+        final = saved(connected_components(parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
+                                           .union(late)), "final")
 
     component = F.coalesce("component", "rep")
     classes = (reps.select("f1", "f2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
