@@ -8,6 +8,7 @@ the same in every process.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,6 +18,11 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # not glibc: freed memory goes back by itself, or not at all
+    _LIBC = None
+
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -111,6 +117,13 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return pc.cast(column, pa.binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and an executor's limit holds them all."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def blocks(texts: list[bytes | None], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` bytes of text, one row at least."""
     low = size = 0
@@ -121,6 +134,7 @@ def blocks(texts: list[bytes | None], limit: int = BLOCK_BYTES) -> Iterator[tupl
             low, size = i + 1, 0
     if low < len(texts):
         yield low, len(texts)
+    give_back()
 
 
 def signed(x: np.ndarray) -> np.ndarray:
