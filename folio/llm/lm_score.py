@@ -198,6 +198,20 @@ def word_counts(model: DataFrame) -> DataFrame:
     return model.select("words", "counts").mapInArrow(run, "word long, c long")
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words whose counts reach a bound that at most ``most`` of them reach."""
+    step = F.floor(F.log2("c") * 16)
+    bound = None
+    room = most
+    # a row for each sixteenth of a doubling
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        bound = row["step"]
+    return counts.where(F.lit(False) if bound is None else step >= bound)
+
+
 class FilterPart:
     """Consecutive hash ranges of the filter: what one broadcast holds."""
 
@@ -325,7 +339,7 @@ def score_documents(docs: DataFrame, max_filter_mb: int = MAX_FILTER_MB, top_wor
     model, range_bits = train(docs)
     n, v = model.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     counts = word_counts(model)
-    frequent = counts.orderBy(F.desc("c"), "word").limit(top_words).toPandas().sort_values("word")
+    frequent = most_frequent(counts, top_words).toPandas()
     keys = frequent["word"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(keys)
     top = spark.sparkContext.broadcast((keys[order], frequent["c"].to_numpy(dtype=np.int64)[order]))
