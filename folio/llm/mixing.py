@@ -42,7 +42,7 @@ WEIGHTS = (1, 2, 3)
 #: Of the source's mean weight, by weight class: the first fades out, the third comes in.
 SLOPES = (-0.6, 0.0, 0.6)
 KEY = 71
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 1_000
 BROADCAST_SOURCES = 50_000
 
 ADDED = ("_size", "_source_size", "_target", "_readings", "_before", "_source_no")
