@@ -5,14 +5,23 @@ lower case; the rest is not looked at.  The template's windows of ``WINDOW``
 tokens are hash-joined with those of the benchmark items, so a question is
 found again with other numbers, names or units in it.
 
-1. *Seeds.*  Documents' windows are looked up at every ``stride``-th token
-   only.  A match is a run of at least ``COVERAGE`` of an item's windows on one
-   diagonal, and the stride is no longer than the shortest such run.
-2. *Whole documents.*  All windows of documents with a seed are joined, and
-   matches counted by document, item and diagonal (difference of positions).
-3. *Slots.*  Along a diagonal, the placeholders' values are compared: a copy
+1. *Seeds.*  Documents' windows are looked up at every token: a copy with words
+   put in may consist of runs of one window each.
+2. *Runs.*  All windows of documents with a seed are joined; windows that follow
+   each other on one diagonal (difference of positions) are a run.
+3. *Chains.*  A token put in or left out moves the rest of a copy to another
+   diagonal, so runs within ``BAND`` diagonals that come in the same order in
+   both texts are chained, the longest first.  Where the diagonal changes, the
+   windows between two runs count as well, less one for each token left out (if
+   these are fewer than a window has).  A chain has to hold ``COVERAGE`` of the
+   item's windows; the runs of a single diagonal are a chain as well.
+4. *Slots.*  Along a chain, the placeholders' values are compared: a copy
    may rename them, but one to one.  Where one value of the item stands for
-   two of the document, or the other way round, it is no copy.
+   two of the document, or the other way round, it is no copy.  Placeholders
+   next to a change of diagonal are not compared.
+
+Limits: between two such changes at least ``WINDOW`` tokens must be as in the
+item, and a word replaced by another costs the windows around it.
 
 Items with fewer than ``WINDOW`` tokens are one window of their own length,
 which is looked up at every token.
@@ -29,7 +38,7 @@ documents' other columns may have any names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.columns import shielded
@@ -37,7 +46,7 @@ from folio.session import scratch_path
 
 WINDOW = 8
 COVERAGE = 0.4
-MAX_STRIDE = 3
+BAND = 16
 MIN_LITERAL_SHARE = 0.5
 BROADCAST_WINDOWS = 1_000_000
 
@@ -75,10 +84,10 @@ def slot_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(out, F.lit(pattern), F.lit(0)), F.array())
 
 
-def _windows(tokens: str, width: int, stride: int) -> Column:
-    """Hashes of the windows at tokens 1, 1 + stride, ..."""
+def _windows(tokens: str, width: int) -> Column:
+    """Hashes of the windows at each token."""
     last = F.size(tokens) - width + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last, F.lit(stride)),
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last),
                                          lambda i: F.xxhash64(F.slice(tokens, i, width)))).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -98,6 +107,53 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
+def _chains(found: DataFrame, key: list[str]) -> DataFrame:
+    """(key, width, chain, n_windows): runs of windows on one diagonal or on several near ones.
+
+    A chain's runs are (first, last, diagonal) by item position, where ``first`` is
+    the first token that no earlier run covers and ``last`` the last token.
+    """
+    line = Window.partitionBy(*key, "diagonal").orderBy("item_pos")
+    runs = (found.withColumn("diagonal", F.col("at") - F.col("item_pos")).select(*key, "width", "diagonal", "item_pos").distinct()
+            .withColumn("island", F.col("item_pos") - F.row_number().over(line))
+            .groupBy(*key, "width", "diagonal", "island")
+            .agg(F.min("item_pos").alias("first"), F.max("item_pos").alias("last")))
+    run = F.struct((F.col("first") - F.col("last")).alias("by_length"), "first", "last", "diagonal")
+    near = Window.partitionBy(*key).orderBy("diagonal").rangeBetween(-BAND, BAND)
+
+    def before(a: Column, b: Column) -> Column:
+        return (a["last"] < b["first"]) & (a["last"] + a["diagonal"] < b["first"] + b["diagonal"])
+
+    def longest_first(taken: Column, r: Column) -> Column:
+        return F.when(F.forall(taken, lambda t: before(t, r) | before(r, t)), F.concat(taken, F.array(r))).otherwise(taken)
+
+    def in_order(chain: Column) -> Column:
+        return F.array_sort(F.transform(chain, lambda r: F.struct(r["first"], r["last"], r["diagonal"])))
+
+    own = F.filter("near", lambda r: r["diagonal"] == F.col("diagonal"))
+    several = F.aggregate(F.array_sort("near"), F.array("run"), longest_first)
+    chains = (runs.withColumn("run", run).withColumn("near", F.collect_list("run").over(near))
+              .select(*key, "width", F.explode(F.array_distinct(F.array(in_order(own), in_order(several)))).alias("chain"))
+              .distinct())
+    # where the diagonal changes, the windows between two runs count, less the tokens left out
+    start = F.struct(F.lit(0).alias("n"), F.lit(-(1 << 30)).alias("last"), F.lit(0).alias("diagonal"),
+                     F.expr("CAST(array() AS ARRAY<STRUCT<first: INT, last: INT, diagonal: INT>>)").alias("tokens"))
+
+    def add(acc: Column, r: Column) -> Column:
+        between = r["first"] - acc["last"]
+        left_out = F.greatest(between - F.col("width"), F.lit(0))
+        joint = F.when((left_out < F.col("width")) & (r["diagonal"] != acc["diagonal"]), between - 1 - left_out).otherwise(0)
+        return F.struct(
+            (acc["n"] + r["last"] - r["first"] + 1 + joint).alias("n"),
+            r["last"].alias("last"), r["diagonal"].alias("diagonal"),
+            F.concat(acc["tokens"], F.array(F.struct(
+                F.greatest(r["first"], acc["last"] + F.col("width")).alias("first"),
+                (r["last"] + F.col("width") - 1).alias("last"), r["diagonal"].alias("diagonal")))).alias("tokens"))
+
+    return (chains.withColumn("sum", F.aggregate("chain", start, add))
+            .select(*key, "width", F.col("sum.tokens").alias("chain"), F.col("sum.n").cast("long").alias("n_windows")))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, coverage, n_slots, exact) of every copy found."""
     items = _items(benchmark)
@@ -106,24 +162,21 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_windows = None
     for width in widths:
         own = (items.where(F.col("width") == width)
-               .select("item_id", "item", F.posexplode(_windows("tokens", width, 1)).alias("item_pos", "hash"))
+               .select("item_id", "item", F.posexplode(_windows("tokens", width)).alias("item_pos", "hash"))
                .withColumn("width", F.lit(width)))
         item_windows = own if item_windows is None else item_windows.union(own)
     if item_windows is None:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, text_key long, item_id long, n_windows long, coverage double, n_slots long, exact boolean")
-    n_windows, shortest = item_windows.groupBy("item_id", "item").agg(F.count("*").alias("n")).agg(
-        F.sum("n"), F.min("n")).first()
-    per_item = item_windows.groupBy("item_id", "item").agg(F.count("*").alias("n_item"))
+    n_windows = item_windows.count()
+    per_item = items.select("item_id", "item", (F.size("tokens") - F.col("width") + 1).alias("n_item"))
 
     keyed = _keyed(docs)
     tokened = keyed.select("doc_id", "text_key", template_tokens(F.col("text")).alias("tokens"))
-    stride = max(1, min(MAX_STRIDE, -int(-COVERAGE * shortest // 1)))
 
-    def joined(tokens: DataFrame, step: int, columns: list[str]) -> DataFrame:
+    def joined(tokens: DataFrame, columns: list[str]) -> DataFrame:
         for width in widths:
-            found = (tokens.select("doc_id", "text_key",
-                                   F.posexplode(_windows("tokens", width, step if width == WINDOW else 1)).alias("at", "hash"))
+            found = (tokens.select("doc_id", "text_key", F.posexplode(_windows("tokens", width)).alias("at", "hash"))
                      .join(_small(item_windows.where(F.col("width") == width).select("hash", *columns).distinct(), n_windows),
                            "hash"))
             parts.append(found.drop("hash"))
@@ -133,7 +186,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         parts.clear()
         return out
 
-    seeded = joined(tokened, stride, []).select("doc_id", "text_key").distinct()
+    seeded = joined(tokened, []).select("doc_id", "text_key").distinct()
     chosen = (keyed.join(seeded.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}),
                          F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_key").eqNullSafe(F.col("s_key")), "left_semi")
               .dropDuplicates(["doc_id", "text_key"])
@@ -142,28 +195,27 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     chosen.write.parquet(path := scratch_path(docs.sparkSession, "decontaminate"))
     chosen = docs.sparkSession.read.parquet(path)
 
-    # runs on one diagonal; windows are counted once
     key = ["doc_id", "text_key", "item_id", "item"]
-    runs = (joined(chosen.select("doc_id", "text_key", "tokens"), 1, ["item_id", "item", "item_pos", "width"])
-            .withColumn("diagonal", F.col("at") - F.col("item_pos"))
-            .groupBy(*key, "diagonal")
-            .agg(F.count("*").alias("n_windows"), F.collect_list("at").alias("places"), F.max("width").alias("width"))
-            .join(per_item, ["item_id", "item"])
-            .withColumn("coverage", F.col("n_windows") / F.col("n_item"))
-            .where(F.col("coverage") >= COVERAGE))
+    chains = (_chains(joined(chosen.select("doc_id", "text_key", "tokens"), ["item_id", "item", "item_pos", "width"]), key)
+              .join(per_item, ["item_id", "item"])
+              .withColumn("coverage", F.col("n_windows") / F.col("n_item"))
+              .where(F.col("coverage") >= COVERAGE)
+              .withColumn("shifted", F.size(F.array_distinct(F.col("chain.diagonal"))) > 1))
     # the tokens that the matched windows cover, with both sides' values
-    covered = F.explode(F.array_distinct(F.flatten(F.transform(
-        "places", lambda p: F.sequence(p, p + F.col("width") - 1)))))
+    covered = F.explode(F.flatten(F.transform("chain", lambda r, i: F.transform(
+        F.sequence(r["first"], r["last"]), lambda p: F.struct(
+            p.alias("theirs"), (p + r["diagonal"]).alias("mine"),
+            (F.col("shifted") & (((p == r["first"]) & (i > 0)) | ((p == r["last"]) & (i < F.size("chain") - 1)))).alias("edge"))))))
     values = items.select("item_id", "item", slot_tokens(F.col("text")).alias("item_values"), F.col("tokens").alias("item_tokens"))
     doc_side = chosen.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "values")
-    spots = (runs.join(doc_side, F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("text_key").eqNullSafe(F.col("c_key")))
+    group = [*key, "chain", "shifted", "n_windows", "coverage"]
+    spots = (chains.join(doc_side, F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("text_key").eqNullSafe(F.col("c_key")))
              .join(values, ["item_id", "item"])
-             .select(*key, "diagonal", "n_windows", "coverage", "values", "item_values", "item_tokens", covered.alias("at"))
-             .select(*key, "diagonal", "n_windows", "coverage",
-                     F.get("item_tokens", F.col("at") - F.col("diagonal")).isin("0", "\u0001", "\u0002").alias("slot"),
-                     F.lower(F.get("values", F.col("at"))).alias("mine"),
-                     F.lower(F.get("item_values", F.col("at") - F.col("diagonal"))).alias("theirs")))
-    group = [*key, "diagonal", "n_windows", "coverage"]
+             .select(*group, "values", "item_values", "item_tokens", covered.alias("at"))
+             .select(*group,
+                     (F.get("item_tokens", F.col("at.theirs")).isin("0", "\u0001", "\u0002") & ~F.col("at.edge")).alias("slot"),
+                     F.lower(F.get("values", F.col("at.mine"))).alias("mine"),
+                     F.lower(F.get("item_values", F.col("at.theirs"))).alias("theirs")))
     share = spots.groupBy(*group, "slot", "theirs", "mine").agg(F.count("*").alias("n"))
     one_way = (share.groupBy(*group)
                .agg(F.sum(F.when(F.col("slot"), F.col("n")).otherwise(0)).alias("n_slots"), F.sum("n").alias("n_tokens"),
@@ -174,10 +226,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # one to one: as many pairs of values as values on either side
     copies = one_way.where("n_pairs = n_theirs AND n_pairs = n_mine").where(
         F.col("n_tokens") - F.col("n_slots") >= MIN_LITERAL_SHARE * F.col("n_tokens"))
-    best = F.struct("n_windows", F.col("n_changed") == 0, -F.col("n_slots"))
+    exact = (F.col("n_changed") == 0) & ~F.col("shifted")
+    best = F.struct("n_windows", exact, -F.col("n_slots"))
     return (copies.groupBy("doc_id", "text_key", "item_id")
             .agg(F.max("n_windows").alias("n_windows"), F.max("coverage").alias("coverage"),
-                 F.max_by("n_slots", best).alias("n_slots"), F.max(F.col("n_changed") == 0).alias("exact")))
+                 F.max_by("n_slots", best).alias("n_slots"), F.max(exact).alias("exact")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -96,6 +96,22 @@ def unigram(docs: list[tuple[int, str | None]]) -> dict[int, tuple[bool, int, in
                 sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in own)) for i, own in tokens.items()}
 
 
+def chained_coverage(mine: list[str], item: list[str], size: int = 8) -> float:
+    """The share of the item's windows in a longest common subsequence of windows, with those at a change of diagonal."""
+    a, b = ([tuple(x[i:i + size]) for i in range(len(x) - size + 1)] for x in (mine, item))
+    best: list[list[tuple]] = [[()] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = (*best[i][j], (i, j)) if x == y else max(best[i][j + 1], best[i + 1][j], key=len)
+    chain = best[-1][-1]
+    n = len(chain)
+    for (i, j), (i2, j2) in zip(chain, chain[1:]):
+        left_out = max(0, j2 - j - size)
+        if i2 - i != j2 - j and left_out < size:
+            n += j2 - j - 1 - left_out
+    return n / len(b)
+
+
 def mix_targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: 1.0 + i % 3 for i, s in enumerate(order)}

@@ -231,6 +231,44 @@ def test_no_python_in_native_operators(spark, docs, found):
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
+PLAIN = [" ".join(f"{a}{b}" for b in "bcdfghjklmnpqrstvw") + f" {a}x {a}y {a}z" + " and so on until the end" for a in ("ka", "lo", "mi")]
+
+
+def _copies(spark, docs, items):
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r for r in decontaminate.matches(docs, bench).collect()}
+
+
+def _with(text, put_in=(), left_out=()):
+    words = text.split()
+    return " ".join(x for i, w in enumerate(words) if i not in left_out for x in ([*["extra"] * (i in put_in), w]))
+
+
+def test_words_put_in_or_left_out(spark):
+    docs, expected = [], {}
+    for put_in, left_out in (((), ()), ((13,), ()), ((9, 18), ()), ((), (13,)), ((10,), (20,)), ((4, 8, 12, 16, 20), ()),
+                             ((), tuple(range(8, 26)))):
+        for n, item in enumerate(PLAIN):
+            own = _with(item, put_in, left_out)
+            for lead in ("", "lead "):  # the place of a window does not decide
+                expected[len(docs), n] = brute.chained_coverage(own.split(), item.split())
+                docs.append(f"{lead}{own} tail")
+    out = _copies(spark, docs, PLAIN)
+    assert set(out) == {k for k, c in expected.items() if c >= decontaminate.COVERAGE}
+    assert all(math.isclose(r["coverage"], expected[k]) for k, r in out.items())
+    assert {r["exact"] for k, r in out.items() if k[0] < 6} == {True}
+    assert {r["exact"] for k, r in out.items() if k[0] >= 12 and expected[k] < 1} == {False}
+    assert {k[0] for k in out} >= set(range(30))
+
+
+def test_slots_are_compared_over_the_whole_chain(spark):
+    item = "the man has 5 pears and will give them to his old friend who had 5 plums on the big table by the door of the house"
+    same = item.replace("5", "7").replace("friend who", "friend there who")
+    unlike = same.replace("7 plums", "8 plums")
+    assert set(_copies(spark, [same, unlike], [item])) == {(0, 0)}
+
+
 # -- 9: mixing -------------------------------------------------------------------
 
 def _planned(docs):
