@@ -18,7 +18,9 @@ found again with other numbers, names or units in it.
 4. *Slots.*  Along a chain, the placeholders' values are compared: a copy
    may rename them, but one to one.  Where one value of the item stands for
    two of the document, or the other way round, it is no copy.  Placeholders
-   next to a change of diagonal are not compared.
+   next to a change of diagonal are not compared.  Where values are changed, at
+   least ``MIN_LITERAL_SHARE`` of the tokens must be words; copies with the
+   item's own values are found whatever they consist of.
 
 Limits: between two such changes at least ``WINDOW`` tokens must be as in the
 item, and a word replaced by another costs the windows around it.
@@ -225,7 +227,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     F.count(F.when(F.col("slot") & (F.col("mine") != F.col("theirs")), 1)).alias("n_changed")))
     # one to one: as many pairs of values as values on either side
     copies = one_way.where("n_pairs = n_theirs AND n_pairs = n_mine").where(
-        F.col("n_tokens") - F.col("n_slots") >= MIN_LITERAL_SHARE * F.col("n_tokens"))
+        (F.col("n_changed") == 0) | (F.col("n_tokens") - F.col("n_slots") >= MIN_LITERAL_SHARE * F.col("n_tokens")))
     exact = (F.col("n_changed") == 0) & ~F.col("shifted")
     best = F.struct("n_windows", exact, -F.col("n_slots"))
     return (copies.groupBy("doc_id", "text_key", "item_id")

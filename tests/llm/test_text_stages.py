@@ -269,6 +269,15 @@ def test_slots_are_compared_over_the_whole_chain(spark):
     assert set(_copies(spark, [same, unlike], [item])) == {(0, 0)}
 
 
+def test_copies_of_items_that_are_mostly_placeholders(spark):
+    items = ["12 + 7 = 19 and 30 + 44 = 74 and 5 * 8 = 40 and 9 * 9 = 81",
+             "sum of 3 km 5 km 8 km 13 km 21 km 34 km 55 km 89 km 144 km",
+             "they are Anna Bernd Clara Doris Egon Frieda Gustav Hanna Igor Jutta"]
+    changed = "14 + 6 = 20 and 31 + 42 = 73 and 2 * 9 = 18 and 7 * 8 = 56"
+    found = _copies(spark, [f"see here: {x}. so it ends" for x in [*items, changed]], items)
+    assert set(found) == {(0, 0), (1, 1), (2, 2)} and all(r["exact"] for r in found.values())
+
+
 # -- 9: mixing -------------------------------------------------------------------
 
 def _planned(docs):
