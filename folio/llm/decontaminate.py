@@ -3,7 +3,10 @@
 Numbers, names and units of a text become typed placeholders, the other words
 lower case; the rest is not looked at.  The template's windows of ``WINDOW``
 tokens are hash-joined with those of the benchmark items, so a question is
-found again with other numbers, names or units in it.
+found again with other numbers, names or units in it.  Where a word stands and
+its case do not tell names for certain, so each text, document or item, is
+looked up three times: with no word as a name, with the capitalised words
+inside sentences, and with all capitalised words.
 
 1. *Seeds.*  Documents' windows are looked up at every token: a copy with words
    put in may consist of runs of one window each.
@@ -23,7 +26,10 @@ found again with other numbers, names or units in it.
    item's own values are found whatever they consist of.
 
 Limits: between two such changes at least ``WINDOW`` tokens must be as in the
-item, and a word replaced by another costs the windows around it.
+item, and a word replaced by another costs the windows around it.  Names that
+are other ones and in lower case too cost theirs.  A word in capitals throughout
+is not the name or word in other case, except where no name is: a whole copy in
+capitals is lost if names break too many of its windows.
 
 Items with fewer than ``WINDOW`` tokens are one window of their own length,
 which is looked up at every token.
@@ -40,6 +46,8 @@ documents' other columns may have any names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +72,9 @@ _UNIT = (r"(?i)(?<=\p{N}\x20?)(?:" + "|".join(u.replace("$", r"\$") for u in sor
          + r")(?![\p{L}\p{N}])")
 #: A capitalised word inside a sentence (not one in capitals throughout).
 _NAME = r"(?=\p{Lu})(?<=[\p{L}\p{N},;)]\s{1,3})\p{Lu}\p{Ll}[\p{L}\p{M}]*"
+#: A capitalised word wherever it stands, and a word in capitals throughout.
+_CAPITALISED = r"(?<![\p{L}\p{M}])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
+_CAPITALS = r"(?<![\p{L}\p{M}])\p{Lu}{2,}(?![\p{L}\p{M}])"
 _MARKS = "[\u0001\u0002\u0003]"
 
 
@@ -71,33 +82,36 @@ def _clean(text: Column) -> Column:
     return F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text)
 
 
-def template_tokens(text: Column) -> Column:
-    """Tokens of the template: words, 0 for numbers, U+0001 for names, U+0002 for units."""
-    out = F.regexp_replace(_clean(text), _UNIT, "\u0002")
-    out = F.regexp_replace(F.regexp_replace(out, _NUMBER, "0"), _NAME, "\u0001")
-    return F.coalesce(F.regexp_extract_all(F.lower(out), F.lit("[\\p{L}\\p{M}]+|[0\u0001\u0002]"), F.lit(0)), F.array())
+def template_tokens(text: Column) -> list[Column]:
+    """Tokens of the template, three times: 0 for numbers, U+0002 for units, lower-case words, and U+0001
+    for no word, for capitalised words inside a sentence, and for capitalised words wherever they stand."""
+    out = F.regexp_replace(F.regexp_replace(_clean(text), _UNIT, "\u0002"), _NUMBER, "0")
+    variants = [F.regexp_replace(out, _CAPITALS, "\u0003$0"), F.regexp_replace(out, _NAME, "\u0001"),
+                F.regexp_replace(out, _CAPITALISED, "\u0001")]
+    pattern = F.lit("\u0003?[\\p{L}\\p{M}]+|[0\u0001\u0002]")
+    return [F.coalesce(F.regexp_extract_all(F.lower(v), pattern, F.lit(0)), F.array()) for v in variants]
 
 
 def slot_tokens(text: Column) -> Column:
-    """The same tokens with the values: marked names and units, numbers as they are."""
+    """The same tokens with the values: marked units, numbers and words as they are."""
     out = F.regexp_replace(_clean(text), _UNIT, "\u0002$0\u0003")
-    out = F.regexp_replace(out, _NAME, "\u0001$0\u0003")
-    pattern = "[\u0001\u0002][^\u0003]*\u0003|" + _NUMBER + "|[\\p{L}\\p{M}]+"
+    pattern = "\u0002[^\u0003]*\u0003|" + _NUMBER + "|[\\p{L}\\p{M}]+"
     return F.coalesce(F.regexp_extract_all(out, F.lit(pattern), F.lit(0)), F.array())
 
 
-def _windows(tokens: str, width: int) -> Column:
-    """Hashes of the windows at each token."""
+def _windows(tokens: str | Column, width: int, variant: Column) -> Column:
+    """Hashes of the windows at each token; those without names are windows of their own."""
     last = F.size(tokens) - width + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last),
-                                         lambda i: F.xxhash64(F.slice(tokens, i, width)))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(tokens, i, width), variant == 0))
+                  ).otherwise(F.array().cast("array<bigint>"))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """(item, item_id, tokens, width): the items with tokens; item numbers unlike texts apart."""
+    """(item, item_id, variants, width): the items with tokens; item numbers unlike texts apart."""
     return (benchmark.select("item_id", F.xxhash64("text").alias("item"), "text").distinct()
-            .select("item_id", "item", "text", template_tokens(F.col("text")).alias("tokens"))
-            .where(F.size("tokens") > 0).withColumn("width", F.least(F.lit(WINDOW), F.size("tokens"))))
+            .select("item_id", "item", "text", F.array(*template_tokens(F.col("text"))).alias("variants"))
+            .withColumn("size", F.size(F.get("variants", F.lit(0))))
+            .where(F.col("size") > 0).withColumn("width", F.least(F.lit(WINDOW), F.col("size"))))
 
 
 def _small(frame: DataFrame, rows: int) -> DataFrame:
@@ -164,23 +178,23 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_windows = None
     for width in widths:
         own = (items.where(F.col("width") == width)
-               .select("item_id", "item", F.posexplode(_windows("tokens", width)).alias("item_pos", "hash"))
-               .withColumn("width", F.lit(width)))
+               .select("item_id", "item", F.posexplode("variants").alias("variant", "tokens"))
+               .select("item_id", "item", F.posexplode(_windows("tokens", width, F.col("variant"))).alias("item_pos", "hash"))
+               .distinct().withColumn("width", F.lit(width)))
         item_windows = own if item_windows is None else item_windows.union(own)
     if item_windows is None:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, text_key long, item_id long, n_windows long, coverage double, n_slots long, exact boolean")
     n_windows = item_windows.count()
-    per_item = items.select("item_id", "item", (F.size("tokens") - F.col("width") + 1).alias("n_item"))
+    per_item = items.select("item_id", "item", (F.col("size") - F.col("width") + 1).alias("n_item"))
 
     keyed = _keyed(docs)
-    tokened = keyed.select("doc_id", "text_key", template_tokens(F.col("text")).alias("tokens"))
+    tokened = keyed.select("doc_id", "text_key", F.array(*template_tokens(F.col("text"))).alias("variants"))
 
-    def joined(tokens: DataFrame, columns: list[str]) -> DataFrame:
+    def joined(windows: Callable[[int], DataFrame], columns: list[str]) -> DataFrame:
         for width in widths:
-            found = (tokens.select("doc_id", "text_key", F.posexplode(_windows("tokens", width)).alias("at", "hash"))
-                     .join(_small(item_windows.where(F.col("width") == width).select("hash", *columns).distinct(), n_windows),
-                           "hash"))
+            found = windows(width).join(
+                _small(item_windows.where(F.col("width") == width).select("hash", *columns).distinct(), n_windows), "hash")
             parts.append(found.drop("hash"))
         out = parts[0]
         for p in parts[1:]:
@@ -188,17 +202,25 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         parts.clear()
         return out
 
-    seeded = joined(tokened, []).select("doc_id", "text_key").distinct()
+    def hashes(width: int) -> DataFrame:
+        own = F.array_distinct(F.flatten(F.transform("variants", lambda t, k: _windows(t, width, k))))
+        return tokened.select("doc_id", "text_key", F.explode(own).alias("hash"))
+
+    def placed(width: int) -> DataFrame:
+        return (chosen.select("doc_id", "text_key", F.posexplode("variants").alias("variant", "tokens"))
+                .select("doc_id", "text_key", F.posexplode(_windows("tokens", width, F.col("variant"))).alias("at", "hash")))
+
+    seeded = joined(hashes, []).select("doc_id", "text_key").distinct()
     chosen = (keyed.join(seeded.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}),
                          F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_key").eqNullSafe(F.col("s_key")), "left_semi")
               .dropDuplicates(["doc_id", "text_key"])
-              .select("doc_id", "text_key", template_tokens(F.col("text")).alias("tokens"),
+              .select("doc_id", "text_key", F.array(*template_tokens(F.col("text"))).alias("variants"),
                       slot_tokens(F.col("text")).alias("values")))
     chosen.write.parquet(path := scratch_path(docs.sparkSession, "decontaminate"))
     chosen = docs.sparkSession.read.parquet(path)
 
     key = ["doc_id", "text_key", "item_id", "item"]
-    chains = (_chains(joined(chosen.select("doc_id", "text_key", "tokens"), ["item_id", "item", "item_pos", "width"]), key)
+    chains = (_chains(joined(placed, ["item_id", "item", "item_pos", "width"]), key)
               .join(per_item, ["item_id", "item"])
               .withColumn("coverage", F.col("n_windows") / F.col("n_item"))
               .where(F.col("coverage") >= COVERAGE)
@@ -208,19 +230,27 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sequence(r["first"], r["last"]), lambda p: F.struct(
             p.alias("theirs"), (p + r["diagonal"]).alias("mine"),
             (F.col("shifted") & (((p == r["first"]) & (i > 0)) | ((p == r["last"]) & (i < F.size("chain") - 1)))).alias("edge"))))))
-    values = items.select("item_id", "item", slot_tokens(F.col("text")).alias("item_values"), F.col("tokens").alias("item_tokens"))
-    doc_side = chosen.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "values")
+    values = items.select("item_id", "item", slot_tokens(F.col("text")).alias("item_values"),
+                          F.get("variants", F.lit(1)).alias("item_tokens"), F.get("variants", F.lit(2)).alias("item_names"))
+    doc_side = chosen.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "values",
+                             F.get("variants", F.lit(2)).alias("names"))
     group = [*key, "chain", "shifted", "n_windows", "coverage"]
+
+    def slot(tokens: str, at: str) -> Column:
+        return F.get(tokens, F.col(at)).isin("0", "\u0001", "\u0002") & ~F.col("at.edge")
+
+    # capitalised words may be names on either side; as slots count those inside a sentence, and changed ones
     spots = (chains.join(doc_side, F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("text_key").eqNullSafe(F.col("c_key")))
              .join(values, ["item_id", "item"])
-             .select(*group, "values", "item_values", "item_tokens", covered.alias("at"))
-             .select(*group,
-                     (F.get("item_tokens", F.col("at.theirs")).isin("0", "\u0001", "\u0002") & ~F.col("at.edge")).alias("slot"),
+             .select(*group, "values", "names", "item_values", "item_tokens", "item_names", covered.alias("at"))
+             .select(*group, slot("item_tokens", "at.theirs").alias("inside"),
+                     (slot("item_names", "at.theirs") | slot("names", "at.mine")).alias("slot"),
                      F.lower(F.get("values", F.col("at.mine"))).alias("mine"),
                      F.lower(F.get("item_values", F.col("at.theirs"))).alias("theirs")))
-    share = spots.groupBy(*group, "slot", "theirs", "mine").agg(F.count("*").alias("n"))
+    share = (spots.withColumn("counts", F.col("inside") | (F.col("slot") & (F.col("mine") != F.col("theirs"))))
+             .groupBy(*group, "slot", "theirs", "mine").agg(F.count("*").alias("n"), F.count_if("counts").alias("n_counts")))
     one_way = (share.groupBy(*group)
-               .agg(F.sum(F.when(F.col("slot"), F.col("n")).otherwise(0)).alias("n_slots"), F.sum("n").alias("n_tokens"),
+               .agg(F.sum("n_counts").alias("n_slots"), F.sum("n").alias("n_tokens"),
                     F.count_distinct(F.when(F.col("slot"), F.col("theirs"))).alias("n_theirs"),
                     F.count_distinct(F.when(F.col("slot"), F.col("mine"))).alias("n_mine"),
                     F.count(F.when(F.col("slot"), 1)).alias("n_pairs"),

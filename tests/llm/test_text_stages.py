@@ -278,6 +278,17 @@ def test_copies_of_items_that_are_mostly_placeholders(spark):
     assert set(found) == {(0, 0), (1, 1), (2, 2)} and all(r["exact"] for r in found.values())
 
 
+def test_names_wherever_they_stand_and_in_other_case(spark):
+    items = ["Tom has 3 apples. Tom gives 2 to Ann. How many apples does Tom have?",
+             "The list: Anna and Bernd\nBernd walks home while Anna reads \"Emil\" to Carla and Doris in Berlin"]
+    docs = [items[0].replace("Tom", "Sam").replace("3", "7"), items[0].lower(), items[1].lower(),
+            items[1].replace("Bernd", "Egon").replace("Emil", "Oliver"),
+            items[0].replace("Tom has", "Sam has").replace("3", "7")]  # one Tom is another, the others are not
+    out = _copies(spark, docs, items)
+    assert set(out) == {(0, 0), (1, 0), (2, 1), (3, 1)}
+    assert {k for k, r in out.items() if r["exact"]} == {(1, 0), (2, 1)}
+
+
 # -- 9: mixing -------------------------------------------------------------------
 
 def _planned(docs):
