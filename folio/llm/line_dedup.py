@@ -18,7 +18,8 @@ compared by 128-bit hashes.
 
 Defined results: a null or empty text is one empty line; a line repeated
 inside its owner stays; null ids count as the smallest id; rows that repeat a
-doc_id are one document for ownership, and each row is rebuilt on its own.
+repeat a doc_id are one document for ownership, and each row is rebuilt on its own
+(lines to drop are kept by doc_id and text).
 Other columns of the input pass through untouched, but for those that have the
 name of an added one, which are left out.
 """
@@ -42,7 +43,7 @@ MIN_CHARS = 10
 FANOUT = 2
 BATCHES = 4
 
-LINES_SCHEMA = "doc_id long, line int, k1 long, k2 long"
+LINES_SCHEMA = "doc_id long, row_key long, line int, k1 long, k2 long"
 
 
 def _long_enough(key: bytes) -> bool:
@@ -52,11 +53,11 @@ def _long_enough(key: bytes) -> bool:
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, line number, 128-bit key) of each line that may be dropped."""
+    """(doc_id, key of the text, line number, 128-bit key) of each line that may be dropped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, row_keys = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             rows, lines, digests = [], [], []
             for row, text in enumerate(as_bytes(batch.column(1))):
                 for number, line in enumerate((text or b"").split(b"\n")):
@@ -67,12 +68,12 @@ def line_keys(docs: DataFrame) -> DataFrame:
                         digests.append(xxhash.xxh3_128_digest(key))
             keys = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows], pa.int64()), pa.array(lines, pa.int32()),
+                [pa.array(ids[rows], pa.int64()), pa.array(row_keys[rows], pa.int64()), pa.array(lines, pa.int32()),
                  pa.array(np.ascontiguousarray(keys[:, 0])), pa.array(np.ascontiguousarray(keys[:, 1]))],
-                names=["doc_id", "line", "k1", "k2"])
+                names=["doc_id", "row_key", "line", "k1", "k2"])
 
     smallest = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.select(smallest, F.col("text")).mapInArrow(run, LINES_SCHEMA)
+    return docs.select(smallest, F.col("text"), F.xxhash64("text")).mapInArrow(run, LINES_SCHEMA)
 
 
 def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
@@ -127,7 +128,7 @@ class LineRuns:
 
 
 def dropped_lines(docs: DataFrame, runs: LineRuns, batches: int = BATCHES) -> DataFrame:
-    """(doc_id, lines): the sorted numbers of the lines each document loses."""
+    """(doc_id, row_key, lines): the sorted numbers of the lines each text of a document loses."""
     spark = docs.sparkSession
     bounds = batch_bounds(docs, batches)
     batch = F.lit(0)
@@ -140,11 +141,11 @@ def dropped_lines(docs: DataFrame, runs: LineRuns, batches: int = BATCHES) -> Da
     for number in range(len(bounds) + 1):
         own = lines.where(F.col("batch") == number).drop("batch")
         losers = runs.add(own)
-        parts.append(own.join(losers, ["k1", "k2"]).where("doc_id <> owner").select("doc_id", "line"))
+        parts.append(own.join(losers, ["k1", "k2"]).where("doc_id <> owner").select("doc_id", "row_key", "line"))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
-    return out.distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    return out.distinct().groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, runs: LineRuns | None = None, batches: int = BATCHES) -> DataFrame:
@@ -152,9 +153,11 @@ def dedup_lines(docs: DataFrame, runs: LineRuns | None = None, batches: int = BA
     spark = docs.sparkSession
     docs = without(docs, "_n_lines", "_n_dropped")
     runs = runs or LineRuns(spark, scratch_path(spark, "line-runs"))
-    drop = dropped_lines(docs, runs, batches).select(F.col("doc_id").alias("__line_id"), F.col("lines").alias("__drop"))
+    drop = dropped_lines(docs, runs, batches).select(F.col("doc_id").alias("__line_id"), F.col("row_key").alias("__line_key"),
+                                                     F.col("lines").alias("__drop"))
     smallest = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    joined = docs.join(drop, smallest == F.col("__line_id"), "left").drop("__line_id")
+    same = (smallest == F.col("__line_id")) & (F.xxhash64("text") == F.col("__line_key"))
+    joined = docs.join(drop, same, "left").drop("__line_id", "__line_key")
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("_n_lines", T.LongType()),
                            T.StructField("_n_dropped", T.LongType())])

@@ -71,6 +71,16 @@ def test_runs_persist_for_later_batches(spark, tmp_path):
     assert line_dedup.dedup_lines(late, runs, 1).first()["text"] == "new words here"
 
 
+def test_rows_of_one_id_lose_their_own_lines_only(spark):
+    docs = [(1, "a line of text\nanother long line"), (2, "a line of text\nthe first text's own"),
+            (2, "the second text's own\nanother long line"), (2, "a line of text\nthe first text's own"),
+            (None, "seen without an id\nfor the first time"), (None, "other without an id\nseen without an id")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(((r["doc_id"], r["text"], r["_n_dropped"]) for r in out.collect()), key=str) == sorted([
+        (1, docs[0][1], 0), (2, "the first text's own", 1), (2, "the second text's own", 1), (2, "the first text's own", 1),
+        (None, docs[4][1], 0), (None, docs[5][1], 0)], key=str)
+
+
 def test_jaccard_components_equal_brute_force(docs, corpus):
     out = jaccard_join.similar_documents(docs)
     assert _as_dict(out, "n_shingles", "component_id") == brute.components(_plain(corpus))
