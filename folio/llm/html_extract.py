@@ -2,7 +2,8 @@
 
 1. A page is read into its text blocks in order.  Blocks in menus, headers,
    footers, sidebars, notices, adverts, forms, comments and the like (by tag,
-   role or class) are marked as such; character references are decoded and
+   role, or whole class or id) are marked as such, but a class or id never marks
+   what holds the page's main or only article element; character references are decoded and
    white space inside a block becomes one space.
 2. Pages of a host are sorted by URL path, and each is paired with the page
    of the neighbouring path that is nearer by edit distance.
@@ -55,7 +56,16 @@ JUNK_WORDS = frozenset("""ad ads adsense advert advertisement adverts banner bre
     cookie cookies disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter notice overlay pagination
     pager paywall popup promo promotion related reply replies search share sharing sidebar signup skip social sponsor
     sponsored subscribe toolbar topbar widget""".split())
-_NOT_JUNK_FIRST = frozenset("has no with without".split())
+# Compounds of these words that mark junk; others (search-algorithms, form-factor) do not.
+JUNK_NAMES = JUNK_WORDS | frozenset("""ad-banner ad-container ad-slot ad-unit ad-wrapper banner-ad comment-form comment-list
+    comments-area comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice footer-links footer-nav
+    login-form main-menu main-nav main-navigation menu-bar nav-bar nav-menu newsletter-form newsletter-signup page-footer
+    page-navigation post-ad post-navigation related-articles related-links related-posts search-bar search-box
+    search-form share-bar share-buttons share-links side-bar sidebar-left sidebar-right signup-form site-footer
+    site-menu site-nav site-navigation skip-link skip-links social-icons social-links social-share top-bar
+    widget-area""".split())
+# Elements whose id is an anchor for links to them.
+_ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'<>]++|"[^"]*"|'[^']*')*+)>"""
@@ -74,6 +84,7 @@ class Block(NamedTuple):
 
 
 def _is_junk(tag: str, attributes: str, in_article: bool) -> bool:
+    """By tag, role or visibility."""
     if tag in JUNK_TAGS or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("html", "body", "main"):
@@ -86,19 +97,42 @@ def _is_junk(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in JUNK_ROLES:
             return True
-        if name in ("class", "id"):
-            for word in value.split():
-                parts = re.split(r"[-_]+", word)
-                if parts[0] not in _NOT_JUNK_FIRST and (JUNK_WORDS.intersection(parts)
-                                                        or (parts[-1] == "header" and not in_article)):
+    return False
+
+
+def _is_named_junk(tag: str, attributes: str, in_article: bool) -> bool:
+    """By a whole class or id (but for a number at its end)."""
+    if not attributes or tag in ("html", "body", "main"):
+        return False
+    for name, value in _MARKS.findall(attributes):
+        name = name.lower()
+        if name == "class" or (name == "id" and tag not in _ANCHORED):
+            for word in value.strip("\"'").lower().split():
+                word = re.sub(r"(?:-\d+)+$", "", re.sub(r"[-_]+", "-", word))
+                if word in JUNK_NAMES or (not in_article and tag not in _ANCHORED
+                                          and word in ("header", "site-header", "page-header")):
                     return True
     return False
 
 
 def read_blocks(page: str) -> list[Block]:
     """The page's text blocks: junk, within main or article, or loose."""
+    found, hidden = _read(page, ("main",))
+    if hidden and not any((b[2] or b[3]) and not b[1] for b in found):
+        found, _ = _read(page, ("main", "article"))
+    # the main element if there is one, else the articles
+    place = 2 if any(b[2] and not b[1] for b in found) else 3
+    return [Block(b[0], JUNK if b[1] else MAIN if b[place] else LOOSE) for b in found]
+
+
+def _read(page: str, shown: tuple[str, ...]) -> tuple[list[tuple[str, bool, bool, bool]], bool]:
+    """(text, junk, in main, in article) of the blocks, and whether a class or id hides an article.
+
+    A class or id does not mark an element of, or around one of, the tags ``shown``.
+    """
     found: list[tuple[str, bool, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, bool]] = []
+    hidden = False
     pieces: list[str] = []
     junk = main = article = 0
 
@@ -112,8 +146,8 @@ def read_blocks(page: str) -> list[Block]:
     def pop_to(tag: str) -> None:
         nonlocal junk, main, article
         while stack:
-            open_, was_junk = stack.pop()
-            junk -= was_junk
+            open_, was_junk, was_named = stack.pop()
+            junk -= was_junk + was_named
             main -= open_ == "main"
             article -= open_ == "article"
             if open_ == tag:
@@ -134,7 +168,7 @@ def read_blocks(page: str) -> list[Block]:
         if m[1] or m[4]:
             if tag in BLOCK_TAGS:
                 flush()
-            if any(open_ == tag for open_, _ in reversed(stack)):
+            if any(open_ == tag for open_, *_ in reversed(stack)):
                 pop_to(tag)
             continue
         if tag == "br":
@@ -146,19 +180,24 @@ def read_blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK_TAGS:
             flush()
-            if any(open_ == "p" for open_, _ in stack[-8:]):
+            if any(open_ == "p" for open_, *_ in stack[-8:]):
                 pop_to("p")
         if tag in VOID_TAGS:
             continue
-        is_junk = _is_junk(tag, m[3] or m[6] or "", article > 0 or main > 0)
-        stack.append((tag, is_junk))
-        junk += is_junk
+        attributes, inside = m[3] or m[6] or "", article > 0 or main > 0
+        is_junk = _is_junk(tag, attributes, inside)
+        named = not is_junk and _is_named_junk(tag, attributes, inside)
+        if tag in shown:
+            named = False
+            junk -= sum(was_named for _, _, was_named in stack)
+            stack = [(open_, was_junk, False) for open_, was_junk, _ in stack]
+        hidden |= tag == "article" and (named or any(was_named for _, _, was_named in stack))
+        stack.append((tag, is_junk, named))
+        junk += is_junk + named
         main += tag == "main"
         article += tag == "article"
     flush()
-    # the main element if there is one, else the articles
-    place = 2 if any(b[2] and not b[1] for b in found) else 3
-    return [Block(b[0], JUNK if b[1] else MAIN if b[place] else LOOSE) for b in found]
+    return found, hidden
 
 
 def common_lines(mine: list[int], theirs: list[int]) -> list[int]:

@@ -118,6 +118,19 @@ def test_read_blocks_edges(page, expected):
     assert _text(page) == expected
 
 
+@pytest.mark.parametrize("page, expected", [
+    ("<article><h2 id='related-work'>a</h2><section id='social-impact'>b</section><p id='search'>c<p class='form-factor'>d"
+     "</article>", ["a", "b", "c", "d"]),
+    ("<div class='layout sidebar-left'><nav>n</nav><article><p>x</article></div>", ["x"]),
+    ("<div id='page' class='search-enabled'><p>x</div>", ["x"]), ("<article class='search'><p>x</article>", ["x"]),
+    ("<div class='widget'><main><p>m</main></div>", ["m"]),
+    ("<article><p>x</article><div class='comments'><article class='comment'>c</article></div>", ["x"]),
+    ("<article><p>x<div class='comment-list'>c</div><div id='ad-12'>d</div></article>", ["x"]),
+])
+def test_names_mark_junk_as_a_whole_and_never_around_the_article(page, expected):
+    assert _text(page) == expected
+
+
 def _lcs_length(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
