@@ -6,7 +6,7 @@ last return the columns of ``documents``, whatever columns these are besides
 doc_id, text and source.
 
 The last stage returns a row for each training sequence, with its slot and its
-record (``token_output.write_shards`` makes plain files of them).
+record, and writes the shards on the way.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folio.llm import decontaminate, jaccard_join, mixing, quality_rules, token_output
-from folio.llm.queries import table
+from folio.llm.queries import scratch_uri, table
 from folio.session import scratch_path
 
 
@@ -42,7 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenise, permute and lay out the training sequences."""
-    return token_output.materialise(docs)
+    return token_output.materialise(docs, shards=scratch_uri(spark, "shards"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,15 +10,21 @@ from pyspark.sql import functions as F
 
 from folio.llm import (decontaminate, html_extract, jaccard_join, line_dedup, lm_score, mixing,
                        quality_rules, substring_dedup, token_counts, token_output)
+from folio.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_uri(spark: SparkSession, name: str) -> str:
+    """A fresh shared folder, as a URI for readers and writers other than Spark's."""
+    return re.sub(r"^(?:file:)?/+", "file:///", scratch_path(spark, name))
+
+
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row a sequence, with its slot and its record."""
-    return token_output.materialise(table(spark, sf_dir, "documents"))
+    """One row a sequence, with its slot and its record; the shards are written on the way."""
+    return token_output.materialise(table(spark, sf_dir, "documents"), shards=scratch_uri(spark, "shards"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

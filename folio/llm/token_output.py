@@ -11,8 +11,8 @@
    (cycle walking), so every sequence has a slot of its own in 0..M-1.
 4. Slots are range-partitioned at shard borders, and every sequence becomes a
    record of fixed length, in slot order.  ``materialise`` returns the records
-   as rows, for any writer of Spark's; ``write_shards`` makes plain files of
-   them, one a shard.  Record r of a shard starts at byte r * stride, so a
+   as rows and, given a folder, writes them as plain files, one a shard, on the
+   way; ``write_shards`` does that for rows that are there.  Record r of a shard starts at byte r * stride, so a
    reader seeks to any slot and reads on.  A file appears under its name only
    when whole (written aside, then moved); shards that are already there in
    full length are left alone when a run is repeated with the same path.
@@ -132,37 +132,83 @@ def sequences(tokenised: DataFrame, end: int, seq_len: int = SEQ_LEN, key: int =
     return numbered.mapInArrow(run, "slot long, shard long, doc_id long, seq int, n_tokens int, ids binary")
 
 
-def records(rows: DataFrame, end: int, seq_len: int = SEQ_LEN,
-            records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
+class ShardFiles:
+    """A task's shards: ``put`` takes its records in slot order, ``close`` ends the open shard.
+
+    (shard, records, bytes, written) of each whole shard come in ``done``.
+    """
+
+    def __init__(self, path: str, total: int, records_per_shard: int) -> None:
+        self.fs, self.root = pafs.FileSystem.from_uri(path)
+        self.fs.create_dir(self.root, recursive=True)
+        self.total, self.records_per_shard = total, records_per_shard
+        self.shard, self.out, self.aside, self.size = None, None, "", 0
+        self.done: list[dict] = []
+
+    def put(self, shard: int, record: bytes) -> None:
+        if shard != self.shard:
+            self.close()
+            self.shard, self.out, self.size = shard, None, len(record)
+            length = self.size * min(self.records_per_shard, self.total - shard * self.records_per_shard)
+            info = self.fs.get_file_info(f"{self.root}/shard-{shard:06d}.bin")
+            if info.type != pafs.FileType.File or info.size != length:
+                self.aside = f"{self.root}/.shard-{shard:06d}.{TaskContext.get().taskAttemptId()}"
+                self.out = self.fs.open_output_stream(self.aside)
+        if self.out is not None:
+            self.out.write(record)
+
+    def close(self) -> None:
+        if self.shard is not None:
+            if self.out is not None:
+                self.out.close()
+                self.fs.move(self.aside, f"{self.root}/shard-{self.shard:06d}.bin")
+            held = min(self.records_per_shard, self.total - self.shard * self.records_per_shard)
+            self.done.append({"shard": self.shard, "records": held, "bytes": held * self.size, "written": self.out is not None})
+            self.shard = None
+
+
+def records(rows: DataFrame, end: int, seq_len: int = SEQ_LEN, records_per_shard: int = RECORDS_PER_SHARD,
+            shards: str | None = None, total: int = 0) -> DataFrame:
     """The sequences as records in slot order, range-partitioned at shard borders:
-    slot, shard, offset (in the shard's bytes), doc_id, seq, n_tokens, record."""
+    slot, shard, offset (in the shard's bytes), doc_id, seq, n_tokens, record.
+
+    With ``shards``, a folder that all executors reach, the shards of the ``total``
+    records are written there as these rows are computed.
+    """
     kind = _id_type(end)
     width = np.dtype(kind).itemsize * seq_len
     pad = np.array([end], dtype=kind).tobytes() * seq_len
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = ShardFiles(shards, total, records_per_shard) if shards else None
         for b in batches:
             slot = b.column(0).to_numpy(zero_copy_only=False)
             made = [int(n).to_bytes(4, "little") + ids + pad[len(ids):]
                     for n, ids in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+            if files:
+                for number, record in zip(b.column(1).to_pylist(), made):
+                    files.put(number, record)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(slot % records_per_shard * (4 + width)), *b.columns[2:5],
                  pa.array(made, pa.binary())],
                 names=["slot", "shard", "offset", "doc_id", "seq", "n_tokens", "record"])
+        if files:
+            files.close()
 
     return (rows.repartitionByRange("shard").sortWithinPartitions("slot")
             .mapInArrow(run, "slot long, shard long, offset long, doc_id long, seq int, n_tokens int, record binary"))
 
 
 def materialise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: int = SEQ_LEN, key: int = KEY,
-                records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
-    """Tokenise ``docs`` and put them in training order; see records() for the rows."""
+                records_per_shard: int = RECORDS_PER_SHARD, shards: str | None = None) -> DataFrame:
+    """Tokenise ``docs`` and put them in training order; see records() for the rows and ``shards``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "token-output")
     tokenise(docs, vocabulary, seq_len).write.option("compression", "zstd").parquet(path)
     end = tokens.end_of_text(tokens.share(spark, vocabulary).value)
-    return records(sequences(spark.read.parquet(path), end, seq_len, key, records_per_shard), end, seq_len,
-                   records_per_shard)
+    tokenised = spark.read.parquet(path)
+    total = tokenised.agg(F.sum(F.ceil(F.col("n_tokens") / seq_len)).cast("long")).first()[0] or 0 if shards else 0
+    return records(sequences(tokenised, end, seq_len, key, records_per_shard), end, seq_len, records_per_shard, shards, total)
 
 
 def write_shards(made: DataFrame, path: str, records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
@@ -175,32 +221,13 @@ def write_shards(made: DataFrame, path: str, records_per_shard: int = RECORDS_PE
     total = made.count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(path)
-        fs.create_dir(root, recursive=True)
-        shard, out, aside, size = None, None, "", 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if shard is not None:
-                if out is not None:
-                    out.close()
-                    fs.move(aside, f"{root}/shard-{shard:06d}.bin")
-                held = min(records_per_shard, total - shard * records_per_shard)
-                yield pa.RecordBatch.from_pylist(
-                    [{"shard": shard, "records": held, "bytes": held * size, "written": out is not None}])
-
+        files = ShardFiles(path, total, records_per_shard)
         for b in batches:
             for number, record in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if number != shard:
-                    yield from close()
-                    shard, out, size = number, None, len(record)
-                    length = size * min(records_per_shard, total - shard * records_per_shard)
-                    info = fs.get_file_info(f"{root}/shard-{shard:06d}.bin")
-                    if info.type != pafs.FileType.File or info.size != length:
-                        aside = f"{root}/.shard-{shard:06d}.{TaskContext.get().taskAttemptId()}"
-                        out = fs.open_output_stream(aside)
-                if out is not None:
-                    out.write(record)
-        yield from close()
+                files.put(number, record)
+        files.close()
+        if files.done:
+            yield pa.RecordBatch.from_pylist(files.done)
 
     return (made.select("slot", "shard", "record").repartitionByRange("shard").sortWithinPartitions("slot")
             .mapInArrow(run, "shard long, records long, bytes long, written boolean"))

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from folio.llm import queries
 from folio.llm import token_counts as TC
 from folio.llm import token_output as TO
 from folio.llm import tokens
@@ -66,6 +67,21 @@ def test_shards_resume(spark, docs, tmp_path):
     assert [open(f, "rb").read() for f in files] == before
 
 
+def test_the_query_writes_the_shards(spark, docs, tmp_path, monkeypatch):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(TO.materialise, "__defaults__", (*TO.materialise.__defaults__[:3], 100, None))
+    out = queries.op1_token_output(spark, str(tmp_path))
+    rows = out.orderBy("slot").collect()
+    files = sorted(glob.glob(f"{tmp_path}/shards/*"))
+    assert len(files) == len({r["shard"] for r in rows}) > 1
+    assert b"".join(open(f, "rb").read() for f in files) == b"".join(bytes(r["record"]) for r in rows)
+    os.truncate(files[1], 7)
+    kept = os.stat(files[0]).st_mtime_ns
+    assert out.count() == len(rows) and os.stat(files[0]).st_mtime_ns == kept
+    assert os.path.getsize(files[1]) == 100 * len(rows[0]["record"])
+
+
 def test_no_rows_no_shards(no_docs, tmp_path):
     made = TO.materialise(no_docs)
     assert made.count() == 0
