@@ -98,9 +98,73 @@ FROM docs JOIN reach ON node = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = doc
 GROUP BY docs.doc_id, n
 """
 
+
+def _merkle(levels: int, top_levels: int) -> str:
+    """SQL for 13 over trees of at most ``levels`` levels below the subroots and ``top_levels`` above.
+
+    A group whose one node remains passes it on unchanged, so lower trees fit, too.
+    """
+    fields = {"t": "text", "u": "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"}
+    concat = {k: " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+                             for c in ("doc_id", "source", "lang", "n_chars", text)) for k, text in fields.items()}
+    steps = [f"""
+WITH docs AS (
+  SELECT *, xor(4294967295, list_reduce(
+      list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                  lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda x, y: xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1)))) AS crc FROM documents),
+leaves AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, lang IS NOT NULL AS named, sha256({concat['t']}) AS leaf,
+         CASE WHEN crc % 3 = 0 THEN sha256({concat['u']}) ELSE sha256({concat['t']}) END AS seen FROM docs),
+a0 AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY named, encode(lang)) - 1 AS gid, leaf AS h,
+         row_number() OVER (PARTITION BY named, lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves)"""]
+
+    def climb(tree: str, k: int) -> str:
+        return f"""
+{tree}{k + 1} AS MATERIALIZED (
+  SELECT gid, pos // 8 AS pos, CASE WHEN any_value(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY gid) AS n FROM {tree}{k}) GROUP BY gid, pos // 8)"""
+
+    def sides(tree: str, k: int) -> str:
+        own = "PARTITION BY gid, pos // 8 ORDER BY pos ROWS BETWEEN"
+        return f"""
+{tree}side{k} AS MATERIALIZED (
+  SELECT gid, pos, count(*) OVER (PARTITION BY gid) > 1 AS inner_node,
+         coalesce(string_agg(h, '') OVER ({own} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER ({own} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {tree}{k})"""
+
+    def follow(tree: str, count: int, start: str, name: str) -> None:
+        now = start
+        for k in range(count):
+            power = 8 ** k
+            steps.append(f"""
+{name}{k} AS MATERIALIZED (
+  SELECT s.* REPLACE (s.proof || CASE WHEN inner_node THEN l || r ELSE '' END AS proof,
+                      CASE WHEN inner_node THEN sha256(l || s.now || r) ELSE s.now END AS now)
+  FROM {now} s JOIN {tree}side{k} t ON s.{tree}gid = t.gid AND s.{tree}pos // {power} = t.pos)""")
+            now = f"{name}{k}"
+
+    for k in range(levels):
+        steps += [sides("a", k), climb("a", k)]
+    steps.append(f"\nb0 AS (SELECT 0 AS gid, gid AS pos, h FROM a{levels})")
+    for k in range(top_levels):
+        steps += [sides("b", k), climb("b", k)]
+    steps.append("""
+walk AS (SELECT doc_id, leaf, seen AS now, '' AS proof, gid AS agid, pos AS apos, 0 AS bgid, gid AS bpos FROM a0)""")
+    follow("a", levels, "walk", "up")
+    follow("b", top_levels, f"up{levels - 1}", "over")
+    return ",".join(steps) + f"""
+SELECT doc_id, leaf, subroots.h AS subroot, roots.h AS root, sha256(proof) AS proof_sha256, now AS folded_root,
+       now = roots.h AS verified
+FROM over{top_levels - 1} w JOIN a{levels} subroots ON subroots.gid = w.agid JOIN b{top_levels} roots ON roots.gid = w.bgid
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": OP5,
     "op6_line_dedup": OP6,
     "op7_jaccard_join": OP7,
     "op9_mixing": OP9,
+    "op13_merkle_manifest": _merkle(8, 2),
 }

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import (decontaminate, html_extract, jaccard_join, line_dedup, lm_score, mixing,
+from folio.llm import (decontaminate, html_extract, jaccard_join, line_dedup, lm_score, merkle_manifest, mixing,
                        quality_rules, substring_dedup, token_counts, token_output)
 from folio.session import scratch_path
 
@@ -88,6 +89,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and the root folded from it; a third of the texts is tampered with first."""
+    docs = table(spark, sf_dir, "documents")
+    others = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle_manifest.leaf_hash(*others, F.col("text"))
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0,
+                      merkle_manifest.leaf_hash(*others, lowered)).otherwise(leaf)
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"), tampered.alias("seen"))
+    manifest = merkle_manifest.build(leaves, "lang", "doc_id", "leaf", keep=["doc_id", "seen"])
+    return (merkle_manifest.proofs(manifest)
+            .select("doc_id", "leaf", "subroot", "root", merkle_manifest.path_hash("path").alias("proof_sha256"),
+                    merkle_manifest.fold("seen", "path").alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_token_counts": op2_token_counts,
@@ -99,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
