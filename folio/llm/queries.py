@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import (decontaminate, html_extract, jaccard_join, line_dedup, lm_score, merkle_manifest, mixing,
-                       quality_rules, substring_dedup, token_counts, token_output)
+                       periodic_runs, quality_rules, substring_dedup, token_counts, token_output)
 from folio.session import scratch_path
 
 
@@ -89,6 +89,27 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text; in every tenth document, by hash, the words from some place on are made periodic first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    n, g = F.size("words"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    index = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i))
+    planted = F.array_join(F.transform(index, lambda i: F.get("words", i.cast("int"))), " ")
+    docs = (docs.withColumn("words", F.when(h % 10 == 0, words))
+            .select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text")))
+    run = F.col("run")
+    return (periodic_runs.find_runs(docs).withColumn("run", periodic_runs.longest("_runs"))
+            .select("doc_id", F.size("_runs").cast("long").alias("n_runs"), run["start"].alias("start"),
+                    run["length"].alias("length"), run["period"].alias("period"),
+                    F.floor(1000 * run["length"] / run["period"]).alias("exponent_milli"),
+                    F.sha2(periodic_runs.listing("_runs"), 256).alias("runs_sha256"),
+                    F.sha2("_collapsed", 256).alias("collapsed_sha256")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, and the root folded from it; a third of the texts is tampered with first."""
     docs = table(spark, sf_dir, "documents")
@@ -116,5 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
