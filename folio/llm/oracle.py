@@ -98,6 +98,23 @@ FROM docs JOIN reach ON node = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = doc
 GROUP BY docs.doc_id, n
 """
 
+OP11 = r"""
+WITH RECURSIVE sound AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+links AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y
+  ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.95::DOUBLE),
+reach(node, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT b, root FROM reach JOIN links ON a = node)
+SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, min(root) AS component_id,
+       node = min(root) AS kept
+FROM reach GROUP BY node
+"""
+
 
 def _merkle(levels: int, top_levels: int) -> str:
     """SQL for 13 over trees of at most ``levels`` levels below the subroots and ``top_levels`` above.
@@ -166,5 +183,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": OP6,
     "op7_jaccard_join": OP7,
     "op9_mixing": OP9,
+    "op11_embedding_dedup": OP11,
     "op13_merkle_manifest": _merkle(8, 2),
 }

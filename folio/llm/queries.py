@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import (decontaminate, html_extract, jaccard_join, line_dedup, lm_score, merkle_manifest, mixing,
-                       periodic_runs, quality_rules, substring_dedup, token_counts, token_output)
+from folio.llm import (decontaminate, embedding_dedup, html_extract, jaccard_join, line_dedup, lm_score,
+                       merkle_manifest, mixing, periodic_runs, quality_rules, substring_dedup, token_counts, token_output)
 from folio.session import scratch_path
 
 
@@ -89,6 +89,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every text; in every tenth document, by hash, the words from some place on are made periodic first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -137,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
