@@ -9,17 +9,18 @@ from folio.llm import oracle, queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(E.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(oracle.ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     expected = con.execute(oracle.ORACLE_SQL[name])
     columns = [c[0] for c in expected.description]
     out = queries.QUERIES[name](spark, SF).select(*columns)
@@ -27,7 +28,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 @pytest.mark.parametrize("name", ["op1_token_output", "op2_token_counts", "op3_quality_rules", "op4_html_extraction",
-                                  "op8_decontamination", "op10_lm_scoring"])
+                                  "op8_decontamination", "op10_lm_scoring", "op12_periodic_runs"])
 def test_query_returns_every_row(spark, name):
     out = queries.QUERIES[name](spark, SF)
     rows = out.count()
