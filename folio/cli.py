@@ -1,7 +1,7 @@
 """Command line: ``python -m folio <command>``, or ``spark-submit folio/__main__.py <command>``.
 
     load   --books CSV --ratings CSV TABLES [--report-dir DIR] [--append] [--skip-missing]
-           [--no-load-order] [--strict | --permissive] [--no-line-breaks] [--no-fail]
+           [--no-load-order] [--strict | --permissive] [--split-files | --no-line-breaks] [--no-fail]
     ingest as load, without the audit and its options
     audit  TABLES [--report-dir DIR] [--fail]
     etl    TABLES (--out DIR | --out-table NAME) [--csv DIR [--csv-single-file]]
@@ -67,8 +67,11 @@ def _parser() -> argparse.ArgumentParser:
                            help="fail on rows with too few fields, too")
         width.add_argument("--permissive", action="store_const", dest="malformed", const="permissive",
                            help="cut rows with too many fields instead of failing")
-        q.add_argument("--no-line-breaks", action="store_true",
-                       help="no field holds a line break: files may be split")
+        lines = q.add_mutually_exclusive_group()
+        lines.add_argument("--split-files", action="store_const", dest="multi_line", const="split", default=True,
+                           help="split files over many tasks, and map each by its own header")
+        lines.add_argument("--no-line-breaks", action="store_const", dest="multi_line", const=False,
+                           help="no field holds a line break: files may be split")
         q.add_argument("--no-load-order", action="store_true", help="do not keep the rows' load order")
 
     load = sub.add_parser("load", help="ingest, then audit with the volume gate")
@@ -110,7 +113,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command in ("ingest", "load"):
         options = {"database": args.database, "truncate_first": not args.append,
                    "on_missing": "skip" if args.skip_missing else "fail", "malformed": args.malformed,
-                   "multi_line": not args.no_line_breaks, "load_order": not args.no_load_order}
+                   "multi_line": args.multi_line, "load_order": not args.no_load_order}
     try:
         if args.command == "ingest":
             res = ingest_job(spark, {"books_data": (args.books, C.CATALOG_SCHEMA),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,24 +39,28 @@ def _case_duplicates(columns: list[str], header_map: Mapping[str, str]) -> list[
                    for b in group if b in header_map})
 
 
-def rename_columns(df: DataFrame, header_map: Mapping[str, str] = HEADER_MAP) -> DataFrame:
-    """Map header spellings to canonical names; unmapped names pass unchanged.
+def canonical_names(columns: list[str], header_map: Mapping[str, str] = HEADER_MAP) -> list[str]:
+    """The canonical name of each header; unmapped names stay as they are.
 
     Raises ``DuplicateHeaderError`` when two inputs land on one name,
     including headers that differ only by case.
     """
-    dups = _case_duplicates(df.columns, header_map)
+    dups = _case_duplicates(columns, header_map)
     if dups:
         raise DuplicateHeaderError(f"headers {dups} appear more than once (case-insensitively)")
     targets: dict[str, str] = {}
-    exprs: list[Column] = []
-    for name in df.columns:
+    for name in columns:
         new = header_map.get(name, name)
         if new in targets:
             raise DuplicateHeaderError(f"headers {targets[new]!r} and {name!r} both map to {new!r}")
         targets[new] = name
-        exprs.append(column(name).alias(new))
-    return df.select(*exprs)
+    return list(targets)
+
+
+def rename_columns(df: DataFrame, header_map: Mapping[str, str] = HEADER_MAP) -> DataFrame:
+    """Map header spellings to canonical names (``canonical_names``)."""
+    names = canonical_names(df.columns, header_map)
+    return df.select(*[column(old).alias(new) for old, new in zip(df.columns, names)])
 
 
 @dataclass
@@ -65,6 +69,8 @@ class Projection:
     missing: list[str] = field(default_factory=list)
     dropped: list[str] = field(default_factory=list)
     found: bool = True
+    #: For a folder read file by file: (file, header, missing, dropped) of each.
+    files: DataFrame | None = None
 
 
 def project_existing_report(df: DataFrame, columns: Iterable[str]) -> Projection:
@@ -142,9 +148,9 @@ def align_to_schema(df: DataFrame, schema: T.StructType, keep: Iterable[str] = (
 
 def conform(df: DataFrame, schema: T.StructType, *, header_map: Mapping[str, str] = HEADER_MAP,
             na_tokens: Iterable[str] = NA_TOKENS,
-            observation: Observation | None = None) -> Projection:
-    """Rename -> project to ``schema`` -> NA tokens -> typed cast (one projection)."""
-    proj = project_existing_report(rename_columns(df, header_map), schema.fieldNames())
+            observation: Observation | None = None, keep: Iterable[str] = ()) -> Projection:
+    """Rename -> project to ``schema`` -> NA tokens -> typed cast (one projection); ``keep`` columns stay as they are."""
+    proj = project_existing_report(rename_columns(df, header_map), [*schema.fieldNames(), *keep])
     cleaned = normalize_na(proj.frame, na_tokens)
     proj.frame = typed_cast(cleaned, schema, observation)
     return proj

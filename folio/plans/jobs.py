@@ -28,6 +28,8 @@ class IngestResult:
     rejected_values: dict[str, dict[str, int]] = field(default_factory=dict)
     wide_rows: dict[str, int] = field(default_factory=dict)
     short_rows: dict[str, int] = field(default_factory=dict)
+    #: For ``multi_line="split"``: (file, header, missing, dropped) of each input file.
+    files: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def total(self) -> int:
@@ -58,7 +60,7 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]],
                out_partitions: int | None = None,
                load_order: bool = True,
                malformed: str = "fail",
-               multi_line: bool = True) -> IngestResult:
+               multi_line: bool | str = True) -> IngestResult:
     """Load each ``name -> (csv_path, schema)`` into ``out_root/name`` or ``database.name`` (Parquet).
 
     One Spark job per table replaces the chunked append loop.  All tables are
@@ -74,11 +76,11 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]],
     absent from the file, headers dropped, per-column cast rejections, and
     rows with too many or too few fields (``read_csv_table``).
 
-    A quoted-newline CSV is parsed by one task per file; ``out_partitions``
-    spreads the casting and Parquet encoding after the parse over that many
-    tasks (a round-robin shuffle) when the input is a few large files, and
-    ``multi_line=False`` lets the reader split files that have no line breaks
-    in fields.
+    A quoted-newline CSV is parsed by one task per file; ``multi_line="split"``
+    splits files over many tasks, maps each file by its own header and numbers
+    rows by file name and place, whatever the splits; ``False`` splits files that
+    have no line breaks in fields.  ``out_partitions`` spreads the casting and
+    Parquet encoding over that many tasks (a round-robin shuffle).
     """
     result = IngestResult()
     if database is not None:
@@ -99,6 +101,8 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]],
             result.counts[name] = result.wide_rows[name] = result.short_rows[name] = 0
             if not proj.found:
                 continue
+            if proj.files is not None:
+                result.files[name] = proj.files
             target = _target(name, out_root, database)
             keep = [C.ROW_ORDER] if load_order else []
             frame = align_to_schema(proj.frame, schema, keep=keep)

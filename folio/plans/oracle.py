@@ -136,6 +136,9 @@ SELECT id, title, price, user_id, review_score, review_time, review_summary, rev
        CASE WHEN l_linenumber = 5 THEN NULL ELSE CAST(epoch(l_shipdate) AS BIGINT) END AS review_time
 FROM lineitem""",
     "csv_roundtrip": _review_ingest_sql(),
+    "split_csv": _review_ingest_sql(),
+    "header_orders": f"""SELECT * REPLACE (CASE WHEN id::BIGINT % 3 = 2 THEN NULL ELSE price END AS price)
+FROM ({_review_ingest_sql(full_table=True)})""",
     "ingest_reviews": _review_ingest_sql(full_table=True),
     "stream_ingest": _review_ingest_sql(full_table=True),
     "table_overwrite": f"{V}\nSELECT * FROM books_v",

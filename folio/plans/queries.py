@@ -218,6 +218,8 @@ def typed_cast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Rows in a landed CSV file (a quoted-newline file is parsed by one task).
 LANDED_ROWS = 100_000
+#: Files of each load whose order counts.
+LOAD_FILES = 9
 
 
 def _export_reviews_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -234,6 +236,26 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_table(spark, path, C.REVIEW_SCHEMA).frame
 
 
+def split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported reviews, with line breaks in their texts, read with the files split over tasks."""
+    path = _export_reviews_csv(spark, sf_dir, "split_csv")
+    return read_csv_table(spark, path, C.REVIEW_SCHEMA, multi_line="split").frame
+
+
+def header_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load over files with three orders of headers, one of them without the price and with a header of its own."""
+    _, ratings = _views(spark, sf_dir)
+    path = scratch_path(spark, "header_orders")
+    raw = A.raw_review_export(ratings).withColumn("extra", F.lit("x,\n"))
+    heads = list(A.RAW_REVIEW_HEADERS.values())
+    for n, columns in enumerate((heads, heads[::-1], ["extra", *(h for h in heads[2:] + heads[:2] if h != "Price")])):
+        write_csv(raw.where(F.col("Id") % 3 == n).select(*columns), f"{path}/group={n}",
+                  max_records_per_file=LANDED_ROWS)
+    out = scratch_path(spark, "header_orders_out")
+    ingest_job(spark, {"books_rating": (f"{path}/*", C.REVIEW_SCHEMA)}, out, load_order=False, multi_line="split")
+    return spark.read.parquet(f"{out}/books_rating")
+
+
 def ingest_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw-ingest job (CSV -> typed Parquet table), read back."""
     path = _export_reviews_csv(spark, sf_dir, "ingest_src")
@@ -271,15 +293,16 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_as_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads of a catalog with repeated titles, then the first row of each title as loaded."""
+    """Two loads of many files of a catalog with repeated titles, then the first row of each title as loaded."""
     books, _ = _views(spark, sf_dir)
     out = scratch_path(spark, "loads")
     columns = {v: A.RAW_CATALOG_HEADERS[v] for v in ("title", "description", "authors", "categories", "publisher")}
     for n, part in enumerate((F.col("seq") % 2 == 1, F.col("seq") % 2 == 0)):
         path = scratch_path(spark, f"load{n}")
-        rows = books.where(part).orderBy(F.desc("seq")).select(*[F.col(c).alias(h) for c, h in columns.items()])
-        write_csv(rows, path, single_file=True)
-        ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, out, truncate_first=n == 0)
+        # files in ascending order of their names hold the rows in descending order
+        rows = books.where(part).repartitionByRange(LOAD_FILES, F.desc("seq")).sortWithinPartitions(F.desc("seq"))
+        write_csv(rows.select(*[F.col(c).alias(h) for c, h in columns.items()]), path)
+        ingest_job(spark, {"books_data": (path, C.CATALOG_SCHEMA)}, out, truncate_first=n == 0, multi_line="split")
     loaded = spark.read.parquet(f"{out}/books_data")
     return dedupe_first(loaded, ["title"], [C.LOAD_SEQ, C.ROW_ORDER]).select(*columns)
 
@@ -391,6 +414,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "na_tokens": na_tokens_q,
     "typed_cast": typed_cast_q,
     "csv_roundtrip": csv_roundtrip,
+    "split_csv": split_csv,
+    "header_orders": header_orders,
     "ingest_reviews": ingest_reviews,
     "stream_ingest": stream_ingest,
     "table_overwrite": table_overwrite,
