@@ -10,6 +10,8 @@
            [--sample-buckets N [--sample-keys COL,...]]
            [--cluster-by COL,...] [--compression CODEC] [--max-records-per-file N]
 
+    recover FOLDER   finish or undo the loads cut off while they were put in place
+
 TABLES is ``--tables DIR`` (Parquet folders ``DIR/books_data`` and
 ``DIR/books_rating``) or ``--database NAME`` (catalog tables).  They carry their
 load order, by which ``etl`` keeps the first catalog row as loaded.
@@ -31,6 +33,7 @@ from folio import config as C
 from folio.plans.jobs import (AuditResult, VolumeGateError, audit_job, etl_job, ingest_and_audit, ingest_job,
                               report_path_for)
 from folio.session import configure
+from folio.sinks.staging import recover
 from folio.sources.tables import read_table
 
 
@@ -104,6 +107,9 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--cluster-by", help="comma-separated columns to sort rows by within files")
     etl.add_argument("--compression", help="Parquet codec, e.g. zstd")
     etl.add_argument("--max-records-per-file", type=int)
+
+    cut = sub.add_parser("recover", help="finish or undo loads that were cut off")
+    cut.add_argument("folder", help="folder of the tables, with the loads' intent logs")
     return p
 
 
@@ -127,6 +133,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             res, aud = ingest_and_audit(spark, args.books, args.ratings, args.tables,
                                         report_dir=args.report_dir, raise_on_fail=not args.no_fail, **options)
             print(json.dumps({"counts": res.counts, **_audited(aud)}))
+        elif args.command == "recover":
+            print(json.dumps({"recovered": recover(spark, args.folder)}))
         elif args.command == "audit":
             books, ratings = _tables(spark, args)
             path = report_path_for(args.report_dir) if args.report_dir else None

@@ -66,7 +66,8 @@ def ingest_job(spark: SparkSession, sources: Mapping[str, tuple[str, object]],
     One Spark job per table replaces the chunked append loop.  All tables are
     staged and take effect together (``StagedLoad``): replaced, or with
     ``truncate_first=False`` appended to; when anything fails, every table
-    keeps its old rows.  A skipped input (``on_missing="skip"``) leaves its
+    keeps its old rows (a load cut off while it is put in place is finished by
+    ``sinks.staging.recover``).  A skipped input (``on_missing="skip"``) leaves its
     table alone and counts 0.
 
     Tables have the full ``schema`` (columns the file lacks are NULL) and,

@@ -143,6 +143,10 @@ FROM ({_review_ingest_sql(full_table=True)})""",
     "stream_ingest": _review_ingest_sql(full_table=True),
     "table_overwrite": f"{V}\nSELECT * FROM books_v",
     "table_append": f"{V}\nSELECT * FROM ratings_v UNION ALL SELECT * FROM ratings_v",
+    "append_by_name": f"{V}\nSELECT * FROM books_v",
+    "recovered_load": f"""{V}
+SELECT 'books_data' AS tabla, title, COUNT(*) AS registros FROM books_v GROUP BY title
+UNION ALL SELECT 'books_rating', title, COUNT(*) FROM ratings_v GROUP BY title""",
     "etl_csv": _curated("r.title IS NOT DISTINCT FROM b.title"),
     "malformed_rows": f"""{V}
 SELECT COUNT(*) AS rows, COUNT(title) AS titles,

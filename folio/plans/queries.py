@@ -20,6 +20,7 @@ from folio.operators.joins import lookup_join, orphan_keys
 from folio.operators.shaping import normalize_na, project_existing, rename_columns, typed_cast
 from folio.plans.jobs import audit_job, etl_job, ingest_job, report_path_for
 from folio.session import configure, scratch_path
+from folio.sinks.staging import StagedLoad, recover
 from folio.sinks.writers import ensure_database, write_csv, write_table
 from folio.sources import adapters as A
 from folio.sources.csv import CSV_READ_OPTIONS, read_csv_table
@@ -307,6 +308,50 @@ def first_as_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_first(loaded, ["title"], [C.LOAD_SEQ, C.ROW_ORDER]).select(*columns)
 
 
+class _DriverLost(BaseException):
+    """Nothing catches it, and nothing is undone."""
+
+
+class _CutOff(StagedLoad):
+    """A load that stops for good after a few renames."""
+
+    def _done(self, step: str) -> None:
+        self.steps = getattr(self, "steps", 0) + 1
+        if self.steps >= 3:
+            raise _DriverLost(step)
+
+
+def recovered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group load cut off halfway through its renames, recovered, and its tables read: titles by table."""
+    books, ratings = _views(spark, sf_dir)
+    out = scratch_path(spark, "recovered")
+    frames = {"books_data": books, "books_rating": ratings}
+    with StagedLoad(spark) as load:  # the old tables
+        for name, frame in frames.items():
+            load.stage(frame.where("title IS NULL"), path=f"{out}/{name}")
+    try:
+        with _CutOff(spark) as load:
+            for name, frame in frames.items():
+                load.stage(frame, path=f"{out}/{name}")
+    except _DriverLost:
+        recover(spark, out)
+    counts = [spark.read.parquet(f"{out}/{name}").groupBy("title").agg(F.count("*").alias("registros"))
+              .select(F.lit(name).alias("tabla"), "title", "registros") for name in frames]
+    return counts[0].unionByName(counts[1])
+
+
+def append_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to a catalog table, the second with its columns in another order."""
+    books, _ = _views(spark, sf_dir)
+    where = scratch_path(spark, "appended")
+    name = "folio_" + where.rsplit("-", 1)[-1]
+    ensure_database(spark, name, where)
+    for n, columns in enumerate((books.columns, books.columns[::-1], sorted(books.columns))):
+        with StagedLoad(spark) as load:
+            load.stage(books.where(F.col("seq") % 3 == n).select(*columns), table=f"{name}.books", mode="append")
+    return spark.table(f"{name}.books")
+
+
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest into catalog tables, curate from them into another, and read that."""
     _, ratings = _views(spark, sf_dir)
@@ -425,6 +470,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_job_report": audit_job_report,
     "bucketed_curation": bucketed_curation,
     "catalog_tables": catalog_tables,
+    "recovered_load": recovered_load,
+    "append_by_name": append_by_name,
     "first_as_loaded": first_as_loaded,
     "malformed_rows": malformed_rows,
 }
