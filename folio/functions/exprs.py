@@ -77,7 +77,7 @@ def ratio_percent(part: Column, total: Column, scale: int = 2) -> Column:
     return round_half_up(quotient, scale)
 
 
-# What exact means are computed in: values below 10**10 with 14 decimals.
+# What most values of an exact mean are added in: below 10**10, with 14 decimals (exactmean has the others).
 EXACT = T.DecimalType(24, 14)
 
 
@@ -87,37 +87,12 @@ def exact_value(col: str | Column) -> Column:
 
 
 def inexact_values(col: str | Column, weight: str | Column | None = None) -> Column:
-    """Aggregate: how many non-NULL values ``exact_value`` cannot hold.
-
-    Where this is not 0, the means below are double averages."""
+    """Aggregate: how many non-NULL values ``exact_value`` cannot hold."""
     unfit = _c(col).isNotNull() & exact_value(col).isNull()
     rows = F.lit(1) if weight is None else _c(weight)
     return F.coalesce(F.sum(F.when(unfit, rows)), F.lit(0)).cast("long")
 
 
-def exact_mean(col: str | Column, scale: int = 2) -> Column:
-    """Aggregate: mean rounded half-up to ``scale`` decimals, NULL when empty.
-
-    Sum and quotient keep 14 decimals, so neither the values nor the mean
-    are rounded before the last step.  If some value does not fit
-    (``inexact_values`` counts them), it is the double average.
-    """
-    c, d = _c(col), exact_value(col)
-    exact = round_half_up(F.try_divide(F.sum(d), F.count(d).cast("decimal(12,0)")), scale)
-    return F.when(F.count(d) == F.count(c), exact).otherwise(F.round(F.avg(c), scale))
-
-
-def weighted_exact_mean(col: str | Column, weight: str | Column, scale: int = 2) -> Column:
-    """``exact_mean`` over pre-aggregated rows: ``col`` repeated ``weight`` times."""
-    c, w, d = _c(col), _c(weight), exact_value(col)
-    fits = F.sum(F.when(d.isNotNull(), w))
-    total_w = F.sum(F.when(c.isNotNull(), w))
-    weighted = d * w.cast(T.DecimalType(12, 0))
-    exact = round_half_up(F.try_divide(F.sum(weighted), fits.cast(T.DecimalType(12, 0))), scale)
-    fallback = F.round(F.try_divide(F.sum(c * w), total_w), scale)
-    return F.when(F.coalesce(fits, F.lit(0)) == F.coalesce(total_w, F.lit(0)), exact).otherwise(fallback)
-
-
 def safe_cast(col: str | Column, dtype: T.DataType) -> Column:
     """Text -> ``dtype`` without raising: unparsable text becomes NULL.
 

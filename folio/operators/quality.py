@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from folio import config as C
 from folio.config import SCORE_MAX, SCORE_MIN, VOLUME_THRESHOLDS
-from folio.functions.exprs import (epoch_in_range, epoch_to_date, exact_mean, inexact_values,
-                                  ratio_percent, weighted_exact_mean)
+from folio.functions.exactmean import aggregate_with_mean
+from folio.functions.exprs import epoch_in_range, epoch_to_date, inexact_values, ratio_percent
 from folio.operators.joins import threshold_lookup
 from folio.session import checkpoint_root
 
@@ -64,12 +64,18 @@ def null_profile(tables: Mapping[str, DataFrame],
 def score_range(reviews: DataFrame, score: str = "review_score",
                 low: float = SCORE_MIN, high: float = SCORE_MAX) -> DataFrame:
     """Min, max, mean (2 decimals, half-up) and out-of-range count of non-NULL scores."""
+    return _score_summary(reviews.filter(F.col(score).isNotNull()), score, None, low, high)
+
+
+def _score_summary(scored: DataFrame, score: str, weight: str | None, low: float, high: float) -> DataFrame:
+    """The score range of non-NULL scores; ``weight`` counts a row's score so many times."""
     s = F.col(score)
-    return (reviews.filter(s.isNotNull())
-            .agg(F.min(s).cast("double").alias("score_minimo"),
-                 F.max(s).cast("double").alias("score_maximo"),
-                 exact_mean(s).alias("score_promedio"),
-                 F.count_if(~s.between(low, high)).alias("fuera_de_rango")))
+    outside = ~s.between(low, high)
+    rows = F.count_if(outside) if weight is None else total_when(outside, F.col(weight))
+    others = {"score_minimo": (F.min(s).cast("double"), F.min), "score_maximo": (F.max(s).cast("double"), F.max),
+              "fuera_de_rango": (rows, lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long"))}
+    return aggregate_with_mean(scored, score, "score_promedio", weight, others=others).select(
+        "score_minimo", "score_maximo", "score_promedio", "fuera_de_rango")
 
 
 def date_range(reviews: DataFrame, time_col: str = "review_time") -> DataFrame:
@@ -133,7 +139,7 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
     one scan per table in total.  Without it, each section re-plans its own
     pruned aggregate.  Keys: ``counts``, ``distribution``, ``nulls``,
     ``score_range``, ``date_range`` and ``left_out`` (times no timestamp can
-    hold; scores that are not in the exact mean).
+    hold; scores too large, or not finite, for a plain decimal).
     """
     s, n = F.col(score), F.col("_n")
     rv_nulls = [(label, c) for label, t, c in null_metrics if t == "reviews"]
@@ -186,17 +192,13 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
     for p in parts[1:]:
         nulls = nulls.unionByName(p)
 
-    score_rng = scored.agg(
-        F.min(s).cast("double").alias("score_minimo"),
-        F.max(s).cast("double").alias("score_maximo"),
-        weighted_exact_mean(s, n).alias("score_promedio"),
-        total_when(~s.between(low, high), n).alias("fuera_de_rango"))
+    score_rng = _score_summary(scored, score, "_n", low, high)
 
     dates = by_score.agg(F.min("_tmin").alias("_lo"), F.max("_tmax").alias("_hi"),
                          total("_tn").alias("total_resenas")).select(
         epoch_to_date("_lo").alias("primera_resena"),
         epoch_to_date("_hi").alias("ultima_resena"), "total_resenas")
-    # what the figures above had to leave out or compute in floating point
+    # times that the dates above leave out, and scores that the mean adds by exponent
     left_out = by_score.agg(total("_tbad").alias("times_out_of_range"),
                             inexact_values(s, n).alias("scores_not_exact"))
     return {"counts": counts, "distribution": distribution, "nulls": nulls,

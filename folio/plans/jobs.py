@@ -155,8 +155,7 @@ def audit_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     Only the volume gate decides ``passed``; out-of-range scores are
     reported but do not fail.  ``times_out_of_range`` counts review times no
     timestamp can hold, which the date range skips, and ``scores_not_exact``
-    the scores (infinite, NaN or huge) that make the mean a floating-point
-    one.  The report stacks the first four sections
+    the scores that are infinite, NaN, or 10**10 and more.  The report stacks the first four sections
     (the date range is returned separately) and is written as one small CSV
     when ``report_path`` is given.  Each table is scanned once for all of it
     (``audit_sections``); only aggregate rows reach the driver.

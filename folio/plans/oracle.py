@@ -171,6 +171,15 @@ UNION ALL BY NAME SELECT *, '{C.SECTION_DISTRIBUTION}' AS seccion FROM ({_DISTRI
 UNION ALL BY NAME SELECT *, '{C.SECTION_NULLS}' AS seccion FROM ({_NULLS})
 UNION ALL BY NAME SELECT *, '{C.SECTION_SCORE_RANGE}' AS seccion FROM ({_SCORE_RANGE}))
 SELECT * FROM report""",
+    "extreme_mean": f"""WITH p AS (
+  SELECT SUM(CAST(l_extendedprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total, COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE l_extendedprice NOT BETWEEN {C.SCORE_MIN} AND {C.SCORE_MAX}) AS off FROM lineitem),
+u AS (  -- in units of 10^-17; the others cancel out
+  SELECT CAST(total * 100 AS HUGEINT) * 1000000000000000 + CAST(n AS HUGEINT) * 30000000000000004 AS units, n, off FROM p)
+SELECT -1e300::DOUBLE AS score_minimo, 1e300::DOUBLE AS score_maximo,
+       CAST((units * 2 + 8 * n * 1000000000000000::HUGEINT) // (16 * n * 1000000000000000::HUGEINT) AS DOUBLE) / 100.0 AS score_promedio,
+       off + 7 * n AS fuera_de_rango
+FROM u""",
     "price_range": f"""WITH p AS (SELECT CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM lineitem)
 SELECT CAST(MIN(c)::VARCHAR || 'e-4' AS DOUBLE) AS score_minimo, CAST(MAX(c)::VARCHAR || 'e-4' AS DOUBLE) AS score_maximo,
        CAST((CAST(SUM(c) * 100 AS HUGEINT) + 5000 * COUNT(*)) // (10000 * COUNT(*)) AS DOUBLE) / 100.0 AS score_promedio,

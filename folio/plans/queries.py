@@ -405,6 +405,14 @@ def price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QA.score_range(scores)
 
 
+def extreme_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score range over prices among values of all sizes, which cancel out, and long fractions."""
+    _, ratings = _views(spark, sf_dir)
+    scores = F.array(F.col("price"), F.lit(1e300), F.lit(-1e300), F.lit(1e-300), F.lit(0.30000000000000004), F.lit(-1e-300),
+                     F.lit(1.25e22), F.lit(-1.25e22))
+    return QA.score_range(ratings.select(F.explode(scores).alias("review_score")))
+
+
 def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the catalog twice in overwrite mode: the second load replaces the first."""
     books, _ = _views(spark, sf_dir)
@@ -467,6 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_append": table_append,
     "etl_csv": etl_csv,
     "price_range": price_range,
+    "extreme_mean": extreme_mean,
     "audit_job_report": audit_job_report,
     "bucketed_curation": bucketed_curation,
     "catalog_tables": catalog_tables,
