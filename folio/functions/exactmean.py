@@ -22,14 +22,11 @@ from pyspark.sql import types as T
 
 from folio.functions.exprs import exact_value
 
-_WIDE = T.DecimalType(38, 0)
 #: Digits in a bin; its first and last number, with room for carries.
 _GROUP, _LOW, _HIGH = 10, -34, 36
-_BASE = 10 ** _GROUP
-
-
-def _wide(value: Column | int) -> Column:
-    return (F.lit(str(value)) if isinstance(value, int) else value).cast(_WIDE)
+_WIDE = "DECIMAL(38,0)"
+_BASE = f"CAST(1{'0' * _GROUP} AS {_WIDE})"
+_ZERO = f"CAST(0 AS {_WIDE})"
 
 
 def _parts(value: Column, scale: int) -> tuple[Column, Column]:
@@ -44,31 +41,21 @@ def _parts(value: Column, scale: int) -> tuple[Column, Column]:
     return number, digits.try_cast(T.DecimalType(27, 0))
 
 
-def _carried(groups: Column) -> Column:
-    """(carry, groups): groups between 0 and the base, lowest first, and what is left at the top."""
-    start = F.struct(_wide(0).alias("carry"), F.array().cast("array<decimal(38,0)>").alias("groups"))
-
-    def step(acc: Column, group: Column) -> Column:
-        total = _wide(group + acc["carry"])
-        rest = _wide(F.pmod(total, _wide(_BASE)))
-        return F.struct(_wide(_wide(total - rest) / _wide(_BASE)).alias("carry"),
-                        F.concat(acc["groups"], F.array(rest)).alias("groups"))
-
-    return F.aggregate(groups, start, step)
+def _carried(groups: str) -> str:
+    """SQL: (carry, groups), groups between 0 and the base, lowest first, and what is left at the top."""
+    rest = f"pmod(CAST(x + a.carry AS {_WIDE}), {_BASE})"
+    return (f"aggregate({groups}, struct({_ZERO} AS carry, CAST(array() AS ARRAY<{_WIDE}>) AS groups), (a, x) -> "
+            f"struct(CAST(CAST(x + a.carry - {rest} AS {_WIDE}) / {_BASE} AS {_WIDE}) AS carry, "
+            f"concat(a.groups, array(CAST({rest} AS {_WIDE}))) AS groups))")
 
 
-def _divided(groups: Column, by: Column) -> Column:
-    """The digits of the integer that ``groups`` (highest first) are, divided by ``by``."""
-    start = F.struct(_wide(0).alias("rest"), F.lit("").alias("digits"))
-
-    def step(acc: Column, group: Column) -> Column:
-        total = _wide(acc["rest"] * _wide(_BASE) + group)
-        rest = _wide(F.pmod(total, by))
-        quotient = _wide(_wide(total - rest) / by)
-        return F.struct(rest.alias("rest"),
-                        F.concat(acc["digits"], F.lpad(quotient.cast("string"), _GROUP, "0")).alias("digits"))
-
-    return F.aggregate(groups, start, step)["digits"]
+def _divided(groups: str, by: str) -> str:
+    """SQL: the digits of the integer that ``groups`` (highest first) are, divided by ``by``."""
+    total = f"CAST(a.rest * {_BASE} + x AS {_WIDE})"
+    rest = f"CAST(pmod({total}, {by}) AS {_WIDE})"
+    return (f"aggregate({groups}, struct({_ZERO} AS rest, '' AS digits), (a, x) -> struct({rest} AS rest, "
+            f"concat(a.digits, lpad(CAST(CAST(CAST({total} - {rest} AS {_WIDE}) / {by} AS {_WIDE}) AS STRING), "
+            f"{_GROUP}, '0')) AS digits)).digits")
 
 
 def aggregate_with_mean(frame: DataFrame, value: str, name: str, weight: str | None = None, scale: int = 2,
@@ -79,52 +66,51 @@ def aggregate_with_mean(frame: DataFrame, value: str, name: str, weight: str | N
     aggregate of the rows and the function that merges such aggregates.  The mean is NULL without values.
     """
     others = dict(others or {})
-    v = F.col(value).cast("double")
-    w = F.lit(1).cast("long") if weight is None else F.col(weight)
-    times = F.lit(1).cast(T.DecimalType(1, 0)) if weight is None else F.col(weight).cast(T.DecimalType(11, 0))
-    fit = exact_value(v)
-    plain = F.coalesce(fit.cast("double") == v, F.lit(False))
-    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+    v = F.col("__v")
+    size = F.abs(v)
+    finite = v.isNotNull() & ~F.isnan(v) & (size < float("inf"))
+    fit = exact_value(F.when((size < 1e10) & ((size >= 1e-14) | (v == 0)), v))  # the cast of others is slow
     number, amount = _parts(v, scale)
-    odd = finite & ~plain
+    weights = F.lit(1) if weight is None else F.col(weight)
+    rows = frame.withColumn("__v", F.col(value).cast("double")).withColumns(
+        {"__fit": fit, "__finite": finite, "__w": weights.cast(T.DecimalType(11, 0))})
+    rows = rows.withColumn("__odd", F.col("__finite") & ~F.coalesce(F.col("__fit").cast("double") == v, F.lit(False)))
+    rows = rows.withColumns({"__bin": F.when(F.col("__odd"), number), "__amount": F.when(F.col("__odd"), amount)})
 
     def counted(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, w)), F.lit(0)).cast("long")
+        return F.coalesce(F.sum(F.when(condition, weights)), F.lit(0)).cast("long")
+
+    def times(c: str) -> Column:
+        return F.col(c) if weight is None else F.col(c) * F.col("__w")
 
-    binned = frame.groupBy(F.when(odd, number).alias("__bin")).agg(
-        F.sum(F.when(plain, fit * times)).cast(T.DecimalType(38, 14)).alias("__plain"),
-        F.sum(F.when(odd, _wide(amount * times))).alias("__sum"),
-        counted(finite).alias("__n"), counted(F.isnan(v)).alias("__nan"),
+    binned = rows.groupBy("__bin").agg(
+        F.sum(F.when(~F.col("__odd"), times("__fit"))).cast("decimal(38,14)").alias("__plain"),
+        F.sum(times("__amount").cast(_WIDE)).alias("__sum"),
+        counted(F.col("__finite")).alias("__n"), counted(F.isnan(v)).alias("__nan"),
         counted(v == float("inf")).alias("__up"), counted(v == float("-inf")).alias("__down"),
         *[first.alias(f"__o{i}") for i, (first, _) in enumerate(others.values())])
     one = binned.agg(
         F.collect_list(F.when(F.col("__bin").isNotNull(), F.struct("__bin", "__sum"))).alias("bins"),
-        F.coalesce(F.sum("__plain"), F.lit(0)).cast(T.DecimalType(38, 14)).alias("plain"),
+        F.coalesce(F.sum("__plain"), F.lit(0)).cast("decimal(38,14)").alias("plain"),
         *[F.coalesce(F.sum(f"__{c}"), F.lit(0)).alias(c) for c in ("n", "nan", "up", "down")],
-        *[merge(f"__o{i}").alias(n) for i, (n, (_, merge)) in enumerate(others.items())])
+        *[merge(f"__o{i}").alias(f"__o{i}") for i, (_, merge) in enumerate(others.values())])
 
     # the plain sum, shifted by the scale, joins bin 0 and, with its decimals, bin -2
-    whole = F.floor("plain").cast(_WIDE)
-    below = _wide((F.col("plain") - whole).cast(T.DecimalType(15, 14)) * _wide(10 ** (2 * _GROUP)).cast(T.DecimalType(21, 0)))
-    shift = _wide(10 ** scale)
-
-    def group(b: Column) -> Column:
-        total = F.aggregate(F.filter("bins", lambda p: p["__bin"] == b), _wide(0), lambda a, p: _wide(a + p["__sum"]))
-        extra = F.when(b == 0, _wide(whole * shift)).when(b == -2, _wide(below * shift)).otherwise(_wide(0))
-        return _wide(total + extra)
-
-    one = one.withColumn("groups", F.transform(F.sequence(F.lit(_LOW), F.lit(_HIGH)), group))
-    one = one.withColumn("negative", _carried(F.col("groups"))["carry"] < 0)
-    sign = F.when(F.col("negative"), _wide(-2)).otherwise(_wide(2))
+    shift = f"CAST(1{'0' * scale} AS {_WIDE})"
+    whole, below = "CAST(floor(plain) AS DECIMAL(38,0))", f"CAST(1{'0' * 2 * _GROUP} AS DECIMAL(21,0))"
+    extra = (f"CASE b WHEN 0 THEN CAST({whole} * {shift} AS {_WIDE}) WHEN -2 THEN CAST(CAST(CAST(plain - {whole} AS "
+             f"DECIMAL(15,14)) * {below} AS {_WIDE}) * {shift} AS {_WIDE}) ELSE {_ZERO} END")
+    total = f"aggregate(filter(bins, p -> p.__bin = b), {_ZERO}, (a, p) -> CAST(a + p.__sum AS {_WIDE}))"
+    one = one.selectExpr("*", f"transform(sequence({_LOW}, {_HIGH}), b -> CAST({total} + {extra} AS {_WIDE})) AS sums")
+    one = one.selectExpr("*", f"{_carried('sums')}.carry < 0 AS negative")
     # half up: the floor of (2 * sum + n) / (2 * n)
-    doubled = F.transform("groups", lambda x, i: _wide(_wide(x * sign) + F.when(i == -_LOW, _wide(F.col("n"))).otherwise(_wide(0))))
-    one = one.withColumn("groups", _carried(doubled)["groups"])
-    integer = F.reverse(F.slice("groups", 1 - _LOW, _HIGH + 1))
-    one = one.withColumn("digits", F.when(F.col("n") > 0, _divided(integer, _wide(2 * F.greatest("n", F.lit(1))))))
-    minus = F.when(F.col("negative") & F.col("digits").rlike("[1-9]"), "-").otherwise("")
-    places = (_HIGH + 1) * _GROUP
-    text = F.concat(minus, F.substring("digits", 1, places - scale), F.lit("."), F.substring("digits", places - scale + 1, scale))
-    both = (F.col("up") > 0) & (F.col("down") > 0)
-    mean = (F.when((F.col("nan") > 0) | both, float("nan")).when(F.col("up") > 0, float("inf"))
-            .when(F.col("down") > 0, float("-inf")).otherwise(text.cast("double")))
-    return one.select(*others, mean.alias(name))
+    doubled = (f"transform(sums, (x, i) -> CAST(x * IF(negative, -2, 2) + IF(i = {-_LOW}, n, 0) AS {_WIDE}))")
+    one = one.selectExpr("*", f"reverse(slice({_carried(doubled)}.groups, {1 - _LOW}, {_HIGH + 1})) AS groups")
+    one = one.selectExpr("*", f"""IF(n > 0, {_divided("groups", f"CAST(2 * greatest(n, 1) AS {_WIDE})")}, NULL) AS digits""")
+    point = (_HIGH + 1) * _GROUP - scale
+    text = (f"concat(IF(negative AND digits RLIKE '[1-9]', '-', ''), substring(digits, 1, {point}), '.', "
+            f"substring(digits, {point + 1}, {scale}))")
+    return one.selectExpr(
+        *[f"__o{i} AS `{n}`" for i, n in enumerate(others)],
+        f"CASE WHEN nan > 0 OR (up > 0 AND down > 0) THEN double('NaN') WHEN up > 0 THEN double('Infinity') "
+        f"WHEN down > 0 THEN double('-Infinity') ELSE CAST({text} AS DOUBLE) END AS `{name}`")

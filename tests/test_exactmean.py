@@ -35,7 +35,7 @@ def _cases():
                 [1e22, 3.14, -1e22], [], [None], [None, 2.0], [float("inf"), 1.0], [float("-inf"), None],
                 [float("inf"), float("-inf")], [float("nan"), float("inf")], [9999999999.99, 1e10, -1e10],
                 [123456789012345.67] * 7, [1e16, 1.0, 1.0, -1e16], [0.0], [1e-20] * 5)
-    for _ in range(12):
+    for _ in range(4):
         yield [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randrange(-320, 308) for _ in range(rng.randrange(1, 40))]
         some = [round(rng.uniform(-50, 50), rng.randrange(1, 17)) for _ in range(rng.randrange(1, 40))]
         huge = [10.0 ** rng.randrange(15, 300) for _ in range(5)]
@@ -59,6 +59,6 @@ def test_weights_repeat_values(spark):
     rows = [(1e300, 3), (-1e300, 3), (0.30000000000000004, 2), (2.5, 4), (None, 9)]
     frame = spark.createDataFrame(rows, "v double, w long")
     want = _expected([v for v, w in rows for _ in range(w)])
-    assert aggregate_with_mean(frame, "v", "mean", "w").first()["mean"] == want == 1.49 - 1.49 + want
+    assert aggregate_with_mean(frame, "v", "mean", "w").first()["mean"] == want
     assert aggregate_with_mean(frame, "v", "mean", "w", scale=5).first()["mean"] == _expected(
         [v for v, w in rows for _ in range(w)], 5)
