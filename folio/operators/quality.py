@@ -122,12 +122,44 @@ def audit_report(sections: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
-def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
+def audit_partials(catalog: DataFrame, reviews: DataFrame, *,
+                   null_metrics: Sequence[tuple[str, str, str]] = C.NULL_METRICS,
+                   score: str = "review_score", time_col: str = "review_time") -> tuple[DataFrame, DataFrame]:
+    """The aggregates all sections come from: reviews by score, and the catalog's one row.
+
+    Partials of several parts of a table may be unioned: ``merge_partials`` adds them up.
+    """
+    rv_nulls = [c for _, t, c in null_metrics if t == "reviews"]
+    cat_nulls = [c for _, t, c in null_metrics if t == "catalog"]
+    in_range = F.when(epoch_in_range(time_col), F.col(time_col))
+    by_score = reviews.groupBy(score).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_rn{i}") for i, c in enumerate(rv_nulls)],
+        F.min(in_range).alias("_tmin"), F.max(in_range).alias("_tmax"), F.count(time_col).alias("_tn"),
+        F.count_if(F.col(time_col).isNotNull() & ~epoch_in_range(time_col)).alias("_tbad"))
+    cat = catalog.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_cn{i}") for i, c in enumerate(cat_nulls)])
+    return by_score, cat
+
+
+def merge_partials(by_score: DataFrame, cat: DataFrame, score: str = "review_score") -> tuple[DataFrame, DataFrame]:
+    """Unions of ``audit_partials`` as the partials of the whole tables."""
+    def added(frame: DataFrame) -> list[F.Column]:
+        bounds = {"_tmin": F.min, "_tmax": F.max}
+        return [bounds[c](c).alias(c) if c in bounds else F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+                for c in frame.columns if c != score]
+
+    return by_score.groupBy(score).agg(*added(by_score)), cat.agg(*added(cat))
+
+
+def audit_sections(catalog: DataFrame | None, reviews: DataFrame | None, *,
                    catalog_label: str = C.CATALOG_LABEL, reviews_label: str = C.REVIEWS_LABEL,
                    null_metrics: Sequence[tuple[str, str, str]] = C.NULL_METRICS,
                    score: str = "review_score", time_col: str = "review_time",
                    low: float = SCORE_MIN, high: float = SCORE_MAX,
-                   materialize: bool = True) -> dict[str, DataFrame]:
+                   materialize: bool = True,
+                   partials: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All audit sections from one pass over each table.
 
     Reviews are aggregated once per distinct score (count, per-column NULL
@@ -137,25 +169,16 @@ def audit_sections(catalog: DataFrame, reviews: DataFrame, *,
     folder, which also cuts the lineage), so every later action -- gate,
     report, date range -- reads the aggregates, never the tables again:
     one scan per table in total.  Without it, each section re-plans its own
-    pruned aggregate.  Keys: ``counts``, ``distribution``, ``nulls``,
+    pruned aggregate.  ``partials`` are used in place of the tables'.  Keys: ``counts``, ``distribution``, ``nulls``,
     ``score_range``, ``date_range`` and ``left_out`` (times no timestamp can
     hold; scores too large, or not finite, for a plain decimal).
     """
     s, n = F.col(score), F.col("_n")
     rv_nulls = [(label, c) for label, t, c in null_metrics if t == "reviews"]
     cat_nulls = [(label, c) for label, t, c in null_metrics if t == "catalog"]
-    by_score = reviews.groupBy(score).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_rn{i}") for i, (_, c) in enumerate(rv_nulls)],
-        F.min(F.when(epoch_in_range(time_col), F.col(time_col))).alias("_tmin"),
-        F.max(F.when(epoch_in_range(time_col), F.col(time_col))).alias("_tmax"),
-        F.count(time_col).alias("_tn"),
-        F.count_if(F.col(time_col).isNotNull() & ~epoch_in_range(time_col)).alias("_tbad"))
-    cat = catalog.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_cn{i}") for i, (_, c) in enumerate(cat_nulls)])
+    by_score, cat = partials or audit_partials(catalog, reviews, null_metrics=null_metrics, score=score, time_col=time_col)
     if materialize:
-        checkpoint_root(reviews.sparkSession)
+        checkpoint_root(by_score.sparkSession)
         by_score = by_score.checkpoint(eager=True)
         cat = cat.checkpoint(eager=True)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from folio import config as C
 from folio.operators import quality as QA
 from folio.operators.curate import curate
 from folio.operators.shaping import align_to_schema
-from folio.sinks.staging import StagedLoad
+from folio.sinks.staging import StagedLoad, delete_path, path_exists
 from folio.sinks.writers import ensure_database, write_csv
 from folio.sources.csv import read_csv_table
 from folio.sources.tables import hash_sample, read_table, table_exists, top_n
@@ -160,7 +161,11 @@ def audit_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
     when ``report_path`` is given.  Each table is scanned once for all of it
     (``audit_sections``); only aggregate rows reach the driver.
     """
-    sec = QA.audit_sections(catalog, reviews)
+    return _audited(spark, QA.audit_sections(catalog, reviews), thresholds, report_path, raise_on_fail)
+
+
+def _audited(spark: SparkSession, sec: Mapping[str, DataFrame], thresholds: Mapping[str, int],
+             report_path: str | None, raise_on_fail: bool) -> AuditResult:
     gate_df = QA.volume_gate(sec["counts"], QA.thresholds_frame(spark, thresholds))
     gate = [(r["tabla"], r["registros"], r["minimo"], r["ok"]) for r in gate_df.collect()]
     report = QA.audit_report([
@@ -180,6 +185,49 @@ def audit_job(spark: SparkSession, catalog: DataFrame, reviews: DataFrame, *,
                        left_out["times_out_of_range"], left_out["scores_not_exact"])
 
 
+def _part_partials(spark: SparkSession, path: str, state: str, schema: T.StructType, kind: str) -> DataFrame:
+    """The union of a table's partials by part, after those of its new files are added to the state.
+
+    A part is a folder of partials and the list of the files that they cover, written
+    last, so a part without a whole list does not count and is written again.  When
+    a file that some part covers is gone (the table was replaced), all parts are out of date.
+    """
+    now = {unquote(f) for f in spark.read.schema(schema).parquet(path).inputFiles()}
+    parts, known = 0, set()
+    while path_exists(spark, f"{state}/{parts}/files/_SUCCESS"):
+        known |= {r["file"] for r in spark.read.schema("file string").parquet(f"{state}/{parts}/files").toLocalIterator()}
+        parts += 1
+    if known - now:
+        delete_path(spark, state)
+        parts, known = 0, set()
+    new = sorted(now - known)
+    frame = spark.read.schema(schema).parquet(*new) if new else spark.createDataFrame([], schema)
+    empty = spark.createDataFrame([], C.CATALOG_SCHEMA if kind == "reviews" else C.REVIEW_SCHEMA)
+    own = QA.audit_partials(*((empty, frame) if kind == "reviews" else (frame, empty)))[kind == "catalog"]
+    if new or not parts:
+        own.write.mode("overwrite").parquet(f"{state}/{parts}/partials")
+        (spark.createDataFrame([(f,) for f in new], "file string").coalesce(1)
+         .write.mode("overwrite").parquet(f"{state}/{parts}/files"))
+        parts += 1
+    return spark.read.schema(own.schema).parquet(*[f"{state}/{n}/partials" for n in range(parts)])
+
+
+def incremental_audit_job(spark: SparkSession, catalog_path: str, reviews_path: str, state_path: str, *,
+                          thresholds: Mapping[str, int] = C.VOLUME_THRESHOLDS,
+                          report_path: str | None = None, raise_on_fail: bool = False) -> AuditResult:
+    """``audit_job`` over Parquet folders, reading only the files that came since the last audit.
+
+    ``state_path`` keeps the aggregates of what was audited (a row for each score and
+    audit) and the names of its files.  An appended load is read alone; a replaced
+    table is read whole.  One audit at a time per state; one that was cut off is repeated.
+    """
+    both = [_part_partials(spark, path, f"{state_path.rstrip('/')}/{kind}", schema, kind)
+            for path, schema, kind in ((reviews_path, C.REVIEW_SCHEMA, "reviews"),
+                                       (catalog_path, C.CATALOG_SCHEMA, "catalog"))]
+    sec = QA.audit_sections(None, None, partials=QA.merge_partials(*both))
+    return _audited(spark, sec, thresholds, report_path, raise_on_fail)
+
+
 def ingest_and_audit(spark: SparkSession, catalog_csv: str, reviews_csv: str,
                      out_root: str | None = None, *, database: str | None = None,
                      report_dir: str | None = None,

@@ -170,6 +170,12 @@ SELECT *, '{C.SECTION_COUNTS}' AS seccion FROM ({_COUNTS})
 UNION ALL BY NAME SELECT *, '{C.SECTION_DISTRIBUTION}' AS seccion FROM ({_DISTRIBUTION})
 UNION ALL BY NAME SELECT *, '{C.SECTION_NULLS}' AS seccion FROM ({_NULLS})
 UNION ALL BY NAME SELECT *, '{C.SECTION_SCORE_RANGE}' AS seccion FROM ({_SCORE_RANGE}))
+SELECT * FROM report""",
+    "audit_incremental": f"""{V}, report AS (
+SELECT *, '{C.SECTION_COUNTS}' AS seccion FROM ({_COUNTS})
+UNION ALL BY NAME SELECT *, '{C.SECTION_DISTRIBUTION}' AS seccion FROM ({_DISTRIBUTION})
+UNION ALL BY NAME SELECT *, '{C.SECTION_NULLS}' AS seccion FROM ({_NULLS})
+UNION ALL BY NAME SELECT *, '{C.SECTION_SCORE_RANGE}' AS seccion FROM ({_SCORE_RANGE}))
 SELECT * FROM report""",
     "extreme_mean": f"""WITH p AS (
   SELECT SUM(CAST(l_extendedprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total, COUNT(*) AS n,

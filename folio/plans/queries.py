@@ -17,8 +17,8 @@ from folio.operators import quality as QA
 from folio.operators.curate import curate, fill_defaults, with_review_date
 from folio.operators.dedupe import dedupe_first
 from folio.operators.joins import lookup_join, orphan_keys
-from folio.operators.shaping import normalize_na, project_existing, rename_columns, typed_cast
-from folio.plans.jobs import audit_job, etl_job, ingest_job, report_path_for
+from folio.operators.shaping import align_to_schema, normalize_na, project_existing, rename_columns, typed_cast
+from folio.plans.jobs import audit_job, etl_job, incremental_audit_job, ingest_job, report_path_for
 from folio.session import configure, scratch_path
 from folio.sinks.staging import StagedLoad, recover
 from folio.sinks.writers import ensure_database, write_csv, write_table
@@ -397,6 +397,20 @@ REPORT_TYPES = {"seccion": "string", "tabla": "string", "registros": "long", "re
                 "score_minimo": "double", "score_maximo": "double", "score_promedio": "double", "fuera_de_rango": "long"}
 
 
+def audit_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit report after three appended loads, each audited by reading it alone."""
+    books, ratings = _views(spark, sf_dir)
+    out, state = scratch_path(spark, "audited"), scratch_path(spark, "audit_state")
+    books = align_to_schema(books, C.CATALOG_SCHEMA)
+    ratings = align_to_schema(ratings, C.REVIEW_SCHEMA)
+    for n in range(3):
+        write_table(books.where(F.crc32(F.coalesce("description", F.lit("")).cast("binary")) % 3 == n),
+                    path=f"{out}/books_data", mode="append")
+        write_table(ratings.where(F.col("id").cast("long") % 3 == n), path=f"{out}/books_rating", mode="append")
+        found = incremental_audit_job(spark, f"{out}/books_data", f"{out}/books_rating", state)
+    return found.report
+
+
 def price_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score range over fractional values: the mean of price per hundred, rounded half up."""
     _, ratings = _views(spark, sf_dir)
@@ -477,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_range": price_range,
     "extreme_mean": extreme_mean,
     "audit_job_report": audit_job_report,
+    "audit_incremental": audit_incremental,
     "bucketed_curation": bucketed_curation,
     "catalog_tables": catalog_tables,
     "recovered_load": recovered_load,
