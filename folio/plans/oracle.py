@@ -177,6 +177,11 @@ UNION ALL BY NAME SELECT *, '{C.SECTION_DISTRIBUTION}' AS seccion FROM ({_DISTRI
 UNION ALL BY NAME SELECT *, '{C.SECTION_NULLS}' AS seccion FROM ({_NULLS})
 UNION ALL BY NAME SELECT *, '{C.SECTION_SCORE_RANGE}' AS seccion FROM ({_SCORE_RANGE}))
 SELECT * FROM report""",
+    "lookup_title": f"{V}\nSELECT * FROM ratings_v WHERE title = 'T77'",
+    "lookup_user": f"{V}\nSELECT * FROM ratings_v WHERE user_id = '7'",
+    "lookup_score": f"""{V}
+SELECT * FROM ratings_v WHERE review_score = 3 AND user_id < '2'
+UNION ALL SELECT * FROM ratings_v WHERE review_score = 6 AND title IS NULL""",
     "extreme_mean": f"""WITH p AS (
   SELECT SUM(CAST(l_extendedprice AS DECIMAL(18,2)))::DECIMAL(38,2) AS total, COUNT(*) AS n,
          COUNT(*) FILTER (WHERE l_extendedprice NOT BETWEEN {C.SCORE_MIN} AND {C.SCORE_MAX}) AS off FROM lineitem),

@@ -383,6 +383,33 @@ def bucketed_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
                   split_nulls=True)
 
 
+#: Row groups small enough for lookups to skip most of a small table, too.
+LOOKUP_ROW_GROUP = 1 << 18
+LOOKUP_COLUMNS = ("title", "user_id", "review_score")
+
+
+def _lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews laid out for lookups by title, user and score."""
+    _, ratings = _views(spark, sf_dir)
+    path = scratch_path(spark, "lookup")
+    write_table(ratings, path=path, z_order_by=LOOKUP_COLUMNS, bloom_distinct=10_000, row_group_bytes=LOOKUP_ROW_GROUP)
+    return spark.read.schema(ratings.schema).parquet(path)
+
+
+def lookup_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup_table(spark, sf_dir).where("title = 'T77'")
+
+
+def lookup_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup_table(spark, sf_dir).where("user_id = '7'")
+
+
+def lookup_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By score and user together; and those without a title."""
+    found = _lookup_table(spark, sf_dir)
+    return found.where("review_score = 3 AND user_id < '2'").union(found.where("review_score = 6 AND title IS NULL"))
+
+
 def audit_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit job with its report written, and the report read back as text."""
     books, ratings = _views(spark, sf_dir)
@@ -490,6 +517,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "etl_csv": etl_csv,
     "price_range": price_range,
     "extreme_mean": extreme_mean,
+    "lookup_title": lookup_title,
+    "lookup_user": lookup_user,
+    "lookup_score": lookup_score,
     "audit_job_report": audit_job_report,
     "audit_incremental": audit_incremental,
     "bucketed_curation": bucketed_curation,

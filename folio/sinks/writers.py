@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from folio.sinks.layout import bloom_options, z_ordered
+
 # CSV export: header, quote-escaped quotes, NULL -> empty field, full
 # timestamps.  Reads back equal through ``folio.sources.csv``.
 CSV_WRITE_OPTIONS: dict[str, str] = {
@@ -50,7 +52,9 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
                 bucket_by: tuple[int, Sequence[str]] | None = None,
                 count_rows: bool = True,
                 max_records_per_file: int | None = None,
-                compression: str | None = None) -> int | None:
+                compression: str | None = None,
+                z_order_by: Sequence[str] = (), bloom_distinct: int | None = None,
+                row_group_bytes: int | None = None) -> int | None:
     """Write ``df`` to a path or catalog table; return the rows written.
 
     * ``mode="overwrite"`` recreates the table (truncate-then-load);
@@ -65,8 +69,15 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
     * ``max_records_per_file`` splits large partitions into several files,
       so later reads stay parallel; ``compression`` picks the file codec
       (e.g. ``"zstd"``; the session default otherwise).
+    * ``z_order_by`` sorts rows over all files so that lookups by any of
+      these columns skip row groups (``layout.z_ordered``), and gives these columns Bloom
+      filters for ``bloom_distinct`` values a row group; ``row_group_bytes`` sizes these.
     """
     _guard(df)
+    if z_order_by and (cluster_by or bucket_by is not None):
+        raise ValueError("z_order_by is an order of its own")
+    if z_order_by:
+        df = z_ordered(df, z_order_by)
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path= or table=")
     obs = None
@@ -80,6 +91,10 @@ def write_table(df: DataFrame, *, path: str | None = None, table: str | None = N
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if compression:
         writer = writer.option("compression", compression)
+    if bloom_distinct:
+        writer = writer.options(**bloom_options(z_order_by, bloom_distinct))
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by is not None:
