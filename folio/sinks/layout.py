@@ -69,7 +69,7 @@ def z_ordered(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFr
     shares = [i / 2 ** bits for i in range(1, 2 ** bits)]
     cuts = df.agg(*[F.percentile_approx(n, shares, ACCURACY) for n in numbers]).first()
     out = df.withColumns({f"__n{i}": n for i, n in enumerate(numbers)})
-    out = out.withColumns({f"__b{i}": F.expr(_bucket(f"__n{i}", cuts[i] or [])) for i in range(len(columns))})
+    out = out.withColumns({f"__b{i}": F.expr(_bucket(f"__n{i}", cuts[i] or [], bits)) for i in range(len(columns))})
     z = " | ".join(f"shiftleft(shiftright(__b{i}, {bit}) & 1L, {bit * len(columns) + len(columns) - 1 - i})"
                    for i in range(len(columns)) for bit in range(bits))
     keys = [F.col(Z), *[column(c) for c in columns]]
@@ -77,9 +77,13 @@ def z_ordered(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFr
     return out.select(*[column(c) for c in df.columns])
 
 
-def _bucket(number: str, cuts: Sequence[float]) -> str:
-    """SQL: how many of the cuts are not above a number, by halving; 0 for NULL."""
+def _bucket(number: str, cuts: Sequence[float], bits: int) -> str:
+    """SQL: how many of the cuts are not above a number, by halving; 0 for NULL.
+
+    Few different values make few buckets; these take the high bits, so that they count as much.
+    """
     own = sorted({c for c in cuts if math.isfinite(c)})
+    spare = bits - len(own).bit_length()
 
     def halved(low: int, high: int) -> str:
         if low == high:
@@ -87,7 +91,7 @@ def _bucket(number: str, cuts: Sequence[float]) -> str:
         mid = (low + high) // 2
         return f"IF({number} < double('{own[mid]!r}'), {halved(low, mid)}, {halved(mid + 1, high)})"
 
-    return f"IF({number} IS NULL, 0L, {halved(0, len(own))})"
+    return f"IF({number} IS NULL, 0L, shiftleft({halved(0, len(own))}, {spare}))"
 
 
 def bloom_options(columns: Sequence[str], distinct: int) -> dict[str, str]:
