@@ -14,8 +14,12 @@
    as rows and, given a folder, writes them as plain files, one a shard, on the
    way; ``write_shards`` does that for rows that are there.  Record r of a shard starts at byte r * stride, so a
    reader seeks to any slot and reads on.  A file appears under its name only
-   when whole (written aside, then moved); shards that are already there in
-   full length are left alone when a run is repeated with the same path.
+   when whole (written aside, then moved).
+5. The numbering follows the input's splits, so other splits, texts or keys give
+   another order.  A manifest beside the shards names the order they are in (a
+   digest of the numbered documents, the key and the lengths).  A run that finds
+   its own manifest leaves shards of full length alone; with any other manifest,
+   or none, the shards in the folder are removed and written anew.
 
 A record is a little-endian uint32 with the number of tokens, then
 ``seq_len`` ids (uint16, or uint32 for vocabularies that need it), padded
@@ -28,13 +32,17 @@ shards.  Columns other than the id and the text do not matter.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm import tokens
@@ -46,6 +54,7 @@ RECORDS_PER_SHARD = 1 << 15
 KEY = 20240229
 ROUNDS = 6
 BROADCAST_PARTS = 1_000_000
+MANIFEST = ".manifest.json"
 
 
 def permute(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
@@ -65,8 +74,8 @@ def permute(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
 
 
 def tokenise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: int = SEQ_LEN) -> DataFrame:
-    """(part, first, doc_id, n_tokens, ids): a document's ids with its end, and the number of
-    sequences that come before it in its partition."""
+    """(part, first, doc_id, n_tokens, ids, check): a document's ids with its end, the number of
+    sequences that come before it in its partition, and a hash of the ids."""
     shared = tokens.share(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,21 +86,23 @@ def tokenise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: int
         for batch in batches:
             texts = as_bytes(batch.column(1))
             for low, high in blocks(texts):
-                ids, sizes, firsts = [], [], []
+                ids, sizes, firsts, checks = [], [], [], []
                 for text in texts[low:high]:
                     own = encode((text or b"").decode("utf-8", "replace"))
                     own.append(end)
                     ids.append(np.array(own, dtype=kind).tobytes())
                     sizes.append(len(own))
+                    checks.append(xxhash.xxh3_64_intdigest(ids[-1]) >> 1)
                     firsts.append(first)
                     first += -(-len(own) // seq_len)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(ids), part), pa.int32()), pa.array(firsts, pa.int64()),
-                     batch.column(0).slice(low, high - low), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["part", "first", "doc_id", "n_tokens", "ids"])
+                     batch.column(0).slice(low, high - low), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                     pa.array(checks, pa.int64())],
+                    names=["part", "first", "doc_id", "n_tokens", "ids", "check"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "part int, first long, doc_id long, n_tokens long, ids binary")
+        run, "part int, first long, doc_id long, n_tokens long, ids binary, check long")
 
 
 def _id_type(largest: int) -> str:
@@ -132,6 +143,33 @@ def sequences(tokenised: DataFrame, end: int, seq_len: int = SEQ_LEN, key: int =
     return numbered.mapInArrow(run, "slot long, shard long, doc_id long, seq int, n_tokens int, ids binary")
 
 
+def _digest(*columns: str) -> Column:
+    """A digest of rows in any order: both halves of their hashes, summed."""
+    h = F.xxhash64(*columns)
+    return F.concat_ws(",", F.sum(F.shiftrightunsigned(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))))
+
+
+def claim(path: str, **order: object) -> None:
+    """Make ``path`` the folder of the shards of ``order``: unless its manifest says so already, the shards
+    that are there are removed, and the manifest is written.
+
+    The removal comes first: a run that is lost in between leaves a folder without shards.
+    """
+    fs, root = pafs.FileSystem.from_uri(path)
+    fs.create_dir(root, recursive=True)
+    name, wanted = f"{root}/{MANIFEST}", json.dumps(order, sort_keys=True).encode()
+    if fs.get_file_info(name).type == pafs.FileType.File:
+        with fs.open_input_file(name) as f:
+            if f.read() == wanted:
+                return
+    for info in fs.get_file_info(pafs.FileSelector(root)):
+        if re.fullmatch(r"shard-\d+\.bin|\.shard-\d+\.\d+", info.base_name):
+            fs.delete_file(info.path)
+    with fs.open_output_stream(f"{name}.new") as f:
+        f.write(wanted)
+    fs.move(f"{name}.new", name)
+
+
 class ShardFiles:
     """A task's shards: ``put`` takes its records in slot order, ``close`` ends the open shard.
 
@@ -207,7 +245,11 @@ def materialise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: i
     tokenise(docs, vocabulary, seq_len).write.option("compression", "zstd").parquet(path)
     end = tokens.end_of_text(tokens.share(spark, vocabulary).value)
     tokenised = spark.read.parquet(path)
-    total = tokenised.agg(F.sum(F.ceil(F.col("n_tokens") / seq_len)).cast("long")).first()[0] or 0 if shards else 0
+    total = 0
+    if shards:
+        n = F.coalesce(F.sum(F.ceil(F.col("n_tokens") / seq_len)), F.lit(0)).cast("long")
+        total, digest = tokenised.agg(n, _digest("part", "first", "doc_id", "n_tokens", "check")).first()
+        claim(shards, documents=digest, total=total, key=key, seq_len=seq_len, end=end, records_per_shard=records_per_shard)
     return records(sequences(tokenised, end, seq_len, key, records_per_shard), end, seq_len, records_per_shard, shards, total)
 
 
@@ -218,7 +260,8 @@ def write_shards(made: DataFrame, path: str, records_per_shard: int = RECORDS_PE
     already).  The files are written when these rows are computed; a task that
     runs again writes the same bytes.
     """
-    total = made.count()
+    total, digest = made.agg(F.count("*"), _digest("slot", "record")).first()
+    claim(path, records=digest, total=total, records_per_shard=records_per_shard)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = ShardFiles(path, total, records_per_shard)

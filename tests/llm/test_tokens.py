@@ -82,6 +82,29 @@ def test_the_query_writes_the_shards(spark, docs, tmp_path, monkeypatch):
     assert os.path.getsize(files[1]) == 100 * len(rows[0]["record"])
 
 
+def test_shards_of_another_order_are_written_again(spark, tmp_path):
+    rows = [(i, f"text number {i} " * (30 + i)) for i in range(60)]
+    uri = f"file://{tmp_path}/shards"
+
+    def run(rows, parts, key=TO.KEY):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(parts, "doc_id")
+        made = TO.materialise(docs, seq_len=16, key=key, records_per_shard=100, shards=uri).orderBy("slot").collect()
+        files = sorted(glob.glob(f"{tmp_path}/shards/*.bin"))
+        assert b"".join(open(f, "rb").read() for f in files) == b"".join(bytes(r["record"]) for r in made)
+        return len(made), files
+
+    total, files = run(rows, 2)
+    os.remove(files[0])
+    assert run(rows, 3)[0] == total  # other splits
+    run(rows, 3, key=5)
+    swapped = [(i, t.replace("text", "next")) for i, t in rows]  # other texts of the same length
+    assert run(swapped, 3, key=5)[0] == total
+    kept = os.stat(files[1]).st_mtime_ns
+    os.remove(files[0])
+    assert run(swapped, 3, key=5)[0] == total and os.stat(files[1]).st_mtime_ns == kept
+    assert len(run(rows[:9], 3, key=5)[1]) < len(files)
+
+
 def test_no_rows_no_shards(no_docs, tmp_path):
     made = TO.materialise(no_docs)
     assert made.count() == 0
