@@ -64,6 +64,8 @@ FREQUENT_MAX = 1 << 16
 
 _NULL_ID = -(1 << 63)
 _ID = f"coalesce(cast(doc_id AS long), {_NULL_ID + 1}L - 1L)"
+#: Ids that several texts share are broadcast up to this number, and merge-joined beyond it.
+BROADCAST_IDS = 1_000_000
 
 
 def shingle_sets(texts: list[bytes | None], shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -404,14 +406,24 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, that of the smallest doc_id, with all its columns.
 
-    Of rows that repeat a doc_id and its text, one stays.  A row without an id
-    goes by its text: copies of a document that has an id give way to it.
-    Documents without words stay.
+    Of rows that repeat a doc_id and its text, one stays.  Rows with the doc_id of
+    another text are judged by their own text, after all documents with ids of
+    their own.  A row without an id goes by its text: copies of a document that
+    has an id give way to it.  Documents without words stay.
     """
     plain, restored = shielded(docs, "doc_id", "text")
-    # ids of its own, above all others, for a row that has none
-    own = (1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
-    plain = plain.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
+    # ids of its own, above all others, for a row that has none or shares it with another text
+    own = (1 << 62) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 62))
+    shared = (plain.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__shared"))
+              .agg(F.min(F.xxhash64("text")).alias("__least"), F.max(F.xxhash64("text")).alias("__most"))
+              .where("__least <> __most").drop("__most"))
+    shared.write.parquet(path := scratch_path(docs.sparkSession, "shared-ids"))
+    shared = docs.sparkSession.read.parquet(path)
+    shared = F.broadcast(shared) if shared.count() <= BROADCAST_IDS else shared.hint("merge")
+    plain = plain.join(shared, F.col("doc_id") == F.col("__shared"), "left")
+    plain = plain.withColumn("__id", F.when(
+        F.col("doc_id").isNull() | (F.xxhash64("text") != F.col("__least")), own).otherwise(F.col("doc_id").cast("long")))
+    plain = plain.drop("__shared", "__least")
     similar = similar_documents(plain.select(F.col("__id").alias("doc_id"), "text"))
     losers = similar.where("component_id <> doc_id").select(F.col("doc_id").alias("__loser")).distinct()
     kept = plain.join(losers, F.col("__id") == F.col("__loser"), "left_anti")

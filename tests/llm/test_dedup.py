@@ -148,3 +148,14 @@ def test_null_ids_repeated_rows_and_clashing_columns(spark):
     assert {r["component_id"] for r in similar.where("doc_id = 4").collect()} == {None}
     kept = jaccard_join.keep_one(docs).orderBy("token").collect()
     assert [(r["token"], r["_n_words"]) for r in kept] == [("q", 4), ("z", 3)]
+
+
+def test_unlike_texts_of_one_id_are_kept_apart(spark):
+    text, other = (" ".join(f"{a}{i}" for i in range(60)) for a in "tu")
+    rows = [(1, text, "a"), (2, text, "b"), (2, other, "c"), (3, other, "d"), (4, None, "e"), (4, "", "f"), (4, None, "g")]
+    for at in range(2):
+        docs = spark.createDataFrame([r for r in rows if at or r[0] < 3], "doc_id long, text string, __id string")
+        kept = {r["__id"] for r in jaccard_join.keep_one(docs).collect()}
+        assert "a" in kept and "b" not in kept
+        assert len(kept & {"c", "d"}) == 1  # of the other text, one row
+        assert not at or ("f" in kept and len(kept & {"e", "g"}) == 1)
