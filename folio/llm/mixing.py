@@ -133,11 +133,35 @@ def position(reading: Column) -> Column:
     return F.when(slope == 0, share).otherwise((root - (1 - slope)) / (2 * slope))
 
 
-def readings(docs: DataFrame, key: int = KEY) -> DataFrame:
-    """A row for every reading of every document: plan()'s columns, ``_reading`` and ``_position``."""
-    return (plan(without(docs, "_reading", "_position"), key).where("_readings > 0")
-            .withColumn("_reading", F.explode(F.expr("sequence(0, _readings - 1)")))
-            .withColumn("_position", position(F.col("_reading"))))
+def readings(docs: DataFrame, key: int = KEY, unread: bool = False) -> DataFrame:
+    """A row for every reading of every document: plan()'s columns, ``_reading`` and ``_position``.
+
+    With ``unread``, documents that are never read have a row as well, with nulls in these two.
+    """
+    planned = plan(without(docs, "_reading", "_position"), key)
+    planned = planned if unread else planned.where("_readings > 0")
+    return (planned.withColumn("_reading", F.explode_outer(F.expr("CASE WHEN _readings > 0 THEN sequence(0, _readings - 1) END")))
+            .withColumn("_position", F.when(F.col("_reading").isNotNull(), position(F.col("_reading")))))
+
+
+def schedule(docs: DataFrame, key: int = KEY) -> DataFrame:
+    """What the mix takes of each document: doc_id, source, _size, _source_size, _target, _taken (words) and
+    _positions (of its readings, ascending), range-sorted by the first of them, unread documents first.
+
+    A row for every row of ``docs``: rows that repeat a doc_id and its text have a row each.
+    """
+    one = ["doc_id", "source", "_source_no", "_size", "_source_size", "_target", "_before"]
+    # rows that repeat have their readings in common; each of them has a reading 0, or none
+    rows = F.count_if(F.coalesce(F.col("_reading"), F.lit(0)) == 0).cast("int")
+    order = ["_first", "_source_no", "doc_id"]
+    return (readings(docs, key, unread=True)
+            .groupBy(*one).agg(rows.alias("_rows"), F.count("_reading").alias("_n"),
+                               F.array_sort(F.collect_set("_position")).alias("_positions"))
+            .select("doc_id", "source", "_source_no", "_size", "_source_size", "_target",
+                    (F.col("_size") * F.expr("_n div _rows")).alias("_taken"), "_positions",
+                    F.get("_positions", F.lit(0)).alias("_first"), F.explode(F.array_repeat(F.lit(0), F.col("_rows"))).alias("_row"))
+            .repartitionByRange(*order).sortWithinPartitions(*order)
+            .drop("_first", "_row", "_source_no"))
 
 
 def mix(docs: DataFrame, key: int = KEY) -> DataFrame:

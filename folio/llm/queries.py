@@ -78,11 +78,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document, and the position of its first reading, in the order of these positions."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.plan(docs).select(
+    return mixing.schedule(docs).select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"), (F.col("_size") * F.col("_readings")).alias("taken"),
-        F.when(F.col("_readings") > 0, mixing.position(F.lit(0))).alias("first_position"))
+        F.col("_target").alias("target"), F.col("_taken").alias("taken"),
+        F.get("_positions", F.lit(0)).alias("first_position"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

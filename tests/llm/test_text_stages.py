@@ -351,6 +351,26 @@ def test_position_inverts_the_demand(spark):
         assert math.isclose(u + slope * (u * u - u), (1000 + r["_before"]) / 2000, abs_tol=1e-12)
 
 
+def test_schedule_is_the_mix_by_document(spark, docs):
+    planned = {r["doc_id"]: r for r in mixing.plan(docs).collect()}
+    out = mixing.schedule(docs).collect()
+    assert len(out) == docs.count() and {r["doc_id"] for r in out} == set(planned)
+    read = {}
+    for r in mixing.readings(docs).collect():
+        read.setdefault(r["doc_id"], []).append(r["_position"])
+    for r in out:
+        p = planned[r["doc_id"]]
+        assert r["_taken"] == p["_size"] * p["_readings"] and r["_positions"] == sorted(read.get(r["doc_id"], []))
+    firsts = [r["_positions"][0] for r in out if r["_positions"]]
+    assert firsts == sorted(firsts)
+    plan = mixing.schedule(docs)._jdf.queryExecution().toString()
+    assert "rangepartitioning" in plan
+    again = spark.createDataFrame([(1, "a b c", "x"), (1, "a b c", "x"), (None, None, None), (2, "d", "x")],
+                                  "doc_id long, text string, source string")
+    assert sorted((r["doc_id"] or 0, r["_taken"]) for r in mixing.schedule(again).collect())[0] == (0, 0)
+    assert mixing.schedule(again).count() == 4
+
+
 def test_mix_edge_rows(spark, no_docs):
     assert mixing.mix(no_docs).count() == 0
     docs = spark.createDataFrame([(1, "a b c", "s", 1, "t"), (1, "a b c", "s", 1, "t"), (None, None, None, 2, "t"),
