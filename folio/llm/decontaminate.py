@@ -72,9 +72,9 @@ _UNIT = (r"(?i)(?<=\p{N}\x20?)(?:" + "|".join(u.replace("$", r"\$") for u in sor
          + r")(?![\p{L}\p{N}])")
 #: A capitalised word inside a sentence (not one in capitals throughout).
 _NAME = r"(?=\p{Lu})(?<=[\p{L}\p{N},;)]\s{1,3})\p{Lu}\p{Ll}[\p{L}\p{M}]*"
-#: A capitalised word wherever it stands, and a word in capitals throughout.
-_CAPITALISED = r"(?<![\p{L}\p{M}])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
-_CAPITALS = r"(?<![\p{L}\p{M}])\p{Lu}{2,}(?![\p{L}\p{M}])"
+#: A token that is a capitalised word, and one in capitals throughout; capitals stand first in either.
+_CAPITALISED = r"^\p{Lu}\p{Ll}"
+_CAPITALS = r"^\p{Lu}{2,}$"
 _MARKS = "[\u0001\u0002\u0003]"
 
 
@@ -82,14 +82,45 @@ def _clean(text: Column) -> Column:
     return F.when(text.rlike(_MARKS), F.regexp_replace(text, _MARKS, " ")).otherwise(text)
 
 
-def template_tokens(text: Column) -> list[Column]:
-    """Tokens of the template, three times: 0 for numbers, U+0002 for units, lower-case words, and U+0001
-    for no word, for capitalised words inside a sentence, and for capitalised words wherever they stand."""
+def marked_tokens(text: Column) -> Column:
+    """Tokens of the template: 0 for numbers, U+0002 for units, words, U+0001 before capitalised ones inside a sentence."""
     out = F.regexp_replace(F.regexp_replace(_clean(text), _UNIT, "\u0002"), _NUMBER, "0")
-    variants = [F.regexp_replace(out, _CAPITALS, "\u0003$0"), F.regexp_replace(out, _NAME, "\u0001"),
-                F.regexp_replace(out, _CAPITALISED, "\u0001")]
-    pattern = F.lit("\u0003?[\\p{L}\\p{M}]+|[0\u0001\u0002]")
-    return [F.coalesce(F.regexp_extract_all(F.lower(v), pattern, F.lit(0)), F.array()) for v in variants]
+    out = F.regexp_replace(out, _NAME, "\u0001$0")
+    return F.coalesce(F.regexp_extract_all(out, F.lit("\u0001?[\\p{L}\\p{M}]+|[0\u0002]"), F.lit(0)), F.array())
+
+
+def _plain(token: Column) -> Column:
+    """A marked token where no word is a name: lower case, U+0003 before words in capitals throughout."""
+    word = F.lower(token)
+    return (F.when(token.startswith("\u0001"), F.substr(word, F.lit(2)))
+            .when(token.rlike(_CAPITALS), F.concat(F.lit("\u0003"), word)).otherwise(word))
+
+
+def _names_inside(token: Column) -> Column:
+    """... with U+0001 for the capitalised words inside a sentence."""
+    return F.when(token.startswith("\u0001"), "\u0001").otherwise(F.lower(token))
+
+
+def _names_anywhere(token: Column) -> Column:
+    """... with U+0001 for capitalised words wherever they stand."""
+    return F.when(token.startswith("\u0001") | token.rlike(_CAPITALISED), "\u0001").otherwise(F.lower(token))
+
+
+VARIANTS = (_plain, _names_inside, _names_anywhere)
+
+
+def template_tokens(tokens: str) -> Column:
+    """Marked tokens three times: without names, with those inside sentences, with all of them."""
+    return F.array(*[F.transform(tokens, variant) for variant in VARIANTS])
+
+
+def _hashed(variant: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda token: F.xxhash64(variant(token))
+
+
+def template_hashes(tokens: str) -> Column:
+    """The same with a hash for each token."""
+    return F.array(*[F.transform(tokens, _hashed(variant)) for variant in VARIANTS])
 
 
 def slot_tokens(text: Column) -> Column:
@@ -99,18 +130,20 @@ def slot_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(out, F.lit(pattern), F.lit(0)), F.array())
 
 
-def _windows(tokens: str | Column, width: int, variant: Column) -> Column:
-    """Hashes of the windows at each token; those without names are windows of their own."""
-    last = F.size(tokens) - width + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(tokens, i, width), variant == 0))
+def _windows(hashes: str | Column, width: int, variant: Column) -> Column:
+    """Hashes of the windows at each token, of the tokens' hashes; those without names are windows of their own."""
+    last = F.size(hashes) - width
+    return F.when(last >= 0, F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)], variant == 0))
                   ).otherwise(F.array().cast("array<bigint>"))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """(item, item_id, variants, width): the items with tokens; item numbers unlike texts apart."""
+    """(item, item_id, variants, hashes, width): the items with tokens; item numbers unlike texts apart."""
     return (benchmark.select("item_id", F.xxhash64("text").alias("item"), "text").distinct()
-            .select("item_id", "item", "text", F.array(*template_tokens(F.col("text"))).alias("variants"))
-            .withColumn("size", F.size(F.get("variants", F.lit(0))))
+            .select("item_id", "item", "text", marked_tokens(F.col("text")).alias("tokens"))
+            .select("item_id", "item", "text", template_tokens("tokens").alias("variants"),
+                    template_hashes("tokens").alias("hashes"), F.size("tokens").alias("size"))
             .where(F.col("size") > 0).withColumn("width", F.least(F.lit(WINDOW), F.col("size"))))
 
 
@@ -178,7 +211,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_windows = None
     for width in widths:
         own = (items.where(F.col("width") == width)
-               .select("item_id", "item", F.posexplode("variants").alias("variant", "tokens"))
+               .select("item_id", "item", F.posexplode("hashes").alias("variant", "tokens"))
                .select("item_id", "item", F.posexplode(_windows("tokens", width, F.col("variant"))).alias("item_pos", "hash"))
                .distinct().withColumn("width", F.lit(width)))
         item_windows = own if item_windows is None else item_windows.union(own)
@@ -189,7 +222,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     per_item = items.select("item_id", "item", (F.col("size") - F.col("width") + 1).alias("n_item"))
 
     keyed = _keyed(docs)
-    tokened = keyed.select("doc_id", "text_key", F.array(*template_tokens(F.col("text"))).alias("variants"))
+    tokened = (keyed.select("doc_id", "text_key", marked_tokens(F.col("text")).alias("tokens"))
+               .select("doc_id", "text_key", template_hashes("tokens").alias("hashes")))
 
     def joined(windows: Callable[[int], DataFrame], columns: list[str]) -> DataFrame:
         for width in widths:
@@ -203,19 +237,20 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return out
 
     def hashes(width: int) -> DataFrame:
-        own = F.array_distinct(F.flatten(F.transform("variants", lambda t, k: _windows(t, width, k))))
+        own = F.array_distinct(F.flatten(F.transform("hashes", lambda t, k: _windows(t, width, k))))
         return tokened.select("doc_id", "text_key", F.explode(own).alias("hash"))
 
     def placed(width: int) -> DataFrame:
-        return (chosen.select("doc_id", "text_key", F.posexplode("variants").alias("variant", "tokens"))
+        return (chosen.select("doc_id", "text_key", F.posexplode("hashes").alias("variant", "tokens"))
                 .select("doc_id", "text_key", F.posexplode(_windows("tokens", width, F.col("variant"))).alias("at", "hash")))
 
     seeded = joined(hashes, []).select("doc_id", "text_key").distinct()
     chosen = (keyed.join(seeded.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}),
                          F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_key").eqNullSafe(F.col("s_key")), "left_semi")
               .dropDuplicates(["doc_id", "text_key"])
-              .select("doc_id", "text_key", F.array(*template_tokens(F.col("text"))).alias("variants"),
-                      slot_tokens(F.col("text")).alias("values")))
+              .select("doc_id", "text_key", marked_tokens(F.col("text")).alias("tokens"), slot_tokens(F.col("text")).alias("values"))
+              .select("doc_id", "text_key", template_hashes("tokens").alias("hashes"),
+                      F.get(template_tokens("tokens"), F.lit(2)).alias("names"), "values"))
     chosen.write.parquet(path := scratch_path(docs.sparkSession, "decontaminate"))
     chosen = docs.sparkSession.read.parquet(path)
 
@@ -232,8 +267,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             (F.col("shifted") & (((p == r["first"]) & (i > 0)) | ((p == r["last"]) & (i < F.size("chain") - 1)))).alias("edge"))))))
     values = items.select("item_id", "item", slot_tokens(F.col("text")).alias("item_values"),
                           F.get("variants", F.lit(1)).alias("item_tokens"), F.get("variants", F.lit(2)).alias("item_names"))
-    doc_side = chosen.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "values",
-                             F.get("variants", F.lit(2)).alias("names"))
+    doc_side = chosen.select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "values", "names")
     group = [*key, "chain", "shifted", "n_windows", "coverage"]
 
     def slot(tokens: str, at: str) -> Column:
