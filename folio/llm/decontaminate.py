@@ -72,7 +72,7 @@ _UNIT = (r"(?i)(?<=\p{N}\x20?)(?:" + "|".join(u.replace("$", r"\$") for u in sor
          + r")(?![\p{L}\p{N}])")
 #: A capitalised word inside a sentence (not one in capitals throughout).
 _NAME = r"(?=\p{Lu})(?<=[\p{L}\p{N},;)]\s{1,3})\p{Lu}\p{Ll}[\p{L}\p{M}]*"
-#: A token that is a capitalised word, and one in capitals throughout; capitals stand first in either.
+#: Of tokens that are not the same in lower case: a capitalised word, and one in capitals throughout.
 _CAPITALISED = r"^\p{Lu}\p{Ll}"
 _CAPITALS = r"^\p{Lu}{2,}$"
 _MARKS = "[\u0001\u0002\u0003]"
@@ -92,7 +92,7 @@ def marked_tokens(text: Column) -> Column:
 def _plain(token: Column) -> Column:
     """A marked token where no word is a name: lower case, U+0003 before words in capitals throughout."""
     word = F.lower(token)
-    return (F.when(token.startswith("\u0001"), F.substr(word, F.lit(2)))
+    return (F.when(token.startswith("\u0001"), F.substr(word, F.lit(2))).when(token == word, token)
             .when(token.rlike(_CAPITALS), F.concat(F.lit("\u0003"), word)).otherwise(word))
 
 
@@ -103,7 +103,9 @@ def _names_inside(token: Column) -> Column:
 
 def _names_anywhere(token: Column) -> Column:
     """... with U+0001 for capitalised words wherever they stand."""
-    return F.when(token.startswith("\u0001") | token.rlike(_CAPITALISED), "\u0001").otherwise(F.lower(token))
+    word = F.lower(token)
+    return (F.when(token.startswith("\u0001"), "\u0001").when(token == word, token)
+            .when(token.rlike(_CAPITALISED), "\u0001").otherwise(word))
 
 
 VARIANTS = (_plain, _names_inside, _names_anywhere)
@@ -130,12 +132,23 @@ def slot_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(out, F.lit(pattern), F.lit(0)), F.array())
 
 
-def _windows(hashes: str | Column, width: int, variant: Column) -> Column:
-    """Hashes of the windows at each token, of the tokens' hashes; those without names are windows of their own."""
-    last = F.size(hashes) - width
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)], variant == 0))
-                  ).otherwise(F.array().cast("array<bigint>"))
+def _joined(array: Column, offset: int, *more: Column) -> Column:
+    """Hashes of each element of an array together with that ``offset`` places on."""
+    firsts = F.slice(array, 1, F.greatest(F.size(array) - offset, F.lit(0)))
+    return F.transform(firsts, lambda h, i: F.xxhash64(h, F.get(array, i + offset), *more))
+
+
+def _windows(hashes: str, width: int) -> Column:
+    """The variants' arrays of the tokens' hashes as arrays of the hashes of the windows at each token.
+
+    A window is hashed as two halves, which share tokens if its width is no power of two.
+    Windows of the variant without names are windows of their own.
+    """
+    half, out = 1, F.col(hashes)
+    while 2 * half < width:
+        out = F.transform(out, lambda a: _joined(a, half))
+        half *= 2
+    return F.transform(out, lambda a, variant: _joined(a, width - half, variant == 0))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -211,8 +224,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_windows = None
     for width in widths:
         own = (items.where(F.col("width") == width)
-               .select("item_id", "item", F.posexplode("hashes").alias("variant", "tokens"))
-               .select("item_id", "item", F.posexplode(_windows("tokens", width, F.col("variant"))).alias("item_pos", "hash"))
+               .select("item_id", "item", F.explode(_windows("hashes", width)).alias("windows"))
+               .select("item_id", "item", F.posexplode("windows").alias("item_pos", "hash"))
                .distinct().withColumn("width", F.lit(width)))
         item_windows = own if item_windows is None else item_windows.union(own)
     if item_windows is None:
@@ -237,12 +250,12 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return out
 
     def hashes(width: int) -> DataFrame:
-        own = F.array_distinct(F.flatten(F.transform("hashes", lambda t, k: _windows(t, width, k))))
+        own = F.array_distinct(F.flatten(_windows("hashes", width)))
         return tokened.select("doc_id", "text_key", F.explode(own).alias("hash"))
 
     def placed(width: int) -> DataFrame:
-        return (chosen.select("doc_id", "text_key", F.posexplode("hashes").alias("variant", "tokens"))
-                .select("doc_id", "text_key", F.posexplode(_windows("tokens", width, F.col("variant"))).alias("at", "hash")))
+        return (chosen.select("doc_id", "text_key", F.explode(_windows("hashes", width)).alias("windows"))
+                .select("doc_id", "text_key", F.posexplode("windows").alias("at", "hash")))
 
     seeded = joined(hashes, []).select("doc_id", "text_key").distinct()
     chosen = (keyed.join(seeded.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}),
