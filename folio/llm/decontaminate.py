@@ -32,7 +32,9 @@ is not the name or word in other case, except where no name is: a whole copy in
 capitals is lost if names break too many of its windows.
 
 Items with fewer than ``WINDOW`` tokens are one window of their own length,
-which is looked up at every token.
+which is looked up at every token.  ``matches`` reports all of them;
+``drop_contaminated`` goes by items of ``MIN_TOKENS`` tokens or more, and
+``short_items`` lists the others.
 
 Only DataFrame functions are used.  The benchmark's windows are broadcast if
 they are ``BROADCAST_WINDOWS`` at most, and merge-joined otherwise.
@@ -59,6 +61,8 @@ COVERAGE = 0.4
 BAND = 16
 MIN_LITERAL_SHARE = 0.5
 BROADCAST_WINDOWS = 1_000_000
+#: Answers of a word, as those of multiple choice, are in texts of any kind: no reason to drop a document.
+MIN_TOKENS = 2
 
 # Units that are replaced where they follow a number.
 UNITS = ("km/h", "m/s", "kwh", "km", "cm", "mm", "kg", "mg", "ml", "mph", "kw", "hz", "ghz", "mhz", "gb", "mb", "kb",
@@ -312,8 +316,16 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                  F.max_by("n_slots", best).alias("n_slots"), F.max(exact).alias("exact")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no copy of a benchmark item."""
+def short_items(benchmark: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """(item_id, text, size): the items with some tokens, but fewer than ``min_tokens``, which drop no document."""
+    items = benchmark.select("item_id", "text", F.size(marked_tokens(F.col("text"))).alias("size")).distinct()
+    return items.where((F.col("size") > 0) & (F.col("size") < min_tokens))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """The documents that hold no copy of a benchmark item of ``min_tokens`` tokens or more (see short_items)."""
+    plain_items, _ = shielded(benchmark, "item_id", "text")
+    benchmark = plain_items.where(F.size(marked_tokens(F.col("text"))) >= min_tokens)
     found = matches(docs, benchmark).select(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key")).distinct()
     plain, restored = shielded(docs, "doc_id", "text")
     same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64("text") == F.col("m_key"))

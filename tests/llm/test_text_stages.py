@@ -224,6 +224,15 @@ def test_contaminated_documents_go(found):
     assert sorted(r["doc_id"] for r in out.collect()) == [3, 4, 5, 6, 7, 8, 9]
 
 
+def test_items_of_one_word_drop_nothing(spark):
+    docs = spark.createDataFrame([(1, "they met in Paris by day"), (2, f"so {ITEM}"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Paris", "x"), (2, ITEM, "y"), (3, None, "z"), (4, "", "z")],
+                                  "item_id long, text string, answer string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench).collect()} == {(1, 1), (2, 2)}
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()) == [1, 3]
+    assert [(r["item_id"], r["size"]) for r in decontaminate.short_items(bench).collect()] == [(1, 1)]
+
+
 def test_large_benchmarks_are_merge_joined(found, monkeypatch):
     docs, bench, out = found
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
