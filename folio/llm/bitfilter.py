@@ -37,7 +37,7 @@ def build(keys: DataFrame, column: str, bits_log2: int = BITS_LOG2) -> Broadcast
                 .applyInPandas(segment, "segment long, bits binary"))
     out = np.zeros(1 << (bits_log2 - 3), dtype=np.uint8)
     size = 1 << (_SEGMENT_LOG2 - 3)
-    for row in segments.toLocalIterator():
+    for row in segments.collect():  # as large as the filter
         out[row["segment"] * size:(row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
     return spark.sparkContext.broadcast(out)
 
