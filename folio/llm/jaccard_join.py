@@ -386,16 +386,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
                .withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
                .join(points, ["rep", "n"])
                .select("token", "i", "j", "tile", "rep", "part", "n", "point"))
-    final = parts
+    part = F.coalesce("component", "rep")
+    classes = (reps.select("f1", "f2", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+               .select("f1", "f2", part.alias("component")))
     if not open_.isEmpty():
         pairs = _tree_pairs(members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j"))
         late = _verified(saved(pairs.distinct(), "late"), docs, f"{path}/second")
-        final = saved(connected_components(parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
-                                           .union(late)), "final")
-
-    component = F.coalesce("component", "rep")
-    classes = (reps.select("f1", "f2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("f1", "f2", component.alias("component")))
+        # late links are between components of the first, or documents without any
+        for end in ("a", "b"):
+            late = (late.join(parts.select(F.col("node").alias(end), "component"), end, "left")
+                    .withColumn(end, F.coalesce("component", end)).drop("component"))
+        merged = saved(connected_components(late).withColumnRenamed("component", "merged"), "merged")
+        classes = (classes.join(merged.withColumnRenamed("node", "component"), "component", "left")
+                   .select("f1", "f2", F.coalesce("merged", "component").alias("component")))
     named = rows.select("doc_id", "n", "f1", "f2").join(classes, ["f1", "f2"], "left")
     null_id = F.lit(_NULL_ID + 1) - 1
     return named.select(
