@@ -9,12 +9,15 @@
 3. A keyed Feistel network over the next even power of two permutes the
    numbers; values of M or more are fed in again until they fall below it
    (cycle walking), so every sequence has a slot of its own in 0..M-1.
-4. Slots are range-partitioned at shard borders, and every sequence becomes a
-   record of fixed length, in slot order.  ``materialise`` returns the records
-   as rows and, given a folder, writes them as plain files, one a shard, on the
-   way; ``write_shards`` does that for rows that are there.  Record r of a shard starts at byte r * stride, so a
-   reader seeks to any slot and reads on.  A file appears under its name only
-   when whole (written aside, then moved).
+4. Slots are range-partitioned at shard borders.  On the way ids are in a code of
+   one byte for the ids that come most often in all documents, two for the next
+   and four for the rest (a count by id, at most as large as the vocabulary, is
+   shared with the tasks).  Then every sequence becomes a record of fixed length,
+   with plain ids, in slot order.  ``materialise`` returns the records as rows and,
+   given a folder, writes them as plain files, one a shard, on the way;
+   ``write_shards`` does that for rows that are there.  Record r of a shard starts
+   at byte r * stride, so a reader seeks to any slot and reads on.  A file appears
+   under its name only when whole (written aside, then moved).
 5. The numbering follows the input's splits, so other splits, texts or keys give
    another order.  A manifest beside the shards names the order they are in (a
    digest of the numbered documents, the key and the lengths).  A run that finds
@@ -53,6 +56,8 @@ SEQ_LEN = 256
 RECORDS_PER_SHARD = 1 << 15
 KEY = 20240229
 ROUNDS = 6
+#: Ranks below ONE take one byte; first bytes from ONE on, and below MORE, are the high bytes of two.
+ONE, MORE = 192, 255
 BROADCAST_PARTS = 1_000_000
 MANIFEST = ".manifest.json"
 
@@ -109,38 +114,106 @@ def _id_type(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
-def sequences(tokenised: DataFrame, end: int, seq_len: int = SEQ_LEN, key: int = KEY,
-              records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:
-    """(slot, shard, doc_id, seq, n_tokens, ids) of every sequence of a written token table."""
+def frequent_first(tokenised: DataFrame, end: int) -> np.ndarray:
+    """The ids of a written token table, those that come most often first."""
+    kind = _id_type(end)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(end + 1, dtype=np.int64)
+        for b in batches:
+            held = b.column(0).to_pylist()
+            for low, high in blocks(held):
+                n += np.bincount(np.frombuffer(b"".join(held[low:high]), kind), minlength=end + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], names=["id", "n"])
+
+    rows = (tokenised.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            .orderBy(F.desc("n"), "id").toPandas())  # a row an id at most
+    return rows["id"].to_numpy(dtype=np.int64)
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1, ... (counts[i] of them), for all i."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def pack(ranks: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary for each run of ``sizes[i]`` ranks: their first bytes, then the second bytes of ranks
+    from ``ONE`` on, then two more for those that a first byte of ``MORE`` marks."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    wide, above = ranks >= ONE, np.maximum(ranks - ONE, 0)
+    first = np.where(wide, np.minimum(ONE + (above >> 8), MORE), ranks)
+    most = first == MORE
+    n_wide, n_most = (np.bincount(run[m], minlength=len(sizes)) for m in (wide, most))
+    lengths = sizes + n_wide + 2 * n_most
+    starts = np.cumsum(lengths) - lengths
+    out = np.empty(lengths.sum(), dtype=np.uint8)
+    out[_spread(starts, sizes)] = first
+    out[_spread(starts + sizes, n_wide)] = above[wide] & 255
+    out[_spread(starts + sizes + n_wide, 2 * n_most)] = (above[most] >> 8).astype("<u2").view(np.uint8)
+    return _binaries(out, lengths)
+
+
+def unpack(coded: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """The ranks of all runs, one after another."""
+    coded = coded.cast(pa.large_binary())
+    data = np.frombuffer(coded.buffers()[2] or b"", dtype=np.uint8)
+    starts = np.frombuffer(coded.buffers()[1] or b"", dtype=np.int64)[coded.offset:coded.offset + len(coded)]
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    out = data[_spread(starts, sizes)].astype(np.int64)
+    wide, most = out >= ONE, out == MORE
+    n_wide, n_most = (np.bincount(run[m], minlength=len(sizes)) for m in (wide, most))
+    high = np.where(most, 0, out - ONE)
+    high[most] = np.frombuffer(data[_spread(starts + sizes + n_wide, 2 * n_most)].tobytes(), "<u2")
+    out[wide] = ONE + (high[wide] << 8) + data[_spread(starts + sizes, n_wide)]
+    return out
+
+
+def _binaries(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """``data`` cut into binaries of these lengths."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    if offsets[-1] >> 31:
+        raise ValueError("records of an Arrow batch exceed 2 GB; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
+def sequences(tokenised: DataFrame, end: int, order: np.ndarray, seq_len: int = SEQ_LEN, key: int = KEY) -> DataFrame:
+    """(slot, doc_id, seq, n_tokens, ranks) of every sequence of a written token table.
+
+    ``ranks`` are the ids' places in ``order`` (see frequent_first), packed.
+    """
     count = F.sum(F.ceil(F.col("n_tokens") / seq_len))
     # one row a partition of the token table
     parts = tokenised.groupBy("part").agg(count.alias("n"))
     size = parts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")).first()[0]
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = parts.select("part", F.coalesce(before, F.lit(0)).cast("long").alias("start"))
-    width = np.dtype(_id_type(end)).itemsize * seq_len
+    kind = _id_type(end)
+    rank = np.zeros(end + 1, dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    rank = tokenised.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n_tokens = b.column(2).to_numpy(zero_copy_only=False)
-            n = -(-n_tokens // seq_len)
-            row = np.repeat(np.arange(b.num_rows), n)
-            seq = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            first = b.column(0).to_numpy(zero_copy_only=False)
-            slot = permute(first[row] + seq, size, key)
-            ids = b.column(3).to_pylist()
-            pieces = [ids[r][s * width:(s + 1) * width] for r, s in zip(row.tolist(), seq.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(slot // records_per_shard), b.column(1).take(pa.array(row)),
-                 pa.array(seq, pa.int32()), pa.array(np.minimum(n_tokens[row] - seq * seq_len, seq_len), pa.int32()),
-                 pa.array(pieces, pa.binary())],
-                names=["slot", "shard", "doc_id", "seq", "n_tokens", "ids"])
+        for batch in batches:
+            held = batch.column(3).to_pylist()
+            for low, high in blocks(held):
+                b = batch.slice(low, high - low)
+                n_tokens = b.column(2).to_numpy(zero_copy_only=False)
+                n = -(-n_tokens // seq_len)
+                row = np.repeat(np.arange(b.num_rows), n)
+                seq = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                slot = permute(b.column(0).to_numpy(zero_copy_only=False)[row] + seq, size, key)
+                sizes = np.minimum(n_tokens[row] - seq * seq_len, seq_len)
+                ids = np.frombuffer(b"".join(held[low:high]), kind)  # documents end where their last sequences do
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot), b.column(1).take(pa.array(row)), pa.array(seq, pa.int32()),
+                     pa.array(sizes, pa.int32()), pack(rank.value[ids], sizes)],
+                    names=["slot", "doc_id", "seq", "n_tokens", "ranks"])
 
     # a row a task of the tokenising stage
     starts = F.broadcast(starts) if starts.count() <= BROADCAST_PARTS else starts.hint("merge")
     numbered = tokenised.join(starts, "part").select(
         (F.col("start") + F.col("first")).alias("first"), "doc_id", "n_tokens", "ids")
-    return numbered.mapInArrow(run, "slot long, shard long, doc_id long, seq int, n_tokens int, ids binary")
+    return numbered.mapInArrow(run, "slot long, doc_id long, seq int, n_tokens int, ranks binary")
 
 
 def _digest(*columns: str) -> Column:
@@ -205,7 +278,7 @@ class ShardFiles:
             self.shard = None
 
 
-def records(rows: DataFrame, end: int, seq_len: int = SEQ_LEN, records_per_shard: int = RECORDS_PER_SHARD,
+def records(rows: DataFrame, end: int, order: np.ndarray, seq_len: int = SEQ_LEN, records_per_shard: int = RECORDS_PER_SHARD,
             shards: str | None = None, total: int = 0) -> DataFrame:
     """The sequences as records in slot order, range-partitioned at shard borders:
     slot, shard, offset (in the shard's bytes), doc_id, seq, n_tokens, record.
@@ -215,25 +288,29 @@ def records(rows: DataFrame, end: int, seq_len: int = SEQ_LEN, records_per_shard
     """
     kind = _id_type(end)
     width = np.dtype(kind).itemsize * seq_len
-    pad = np.array([end], dtype=kind).tobytes() * seq_len
+    order = rows.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = ShardFiles(shards, total, records_per_shard) if shards else None
-        for b in batches:
-            slot = b.column(0).to_numpy(zero_copy_only=False)
-            made = [int(n).to_bytes(4, "little") + ids + pad[len(ids):]
-                    for n, ids in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+        for b in (batch.slice(low, high - low) for batch in batches for low, high in blocks(batch.column(4).to_pylist())):
+            slot, sizes = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 3))
+            shard = slot // records_per_shard
+            ids = np.full((b.num_rows, seq_len), end, dtype=kind)
+            ids.reshape(-1)[_spread(np.arange(b.num_rows) * seq_len, sizes)] = order.value[unpack(b.column(4), sizes)]
+            whole = np.empty((b.num_rows, 4 + width), dtype=np.uint8)
+            whole[:, :4] = sizes.astype("<u4").view(np.uint8).reshape(-1, 4)
+            whole[:, 4:] = ids.view(np.uint8).reshape(-1, width)
+            made = _binaries(whole.reshape(-1), np.full(b.num_rows, 4 + width))
             if files:
-                for number, record in zip(b.column(1).to_pylist(), made):
-                    files.put(number, record)
+                for number, record in zip(shard.tolist(), whole):
+                    files.put(number, record.data)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(slot % records_per_shard * (4 + width)), *b.columns[2:5],
-                 pa.array(made, pa.binary())],
+                [b.column(0), pa.array(shard), pa.array(slot % records_per_shard * (4 + width)), *b.columns[1:4], made],
                 names=["slot", "shard", "offset", "doc_id", "seq", "n_tokens", "record"])
         if files:
             files.close()
 
-    return (rows.repartitionByRange("shard").sortWithinPartitions("slot")
+    return (rows.repartitionByRange(F.expr(f"slot div {records_per_shard}")).sortWithinPartitions("slot")
             .mapInArrow(run, "slot long, shard long, offset long, doc_id long, seq int, n_tokens int, record binary"))
 
 
@@ -250,7 +327,8 @@ def materialise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: i
         n = F.coalesce(F.sum(F.ceil(F.col("n_tokens") / seq_len)), F.lit(0)).cast("long")
         total, digest = tokenised.agg(n, _digest("part", "first", "doc_id", "n_tokens", "check")).first()
         claim(shards, documents=digest, total=total, key=key, seq_len=seq_len, end=end, records_per_shard=records_per_shard)
-    return records(sequences(tokenised, end, seq_len, key, records_per_shard), end, seq_len, records_per_shard, shards, total)
+    order = frequent_first(tokenised, end)
+    return records(sequences(tokenised, end, order, seq_len, key), end, order, seq_len, records_per_shard, shards, total)
 
 
 def write_shards(made: DataFrame, path: str, records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:

@@ -170,3 +170,17 @@ def test_counts_of_documents_with_edits(spark, corpus):
 def test_masks():
     text = "to a.b@c.org at 10.0.0.1 key sk_live_4eC39HqLyjWDarjtT1 call +44 20 7946 0958"
     assert TC.apply_edits(text, TC.find_masks(text)) == "to <EMAIL> at <IP> key <KEY> call <NUMBER>"
+
+
+def test_packed_ranks_come_back():
+    rng = np.random.default_rng(5)
+    sizes = np.array([1, 3, 0, 256, 7, 1])
+    for top in (1, 191, 193, 16_000, 16_321, 100_000, 1 << 23):
+        ranks = rng.integers(0, top, sizes.sum())
+        packed = TO.pack(ranks, sizes)
+        assert len(packed) == len(sizes)
+        assert TO.unpack(packed, sizes).tolist() == ranks.tolist()
+        assert TO.unpack(packed.slice(3), sizes[3:]).tolist() == ranks[4:].tolist()
+    edge = np.array([0, 191, 192, 447, 448, 192 + 63 * 256 - 1, 192 + 63 * 256, 192 + (1 << 24) - 1])
+    assert TO.unpack(TO.pack(edge, np.array([8])), np.array([8])).tolist() == edge.tolist()
+    assert len(TO.pack(edge[:0], sizes[:0])) == 0
