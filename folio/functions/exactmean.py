@@ -29,16 +29,25 @@ _BASE = f"CAST(1{'0' * _GROUP} AS {_WIDE})"
 _ZERO = f"CAST(0 AS {_WIDE})"
 
 
-def _parts(value: Column, scale: int) -> tuple[Column, Column]:
-    """Bin, and what is added to it, of a finite double times ``10**scale``."""
-    text = value.cast("string")
-    mantissa = F.substring_index(text, "E", 1)
-    exponent = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).try_cast("int")).otherwise(0)
-    decimals = F.length(F.substring_index(mantissa, ".", -1))
-    place = exponent - decimals + scale
-    number = F.floor(place / _GROUP).cast("int")
-    digits = F.concat(F.replace(mantissa, F.lit("."), F.lit("")), F.repeat(F.lit("0"), place - number * _GROUP))
-    return number, digits.try_cast(T.DecimalType(27, 0))
+def _with_parts(rows: DataFrame, odd: str, scale: int) -> DataFrame:
+    """``rows`` with ``__bin``, and ``__amount`` that is added to it, of the ``odd`` ones' ``__v`` times ``10**scale``.
+
+    Each step is a column of its own, so that it is computed once: the text of a double is slow to make.
+    """
+    text, mantissa = F.col("__text"), F.col("__mantissa")
+    rows = rows.withColumn("__text", F.when(F.col(odd), F.col("__v").cast("string")))
+    rows = rows.withColumn("__e", F.locate("E", text))
+    rows = rows.withColumns({
+        "__mantissa": F.when(F.col("__e") > 0, F.substr(text, F.lit(1), F.col("__e") - 1)).otherwise(text),
+        "__exponent": F.when(F.col("__e") > 0, F.substr(text, F.col("__e") + 1).try_cast("int")).otherwise(0)})
+    decimals = F.length(mantissa) - F.locate(".", mantissa)
+    rows = rows.withColumn("__place", F.col("__exponent") - decimals + scale)
+    rows = rows.withColumn("__bin", F.floor(F.col("__place") / _GROUP).cast("int"))
+    # a double has at most 17 digits
+    digits = F.replace(mantissa, F.lit("."), F.lit("")).try_cast("long").cast(T.DecimalType(18, 0))
+    power = F.get(F.array(*[F.lit(10 ** k).cast(T.DecimalType(10, 0)) for k in range(_GROUP)]),
+                  F.col("__place") - F.col("__bin") * _GROUP)
+    return rows.withColumn("__amount", (digits * power).cast(T.DecimalType(27, 0)))
 
 
 def _carried(groups: str) -> str:
@@ -70,12 +79,11 @@ def aggregate_with_mean(frame: DataFrame, value: str, name: str, weight: str | N
     size = F.abs(v)
     finite = v.isNotNull() & ~F.isnan(v) & (size < float("inf"))
     fit = exact_value(F.when((size < 1e10) & ((size >= 1e-14) | (v == 0)), v))  # the cast of others is slow
-    number, amount = _parts(v, scale)
     weights = F.lit(1) if weight is None else F.col(weight)
     rows = frame.withColumn("__v", F.col(value).cast("double")).withColumns(
         {"__fit": fit, "__finite": finite, "__w": weights.cast(T.DecimalType(11, 0))})
     rows = rows.withColumn("__odd", F.col("__finite") & ~F.coalesce(F.col("__fit").cast("double") == v, F.lit(False)))
-    rows = rows.withColumns({"__bin": F.when(F.col("__odd"), number), "__amount": F.when(F.col("__odd"), amount)})
+    rows = _with_parts(rows, "__odd", scale)
 
     def counted(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, weights)), F.lit(0)).cast("long")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from decimal import ROUND_HALF_UP, Decimal, getcontext
 
 import pytest
@@ -62,3 +63,9 @@ def test_weights_repeat_values(spark):
     assert aggregate_with_mean(frame, "v", "mean", "w").first()["mean"] == want
     assert aggregate_with_mean(frame, "v", "mean", "w", scale=5).first()["mean"] == _expected(
         [v for v, w in rows for _ in range(w)], 5)
+
+
+def test_the_text_of_a_value_is_made_once(spark):
+    frame = spark.range(3).selectExpr("id * 1.5D AS v")
+    plan = aggregate_with_mean(frame, "v", "mean")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"cast\(\w+#\d+ as string\)", plan.split("collect_list")[-1])) == 1
