@@ -69,7 +69,7 @@ def z_ordered(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFr
     shares = [i / 2 ** bits for i in range(1, 2 ** bits)]
     cuts = df.agg(*[F.percentile_approx(n, shares, ACCURACY) for n in numbers]).first()
     out = df.withColumns({f"__n{i}": n for i, n in enumerate(numbers)})
-    out = out.withColumns({f"__b{i}": F.expr(_bucket(f"__n{i}", cuts[i] or [], bits)) for i in range(len(columns))})
+    out = _bucketed(out, [cuts[i] or [] for i in range(len(columns))], bits)
     z = " | ".join(f"shiftleft(shiftright(__b{i}, {bit}) & 1L, {bit * len(columns) + len(columns) - 1 - i})"
                    for i in range(len(columns)) for bit in range(bits))
     keys = [F.col(Z), *[column(c) for c in columns]]
@@ -77,21 +77,25 @@ def z_ordered(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFr
     return out.select(*[column(c) for c in df.columns])
 
 
-def _bucket(number: str, cuts: Sequence[float], bits: int) -> str:
-    """SQL: how many of the cuts are not above a number, by halving; 0 for NULL.
+def _bucketed(df: DataFrame, cuts: Sequence[Sequence[float]], bits: int) -> DataFrame:
+    """``df`` with ``__b{i}``: how many of the cuts are not above the number ``__n{i}``; 0 for NULL.
 
+    Found by halving, a column for each step: a single expression of all comparisons
+    makes a method too large for the JVM to compile.
     Few different values make few buckets; these take the high bits, so that they count as much.
     """
-    own = sorted({c for c in cuts if math.isfinite(c)})
-    spare = bits - len(own).bit_length()
-
-    def halved(low: int, high: int) -> str:
-        if low == high:
-            return f"{low}L"
-        mid = (low + high) // 2
-        return f"IF({number} < double('{own[mid]!r}'), {halved(low, mid)}, {halved(mid + 1, high)})"
-
-    return f"IF({number} IS NULL, 0L, shiftleft({halved(0, len(own))}, {spare}))"
+    own = [sorted({c for c in some if math.isfinite(c)}) for some in cuts]
+    sizes = [len(o).bit_length() for o in own]
+    # filled up with NaN, which is above all other numbers
+    tables = ["array(" + ", ".join(f"double('{c!r}')" for c in o + [math.nan] * (2 ** n - 1 - len(o))) + ")"
+              for o, n in zip(own, sizes)]
+    df = df.withColumns({f"__b{i}": F.lit(0) for i in range(len(own))})
+    for bit in reversed(range(bits)):
+        half = 1 << bit
+        df = df.withColumns({f"__b{i}": F.expr(f"__b{i} + IF(__n{i} >= {table}[__b{i} + {half - 1}], {half}, 0)")
+                             for i, (table, n) in enumerate(zip(tables, sizes)) if bit < n})
+    return df.withColumns({f"__b{i}": F.expr(f"shiftleft(CAST(least(__b{i}, {len(o)}) AS BIGINT), {bits - n})")
+                           for i, (o, n) in enumerate(zip(own, sizes))})
 
 
 def bloom_options(columns: Sequence[str], distinct: int) -> dict[str, str]:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import bisect
 import glob
+import math
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from folio.sinks.layout import _common_prefix, z_ordered
+from folio.sinks.layout import _bucketed, _common_prefix, z_ordered
 from folio.sinks.writers import write_table
 
 COLUMNS = ["title", "user_id", "review_score"]
@@ -71,3 +73,15 @@ def test_nulls_ties_empty_tables_and_odd_columns(spark, tmp_path):
     with pytest.raises(ValueError):
         write_table(odd, path=f"{tmp_path}/t", z_order_by=["x"], cluster_by=["x"])
     assert _common_prefix(b"abc", b"abd") == 2 and _common_prefix(b"", b"x") == 0
+
+
+def test_buckets_are_found_by_halving_in_small_steps(spark, rows):
+    plan = z_ordered(rows, COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("if (") < 40
+    cuts = [[1.0, 2.0, 2.0, 5.5, float("inf")], [], [float(i) for i in range(63)]]
+    values = [None, float("nan"), float("-inf"), float("inf"), -1.0, 0.0, 1.0, 1.5, 2.0, 5.5, 61.5, 62.0, 70.0]
+    frame = spark.createDataFrame([(v, v, v) for v in values], "__n0 double, __n1 double, __n2 double")
+    for r in _bucketed(frame, cuts, 6).collect():
+        for i, own in enumerate(([1.0, 2.0, 5.5], [], cuts[2])):
+            n = 0 if r[0] is None else len(own) if math.isnan(r[0]) else bisect.bisect_right(own, r[0])
+            assert r[f"__b{i}"] == n << (6 - len(own).bit_length()), (r, i)
