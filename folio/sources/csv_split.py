@@ -66,9 +66,15 @@ def _lines(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
     # Without pairs, few lines have a quote left for the slow test.
     lines = lines.withColumn("quoted", F.when(F.contains("value", F.lit('"')), F.replace("value", F.lit('""'), F.lit(""))))
     quotes, pattern = F.coalesce(F.contains("quoted", F.lit('"')), F.lit(False)), open_pattern(sep)
+    # Of those, most have one quote, which opens a field at its start or closes the one that began before.
+    ends = [F.octet_length(F.substring_index("quoted", '"', side)) for side in (1, -1)]
+    lines = lines.withColumn("quotes", F.when(~quotes, 0).when(ends[0] + ends[1] + 1 == F.octet_length("quoted"), 1).otherwise(2))
+    opens = F.col("quoted").startswith('"') | F.contains("quoted", F.lit(f'{sep}"'))
     return lines.select(
-        "*", F.when(quotes, F.col("quoted").rlike(pattern)).otherwise(False).alias("open_out"),
-        F.when(quotes, F.concat(F.lit('"'), "quoted").rlike(pattern)).otherwise(True).alias("open_in")).drop("quoted")
+        "*", F.when(F.col("quotes") == 0, False).when(F.col("quotes") == 1, opens)
+        .otherwise(F.col("quoted").rlike(pattern)).alias("open_out"),
+        F.when(F.col("quotes") == 0, True).when(F.col("quotes") == 1, False)
+        .otherwise(F.concat(F.lit('"'), "quoted").rlike(pattern)).alias("open_in")).drop("quoted", "quotes")
 
 
 def _states(open_out: np.ndarray, open_in: np.ndarray, start: bool) -> np.ndarray:

@@ -175,3 +175,20 @@ def test_load_order_over_many_files_does_not_depend_on_splits(spark, tmp_out, fo
         orders.append(sorted((r[C.ROW_ORDER], r.title) for r in table.collect()))
         assert found.files["books_data"].count() == 3
     assert orders[0] == orders[1] and [n for n, _ in orders[0]] == list(range(len(orders[0])))
+
+
+@pytest.mark.parametrize("sep", [",", "\t"])
+def test_lines_with_one_quote_need_no_slow_test(spark, tmp_path, monkeypatch, sep):
+    rng, slow = random.Random(3), S.open_pattern(sep)
+    lines = ["".join(rng.choice(['"', '""', sep, "a", " ", "é"]) for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    (tmp_path / "a.csv").write_text("\n".join(lines), encoding="utf-8")
+
+    def found():
+        return {r["value"]: (r["open_out"], r["open_in"]) for r in S._lines(spark, str(tmp_path), sep).collect()}
+
+    frame = spark.createDataFrame([(x, x.replace('""', "")) for x in set(lines)], "value string, quoted string")
+    want = {r["value"]: (r["a"], r["b"]) for r in frame.select(
+        "value", F.col("quoted").rlike(slow).alias("a"), F.concat(F.lit('"'), "quoted").rlike(slow).alias("b")).collect()}
+    assert found() == {v: want[v] if '"' in v.replace('""', "") else (False, True) for v in lines}
+    monkeypatch.setattr(S, "open_pattern", lambda sep: r"\A(?!)")
+    assert all(own == want[v] for v, own in found().items() if v.replace('""', "").count('"') == 1)
