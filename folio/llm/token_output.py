@@ -60,6 +60,8 @@ ROUNDS = 6
 ONE, MORE = 192, 255
 BROADCAST_PARTS = 1_000_000
 MANIFEST = ".manifest.json"
+#: The token table, written once and read three times, is as large as the shuffle: a high level pays.
+TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 
 
 def permute(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
@@ -319,7 +321,7 @@ def materialise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: i
     """Tokenise ``docs`` and put them in training order; see records() for the rows and ``shards``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "token-output")
-    tokenise(docs, vocabulary, seq_len).write.option("compression", "zstd").parquet(path)
+    tokenise(docs, vocabulary, seq_len).write.options(**TABLE_OPTIONS).parquet(path)
     end = tokens.end_of_text(tokens.share(spark, vocabulary).value)
     tokenised = spark.read.parquet(path)
     total = 0

@@ -184,3 +184,14 @@ def test_packed_ranks_come_back():
     edge = np.array([0, 191, 192, 447, 448, 192 + 63 * 256 - 1, 192 + 63 * 256, 192 + (1 << 24) - 1])
     assert TO.unpack(TO.pack(edge, np.array([8])), np.array([8])).tolist() == edge.tolist()
     assert len(TO.pack(edge[:0], sizes[:0])) == 0
+
+
+def test_the_token_table_is_packed_at_a_high_level(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    monkeypatch.setattr(TO, "scratch_path", lambda spark, name: path)
+    rows = spark.range(0, 400, 1, 1).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(1, 300), x -> concat('w', pmod(xxhash64(id, x), 900))), ' ') AS text")
+    TO.materialise(rows)
+    spark.read.parquet(path).coalesce(1).write.option("compression", "zstd").parquet(f"{path}-plain")
+    size = {p: sum(os.path.getsize(f) for f in glob.glob(f"{p}/part-*")) for p in (path, f"{path}-plain")}
+    assert size[path] < 0.99 * size[f"{path}-plain"]
