@@ -173,6 +173,16 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
+def _document_windows(hashed: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_key, hash): the different windows of each document, and a null for one without any.
+
+    For a plain explode Spark filters out empty arrays first, for which it computes
+    everything from the text on a second time.
+    """
+    own = F.array_distinct(F.flatten(_windows("hashes", width)))
+    return hashed.select("doc_id", "text_key", F.explode_outer(own).alias("hash"))
+
+
 def _chains(found: DataFrame, key: list[str]) -> DataFrame:
     """(key, width, chain, n_windows): runs of windows on one diagonal or on several near ones.
 
@@ -253,15 +263,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         parts.clear()
         return out
 
-    def hashes(width: int) -> DataFrame:
-        own = F.array_distinct(F.flatten(_windows("hashes", width)))
-        return tokened.select("doc_id", "text_key", F.explode(own).alias("hash"))
-
     def placed(width: int) -> DataFrame:
-        return (chosen.select("doc_id", "text_key", F.explode(_windows("hashes", width)).alias("windows"))
-                .select("doc_id", "text_key", F.posexplode("windows").alias("at", "hash")))
+        return (chosen.select("doc_id", "text_key", F.explode_outer(_windows("hashes", width)).alias("windows"))
+                .select("doc_id", "text_key", F.posexplode_outer("windows").alias("at", "hash")))
 
-    seeded = joined(hashes, []).select("doc_id", "text_key").distinct()
+    seeded = joined(lambda width: _document_windows(tokened, width), []).select("doc_id", "text_key").distinct()
     chosen = (keyed.join(seeded.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}),
                          F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_key").eqNullSafe(F.col("s_key")), "left_semi")
               .dropDuplicates(["doc_id", "text_key"])

@@ -500,3 +500,13 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert mixed.count() >= len(kept[3])
     again = corpus_pipeline.run(spark, str(sf))
     assert again.count() == docs.count()
+
+
+def test_windows_are_made_from_the_text_once(spark):
+    rows = spark.createDataFrame([(1, "One two three four five six seven eight nine"), (2, None), (3, "few")], "doc_id long, text string")
+    hashed = rows.select("doc_id", F.xxhash64("text").alias("text_key"), decontaminate.marked_tokens(F.col("text")).alias("tokens")).select(
+        "doc_id", "text_key", decontaminate.template_hashes("tokens").alias("hashes"))
+    found = decontaminate._document_windows(hashed, decontaminate.WINDOW)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    n = {r["doc_id"]: r["n"] for r in found.groupBy("doc_id").agg(F.count("hash").alias("n")).collect()}
+    assert n[1] >= 2 and n[2] == n[3] == 0
