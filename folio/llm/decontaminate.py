@@ -9,7 +9,10 @@ looked up three times: with no word as a name, with the capitalised words
 inside sentences, and with all capitalised words.
 
 1. *Seeds.*  Documents' windows are looked up at every token: a copy with words
-   put in may consist of runs of one window each.
+   put in may consist of runs of one window each.  Only documents that share a
+   gram with an item are looked at so closely: every window holds one of the
+   grams that start at each ``stride`` tokens of the document (see _gram), and
+   the items' grams are taken at every token, so no window is lost.
 2. *Runs.*  All windows of documents with a seed are joined; windows that follow
    each other on one diagonal (difference of positions) are a run.
 3. *Chains.*  A token put in or left out moves the rest of a copy to another
@@ -49,6 +52,7 @@ documents' other columns may have any names.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,6 +159,24 @@ def _windows(hashes: str, width: int) -> Column:
     return F.transform(out, lambda a, variant: _joined(a, width - half, variant == 0))
 
 
+def _gram(width: int) -> tuple[int, int]:
+    """(stride, size) of the grams: any window of ``width`` tokens holds a whole one of those at each ``stride`` tokens."""
+    stride = max(1, width // 2)
+    return stride, width - stride + 1
+
+
+def _grams(hashes: str, width: int, step: int) -> Column:
+    """The variants' arrays of the tokens' hashes as arrays of the hashes of the grams at each ``step`` tokens."""
+    size = _gram(width)[1]
+
+    def own(array: Column, variant: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(array) - size, F.lit(step))
+        return F.when(F.size(array) >= size, F.transform(
+            starts, lambda i: F.xxhash64(*[F.get(array, i + k) for k in range(size)], variant == 0)))
+
+    return F.transform(F.col(hashes), own)
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """(item, item_id, variants, hashes, width): the items with tokens; item numbers unlike texts apart."""
     return (benchmark.select("item_id", F.xxhash64("text").alias("item"), "text").distinct()
@@ -173,14 +195,23 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
-def _document_windows(hashed: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_key, hash): the different windows of each document, and a null for one without any.
+def _different(hashed: DataFrame, arrays: Column) -> DataFrame:
+    """(doc_id, text_key, hash): the different hashes in a document's arrays, and a null for one without any.
 
     For a plain explode Spark filters out empty arrays first, for which it computes
     everything from the text on a second time.
     """
-    own = F.array_distinct(F.flatten(_windows("hashes", width)))
-    return hashed.select("doc_id", "text_key", F.explode_outer(own).alias("hash"))
+    return hashed.select("doc_id", "text_key", F.explode_outer(F.array_distinct(F.flatten(arrays))).alias("hash"))
+
+
+def _document_windows(hashed: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_key, hash): the different windows of each document."""
+    return _different(hashed, _windows("hashes", width))
+
+
+def _document_grams(hashed: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_key, hash): the different grams of each document, at each stride."""
+    return _different(hashed, _grams("hashes", width, _gram(width)[0]))
 
 
 def _chains(found: DataFrame, key: list[str]) -> DataFrame:
@@ -233,52 +264,62 @@ def _chains(found: DataFrame, key: list[str]) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, coverage, n_slots, exact) of every copy found."""
     items = _items(benchmark)
-    parts = []
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # WINDOW values at most
-    item_windows = None
+    item_windows = item_grams = None
     for width in widths:
         own = (items.where(F.col("width") == width)
                .select("item_id", "item", F.explode(_windows("hashes", width)).alias("windows"))
                .select("item_id", "item", F.posexplode("windows").alias("item_pos", "hash"))
                .distinct().withColumn("width", F.lit(width)))
         item_windows = own if item_windows is None else item_windows.union(own)
+        own = (items.where(F.col("width") == width)
+               .select(F.explode(F.flatten(_grams("hashes", width, 1))).alias("hash"))
+               .distinct().withColumn("width", F.lit(width)))
+        item_grams = own if item_grams is None else item_grams.union(own)
     if item_windows is None:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, text_key long, item_id long, n_windows long, coverage double, n_slots long, exact boolean")
-    n_windows = item_windows.count()
+    n_hashes = max(item_windows.count(), item_grams.count())
     per_item = items.select("item_id", "item", (F.col("size") - F.col("width") + 1).alias("n_item"))
 
     keyed = _keyed(docs)
-    tokened = (keyed.select("doc_id", "text_key", marked_tokens(F.col("text")).alias("tokens"))
-               .select("doc_id", "text_key", template_hashes("tokens").alias("hashes")))
 
-    def joined(windows: Callable[[int], DataFrame], columns: list[str]) -> DataFrame:
+    def hashed(frame: DataFrame) -> DataFrame:
+        return (frame.select("doc_id", "text_key", marked_tokens(F.col("text")).alias("tokens"))
+                .select("doc_id", "text_key", template_hashes("tokens").alias("hashes")))
+
+    def joined(windows: Callable[[int], DataFrame], items: DataFrame, columns: list[str]) -> DataFrame:
+        parts = []
         for width in widths:
             found = windows(width).join(
-                _small(item_windows.where(F.col("width") == width).select("hash", *columns).distinct(), n_windows), "hash")
+                _small(items.where(F.col("width") == width).select("hash", *columns).distinct(), n_hashes), "hash")
             parts.append(found.drop("hash"))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.union(p)
-        parts.clear()
-        return out
+        return reduce(DataFrame.union, parts)
+
+    def among(frame: DataFrame, found: DataFrame) -> DataFrame:
+        found = found.select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key")).distinct()
+        return frame.join(found, F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_key").eqNullSafe(F.col("s_key")), "left_semi")
+
+    def kept(frame: DataFrame) -> DataFrame:
+        frame.write.parquet(path := scratch_path(docs.sparkSession, "decontaminate"))
+        return docs.sparkSession.read.parquet(path)
+
+    tokened = hashed(keyed)
+    near = kept(among(keyed, joined(lambda width: _document_grams(tokened, width), item_grams, []))
+                .dropDuplicates(["doc_id", "text_key"]))
+    near_tokened = hashed(near)
+    seeded = joined(lambda width: _document_windows(near_tokened, width), item_windows, [])
+    chosen = kept(among(near, seeded)
+                  .select("doc_id", "text_key", marked_tokens(F.col("text")).alias("tokens"), slot_tokens(F.col("text")).alias("values"))
+                  .select("doc_id", "text_key", template_hashes("tokens").alias("hashes"),
+                          F.get(template_tokens("tokens"), F.lit(2)).alias("names"), "values"))
 
     def placed(width: int) -> DataFrame:
         return (chosen.select("doc_id", "text_key", F.explode_outer(_windows("hashes", width)).alias("windows"))
                 .select("doc_id", "text_key", F.posexplode_outer("windows").alias("at", "hash")))
 
-    seeded = joined(lambda width: _document_windows(tokened, width), []).select("doc_id", "text_key").distinct()
-    chosen = (keyed.join(seeded.withColumnsRenamed({"doc_id": "s_id", "text_key": "s_key"}),
-                         F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_key").eqNullSafe(F.col("s_key")), "left_semi")
-              .dropDuplicates(["doc_id", "text_key"])
-              .select("doc_id", "text_key", marked_tokens(F.col("text")).alias("tokens"), slot_tokens(F.col("text")).alias("values"))
-              .select("doc_id", "text_key", template_hashes("tokens").alias("hashes"),
-                      F.get(template_tokens("tokens"), F.lit(2)).alias("names"), "values"))
-    chosen.write.parquet(path := scratch_path(docs.sparkSession, "decontaminate"))
-    chosen = docs.sparkSession.read.parquet(path)
-
     key = ["doc_id", "text_key", "item_id", "item"]
-    chains = (_chains(joined(placed, ["item_id", "item", "item_pos", "width"]), key)
+    chains = (_chains(joined(placed, item_windows, ["item_id", "item", "item_pos", "width"]), key)
               .join(per_item, ["item_id", "item"])
               .withColumn("coverage", F.col("n_windows") / F.col("n_item"))
               .where(F.col("coverage") >= COVERAGE)

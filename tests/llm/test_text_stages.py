@@ -510,3 +510,27 @@ def test_windows_are_made_from_the_text_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     n = {r["doc_id"]: r["n"] for r in found.groupBy("doc_id").agg(F.count("hash").alias("n")).collect()}
     assert n[1] >= 2 and n[2] == n[3] == 0
+
+
+def test_every_window_holds_a_gram_of_the_stride():
+    for width in range(1, decontaminate.WINDOW + 1):
+        stride, size = decontaminate._gram(width)
+        for first in range(40):
+            assert any(first <= at and at + size <= first + width for at in range(0, 40 + width, stride))
+
+
+def test_all_documents_are_looked_up_by_few_grams_and_found_at_any_place(spark):
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne") for b in "bcdfghjklmnpqrstvw"]
+    item, filler = " ".join(words[:12]), " ".join(words[20:])
+    texts = [" ".join(words[60:60 + lead] + [item, filler]) for lead in range(9)]
+    texts += [" ".join(words[60:60 + lead] + words[2:10] + [filler]) for lead in range(9)]  # one window
+    texts += [f"{filler} {' '.join(words[2:9])} {filler}", "Two of", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item), (1, "two of"), (2, " ".join(words[2:10]))], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, bench).collect()}
+    assert found == {(i, 0) for i in range(9)} | {(i, 2) for i in range(18)} | {(19, 1)}
+    hashed = (docs.select("doc_id", F.lit(0).alias("text_key"), decontaminate.marked_tokens(F.col("text")).alias("tokens"))
+              .select("doc_id", "text_key", decontaminate.template_hashes("tokens").alias("hashes")))
+    n_grams, n_windows = (make(hashed, decontaminate.WINDOW).where("hash IS NOT NULL").count()
+                          for make in (decontaminate._document_grams, decontaminate._document_windows))
+    assert 0 < n_grams < 0.3 * n_windows
