@@ -3,17 +3,19 @@
 1. Texts are tokenised once; every document becomes its tokens, an end token
    and so ``ceil((n + 1) / seq_len)`` sequences.  The token table is written
    to shared storage, with each document's partition and place in it, which
-   fixes the numbering whatever is retried later.
+   fixes the numbering whatever is retried later.  Its ids are in a code of
+   one byte for the ids that come most often, two for the next and four for
+   the rest.  All ids have a code; which are short is learned from one document
+   in ``LEARN_ONE_IN``, by the hash of its id, and matters to the size alone.
 2. Sequences are numbered 0..M-1: partitions in order, documents in order
    within them.  Only one count a partition is summed up for that.
 3. A keyed Feistel network over the next even power of two permutes the
    numbers; values of M or more are fed in again until they fall below it
    (cycle walking), so every sequence has a slot of its own in 0..M-1.
-4. Slots are range-partitioned at shard borders.  On the way ids are in a code of
-   one byte for the ids that come most often in all documents, two for the next
-   and four for the rest (a count by id, at most as large as the vocabulary, is
-   shared with the tasks).  Then every sequence becomes a record of fixed length,
-   with plain ids, in slot order.  ``materialise`` returns the records as rows and,
+4. Slots are partitioned at shard borders, which their number fixes, so nothing is
+   sampled for that.  On the way the coded sequences are compressed one by one, with
+   a dictionary of some of the documents.  Then every sequence becomes a record of
+   fixed length, with plain ids, in slot order.  ``materialise`` returns the records as rows and,
    given a folder, writes them as plain files, one a shard, on the way;
    ``write_shards`` does that for rows that are there.  Record r of a shard starts
    at byte r * stride, so a reader seeks to any slot and reads on.  A file appears
@@ -44,7 +46,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
-from pyspark import TaskContext
+import zstandard
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,9 +61,14 @@ KEY = 20240229
 ROUNDS = 6
 #: Ranks below ONE take one byte; first bytes from ONE on, and below MORE, are the high bytes of two.
 ONE, MORE = 192, 255
+#: The code of the ids is learned from one document in so many.
+LEARN_ONE_IN = 64
+#: The dictionary for the shuffle, and what it is made of: so many bytes of so many documents at most.
+DICTIONARY_BYTES, EXAMPLE_BYTES, EXAMPLES = 1 << 16, 1 << 12, 1000
+PIECE_LEVEL = 3
 BROADCAST_PARTS = 1_000_000
 MANIFEST = ".manifest.json"
-#: The token table, written once and read three times, is as large as the shuffle: a high level pays.
+#: The token table, written once, is about as large as the shuffle: a high level pays.
 TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 
 
@@ -80,93 +88,135 @@ def permute(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def tokenise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: int = SEQ_LEN) -> DataFrame:
-    """(part, first, doc_id, n_tokens, ids, check): a document's ids with its end, the number of
-    sequences that come before it in its partition, and a hash of the ids."""
-    shared = tokens.share(docs.sparkSession, vocabulary)
+def tokenise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: int = SEQ_LEN,
+             order: np.ndarray | None = None) -> DataFrame:
+    """(part, first, doc_id, n_tokens, lengths, ranks, check): a document's ids with its end, the number of
+    sequences that come before it in its partition, and a hash of the ids.
+
+    ``ranks`` are the ids' places in ``order`` (see frequent_first), packed for each sequence;
+    ``lengths`` are the bytes of each sequence there.
+    """
+    spark = docs.sparkSession
+    shared = tokens.share(spark, vocabulary)
+    order = frequent_first(docs, vocabulary) if order is None else order
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order))
+    rank = spark.sparkContext.broadcast(rank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(shared.value).encode_ordinary
-        end = tokens.end_of_text(shared.value)
+        encode, end = tokens.encode(shared.value), tokens.end_of_text(shared.value)
         kind = _id_type(end)
         part, first = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = as_bytes(batch.column(1))
             for low, high in blocks(texts):
-                ids, sizes, firsts, checks = [], [], [], []
+                ids, checks = [], []
                 for text in texts[low:high]:
-                    own = encode((text or b"").decode("utf-8", "replace"))
-                    own.append(end)
-                    ids.append(np.array(own, dtype=kind).tobytes())
-                    sizes.append(len(own))
-                    checks.append(xxhash.xxh3_64_intdigest(ids[-1]) >> 1)
-                    firsts.append(first)
-                    first += -(-len(own) // seq_len)
+                    ids.append(np.append(encode((text or b"").decode("utf-8", "replace")), np.uint32(end)))
+                    checks.append(xxhash.xxh3_64_intdigest(ids[-1].astype(kind)) >> 1)
+                n_tokens = np.array([len(own) for own in ids], dtype=np.int64)
+                n = -(-n_tokens // seq_len)
+                row, seq = _rows(n)
+                pieces = pack(rank.value[np.concatenate(ids)], np.minimum(n_tokens[row] - seq * seq_len, seq_len))
+                offsets = np.frombuffer(pieces.buffers()[1], dtype=np.int32)
+                ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part), pa.int32()), pa.array(firsts, pa.int64()),
-                     batch.column(0).slice(low, high - low), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                    [pa.array(np.full(len(ids), part), pa.int32()), pa.array(first + ends - n),
+                     batch.column(0).slice(low, high - low), pa.array(n_tokens),
+                     _binaries(np.diff(offsets).astype("<u4").view(np.uint8), 4 * n),
+                     _binaries(np.frombuffer(pieces.buffers()[2], dtype=np.uint8), np.diff(offsets[np.append(0, ends)])),
                      pa.array(checks, pa.int64())],
-                    names=["part", "first", "doc_id", "n_tokens", "ids", "check"])
+                    names=["part", "first", "doc_id", "n_tokens", "lengths", "ranks", "check"])
+                first += int(ends[-1])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "part int, first long, doc_id long, n_tokens long, ids binary, check long")
+        run, "part int, first long, doc_id long, n_tokens long, lengths binary, ranks binary, check long")
+
+
+def _rows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts[i] things of each row: the row of each, and its place there."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def _id_type(largest: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
-def frequent_first(tokenised: DataFrame, end: int) -> np.ndarray:
-    """The ids of a written token table, those that come most often first."""
-    kind = _id_type(end)
+def frequent_first(docs: DataFrame, vocabulary: str = tokens.VOCABULARY) -> np.ndarray:
+    """All ids, those first that come most often in one document in ``LEARN_ONE_IN``, then in their own order."""
+    shared = tokens.share(docs.sparkSession, vocabulary)
+    end = tokens.end_of_text(shared.value)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = tokens.encode(shared.value)
         n = np.zeros(end + 1, dtype=np.int64)
-        for b in batches:
-            held = b.column(0).to_pylist()
-            for low, high in blocks(held):
-                n += np.bincount(np.frombuffer(b"".join(held[low:high]), kind), minlength=end + 1)
+        for batch in batches:
+            for text in as_bytes(batch.column(0)):
+                ids, held = np.unique(encode((text or b"").decode("utf-8", "replace")), return_counts=True)
+                n[ids] += held
+                n[end] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], names=["id", "n"])
 
-    rows = (tokenised.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "id").toPandas())  # a row an id at most
-    return rows["id"].to_numpy(dtype=np.int64)
+    rows = (docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(LEARN_ONE_IN)) == 0).select("text")
+            .mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas())  # a row an id at most
+    n = np.zeros(end + 1, dtype=np.int64)
+    n[rows["id"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    return np.argsort(-n, kind="stable")
 
 
-def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """starts[i], starts[i] + 1, ... (counts[i] of them), for all i."""
-    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+def _first_of_two(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Marks the first of two kinds that take turns: n_a[0] of the one, n_b[0] of the other, n_a[1], ..."""
+    return np.repeat(np.tile([True, False], len(n_a)), np.stack([n_a, n_b], axis=1).reshape(-1))
+
+
+def _in_turns(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    if not len(b):
+        return a
+    own = _first_of_two(n_a, n_b)
+    out = np.empty(len(own), dtype=np.uint8)
+    out[own], out[~own] = a, b
+    return out
+
+
+def _held(at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many of the sorted places ``at`` are in each run of ``sizes[i]``."""
+    return np.diff(np.searchsorted(at, np.cumsum(sizes)), prepend=0)
 
 
 def pack(ranks: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """A binary for each run of ``sizes[i]`` ranks: their first bytes, then the second bytes of ranks
     from ``ONE`` on, then two more for those that a first byte of ``MORE`` marks."""
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    wide, above = ranks >= ONE, np.maximum(ranks - ONE, 0)
-    first = np.where(wide, np.minimum(ONE + (above >> 8), MORE), ranks)
-    most = first == MORE
-    n_wide, n_most = (np.bincount(run[m], minlength=len(sizes)) for m in (wide, most))
-    lengths = sizes + n_wide + 2 * n_most
-    starts = np.cumsum(lengths) - lengths
-    out = np.empty(lengths.sum(), dtype=np.uint8)
-    out[_spread(starts, sizes)] = first
-    out[_spread(starts + sizes, n_wide)] = above[wide] & 255
-    out[_spread(starts + sizes + n_wide, 2 * n_most)] = (above[most] >> 8).astype("<u2").view(np.uint8)
-    return _binaries(out, lengths)
+    wide = np.flatnonzero(ranks >= ONE)
+    above = ranks[wide] - ONE
+    high = np.minimum(ONE + (above >> 8), MORE)
+    first = ranks.astype(np.uint8)
+    first[wide] = high
+    most = high == MORE
+    n_wide, n_most = _held(wide, sizes), 2 * _held(wide[most], sizes)
+    more = (above[most] >> 8).astype("<u2").view(np.uint8)
+    rest = _in_turns((above & 255).astype(np.uint8), n_wide, more, n_most)
+    return _binaries(_in_turns(first, sizes, rest, n_wide + n_most), sizes + n_wide + n_most)
 
 
 def unpack(coded: pa.Array, sizes: np.ndarray) -> np.ndarray:
     """The ranks of all runs, one after another."""
+    if not len(coded):
+        return np.empty(0, dtype=np.int32)
     coded = coded.cast(pa.large_binary())
-    data = np.frombuffer(coded.buffers()[2] or b"", dtype=np.uint8)
-    starts = np.frombuffer(coded.buffers()[1] or b"", dtype=np.int64)[coded.offset:coded.offset + len(coded)]
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    out = data[_spread(starts, sizes)].astype(np.int64)
-    wide, most = out >= ONE, out == MORE
-    n_wide, n_most = (np.bincount(run[m], minlength=len(sizes)) for m in (wide, most))
-    high = np.where(most, 0, out - ONE)
-    high[most] = np.frombuffer(data[_spread(starts + sizes + n_wide, 2 * n_most)].tobytes(), "<u2")
-    out[wide] = ONE + (high[wide] << 8) + data[_spread(starts + sizes, n_wide)]
+    offsets = np.frombuffer(coded.buffers()[1], dtype=np.int64)[coded.offset:coded.offset + len(coded) + 1]
+    data = np.frombuffer(coded.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
+    own = _first_of_two(sizes, np.diff(offsets) - sizes)
+    first, rest = data[own], data[~own]
+    out = first.astype(np.int32)
+    wide = np.flatnonzero(first >= ONE)
+    high = out[wide] - ONE
+    most = first[wide] == MORE
+    if most.any():
+        low = _first_of_two(_held(wide, sizes), 2 * _held(wide[most], sizes))
+        high[most] = np.frombuffer(rest[~low].tobytes(), "<u2")
+        rest = rest[low]
+    out[wide] = ONE + (high << 8) + rest
     return out
 
 
@@ -178,44 +228,54 @@ def _binaries(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
-def sequences(tokenised: DataFrame, end: int, order: np.ndarray, seq_len: int = SEQ_LEN, key: int = KEY) -> DataFrame:
-    """(slot, doc_id, seq, n_tokens, ranks) of every sequence of a written token table.
+def dictionary(tokenised: DataFrame) -> bytes:
+    """A zstd dictionary for the packed sequences of a written token table; empty for a small table."""
+    some = (tokenised.where(F.pmod(F.xxhash64("doc_id"), F.lit(LEARN_ONE_IN)) == 0)
+            .select(F.substring("ranks", 1, EXAMPLE_BYTES).alias("ranks")).limit(EXAMPLES).collect())
+    pieces = [bytes(r["ranks"][at:at + SEQ_LEN]) for r in some for at in range(0, len(r["ranks"]), SEQ_LEN)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
+    except zstandard.ZstdError:  # too few bytes to learn from
+        return b""
+
 
-    ``ranks`` are the ids' places in ``order`` (see frequent_first), packed.
+def _with_dictionary(held: bytes) -> dict:
+    return {"dict_data": zstandard.ZstdCompressionDict(held)} if held else {}
+
+
+def sequences(tokenised: DataFrame, size: int, held: Broadcast, seq_len: int = SEQ_LEN, key: int = KEY) -> DataFrame:
+    """(slot, doc_id, seq, n_tokens, piece) of each of the ``size`` sequences of a written token table.
+
+    ``piece`` is the sequence's part of ``ranks``, compressed with the dictionary ``held``.
     """
-    count = F.sum(F.ceil(F.col("n_tokens") / seq_len))
     # one row a partition of the token table
-    parts = tokenised.groupBy("part").agg(count.alias("n"))
-    size = parts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long")).first()[0]
+    parts = tokenised.groupBy("part").agg(F.sum(F.ceil(F.col("n_tokens") / seq_len)).alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = parts.select("part", F.coalesce(before, F.lit(0)).cast("long").alias("start"))
-    kind = _id_type(end)
-    rank = np.zeros(end + 1, dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    rank = tokenised.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=PIECE_LEVEL, write_dict_id=False, **_with_dictionary(held.value)).compress
         for batch in batches:
-            held = batch.column(3).to_pylist()
-            for low, high in blocks(held):
+            coded = batch.column(4).to_pylist()
+            for low, high in blocks(coded):
                 b = batch.slice(low, high - low)
                 n_tokens = b.column(2).to_numpy(zero_copy_only=False)
-                n = -(-n_tokens // seq_len)
-                row = np.repeat(np.arange(b.num_rows), n)
-                seq = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                row, seq = _rows(-(-n_tokens // seq_len))
                 slot = permute(b.column(0).to_numpy(zero_copy_only=False)[row] + seq, size, key)
-                sizes = np.minimum(n_tokens[row] - seq * seq_len, seq_len)
-                ids = np.frombuffer(b"".join(held[low:high]), kind)  # documents end where their last sequences do
+                lengths = np.frombuffer(b"".join(b.column(3).to_pylist()), "<u4")
+                ends = np.cumsum(lengths, dtype=np.int64)
+                joint = memoryview(b"".join(coded[low:high]))  # documents end where their last sequences do
+                pieces = [compress(joint[i:j]) for i, j in zip((ends - lengths).tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slot), b.column(1).take(pa.array(row)), pa.array(seq, pa.int32()),
-                     pa.array(sizes, pa.int32()), pack(rank.value[ids], sizes)],
-                    names=["slot", "doc_id", "seq", "n_tokens", "ranks"])
+                     pa.array(np.minimum(n_tokens[row] - seq * seq_len, seq_len), pa.int32()), pa.array(pieces, pa.binary())],
+                    names=["slot", "doc_id", "seq", "n_tokens", "piece"])
 
     # a row a task of the tokenising stage
     starts = F.broadcast(starts) if starts.count() <= BROADCAST_PARTS else starts.hint("merge")
     numbered = tokenised.join(starts, "part").select(
-        (F.col("start") + F.col("first")).alias("first"), "doc_id", "n_tokens", "ids")
-    return numbered.mapInArrow(run, "slot long, doc_id long, seq int, n_tokens int, ranks binary")
+        (F.col("start") + F.col("first")).alias("first"), "doc_id", "n_tokens", "lengths", "ranks")
+    return numbered.mapInArrow(run, "slot long, doc_id long, seq int, n_tokens int, piece binary")
 
 
 def _digest(*columns: str) -> Column:
@@ -280,25 +340,29 @@ class ShardFiles:
             self.shard = None
 
 
-def records(rows: DataFrame, end: int, order: np.ndarray, seq_len: int = SEQ_LEN, records_per_shard: int = RECORDS_PER_SHARD,
-            shards: str | None = None, total: int = 0) -> DataFrame:
-    """The sequences as records in slot order, range-partitioned at shard borders:
+def records(rows: DataFrame, total: int, held: Broadcast, end: int, order: np.ndarray, seq_len: int = SEQ_LEN,
+            records_per_shard: int = RECORDS_PER_SHARD, shards: str | None = None) -> DataFrame:
+    """The ``total`` sequences as records in slot order, partitioned at shard borders:
     slot, shard, offset (in the shard's bytes), doc_id, seq, n_tokens, record.
 
-    With ``shards``, a folder that all executors reach, the shards of the ``total``
-    records are written there as these rows are computed.
+    With ``shards``, a folder that all executors reach, the shards are written there
+    as these rows are computed.
     """
+    n_shards = max(1, -(-total // records_per_shard))
+    n_parts = min(n_shards, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     kind = _id_type(end)
     width = np.dtype(kind).itemsize * seq_len
-    order = rows.sparkSession.sparkContext.broadcast(order)
+    order = rows.sparkSession.sparkContext.broadcast(order.astype(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = ShardFiles(shards, total, records_per_shard) if shards else None
+        decompress = zstandard.ZstdDecompressor(**_with_dictionary(held.value)).decompress
         for b in (batch.slice(low, high - low) for batch in batches for low, high in blocks(batch.column(4).to_pylist())):
             slot, sizes = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 3))
             shard = slot // records_per_shard
             ids = np.full((b.num_rows, seq_len), end, dtype=kind)
-            ids.reshape(-1)[_spread(np.arange(b.num_rows) * seq_len, sizes)] = order.value[unpack(b.column(4), sizes)]
+            packed = pa.array([decompress(piece) for piece in b.column(4).to_pylist()], pa.binary())
+            ids[np.arange(seq_len) < sizes[:, None]] = order.value[unpack(packed, sizes)]
             whole = np.empty((b.num_rows, 4 + width), dtype=np.uint8)
             whole[:, :4] = sizes.astype("<u4").view(np.uint8).reshape(-1, 4)
             whole[:, 4:] = ids.view(np.uint8).reshape(-1, width)
@@ -312,7 +376,8 @@ def records(rows: DataFrame, end: int, order: np.ndarray, seq_len: int = SEQ_LEN
         if files:
             files.close()
 
-    return (rows.repartitionByRange(F.expr(f"slot div {records_per_shard}")).sortWithinPartitions("slot")
+    part = F.expr(f"CAST(slot div {records_per_shard} * {n_parts} div {n_shards} AS INT)")
+    return (rows.repartitionById(n_parts, part).sortWithinPartitions("slot")
             .mapInArrow(run, "slot long, shard long, offset long, doc_id long, seq int, n_tokens int, record binary"))
 
 
@@ -321,16 +386,16 @@ def materialise(docs: DataFrame, vocabulary: str = tokens.VOCABULARY, seq_len: i
     """Tokenise ``docs`` and put them in training order; see records() for the rows and ``shards``."""
     spark = docs.sparkSession
     path = scratch_path(spark, "token-output")
-    tokenise(docs, vocabulary, seq_len).write.options(**TABLE_OPTIONS).parquet(path)
+    order = frequent_first(docs, vocabulary)
+    tokenise(docs, vocabulary, seq_len, order).write.options(**TABLE_OPTIONS).parquet(path)
     end = tokens.end_of_text(tokens.share(spark, vocabulary).value)
     tokenised = spark.read.parquet(path)
-    total = 0
+    n = F.coalesce(F.sum(F.ceil(F.col("n_tokens") / seq_len)), F.lit(0)).cast("long")
+    total, digest = tokenised.agg(n, _digest("part", "first", "doc_id", "n_tokens", "check")).first()
     if shards:
-        n = F.coalesce(F.sum(F.ceil(F.col("n_tokens") / seq_len)), F.lit(0)).cast("long")
-        total, digest = tokenised.agg(n, _digest("part", "first", "doc_id", "n_tokens", "check")).first()
         claim(shards, documents=digest, total=total, key=key, seq_len=seq_len, end=end, records_per_shard=records_per_shard)
-    order = frequent_first(tokenised, end)
-    return records(sequences(tokenised, end, order, seq_len, key), end, order, seq_len, records_per_shard, shards, total)
+    held = spark.sparkContext.broadcast(dictionary(tokenised))
+    return records(sequences(tokenised, total, held, seq_len, key), total, held, end, order, seq_len, records_per_shard, shards)
 
 
 def write_shards(made: DataFrame, path: str, records_per_shard: int = RECORDS_PER_SHARD) -> DataFrame:

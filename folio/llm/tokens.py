@@ -10,7 +10,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from collections.abc import Callable
+from functools import partial
 
+import numpy as np
 import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
@@ -18,6 +21,7 @@ from pyspark.sql import SparkSession
 #: Vocabulary in tiktoken's format; its id count leaves one id free for the end of a text.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY_MB = 64
+END = "<|endoftext|>"
 
 # Fixed value: the pre-token pattern that belongs to this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,10 +43,16 @@ def encoder(vocabulary: bytes) -> tiktoken.Encoding:
     name = hashlib.sha256(vocabulary).hexdigest()
     if name not in _ENCODERS:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
-        _ENCODERS[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks,
+                                            special_tokens={END: max(ranks.values()) + 1})
     return _ENCODERS[name]
 
 
+def encode(vocabulary: bytes) -> Callable[[str], np.ndarray]:
+    """The ids of a text as an array; those of ``encode_ordinary``, without a list of Python numbers between."""
+    return partial(encoder(vocabulary).encode_to_numpy, allowed_special=set(), disallowed_special=())
+
+
 def end_of_text(vocabulary: bytes) -> int:
     """The first id above the vocabulary's."""
-    return encoder(vocabulary).max_token_value + 1
+    return encoder(vocabulary).max_token_value

@@ -195,3 +195,40 @@ def test_the_token_table_is_packed_at_a_high_level(spark, tmp_path, monkeypatch)
     spark.read.parquet(path).coalesce(1).write.option("compression", "zstd").parquet(f"{path}-plain")
     size = {p: sum(os.path.getsize(f) for f in glob.glob(f"{p}/part-*")) for p in (path, f"{path}-plain")}
     assert size[path] < 0.99 * size[f"{path}-plain"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab é'sx1 \n.<|> ", max_size=80), st.text(max_size=40))
+def test_ids_as_arrays_are_the_ordinary_ids(a, b):
+    encode = tokens.encode(VOCABULARY)
+    for text in (a, b, f"{a}<|endoftext|>{b}", "<|endoftext|>é" * 3, ""):
+        text = text.encode("utf-8", "replace").decode()
+        assert encode(text).tolist() == ENCODE(text)
+    assert END == max(tokens.encoder(VOCABULARY)._mergeable_ranks.values()) + 1
+
+
+def test_the_code_holds_all_ids_and_the_table_is_written_in_it(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    monkeypatch.setattr(TO, "scratch_path", lambda spark, name: path)
+    words = "the and of to in is that it was for on are as with his they at be this from".split()
+    rows = [(i, " ".join(words[(i * j + j) % len(words)] for j in range(700))) for i in range(300)]
+    rows += [(1000, "über 中文 \U0001f600 <|endoftext|> rare Zyzzyva"), (1001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    order = TO.frequent_first(docs)
+    assert sorted(order.tolist()) == list(range(END + 1))
+    assert set(ENCODE(" " + " ".join(words))) <= set(order[:TO.ONE].tolist())
+    assert TO.frequent_first(docs.where("doc_id IS NULL")).tolist() == list(range(END + 1))
+    made = TO.materialise(docs, records_per_shard=100)
+    n_tokens, size = spark.read.parquet(path).agg(F.sum("n_tokens"), F.sum(F.length("ranks"))).first()
+    assert size < 1.1 * n_tokens
+    by_doc: dict = {}
+    for r in made.orderBy("slot").collect():
+        by_doc.setdefault(r["doc_id"], {})[r["seq"]] = np.frombuffer(r["record"], "<u2", offset=4)[:r["n_tokens"]].tolist()
+    assert {i: sum((s[k] for k in sorted(s)), []) for i, s in by_doc.items()} == {i: ENCODE(t or "") + [END] for i, t in rows}
+
+
+def test_shards_are_dealt_out_without_a_sampling_pass(spark, docs):
+    made = TO.materialise(docs, seq_len=64, records_per_shard=50)
+    assert "rangepartitioning" not in made._jdf.queryExecution().executedPlan().toString()
+    parts = made.groupBy(F.spark_partition_id().alias("p")).agg(F.min("shard").alias("a"), F.max("shard").alias("b")).orderBy("p").collect()
+    assert len(parts) > 1 and all(x["b"] < y["a"] for x, y in zip(parts, parts[1:]))
